@@ -14,8 +14,12 @@ LANES = 3
 
 
 def text_hash(text: Column) -> Column:
-    """MD5 of one whole text, as 32 hex digits."""
-    return F.md5(text.cast("binary"))
+    """MD5 of one whole text, as 32 hex digits. A missing text counts as an empty one.
+
+    That makes the hash non-null, so a join on it adds no null filter that would
+    hash every text a second time.
+    """
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
 def table_fingerprint(columns: Sequence[str], keep: Column | None = None) -> Column:

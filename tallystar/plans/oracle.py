@@ -173,7 +173,7 @@ FILES = """files AS (
   SELECT 'processed_data/output_' || strftime(ts, '%Y%m%d_%H%M%S') || '.csv' AS filename,
          ts AS modified, event_type FROM events)"""
 
-CONTENT = """hashes AS (SELECT doc_id, md5(text) AS content_hash FROM documents),
+CONTENT = """hashes AS (SELECT doc_id, md5(COALESCE(text, '')) AS content_hash FROM documents),
 incoming AS (SELECT * FROM hashes WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
 ledger AS (SELECT content_hash FROM hashes WHERE doc_id IN (SELECT doc_id FROM labels))"""
 
@@ -207,8 +207,8 @@ SELECT date AS "Date", year AS "Year", month AS "Month", day AS "Day", product_i
     "staging_rejects": f"WITH {LINES}, {STAGED} {COUNTS}",
     "snapshot_manifest": f"WITH {DAILY_CLEAN} {MANIFEST}",
     "snapshot_manifest_lines": f"WITH {LINE_CLEAN} {MANIFEST}",
-    "content_hash": "SELECT doc_id, md5(text) AS content_hash FROM documents",
-    "page_hash": "SELECT page_id, md5(html) AS content_hash FROM pages",
+    "content_hash": "SELECT doc_id, md5(COALESCE(text, '')) AS content_hash FROM documents",
+    "page_hash": "SELECT page_id, md5(COALESCE(html, '')) AS content_hash FROM pages",
     "fact_duplicate_keys": """SELECT l_orderkey, l_partkey, COUNT(*) AS n
 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1""",
     "fact_orphans": f"""WITH {DAILY_FACT}
@@ -229,7 +229,7 @@ WHERE content_hash IN (SELECT content_hash FROM ledger)""",
     "new_content": f"""WITH {CONTENT}
 SELECT content_hash, doc_id FROM incoming
 WHERE content_hash NOT IN (SELECT content_hash FROM ledger)""",
-    "first_uploads": """SELECT md5(text) AS content_hash, MIN(doc_id) AS doc_id,
+    "first_uploads": """SELECT md5(COALESCE(text, '')) AS content_hash, MIN(doc_id) AS doc_id,
   COUNT(*) - 1 AS copies_skipped FROM documents GROUP BY 1""",
     "date_dim": f"WITH {DAILY_CLEAN}, {DATE_DIM} SELECT * FROM date_dim",
     "date_dim_lines": f"WITH {LINE_CLEAN}, {DATE_DIM} SELECT * FROM date_dim",
