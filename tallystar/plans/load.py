@@ -38,13 +38,14 @@ def load_rows(
     require_unique(source, FACT_KEYS)
     months = touched_months(cleaned)
     load = sink.new_load_id()
-    dates = merge(star.read_date_dim(spark, mart), dimensions.date_dim(cleaned), DATE_KEYS)
+    at = star.current(spark, mart)
+    dates = merge(star.read_date_dim(spark, mart, at), dimensions.date_dim(cleaned), DATE_KEYS)
     sink.write_dim(dates, mart, "date_dim", load)
     products = merge(
-        star.read_product_dim(spark, mart), dimensions.product_dim(cleaned), PRODUCT_KEYS
+        star.read_product_dim(spark, mart, at), dimensions.product_dim(cleaned), PRODUCT_KEYS
     )
     sink.write_dim(products, mart, "product_dim", load)
-    target = star.read_fact(spark, mart, months)
+    target = star.read_fact(spark, mart, months, at)
     sink.write_fact(merge(target, source, FACT_KEYS), mart, load)
     sink.commit_load(spark, mart, files, load, months)
 

@@ -14,6 +14,8 @@ SETTINGS = {
     # cut to even files by the rebalance step; both need adaptive execution.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # One task per 256 MB of input keeps files and tasks of a large load few.
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Size of a coalesced shuffle partition, and so of a written file.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",

@@ -9,12 +9,13 @@ import uuid
 from collections.abc import Iterable
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.dates import year_month
 from tallystar.schemas import PROCESSED_FILES
-from tallystar.sources.star_tables import LEDGER, read_ledger
+from tallystar.sources.star_tables import LEDGER, empty, read_ledger
 
 
 def new_load_id() -> str:
@@ -24,7 +25,7 @@ def new_load_id() -> str:
 
 def ensure_star(spark: SparkSession, mart: str) -> None:
     """Creates the ledger if it is missing; with an empty ledger the other tables are empty."""
-    spark.createDataFrame([], PROCESSED_FILES).write.mode("ignore").parquet(f"{mart}/{LEDGER}")
+    empty(spark, PROCESSED_FILES).write.mode("ignore").parquet(f"{mart}/{LEDGER}")
 
 
 def write_dim(dim: DataFrame, mart: str, name: str, load: str) -> None:
@@ -57,9 +58,11 @@ def commit_load(
     months: Iterable[int],
 ) -> None:
     """Appends the ledger rows, in one file, for `files` of (name, content hash)."""
-    rows = spark.createDataFrame(list(files), "filename string, content_hash string")
+    names, hashes = zip(*files)
+    schema = pa.schema([("filename", pa.string()), ("content_hash", pa.string())])
     rows = (
-        rows.withColumn("processed_at", F.localtimestamp())
+        spark.createDataFrame(pa.table([names, hashes], schema=schema))
+        .withColumn("processed_at", F.localtimestamp())
         .withColumn("load", F.lit(load))
         .withColumn("months", F.array(*[F.lit(m) for m in months]).cast("array<int>"))
     )

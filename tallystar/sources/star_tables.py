@@ -15,6 +15,7 @@ query that runs during a load keeps reading the files it started with.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +27,19 @@ from tallystar.schemas import DATE_DIM, MANIFEST, PROCESSED_FILES, PRODUCT_DIM,
 LEDGER = "processed_files"
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known as such to the optimizer, which drops a join with it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).where(F.lit(False)).select(*columns)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
 
 
 def read_ledger(spark: SparkSession, mart: str) -> DataFrame:
@@ -43,42 +50,53 @@ def read_manifest(spark: SparkSession, lake: str) -> DataFrame:
     return read_or_empty(spark, f"{lake}/manifest", MANIFEST)
 
 
-def month_loads(spark: SparkSession, mart: str) -> dict[int, str]:
-    """The load that holds each month. One entry per calendar month with sales.
+@dataclass(frozen=True)
+class Current:
+    """What the ledger says is current: the load of each month, and the last load."""
 
-    Load ids sort by the time of the load, so the newest is the greatest.
-    """
-    months = read_ledger(spark, mart).select("load", F.explode("months").alias("ym"))
-    return {r["ym"]: r["load"] for r in months.groupBy("ym").agg(F.max("load").alias("load")).collect()}
+    months: dict[int, str]
+    last: str | None
 
 
-def _last_load(spark: SparkSession, mart: str) -> str | None:
-    return read_ledger(spark, mart).agg(F.max("load")).first()[0]
+def current(spark: SparkSession, mart: str) -> Current:
+    """Reads it from the ledger: one row per calendar month with sales comes to the driver.
+
+    Load ids sort by the time of the load, so the newest is the greatest.
+    """
+    listed = read_ledger(spark, mart).select("load", F.explode_outer("months").alias("ym"))
+    rows = listed.groupBy("ym").agg(F.max("load").alias("load")).collect()
+    months = {r["ym"]: r["load"] for r in rows if r["ym"] is not None}
+    return Current(months, max((r["load"] for r in rows), default=None))
 
 
 def read_fact(
-    spark: SparkSession, mart: str, months: Iterable[int] | None = None
+    spark: SparkSession,
+    mart: str,
+    months: Iterable[int] | None = None,
+    at: Current | None = None,
 ) -> DataFrame:
     """The fact table, or only some of its months; other months are not even listed."""
-    loads = month_loads(spark, mart)
+    loads = (at or current(spark, mart)).months
     wanted = loads if months is None else {m: loads[m] for m in months if m in loads}
     if not wanted:
-        return spark.createDataFrame([], SALES_FACT)
+        return empty(spark, SALES_FACT)
     base = f"{mart}/sales_fact"
     paths = [f"{base}/load={load}/ym={ym}" for ym, load in sorted(wanted.items())]
     return spark.read.schema(SALES_FACT).parquet(*paths)
 
 
-def _read_dim(spark: SparkSession, mart: str, name: str, schema: T.StructType) -> DataFrame:
-    load = _last_load(spark, mart)
+def _read_dim(
+    spark: SparkSession, mart: str, name: str, schema: T.StructType, at: Current | None
+) -> DataFrame:
+    load = (at or current(spark, mart)).last
     if load is None:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return spark.read.schema(schema).parquet(f"{mart}/{name}/load={load}")
 
 
-def read_date_dim(spark: SparkSession, mart: str) -> DataFrame:
-    return _read_dim(spark, mart, "date_dim", DATE_DIM)
+def read_date_dim(spark: SparkSession, mart: str, at: Current | None = None) -> DataFrame:
+    return _read_dim(spark, mart, "date_dim", DATE_DIM, at)
 
 
-def read_product_dim(spark: SparkSession, mart: str) -> DataFrame:
-    return _read_dim(spark, mart, "product_dim", PRODUCT_DIM)
+def read_product_dim(spark: SparkSession, mart: str, at: Current | None = None) -> DataFrame:
+    return _read_dim(spark, mart, "product_dim", PRODUCT_DIM, at)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallystar.functions.fingerprint import table_fingerprint
 from tallystar.operators.checks import require_unique
@@ -52,11 +52,9 @@ def newest_per_key(rows: DataFrame) -> DataFrame:
 
 def _rows_of(spark: SparkSession, long: DataFrame, accepted: Sequence[Row]) -> DataFrame:
     """Clean rows of the accepted files. The broadcast list has at most `max_files` rows."""
-    schema = T.StructType(
-        [T.StructField(SOURCE_FILE, T.StringType()), T.StructField(RANK, T.IntegerType())]
-    )
-    ranked = [(r["filename"], i) for i, r in enumerate(accepted)]
-    ranks = F.broadcast(spark.createDataFrame(ranked, schema))
+    names = [r["filename"] for r in accepted]
+    ranked = pa.table({SOURCE_FILE: names, RANK: pa.array(range(len(names)), pa.int32())})
+    ranks = F.broadcast(spark.createDataFrame(ranked))
     rows = clean(long, SOURCE).join(ranks, SOURCE_FILE)
     require_unique(rows, [RANK, "Date", "product_id"])
     return rows if len(accepted) == 1 else newest_per_key(rows)
@@ -81,6 +79,7 @@ def load_batch(
     written = write_snapshot(_rows_of(spark, long, accepted), f"{lake}/{snapshot}")
     append_manifest(spark, lake, snapshot, written)
     files = [(r["filename"], r["content_hash"]) for r in accepted]
+    files.append((snapshot, written["content_hash"]))
     load_rows(spark, read_snapshot(spark, f"{lake}/{snapshot}"), mart, files)
     return len(accepted)
 

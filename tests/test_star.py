@@ -106,7 +106,7 @@ def test_months_outside_the_source_survive(spark, home):
         (str(FEB), "P2"): (21, 21.0),
         (str(MAR), "P1"): (3, 3.0),
     }
-    loads = star.month_loads(spark, home)
+    loads = star.current(spark, home).months
     assert loads[201001] == loads[201003] < loads[201002]
 
 
