@@ -1,7 +1,7 @@
 """Sales files to a star schema and reports.
 
 Jobs: create the empty star, run the etl on a file or folder, ingest the new
-files of a folder, reload the newest snapshot, report on the star.
+files of a folder, reload the newest snapshot, report on the star, check its keys.
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.operators.checks import integrity
 from tallystar.plans.analysis import marts, write_marts
 from tallystar.plans.etl import reload_latest, run_etl
 from tallystar.session import build_session, shuffle_partitions
 from tallystar.sinks.star_tables import ensure_star
 from tallystar.sources.snapshots import list_files
-from tallystar.sources.star_tables import read_fact
+from tallystar.sources.star_tables import read_date_dim, read_fact, read_product_dim
 from tallystar.streaming.ingest import ingest_new_files
 
 
@@ -30,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
         "ingest": ["input", "lake", "mart"],
         "reload": ["lake", "mart"],
         "report": ["mart"],
+        "check": ["mart"],
     }
     for job, names in places.items():
         sub = jobs.add_parser(job)
@@ -84,6 +86,9 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "reload":
         print(reload_latest(spark, args.lake, args.mart))
+    elif args.job == "check":
+        star = [read(spark, args.mart) for read in (read_fact, read_date_dim, read_product_dim)]
+        integrity(*star).show(truncate=False)
     else:
         _report(spark, args)
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.schemas import DATE_KEYS, FACT_KEYS, PRODUCT_KEYS
+
 
 class DuplicateKeys(ValueError):
     """A load that holds the same key more than once."""
@@ -27,3 +29,36 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
 def orphans(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is missing from the dimension."""
     return df.join(dim.select(*keys), list(keys), "left_anti").select(*df.columns)
+
+
+def orphan_keys(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys missing from the dimension, with their number of rows.
+
+    The rows are counted per key before they meet the dimension, so a key that
+    holds a third of them is one row per task by then.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(dim.select(*keys), list(keys), "left_anti").select(*keys, "n")
+
+
+def _violations(name: str, found: DataFrame) -> DataFrame:
+    total = F.coalesce(F.sum("n"), F.lit(0)).alias("rows_affected")
+    keys = F.count(F.lit(1)).alias("keys_affected")
+    return found.agg(keys, total).select(
+        F.lit(name).alias("check_name"), "keys_affected", "rows_affected"
+    )
+
+
+def integrity(fact: DataFrame, dates: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per declared primary and foreign key of the star, with what breaks it."""
+    checks = [
+        _violations("sales_fact primary key", duplicate_keys(fact, FACT_KEYS)),
+        _violations("date_dim primary key", duplicate_keys(dates, DATE_KEYS)),
+        _violations("product_dim primary key", duplicate_keys(products, PRODUCT_KEYS)),
+        _violations("sales_fact date", orphan_keys(fact, dates, DATE_KEYS)),
+        _violations("sales_fact product", orphan_keys(fact, products, PRODUCT_KEYS)),
+    ]
+    result = checks[0]
+    for check in checks[1:]:
+        result = result.unionByName(check)
+    return result

@@ -164,13 +164,28 @@ def fact_orphans(spark, sf_dir):
     return checks.orphans(fact, F.broadcast(_dates_but_february(fact)), DATE_KEYS)
 
 
-def fact_orphans_lines(spark, sf_dir):
-    """Sales of parts that the dimension lacks: it is built from the parts of size up to 25."""
+def _small_parts(spark, sf_dir):
+    """A product dimension that lacks the parts of a size above 25."""
     parts = supplied.table(spark, sf_dir, "part").where(F.col("p_size") <= 25)
-    dim = parts.select(
+    return parts.select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_key")
     )
-    return checks.orphans(supplied.line_fact(spark, sf_dir), dim, PRODUCT_KEYS)
+
+
+def fact_orphans_lines(spark, sf_dir):
+    fact = supplied.line_fact(spark, sf_dir)
+    return checks.orphans(fact, _small_parts(spark, sf_dir), PRODUCT_KEYS)
+
+
+def orphan_products(spark, sf_dir):
+    fact = supplied.line_fact(spark, sf_dir)
+    return checks.orphan_keys(fact, _small_parts(spark, sf_dir), PRODUCT_KEYS)
+
+
+def star_integrity(spark, sf_dir):
+    """All key checks over the lines, with both dimensions incomplete."""
+    fact = supplied.line_fact(spark, sf_dir)
+    return checks.integrity(fact, _dates_but_february(fact), _small_parts(spark, sf_dir))
 
 
 # Files
@@ -353,8 +368,8 @@ def _old_and_new(spark, sf_dir):
     )
     dated = wide.withColumn("d", day)
     old = dated.where(_is_target("d"))
-    for product in supplied.PRODUCTS:
-        units = f"{UNITS_PREFIX}{product}"
+    for number in supplied.PRODUCTS:
+        units = f"{UNITS_PREFIX}P{number}"
         old = old.withColumn(units, F.col(f"`{units}`") - 1)
     return old.drop("d"), dated.where(_is_source("d")).drop("d")
 
@@ -397,6 +412,8 @@ QUERIES: dict[str, Query] = {
     "fact_duplicate_keys": fact_duplicate_keys,
     "fact_orphans": fact_orphans,
     "fact_orphans_lines": fact_orphans_lines,
+    "orphan_products": orphan_products,
+    "star_integrity": star_integrity,
     "unprocessed_files": unprocessed_files,
     "latest_snapshot": latest_snapshot,
     "known_content": known_content,

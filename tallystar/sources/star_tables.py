@@ -100,3 +100,12 @@ def read_date_dim(spark: SparkSession, mart: str, at: Current | None = None) ->
 
 def read_product_dim(spark: SparkSession, mart: str, at: Current | None = None) -> DataFrame:
     return _read_dim(spark, mart, "product_dim", PRODUCT_DIM, at)
+
+
+def register_views(spark: SparkSession, mart: str) -> None:
+    """The star under its table names, for spark.sql; call again to see a later load."""
+    at = current(spark, mart)
+    read_fact(spark, mart, at=at).createOrReplaceTempView("sales_fact")
+    read_date_dim(spark, mart, at).createOrReplaceTempView("date_dim")
+    read_product_dim(spark, mart, at).createOrReplaceTempView("product_dim")
+    read_ledger(spark, mart).createOrReplaceTempView(LEDGER)

@@ -3,8 +3,8 @@
 Three shapes come out of `lineitem`, each over the whole table:
 
 * `wide_daily`   one wide row per ship day, four products (the part key's
-  remainder by four names the product, so every line belongs to one of them);
-* `wide_brands`  the same with one product per brand;
+  remainder by four names the product, so every line belongs to one of them),
+* `wide_brands`  the same with one product per brand,
 * `wide_lines`   one wide row per line, so that it grows with the table.
 
 `line_fact` and `keyed_fact` are fact tables with one product per part.
@@ -16,19 +16,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.numbers import exact_sum
-from tallystar.schemas import DATE_COLUMN, REVENUE_PREFIX, UNITS_PREFIX
+from tallystar.schemas import (
+    DATE_COLUMN,
+    REVENUE_PREFIX,
+    SNAPSHOT_FOLDER,
+    SNAPSHOT_PREFIX,
+    UNITS_PREFIX,
+)
 
-# The four products and the 25 brands of the supplied parts.
-PRODUCTS = ["P1", "P2", "P3", "P4"]
-BRANDS = [f"P{n}" for n in range(1, 26)]
+# The numbers of the four products, and of the 25 brands of the parts.
+PRODUCTS = [1, 2, 3, 4]
+BRANDS = list(range(1, 26))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _slot(partkey: Column) -> Column:
-    return F.concat(F.lit("P"), (partkey % 4 + 1).cast("string"))
+def _product_number() -> Column:
+    """One of four for every part, so that no line is left out."""
+    return F.col("partkey") % len(PRODUCTS) + 1
 
 
 def date_text(date: Column) -> Column:
@@ -47,41 +54,40 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _wide(sales: DataFrame, products: list[str]) -> DataFrame:
+def _wide(sales: DataFrame, numbers: list[int]) -> DataFrame:
     """Added up per day and product first, so only those totals are pivoted."""
-    daily = sales.groupBy("d", "product").agg(
+    daily = sales.groupBy("d", "number").agg(
         F.sum("units").cast("int").alias("units"), exact_sum(F.col("revenue")).alias("revenue")
     )
     pivoted = (
         daily.groupBy("d")
-        .pivot("product", products)
+        .pivot("number", numbers)
         .agg(F.first("units").alias("units"), F.first("revenue").alias("revenue"))
     )
     return pivoted.select(
         date_text(F.col("d")).alias(DATE_COLUMN),
-        *[F.col(f"{p}_units").alias(f"{UNITS_PREFIX}{p}") for p in products],
-        *[F.col(f"{p}_revenue").alias(f"{REVENUE_PREFIX}{p}") for p in products],
+        *[F.col(f"{n}_units").alias(f"{UNITS_PREFIX}P{n}") for n in numbers],
+        *[F.col(f"{n}_revenue").alias(f"{REVENUE_PREFIX}P{n}") for n in numbers],
     )
 
 
 def wide_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = lines(spark, sf_dir).withColumn("product", _slot(F.col("partkey")))
-    return _wide(sales, PRODUCTS)
+    return _wide(lines(spark, sf_dir).withColumn("number", _product_number()), PRODUCTS)
 
 
 def wide_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    brand = F.concat(F.lit("P"), F.substring_index("p_brand", "#", -1)).alias("product")
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"), brand)
+    number = F.substring_index("p_brand", "#", -1).cast("int").alias("number")
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"), number)
     return _wide(lines(spark, sf_dir).join(parts, "partkey"), BRANDS)
 
 
 def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = lines(spark, sf_dir).withColumn("product", _slot(F.col("partkey")))
-    here = {p: F.col("product") == p for p in PRODUCTS}
+    sales = lines(spark, sf_dir).withColumn("number", _product_number())
+    here = {n: F.col("number") == n for n in PRODUCTS}
     return sales.select(
         date_text(F.col("d")).alias(DATE_COLUMN),
-        *[F.when(here[p], F.col("units")).alias(f"{UNITS_PREFIX}{p}") for p in PRODUCTS],
-        *[F.when(here[p], F.col("revenue")).alias(f"{REVENUE_PREFIX}{p}") for p in PRODUCTS],
+        *[F.when(here[n], F.col("units")).alias(f"{UNITS_PREFIX}P{n}") for n in PRODUCTS],
+        *[F.when(here[n], F.col("revenue")).alias(f"{REVENUE_PREFIX}P{n}") for n in PRODUCTS],
     )
 
 
@@ -115,7 +121,9 @@ def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as an upload at its time: `filename, modified, event_type`."""
     stamp = F.translate(F.substring(F.col("ts").cast("string"), 1, 19), " -:", "_")
     return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("processed_data/output_"), stamp, F.lit(".csv")).alias("filename"),
+        F.concat(
+            F.lit(f"{SNAPSHOT_FOLDER}/{SNAPSHOT_PREFIX}"), stamp, F.lit(".csv")
+        ).alias("filename"),
         F.col("ts").alias("modified"),
         "event_type",
     )

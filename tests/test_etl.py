@@ -211,3 +211,22 @@ def test_unreadable_staging_rows_are_counted_and_stop_the_load(spark, home):
     with pytest.raises(ValueError, match="cannot be read"):
         etl.load_star(spark, "s.csv", f"{home}/lake", f"{home}/mart", fmt="csv")
     assert star.read_ledger(spark, f"{home}/mart").count() == 0
+
+
+@pytest.mark.parametrize("rows", [[], [("junk", 1, 1.0, 2, 2.0)]])
+def test_a_file_without_usable_rows_is_loaded_as_empty(spark, home, rows):
+    write_file(f"{home}/data", "a.csv", rows)
+    result = run(spark, home, "a.csv")
+    assert (result.status, result.counts["rows_out"]) == (LOADED, 0)
+    assert fact(spark, home) == {}
+    assert star.read_manifest(spark, f"{home}/lake").first()["min_date"] is None
+    write_file(f"{home}/data", "b.csv", ROWS)
+    run(spark, home, "b.csv")
+    assert fact(spark, home) == EXPECTED
+
+
+def test_a_short_row_is_counted_and_dropped(spark, home):
+    write_file(f"{home}/data", "a.csv", [ROWS[0], ("14-06-2010", 4)])
+    result = run(spark, home, "a.csv")
+    assert (result.counts["rows_in"], result.counts["rows_out"]) == (4, 2)
+    assert result.counts["bad_revenue"] == 2

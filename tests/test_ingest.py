@@ -102,3 +102,18 @@ def test_content_that_the_batch_job_loaded_is_skipped(spark, home):
     before = star.read_ledger(spark, f"{home}/mart").count()
     run(spark, home)
     assert star.read_ledger(spark, f"{home}/mart").count() == before
+
+
+def test_files_outside_the_glob_are_left_alone(spark, home):
+    write_file(f"{home}/data", "a.csv", A)
+    write_file(f"{home}/data", "notes.txt", B, header="free text\n")
+    run(spark, home, glob="*.csv")
+    assert ledger(spark, home) == ["a.csv"]
+
+
+def test_an_empty_file_does_not_disturb_a_batch(spark, home):
+    write_file(f"{home}/data", "a.csv", A, modified=1_600_000_000)
+    write_file(f"{home}/data", "b.csv", [], modified=1_600_000_001)
+    write_file(f"{home}/data", "c.csv", [("junk", 1, 1, 1, 1)], modified=1_600_000_002)
+    run(spark, home)
+    assert len(fact(spark, home)) == 4

@@ -21,5 +21,7 @@ def test_jobs_in_turn(spark, home, capsys):
     assert len(facts(star.read_fact(spark, mart))) == 4
     main(["report", "--mart", mart])
     assert "avg_revenue" in capsys.readouterr().out
+    main(["check", "--mart", mart])
+    assert "product_dim primary key" in capsys.readouterr().out
     main(["report", "--mart", mart, "--output", f"{home}/out"])
     assert spark.read.parquet(f"{home}/out/top_products").count() == 2

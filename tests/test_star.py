@@ -6,7 +6,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sales_files import facts
-from tallystar.operators.checks import DuplicateKeys, duplicate_keys, orphans, require_unique
+from tallystar.operators.checks import (
+    DuplicateKeys,
+    duplicate_keys,
+    integrity,
+    orphan_keys,
+    orphans,
+    require_unique,
+)
 from tallystar.operators.dimensions import product_dim
 from tallystar.operators.merge import merge
 from tallystar.plans.analysis import marts, write_marts
@@ -73,6 +80,8 @@ def test_orphans(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "x int, y string")
     dim = spark.createDataFrame([(1, "one")], "x int, name string")
     assert {r["y"] for r in orphans(df, dim, ["x"]).collect()} == {"b", "c"}
+    missing = orphan_keys(df.union(df), dim, ["x"])
+    assert {tuple(r) for r in missing.collect()} == {(2, 2), (None, 2)}
 
 
 def test_labels_of_long_product_keys(spark):
@@ -226,3 +235,25 @@ def test_marts(spark, home):
     write_marts(df, home)
     stored = spark.read.parquet(f"{home}/total_sales_by_product")
     assert {tuple(r) for r in stored.collect()} == set(found["total_sales_by_product"])
+
+
+def test_views_and_integrity(spark, home):
+    load(spark, home, {(JAN, "P1"): (1, 1.5), (FEB, "P2"): (2, 2.5)})
+    star.register_views(spark, home)
+    joined = spark.sql(
+        "SELECT month, product_name, total_units_sold FROM sales_fact "
+        "JOIN date_dim USING (date_key) JOIN product_dim USING (product_key) ORDER BY month"
+    )
+    assert [tuple(r) for r in joined.collect()] == [(1, "Product 1", 1), (2, "Product 2", 2)]
+    assert spark.table("processed_files").count() == 1
+    tables = [spark.table(t) for t in ("sales_fact", "date_dim", "product_dim")]
+    found = integrity(*tables).collect()
+    assert len(found) == 5 and not any(r["rows_affected"] for r in found)
+    broken = integrity(tables[0].union(tables[0]), tables[1].limit(0), tables[2])
+    assert {r["check_name"]: (r["keys_affected"], r["rows_affected"]) for r in broken.collect()} == {
+        "sales_fact primary key": (2, 4),
+        "date_dim primary key": (0, 0),
+        "product_dim primary key": (0, 0),
+        "sales_fact date": (2, 4),
+        "sales_fact product": (0, 0),
+    }
