@@ -37,9 +37,30 @@ def _common_type(types: Sequence[T.DataType]) -> T.DataType:
     return T.DoubleType()
 
 
-def _same_type(wide: DataFrame, prefix: str, products: Sequence[str]) -> list[Column]:
-    target = _common_type([wide.schema[prefix + p].dataType for p in products])
-    return [F.col(f"`{prefix}{p}`").cast(target) for p in products]
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _same_type(schema: T.StructType, prefix: str, products: Sequence[str]) -> list[str]:
+    types = [schema[prefix + p].dataType for p in products]
+    target = _common_type(types)
+    columns = [_quoted(prefix + p) for p in products]
+    return [
+        c if t == target else f"CAST({c} AS {target.simpleString()})"
+        for c, t in zip(columns, types)
+    ]
+
+
+def _stack(schema: T.StructType, products: Sequence[str]) -> Column:
+    """One expression text: hundreds of products cost no call into the JVM each."""
+    units = _same_type(schema, UNITS_PREFIX, products)
+    revenue = _same_type(schema, REVENUE_PREFIX, products)
+    cells = [f"{_text(p)}, {u}, {r}" for p, u, r in zip(products, units, revenue)]
+    return F.expr(f"stack({len(products)}, {', '.join(cells)})")
 
 
 def to_long(
@@ -56,10 +77,7 @@ def to_long(
         date = parse_date(F.col(DATE_COLUMN), extra_formats)
     else:
         date = F.col(DATE_COLUMN).cast("date")
-    units = _same_type(wide, UNITS_PREFIX, products)
-    revenue = _same_type(wide, REVENUE_PREFIX, products)
-    cells = [c for p, u, r in zip(products, units, revenue) for c in (F.lit(p), u, r)]
-    rows = F.stack(F.lit(len(products)), *cells)
+    rows = _stack(wide.schema, products)
     dated = wide.withColumn("date", date) if DATE_COLUMN != "date" else wide
     return dated.select(
         *carry,

@@ -20,6 +20,10 @@ LOADED = "loaded"
 SKIPPED = "skipped"
 
 
+class ConcurrentLoad(RuntimeError):
+    """Two loads ran at once; the later one has not seen the rows of the other."""
+
+
 def touched_months(cleaned: DataFrame) -> list[int]:
     """The months of a snapshot: one small row per calendar month, whatever its size."""
     months = cleaned.select(year_month(F.col("Date")).alias("ym")).distinct()
@@ -47,6 +51,8 @@ def load_rows(
     sink.write_dim(products, mart, "product_dim", load)
     target = star.read_fact(spark, mart, months, at)
     sink.write_fact(merge(target, source, FACT_KEYS), mart, load)
+    if star.current(spark, mart).last != at.last:
+        raise ConcurrentLoad(f"another load of {mart} was committed meanwhile; run again")
     sink.commit_load(spark, mart, files, load, months)
 
 

@@ -1,8 +1,12 @@
+from datetime import date
+
 import pytest
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sales_files import facts, write_file
 from tallystar.plans.etl import reload_latest, run_etl
 from tallystar.plans.load import SKIPPED
+from tallystar.schemas import CLEAN
 from tallystar.sources import star_tables as star
 from tallystar.streaming import ingest
 from tallystar.streaming.ingest import ingest_new_files
@@ -64,8 +68,11 @@ def test_copies_within_a_batch_are_loaded_once(spark, home):
     assert len(fact(spark, home)) == 4
 
 
-def test_duplicate_keys_within_one_file_stop_the_stream(spark, home):
+@pytest.mark.parametrize("others", [[], [B]])
+def test_duplicate_keys_within_one_file_stop_the_stream(spark, home, others):
     write_file(f"{home}/data", "a.csv", [A[0], A[0]])
+    for i, rows in enumerate(others):
+        write_file(f"{home}/data", f"{i}.csv", rows)
     with pytest.raises(Exception, match="not unique"):
         run(spark, home)
     assert star.read_ledger(spark, f"{home}/mart").count() == 0
@@ -117,3 +124,15 @@ def test_an_empty_file_does_not_disturb_a_batch(spark, home):
     write_file(f"{home}/data", "c.csv", [("junk", 1, 1, 1, 1)], modified=1_600_000_002)
     run(spark, home)
     assert len(fact(spark, home)) == 4
+
+
+def test_one_shuffle_picks_the_newest_rows(spark):
+    rows = spark.createDataFrame(
+        [(date(2010, 1, 1), 2010, 1, 1, "P1", u, float(u), u) for u in (3, 1, 2)],
+        StructType([*CLEAN.fields, StructField(ingest.RANK, IntegerType())]),
+    )
+    newest = ingest.newest_per_key(rows)
+    assert [tuple(r)[-2:] for r in newest.collect()] == [(3, 3.0)]
+    plan = newest._jdf.queryExecution().sparkPlan().toString()
+    final = newest._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1, plan

@@ -65,6 +65,13 @@ def test_mixed_cell_types_are_widened(spark):
     assert [r["total_revenue"] for r in long.collect()] == [1.0, 2.5]
 
 
+@pytest.mark.parametrize("name", ["P'1", 'P"1', "P`1", "P\\1", "P.1", "P 1", "é"])
+def test_any_product_name(spark, name):
+    columns = ["Date", f"Q-{name}", f"S-{name}"]
+    df = spark.createDataFrame([("13-06-2010", "1", "2.5")], columns)
+    assert tuple(to_long(df).first())[4:] == (name, "1", "2.5")
+
+
 def test_a_column_that_is_a_date_already_is_kept(spark):
     df = wide(spark, ("x", "1", "2", "3", "4")).withColumn("Date", F.lit(date(2011, 1, 2)))
     assert {r["date"] for r in to_long(df).collect()} == {date(2011, 1, 2)}

@@ -17,7 +17,7 @@ from tallystar.operators.checks import (
 from tallystar.operators.dimensions import product_dim
 from tallystar.operators.merge import merge
 from tallystar.plans.analysis import marts, write_marts
-from tallystar.plans.load import LOADED, SKIPPED, load_rows, load_star
+from tallystar.plans.load import LOADED, SKIPPED, ConcurrentLoad, load_rows, load_star
 from tallystar.schemas import CLEAN, FACT_KEYS, SALES_FACT
 from tallystar.sinks import star_tables as sink
 from tallystar.sinks.snapshots import write_snapshot
@@ -178,6 +178,23 @@ def test_a_load_that_dies_is_invisible_and_can_be_repeated(spark, home, monkeypa
     }
 
 
+def test_a_load_that_another_one_overtook_is_refused(spark, home, monkeypatch):
+    load(spark, home, {(JAN, "P1"): (1, 1.0)}, "a")
+    real = sink.write_fact
+
+    def overtaken(*args):
+        monkeypatch.undo()
+        load(spark, home, {(JAN, "P2"): (2, 2.0)}, "other")
+        real(*args)
+
+    monkeypatch.setattr(sink, "write_fact", overtaken)
+    with pytest.raises(ConcurrentLoad):
+        load(spark, home, {(JAN, "P3"): (3, 3.0)}, "b")
+    assert {k[1] for k in facts(star.read_fact(spark, home))} == {"P1", "P2"}
+    load(spark, home, {(JAN, "P3"): (3, 3.0)}, "b")
+    assert {k[1] for k in facts(star.read_fact(spark, home))} == {"P1", "P2", "P3"}
+
+
 def test_a_reader_keeps_its_version_during_a_load(spark, home):
     load(spark, home, {(JAN, "P1"): (1, 1.0)}, "a")
     before = star.read_fact(spark, home)
