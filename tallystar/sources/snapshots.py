@@ -11,6 +11,7 @@ from tallystar.functions.numbers import parse_double, parse_int
 from tallystar.operators.clean import is_complete
 from tallystar.operators.membership import latest
 from tallystar.schemas import CLEAN, SNAPSHOT_FOLDER, SNAPSHOT_PREFIX, STAGING
+from tallystar.sources.star_tables import read_manifest
 
 CORRUPT = "_corrupt"
 
@@ -24,21 +25,32 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
 
 
 def list_snapshots(spark: SparkSession, lake: str) -> DataFrame:
-    """`snapshot, modified, bytes` per snapshot: a folder of part files, or one file."""
+    """`snapshot, modified, bytes, is_file` per snapshot: a folder of part files, or one file."""
     name = F.regexp_extract(
         F.col("path"), f"({SNAPSHOT_FOLDER}/{SNAPSHOT_PREFIX}[^/]*)", 1
     ).alias("snapshot")
     files = list_files(spark, f"{lake}/{SNAPSHOT_FOLDER}")
     return (
-        files.select(name, "modificationTime", "length")
+        files.select(name, "path", "modificationTime", "length")
         .where(F.col("snapshot") != "")
         .groupBy("snapshot")
-        .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"))
+        .agg(
+            F.max("modificationTime").alias("modified"),
+            F.sum("length").alias("bytes"),
+            F.bool_or(F.endswith("path", "snapshot")).alias("is_file"),
+        )
     )
 
 
 def latest_snapshot(spark: SparkSession, lake: str) -> str | None:
-    row = latest(list_snapshots(spark, lake), "modified", "snapshot").first()
+    """The newest complete snapshot: a single file, or a folder that the manifest lists.
+
+    A folder without a manifest row is what a run left that died while writing.
+    """
+    listed = read_manifest(spark, lake).select("snapshot", F.lit(True).alias("complete"))
+    found = list_snapshots(spark, lake).join(listed.distinct(), "snapshot", "left")
+    complete = found.where(F.col("is_file") | F.col("complete"))
+    row = latest(complete, "modified", "snapshot").first()
     return row["snapshot"] if row else None
 
 

@@ -166,6 +166,32 @@ def test_reload_latest(spark, home):
     }
 
 
+def test_a_half_written_snapshot_is_not_the_latest(spark, home, monkeypatch):
+    write_file(f"{home}/data", "a.csv", ROWS)
+    write_file(f"{home}/data", "b.csv", [("13-06-2011", 1, 1.5, 2, 2.5)])
+    first = run(spark, home, "a.csv")
+
+    def dies(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(etl, "append_manifest", dies)
+        with pytest.raises(OSError):
+            run(spark, home, "b.csv")
+    assert list_snapshots(spark, f"{home}/lake").count() == 2
+    assert latest_snapshot(spark, f"{home}/lake") == first.snapshot
+
+
+def test_a_single_file_put_into_the_lake_is_a_snapshot(spark, home):
+    folder = f"{home}/lake/processed_data"
+    os.makedirs(folder)
+    with open(f"{folder}/output_20240101_000000.csv", "w") as out:
+        out.write(STAGED + "2010-06-13,2010,6,13,P1,5,2.5\n")
+    assert reload_latest(spark, f"{home}/lake", f"{home}/mart") == LOADED
+    assert fact(spark, home) == {("2010-06-13", "P1"): (5, 2.5)}
+    assert reload_latest(spark, f"{home}/lake", f"{home}/mart") == SKIPPED
+
+
 def test_listing_reads_no_content(spark, home):
     write_file(f"{home}/data", "a.csv", ROWS)
     write_file(f"{home}/data/sub", "b.txt", ROWS)
