@@ -66,5 +66,7 @@ def stream_wide(
 ) -> DataFrame:
     """The same over new files of a folder, at most `max_files` per batch, oldest first."""
     reader: DataStreamReader = _options(spark.readStream, schema, glob)
-    reader = reader.option("maxFilesPerTrigger", max_files)
+    # By default a stream ignores a file that is a week older than the newest one
+    # it has seen; a delivery that comes late must still be loaded.
+    reader = reader.option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
     return _select(reader.csv(path), schema, with_source=True)

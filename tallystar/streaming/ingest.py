@@ -43,19 +43,16 @@ def accepted_files(profiles: DataFrame, ledger: DataFrame) -> DataFrame:
 def newest_per_key(rows: DataFrame) -> DataFrame:
     """Per date and product the row of the file with the highest rank, as if loaded in turn.
 
-    One shuffle by key serves both steps: rows are first counted per key and
-    file, where a second row of the same file fails the job, then the newest
-    file is picked.
+    Rows are first counted per key and file, where a second row of the same file
+    fails the job, then the newest file is picked. Both steps combine rows before
+    they shuffle, so a key that a broken file repeats without end costs no more
+    than any other.
     """
     keys = [c for c in CLEAN.fieldNames() if not c.startswith("Total_")]
-    per_file = (
-        rows.repartition(*keys)
-        .groupBy(*keys, RANK)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.first("Total_Units_Sold").alias("Total_Units_Sold"),
-            F.first("Total_Revenue").alias("Total_Revenue"),
-        )
+    per_file = rows.groupBy(*keys, RANK).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.first("Total_Units_Sold").alias("Total_Units_Sold"),
+        F.first("Total_Revenue").alias("Total_Revenue"),
     )
     repeated = F.raise_error(
         F.concat(F.lit("not unique within a file: "), F.col("Date"), F.lit(" "), F.col("product_id"))
@@ -72,11 +69,14 @@ def newest_per_key(rows: DataFrame) -> DataFrame:
 
 
 def _rows_of(spark: SparkSession, long: DataFrame, accepted: Sequence[Row]) -> DataFrame:
-    """Clean rows of the accepted files. The broadcast list has at most `max_files` rows."""
+    """Clean rows of the accepted files, with the place of their file in the order of arrival.
+
+    The list of files is a local table of known size, so Spark broadcasts it if
+    it is small and otherwise joins by shuffle, splitting a file that is too large.
+    """
     names = [r["filename"] for r in accepted]
     ranked = pa.table({SOURCE_FILE: names, RANK: pa.array(range(len(names)), pa.int32())})
-    ranks = F.broadcast(spark.createDataFrame(ranked))
-    rows = clean(long, SOURCE).join(ranks, SOURCE_FILE)
+    rows = clean(long, SOURCE).join(spark.createDataFrame(ranked), SOURCE_FILE)
     # The load of a snapshot checks the keys of a single file itself.
     return rows if len(accepted) == 1 else newest_per_key(rows)
 
@@ -117,8 +117,8 @@ def ingest_new_files(
 ) -> None:
     """Loads all files that are new since the last call, then returns.
 
-    `max_files` bounds a batch: what a batch keeps per file, on the driver and
-    in the broadcast list above, grows with the files and not with their rows.
+    `max_files` bounds a batch: what it keeps on the driver is one row per file,
+    whatever the size of the files.
     """
     schema = header_schema(spark, in_folder, glob)
     stream = stream_wide(spark, in_folder, schema, max_files, glob)
