@@ -30,12 +30,13 @@ def table_fingerprint(columns: Sequence[str], keep: Column | None = None) -> Col
     longs: no lane sum can overflow below 2**42 rows and all of it is combined
     map-side. `keep` restricts it to the rows for which the condition holds.
     """
-    parts = [F.count(F.lit(1)) if keep is None else F.count(F.when(keep, F.lit(1)))]
+    parts = [F.count(F.lit(1)) if keep is None else F.count_if(keep)]
     mask = F.lit(2**LANE_BITS - 1)
     for seed in SEEDS:
         row = F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
+        if keep is not None:
+            row = F.when(keep, row)
         for lane in range(LANES):
             value = F.shiftrightunsigned(row, lane * LANE_BITS).bitwiseAND(mask)
-            total = F.sum(value if keep is None else F.when(keep, value))
-            parts.append(F.coalesce(total, F.lit(0)))
+            parts.append(F.coalesce(F.sum(value), F.lit(0)))
     return F.md5(F.concat_ws(",", *[p.cast("string") for p in parts]).cast("binary"))
