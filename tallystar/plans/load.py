@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.dates import year_month
+from tallystar.functions.fingerprint import table_fingerprint
 from tallystar.operators import dimensions
 from tallystar.operators.checks import require_unique
 from tallystar.operators.merge import merge
-from tallystar.schemas import DATE_KEYS, FACT_KEYS, PRODUCT_KEYS
+from tallystar.schemas import CLEAN, DATE_KEYS, FACT_KEYS, PRODUCT_KEYS
 from tallystar.sinks import star_tables as sink
 from tallystar.sources import star_tables as star
 from tallystar.sources.snapshots import read_snapshot, require_readable
@@ -24,10 +25,24 @@ class ConcurrentLoad(RuntimeError):
     """Two loads ran at once; the later one has not seen the rows of the other."""
 
 
-def touched_months(cleaned: DataFrame) -> list[int]:
-    """The months of a snapshot: one small row per calendar month, whatever its size."""
-    months = cleaned.select(year_month(F.col("Date")).alias("ym")).distinct()
-    return sorted(r["ym"] for r in months.collect())
+def month_hashes(cleaned: DataFrame) -> dict[int, str]:
+    """The months of a snapshot with a fingerprint of their rows.
+
+    One small row per calendar month, whatever the size of the snapshot.
+    """
+    months = cleaned.groupBy(year_month(F.col("Date")).alias("ym")).agg(
+        table_fingerprint(CLEAN.fieldNames()).alias("source_hash")
+    )
+    return {r["ym"]: r["source_hash"] for r in months.collect()}
+
+
+def only_months(cleaned: DataFrame, months: Iterable[int]) -> DataFrame:
+    """The rows of some months. The plain date range reaches the scan, the rest filters."""
+    ordered = sorted(months)
+    first, last = (F.lit(f"{m // 100:04d}-{m % 100:02d}-01") for m in (ordered[0], ordered[-1]))
+    day = F.col("Date")
+    in_range = (day >= first.cast("date")) & (day <= F.last_day(last.cast("date")))
+    return cleaned.where(in_range & year_month(day).isin(ordered))
 
 
 def load_rows(
@@ -35,25 +50,33 @@ def load_rows(
 ) -> None:
     """Merges clean rows into the star and commits them under the names in `files`.
 
+    A month for which the source holds the very rows that its last load was
+    given is left alone, since merging them again would change nothing. So a
+    file that repeats all history and adds a day costs one month.
+
     Order: dimensions, fact, ledger. Nothing is visible before the ledger row, so
     a load that fails anywhere can simply be run again.
     """
-    source = dimensions.sales_fact(cleaned)
-    require_unique(source, FACT_KEYS)
-    months = touched_months(cleaned)
-    load = sink.new_load_id()
     at = star.current(spark, mart)
+    found = month_hashes(cleaned)
+    known = {ym: month.source_hash for ym, month in at.months.items()}
+    changed = {ym: h for ym, h in found.items() if known.get(ym) != h}
+    load = sink.new_load_id()
+    if changed:
+        source = dimensions.sales_fact(only_months(cleaned, changed))
+        require_unique(source, FACT_KEYS)
     dates = merge(star.read_date_dim(spark, mart, at), dimensions.date_dim(cleaned), DATE_KEYS)
     sink.write_dim(dates, mart, "date_dim", load)
     products = merge(
         star.read_product_dim(spark, mart, at), dimensions.product_dim(cleaned), PRODUCT_KEYS
     )
     sink.write_dim(products, mart, "product_dim", load)
-    target = star.read_fact(spark, mart, months, at)
-    sink.write_fact(merge(target, source, FACT_KEYS), mart, load)
+    if changed:
+        target = star.read_fact(spark, mart, changed, at)
+        sink.write_fact(merge(target, source, FACT_KEYS), mart, load)
     if star.current(spark, mart).last != at.last:
         raise ConcurrentLoad(f"another load of {mart} was committed meanwhile; run again")
-    sink.commit_load(spark, mart, files, load, months)
+    sink.commit_load(spark, mart, files, load, changed)
 
 
 def load_star(

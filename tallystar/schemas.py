@@ -65,15 +65,20 @@ SALES_FACT = T.StructType(
     ]
 )
 
-# One row per loaded file. `content_hash`, `load` and `months` are what make the
-# ledger row the commit of a load; see sinks/star_tables.py.
+# A month that a load wrote, with the fingerprint of the rows it was given for it.
+MONTH = T.StructType(
+    [T.StructField("ym", T.IntegerType()), T.StructField("source_hash", T.StringType())]
+)
+
+# One row per loaded file. `load` and `months` are what make the ledger row the
+# commit of a load; see sources/star_tables.py.
 PROCESSED_FILES = T.StructType(
     [
         T.StructField("filename", T.StringType()),
         T.StructField("processed_at", T.TimestampNTZType()),
         T.StructField("content_hash", T.StringType()),
         T.StructField("load", T.StringType()),
-        T.StructField("months", T.ArrayType(T.IntegerType())),
+        T.StructField("months", T.ArrayType(MONTH)),
     ]
 )
 

@@ -55,19 +55,30 @@ def commit_load(
     mart: str,
     files: Iterable[tuple[str, str]],
     load: str,
-    months: Iterable[int],
+    months: dict[int, str],
 ) -> None:
-    """Appends the ledger rows, in one file, for `files` of (name, content hash)."""
+    """Appends the ledger rows of a load, in one file.
+
+    `files` are (name, content hash); `months` maps each written month to the
+    fingerprint of its source rows and is kept with the first of them.
+    """
     names, hashes = zip(*files)
-    schema = pa.schema([("filename", pa.string()), ("content_hash", pa.string())])
-    rows = (
-        spark.createDataFrame(pa.table([names, hashes], schema=schema))
+    written = [{"ym": ym, "source_hash": h} for ym, h in sorted(months.items())]
+    month = pa.struct([("ym", pa.int32()), ("source_hash", pa.string())])
+    rows = pa.table(
+        {
+            "filename": pa.array(names, pa.string()),
+            "content_hash": pa.array(hashes, pa.string()),
+            "months": pa.array([written] + [[]] * (len(names) - 1), pa.list_(month)),
+        }
+    )
+    ledger = (
+        spark.createDataFrame(rows)
         .withColumn("processed_at", F.localtimestamp())
         .withColumn("load", F.lit(load))
-        .withColumn("months", F.array(*[F.lit(m) for m in months]).cast("array<int>"))
     )
     (
-        rows.select(*PROCESSED_FILES.fieldNames())
+        ledger.select(*PROCESSED_FILES.fieldNames())
         .coalesce(1)
         .write.mode("append")
         .parquet(f"{mart}/{LEDGER}")

@@ -50,11 +50,19 @@ def read_manifest(spark: SparkSession, lake: str) -> DataFrame:
     return read_or_empty(spark, f"{lake}/manifest", MANIFEST)
 
 
+@dataclass(frozen=True)
+class Month:
+    """The load that wrote a month, and the fingerprint of the rows it was given for it."""
+
+    load: str
+    source_hash: str
+
+
 @dataclass(frozen=True)
 class Current:
-    """What the ledger says is current: the load of each month, and the last load."""
+    """What the ledger says is current: each month, and the last load."""
 
-    months: dict[int, str]
+    months: dict[int, Month]
     last: str | None
 
 
@@ -63,10 +71,11 @@ def current(spark: SparkSession, mart: str) -> Current:
 
     Load ids sort by the time of the load, so the newest is the greatest.
     """
-    listed = read_ledger(spark, mart).select("load", F.explode_outer("months").alias("ym"))
-    rows = listed.groupBy("ym").agg(F.max("load").alias("load")).collect()
-    months = {r["ym"]: r["load"] for r in rows if r["ym"] is not None}
-    return Current(months, max((r["load"] for r in rows), default=None))
+    listed = read_ledger(spark, mart).select("load", F.explode_outer("months").alias("m"))
+    newest = F.max(F.struct("load", "m.source_hash")).alias("newest")
+    rows = listed.groupBy("m.ym").agg(newest).collect()
+    months = {r["ym"]: Month(*r["newest"]) for r in rows if r["ym"] is not None}
+    return Current(months, max((r["newest"]["load"] for r in rows), default=None))
 
 
 def read_fact(
@@ -76,12 +85,12 @@ def read_fact(
     at: Current | None = None,
 ) -> DataFrame:
     """The fact table, or only some of its months; other months are not even listed."""
-    loads = (at or current(spark, mart)).months
-    wanted = loads if months is None else {m: loads[m] for m in months if m in loads}
+    known = (at or current(spark, mart)).months
+    wanted = known if months is None else {m: known[m] for m in months if m in known}
     if not wanted:
         return empty(spark, SALES_FACT)
     base = f"{mart}/sales_fact"
-    paths = [f"{base}/load={load}/ym={ym}" for ym, load in sorted(wanted.items())]
+    paths = [f"{base}/load={month.load}/ym={ym}" for ym, month in sorted(wanted.items())]
     return spark.read.schema(SALES_FACT).parquet(*paths)
 
 

@@ -17,7 +17,14 @@ from tallystar.operators.checks import (
 from tallystar.operators.dimensions import product_dim
 from tallystar.operators.merge import merge
 from tallystar.plans.analysis import marts, write_marts
-from tallystar.plans.load import LOADED, SKIPPED, ConcurrentLoad, load_rows, load_star
+from tallystar.plans.load import (
+    LOADED,
+    SKIPPED,
+    ConcurrentLoad,
+    load_rows,
+    load_star,
+    only_months,
+)
 from tallystar.schemas import CLEAN, FACT_KEYS, SALES_FACT
 from tallystar.sinks import star_tables as sink
 from tallystar.sinks.snapshots import write_snapshot
@@ -106,6 +113,10 @@ def load(spark, home, rows, name="f"):
     load_rows(spark, cleaned(spark, rows), home, [(name, "h")])
 
 
+def loads(spark, home):
+    return {ym: month.load for ym, month in star.current(spark, home).months.items()}
+
+
 def test_months_outside_the_source_survive(spark, home):
     load(spark, home, {(JAN, "P1"): (1, 1.0), (FEB, "P1"): (2, 2.0), (MAR, "P1"): (3, 3.0)}, "a")
     load(spark, home, {(FEB, "P1"): (20, 20.0), (FEB, "P2"): (21, 21.0)}, "b")
@@ -115,8 +126,7 @@ def test_months_outside_the_source_survive(spark, home):
         (str(FEB), "P2"): (21, 21.0),
         (str(MAR), "P1"): (3, 3.0),
     }
-    loads = star.current(spark, home).months
-    assert loads[201001] == loads[201003] < loads[201002]
+    assert loads(spark, home)[201001] == loads(spark, home)[201003] < loads(spark, home)[201002]
 
 
 def test_rows_of_a_touched_month_that_are_not_in_the_source_survive(spark, home):
@@ -126,6 +136,60 @@ def test_rows_of_a_touched_month_that_are_not_in_the_source_survive(spark, home)
     assert set(facts(star.read_fact(spark, home))) == {(str(JAN), "P1"), (str(later), "P1")}
 
 
+def test_only_months_with_new_rows_are_rewritten(spark, home):
+    history = {(JAN, "P1"): (1, 1.0), (FEB, "P1"): (2, 2.0), (MAR, "P1"): (3, 3.0)}
+    load(spark, home, history, "a")
+    before = loads(spark, home)
+    added = {**history, (date(2010, 2, 2), "P1"): (4, 4.0)}
+    load(spark, home, added, "b")
+    after = loads(spark, home)
+    assert {ym for ym in before if before[ym] != after[ym]} == {201002}
+    expected = {(str(d), p): v for (d, p), v in added.items()}
+    assert facts(star.read_fact(spark, home)) == expected
+    load(spark, home, {**added, (JAN, "P2"): (5, 5.0), (MAR, "P2"): (6, 6.0)}, "c")
+    assert {ym for ym in after if after[ym] != loads(spark, home)[ym]} == {201001, 201003}
+
+
+def test_a_month_that_another_load_changed_is_merged_again(spark, home):
+    load(spark, home, {(JAN, "P1"): (1, 1.0)}, "a")
+    load(spark, home, {(JAN, "P1"): (9, 9.0), (JAN, "P2"): (2, 2.0)}, "b")
+    load(spark, home, {(JAN, "P1"): (1, 1.0)}, "c")
+    assert facts(star.read_fact(spark, home)) == {
+        (str(JAN), "P1"): (1, 1.0),
+        (str(JAN), "P2"): (2, 2.0),
+    }
+
+
+def test_a_load_without_news_is_listed_and_changes_nothing(spark, home):
+    load(spark, home, {(JAN, "P1"): (1, 1.0), (FEB, "P1"): (2, 2.0)}, "a")
+    before = loads(spark, home)
+    load(spark, home, {(FEB, "P1"): (2, 2.0)}, "b")
+    assert loads(spark, home) == before
+    assert len(facts(star.read_fact(spark, home))) == 2
+    assert star.read_product_dim(spark, home).count() == 1
+    assert star.read_ledger(spark, home).count() == 2
+
+
+@few
+@given(st.lists(ROWS, min_size=1, max_size=4))
+def test_loads_in_turn_are_dict_updates(spark, tmp_path_factory, batches):
+    home = str(tmp_path_factory.mktemp("mart"))
+    expected = {}
+    for i, rows in enumerate(batches):
+        load(spark, home, rows, f"f{i}")
+        expected.update({(str(d), p): v for (d, p), v in rows.items()})
+    assert facts(star.read_fact(spark, home)) == expected
+
+
+def test_the_date_range_of_the_months_reaches_the_scan(spark, home):
+    cleaned(spark, {(JAN, "P1"): (1, 1.0), (MAR, "P1"): (3, 3.0)}).write.parquet(f"{home}/s")
+    some = only_months(spark.read.parquet(f"{home}/s"), [201002, 201003])
+    assert [r["Date"] for r in some.collect()] == [MAR]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(Date,2010-02-01)" in plan
+    assert "LessThanOrEqual(Date,2010-03-31)" in plan
+
+
 def test_only_wanted_months_are_read(spark, home):
     load(spark, home, {(JAN, "P1"): (1, 1.0), (FEB, "P1"): (2, 2.0)})
     only = star.read_fact(spark, home, [201002, 203001])
