@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from tallystar.sinks import star_tables as sink
 from tallystar.sources import star_tables as star
 from tallystar.sources.snapshots import read_snapshot, require_readable
 
+# A date, a text and their row header in a hash table, without the text itself.
+KEY_ROW_BYTES = 64
+
 LOADED = "loaded"
 SKIPPED = "skipped"
 
@@ -25,15 +29,21 @@ class ConcurrentLoad(RuntimeError):
     """Two loads ran at once; the later one has not seen the rows of the other."""
 
 
-def month_hashes(cleaned: DataFrame) -> dict[int, str]:
-    """The months of a snapshot with a fingerprint of their rows.
+@dataclass(frozen=True)
+class MonthRows:
+    """What a snapshot holds for a month: a fingerprint, and the size of the keys in memory."""
 
-    One small row per calendar month, whatever the size of the snapshot.
-    """
+    source_hash: str
+    key_bytes: int
+
+
+def month_rows(cleaned: DataFrame) -> dict[int, MonthRows]:
+    """One small entry per calendar month of a snapshot, whatever its size."""
+    size = F.sum(F.lit(KEY_ROW_BYTES) + F.octet_length("product_id"))
     months = cleaned.groupBy(year_month(F.col("Date")).alias("ym")).agg(
-        table_fingerprint(CLEAN.fieldNames()).alias("source_hash")
+        table_fingerprint(CLEAN.fieldNames()).alias("source_hash"), size.alias("key_bytes")
     )
-    return {r["ym"]: r["source_hash"] for r in months.collect()}
+    return {r["ym"]: MonthRows(r["source_hash"], r["key_bytes"]) for r in months.collect()}
 
 
 def only_months(cleaned: DataFrame, months: Iterable[int]) -> DataFrame:
@@ -58,9 +68,9 @@ def load_rows(
     a load that fails anywhere can simply be run again.
     """
     at = star.current(spark, mart)
-    found = month_hashes(cleaned)
     known = {ym: month.source_hash for ym, month in at.months.items()}
-    changed = {ym: h for ym, h in found.items() if known.get(ym) != h}
+    found = month_rows(cleaned)
+    changed = {ym: m for ym, m in found.items() if known.get(ym) != m.source_hash}
     load = sink.new_load_id()
     if changed:
         source = dimensions.sales_fact(only_months(cleaned, changed))
@@ -73,10 +83,12 @@ def load_rows(
     sink.write_dim(products, mart, "product_dim", load)
     if changed:
         target = star.read_fact(spark, mart, changed, at)
-        sink.write_fact(merge(target, source, FACT_KEYS), mart, load)
+        key_bytes = sum(m.key_bytes for m in changed.values())
+        sink.write_fact(merge(target, source, FACT_KEYS, key_bytes), mart, load)
     if star.current(spark, mart).last != at.last:
         raise ConcurrentLoad(f"another load of {mart} was committed meanwhile; run again")
-    sink.commit_load(spark, mart, files, load, changed)
+    written = {ym: m.source_hash for ym, m in changed.items()}
+    sink.commit_load(spark, mart, files, load, written)
 
 
 def load_star(

@@ -14,6 +14,11 @@ SETTINGS = {
     # cut to even files by the rebalance step; both need adaptive execution.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A join whose partitions all turn out this small needs no sort.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    # Columnar files are several times larger in memory; without this Spark would
+    # broadcast tables by their compressed size.
+    "spark.sql.sources.fileCompressionFactor": "5.0",
     # One task per 256 MB of input keeps files and tasks of a large load few.
     "spark.sql.files.maxPartitionBytes": "256m",
     # Size of a coalesced shuffle partition, and so of a written file.

@@ -15,7 +15,7 @@ from tallystar.operators.checks import (
     require_unique,
 )
 from tallystar.operators.dimensions import product_dim
-from tallystar.operators.merge import merge
+from tallystar.operators.merge import BROADCAST_BYTES, merge
 from tallystar.plans.analysis import marts, write_marts
 from tallystar.plans.load import (
     LOADED,
@@ -54,25 +54,53 @@ def as_dict(df):
     return {(r[0], r[1]): (r[2], r[3]) for r in df.collect()}
 
 
+@pytest.fixture(params=[None, 0, BROADCAST_BYTES + 1])
+def key_bytes(request):
+    """Unknown, small and large sources take different plans."""
+    return request.param
+
+
 @few
 @given(ROWS, ROWS)
-def test_merge_is_a_dict_update_and_idempotent(spark, old, new):
+def test_merge_is_a_dict_update_and_idempotent(spark, key_bytes, old, new):
     target, source = fact(spark, old), fact(spark, new)
-    once = merge(target, source, FACT_KEYS)
+    once = merge(target, source, FACT_KEYS, key_bytes)
+    assert once.columns == target.columns
     assert as_dict(once) == {**old, **new}
     assert once.count() == len({**old, **new})
-    assert as_dict(merge(once, source, FACT_KEYS)) == {**old, **new}
+    assert as_dict(merge(once, source, FACT_KEYS, key_bytes)) == {**old, **new}
 
 
-def test_merge_takes_null_values_from_the_source(spark):
+def test_merge_takes_null_values_from_the_source(spark, key_bytes):
     target = fact(spark, {(date(2010, 1, 1), "P1"): (1, 1.0)})
     source = fact(spark, {(date(2010, 1, 1), "P1"): (None, 2.0)})
-    assert as_dict(merge(target, source, FACT_KEYS)) == {(date(2010, 1, 1), "P1"): (None, 2.0)}
+    merged = merge(target, source, FACT_KEYS, key_bytes)
+    assert as_dict(merged) == {(date(2010, 1, 1), "P1"): (None, 2.0)}
 
 
-def test_null_keys_match_nothing(spark):
+def test_null_keys_match_nothing(spark, key_bytes):
     both = spark.createDataFrame([(None, "P1", 1, 1.0)], SALES_FACT)
-    assert merge(both, both, FACT_KEYS).count() == 2
+    assert merge(both, both, FACT_KEYS, key_bytes).count() == 2
+
+
+def test_only_keys_that_were_counted_small_are_broadcast(spark, home):
+    """Highly compressible keys must not be broadcast for the size of their file."""
+    rows = spark.range(300_000).select(
+        F.lit(date(2010, 1, 1)).alias("date_key"),
+        F.concat(F.lit("P"), F.col("id")).alias("product_key"),
+        F.lit(1).alias("total_units_sold"),
+        F.lit(1.0).alias("total_revenue"),
+    )
+    rows.write.parquet(f"{home}/rows")
+    stored = spark.read.schema(SALES_FACT).parquet(f"{home}/rows")
+
+    def plan(key_bytes):
+        merged = merge(stored, stored, FACT_KEYS, key_bytes)
+        return merged._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(1000)
+    assert "Broadcast" not in plan(BROADCAST_BYTES + 1)
+    assert "Broadcast" not in plan(None)
 
 
 def test_duplicate_keys(spark):
