@@ -19,7 +19,7 @@ from tallystar.sources import star_tables as star
 from tallystar.sources.snapshots import read_snapshot, require_readable
 
 # A date, a text and their row header in a hash table, without the text itself.
-KEY_ROW_BYTES = 64
+KEY_ROW_BYTES = 96
 
 LOADED = "loaded"
 SKIPPED = "skipped"
@@ -49,6 +49,8 @@ def month_rows(cleaned: DataFrame) -> dict[int, MonthRows]:
 def only_months(cleaned: DataFrame, months: Iterable[int]) -> DataFrame:
     """The rows of some months. The plain date range reaches the scan, the rest filters."""
     ordered = sorted(months)
+    if not ordered:
+        return cleaned.where(F.lit(False))
     first, last = (F.lit(f"{m // 100:04d}-{m % 100:02d}-01") for m in (ordered[0], ordered[-1]))
     day = F.col("Date")
     in_range = (day >= first.cast("date")) & (day <= F.last_day(last.cast("date")))
@@ -61,8 +63,9 @@ def load_rows(
     """Merges clean rows into the star and commits them under the names in `files`.
 
     A month for which the source holds the very rows that its last load was
-    given is left alone, since merging them again would change nothing. So a
-    file that repeats all history and adds a day costs one month.
+    given is left alone, since merging them again would change nothing, neither
+    in the fact table nor in the dimensions. So a file that repeats all history
+    and adds a day costs one month.
 
     Order: dimensions, fact, ledger. Nothing is visible before the ledger row, so
     a load that fails anywhere can simply be run again.
@@ -71,14 +74,15 @@ def load_rows(
     known = {ym: month.source_hash for ym, month in at.months.items()}
     found = month_rows(cleaned)
     changed = {ym: m for ym, m in found.items() if known.get(ym) != m.source_hash}
-    load = sink.new_load_id()
+    news = only_months(cleaned, changed)
+    source = dimensions.sales_fact(news)
     if changed:
-        source = dimensions.sales_fact(only_months(cleaned, changed))
         require_unique(source, FACT_KEYS)
-    dates = merge(star.read_date_dim(spark, mart, at), dimensions.date_dim(cleaned), DATE_KEYS)
+    load = sink.new_load_id()
+    dates = merge(star.read_date_dim(spark, mart, at), dimensions.date_dim(news), DATE_KEYS)
     sink.write_dim(dates, mart, "date_dim", load)
     products = merge(
-        star.read_product_dim(spark, mart, at), dimensions.product_dim(cleaned), PRODUCT_KEYS
+        star.read_product_dim(spark, mart, at), dimensions.product_dim(news), PRODUCT_KEYS
     )
     sink.write_dim(products, mart, "product_dim", load)
     if changed:

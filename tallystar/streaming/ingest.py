@@ -54,9 +54,8 @@ def newest_per_key(rows: DataFrame) -> DataFrame:
         F.first("Total_Units_Sold").alias("Total_Units_Sold"),
         F.first("Total_Revenue").alias("Total_Revenue"),
     )
-    repeated = F.raise_error(
-        F.concat(F.lit("not unique within a file: "), F.col("Date"), F.lit(" "), F.col("product_id"))
-    )
+    key = F.concat_ws(" ", F.lit("not unique within a file:"), "Date", "product_id")
+    repeated = F.raise_error(key)
     once = F.when(F.col("n") == 1, F.col("Total_Units_Sold")).otherwise(repeated.cast("int"))
     return (
         per_file.withColumn("Total_Units_Sold", once)

@@ -53,7 +53,8 @@ def differences(spark, con, sf_dir, query, sql) -> str | None:
         return f"columns {names} != {want_names}"
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
-    wrong = [(g, w) for g, w in zip(got, want) if g != w or list(map(type, g)) != list(map(type, w))]
+    pairs = zip(got, want)
+    wrong = [(g, w) for g, w in pairs if g != w or [*map(type, g)] != [*map(type, w)]]
     return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else None
 
 

@@ -195,6 +195,7 @@ def test_a_load_without_news_is_listed_and_changes_nothing(spark, home):
     assert loads(spark, home) == before
     assert len(facts(star.read_fact(spark, home))) == 2
     assert star.read_product_dim(spark, home).count() == 1
+    assert star.read_date_dim(spark, home).count() == 2
     assert star.read_ledger(spark, home).count() == 2
 
 
@@ -359,7 +360,7 @@ def test_views_and_integrity(spark, home):
     found = integrity(*tables).collect()
     assert len(found) == 5 and not any(r["rows_affected"] for r in found)
     broken = integrity(tables[0].union(tables[0]), tables[1].limit(0), tables[2])
-    assert {r["check_name"]: (r["keys_affected"], r["rows_affected"]) for r in broken.collect()} == {
+    assert {r[0]: (r["keys_affected"], r["rows_affected"]) for r in broken.collect()} == {
         "sales_fact primary key": (2, 4),
         "date_dim primary key": (0, 0),
         "product_dim primary key": (0, 0),
