@@ -34,8 +34,8 @@ BRAND_LINES = """lines AS (
 
 def _wide_daily(products: list[str]) -> str:
     cells = ",\n".join(
-        f"CAST(SUM(units) FILTER (product = '{p}') AS INT) AS \"Q-{p}\",\n"
-        f"CAST(SUM(CAST(revenue AS DECIMAL(18,2))) FILTER (product = '{p}') AS DOUBLE) "
+        f"CAST(SUM(units) FILTER (WHERE product = '{p}') AS INT) AS \"Q-{p}\",\n"
+        f"CAST(SUM(CAST(revenue AS DECIMAL(18,2))) FILTER (WHERE product = '{p}') AS DOUBLE) "
         f'AS "S-{p}"'
         for p in products
     )
@@ -111,11 +111,11 @@ LINE_LONG = f"{LINES}, {_wide_lines()}, {_long(PRODUCTS)}"
 LINE_CLEAN = f"{LINE_LONG}, {CLEAN}"
 
 COUNTS = """SELECT COUNT(*) AS rows_in,
-  COUNT(*) FILTER (date IS NULL) AS bad_date,
-  COUNT(*) FILTER (product_id IS NULL) AS bad_product,
-  COUNT(*) FILTER (total_units_sold IS NULL) AS bad_units,
-  COUNT(*) FILTER (total_revenue IS NULL) AS bad_revenue,
-  COUNT(*) FILTER (date IS NOT NULL AND total_units_sold IS NOT NULL
+  COUNT(*) FILTER (WHERE date IS NULL) AS bad_date,
+  COUNT(*) FILTER (WHERE product_id IS NULL) AS bad_product,
+  COUNT(*) FILTER (WHERE total_units_sold IS NULL) AS bad_units,
+  COUNT(*) FILTER (WHERE total_revenue IS NULL) AS bad_revenue,
+  COUNT(*) FILTER (WHERE date IS NOT NULL AND total_units_sold IS NOT NULL
                    AND total_revenue IS NOT NULL) AS rows_out
 FROM long"""
 
