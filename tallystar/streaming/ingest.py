@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -95,7 +96,8 @@ def load_batch(
     accepted = sorted(picked.collect(), key=lambda r: (r[SOURCE_TIME], r["filename"]))
     if not accepted:
         return 0
-    snapshot = snapshot_name(suffix=f"_{batch_id}")
+    # The random end keeps a replay apart from the snapshot of its failed try.
+    snapshot = snapshot_name(suffix=f"_{batch_id}_{uuid.uuid4().hex[:8]}")
     written = write_snapshot(_rows_of(spark, long, accepted), f"{lake}/{snapshot}")
     append_manifest(spark, lake, snapshot, written)
     files = [(r["filename"], r["content_hash"]) for r in accepted]

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -7,6 +7,7 @@ from sales_files import facts, write_file
 from tallystar.plans.etl import reload_latest, run_etl
 from tallystar.plans.load import SKIPPED
 from tallystar.schemas import CLEAN
+from tallystar.sinks.snapshots import snapshot_name
 from tallystar.sources import star_tables as star
 from tallystar.streaming import ingest
 from tallystar.streaming.ingest import ingest_new_files
@@ -111,6 +112,24 @@ def test_the_snapshot_of_a_batch_counts_as_loaded(spark, home):
     assert reload_latest(spark, f"{home}/lake", f"{home}/mart") == SKIPPED
 
 
+def test_a_replay_within_the_same_second_does_not_clash(spark, home, monkeypatch):
+    write_file(f"{home}/data", "a.csv", A)
+    noon = datetime(2024, 1, 1, 12)
+    monkeypatch.setattr(
+        ingest, "snapshot_name", lambda suffix: snapshot_name("parquet", noon, suffix)
+    )
+
+    def dies(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "load_rows", dies)
+        with pytest.raises(Exception, match="lost"):
+            run(spark, home)
+    run(spark, home)
+    assert ledger(spark, home) == ["a.csv"]
+
+
 def test_content_that_the_batch_job_loaded_is_skipped(spark, home):
     path = write_file(f"{home}/data", "a.csv", A)
     run_etl(spark, path, f"{home}/lake", f"{home}/mart")
