@@ -145,6 +145,7 @@ class GroupedPrefixJoin:
         spark = docs.sparkSession
         ship(spark)
         self.percent, self.scratch = percent, Scratch(spark)
+        self.id_col, self.text_col = id_col, text_col
         texts_ = texts(docs, id_col, text_col)
         counts = slot_counts(texts_, k)
         ranks = spark.sparkContext.broadcast(counts)
@@ -163,7 +164,9 @@ class GroupedPrefixJoin:
             .groupBy("n", "s1", "s2")
             .agg(
                 F.min("doc_id").alias("least_id"),
-                F.min(F.struct("doc_id", "text_key")).alias("one"),
+                F.min(
+                    F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+                ).alias("one"),
                 F.first("p1").alias("p1"),
                 F.first("p2").alias("p2"),
                 F.first("prefix").alias("prefix"),
@@ -328,12 +331,40 @@ class GroupedPrefixJoin:
             .select("id_a", "id_b", "shared")
         )
 
+    def _labelled(self) -> DataFrame:
+        labelled = self.sets.select("n", "s1", "s2", "sid", "least_id", "one").join(
+            self.labels.withColumnRenamed("v", "sid"), "sid", "left"
+        )
+        return self.scratch.saved(labelled.withColumn("c", F.coalesce("c", "sid")), "labelled")
+
+    def representatives(self, docs: DataFrame) -> DataFrame:
+        """The rows of the joined table without all but one document of each component.
+
+        The one with the smallest id stays, and all that have no shingles.
+        """
+        kept = self._labelled().groupBy("c").agg(F.min("one").alias("one"))
+        kept = kept.select(
+            F.col("one.doc_id").alias("__id"), F.col("one.text_key").alias("__key")
+        ).union(self.signed.where("n = 0").select("doc_id", "text_key").distinct())
+        kept = self.scratch.saved(kept, "kept")
+        key = F.xxhash64(F.coalesce(F.col(f"`{self.text_col}`").cast("string"), F.lit("")))
+        rows = docs.withColumn("__key_", key)
+        rows = rows.join(
+            kept,
+            (F.col("__key_") == F.col("__key"))
+            & F.col(f"`{self.id_col}`").eqNullSafe(F.col("__id")),
+            "left_semi",
+        )
+        again = self.signed.where("n > 0").groupBy("doc_id", "text_key").count().where("count > 1")
+        if not again.isEmpty():  # rows that repeat id and text
+            full = rows.where(~F.col(f"`{self.text_col}`").rlike(r"[^\x20\x09-\x0D]") | F.col(f"`{self.text_col}`").isNull())
+            rest = rows.where(F.col(f"`{self.text_col}`").rlike(r"[^\x20\x09-\x0D]"))
+            rows = full.unionByName(rest.dropDuplicates([self.id_col, "__key_"]))
+        return rows.drop("__key_")
+
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id: one row per row of the table."""
-        labelled = self.sets.select("n", "s1", "s2", "sid", "least_id").join(
-            self.labels.withColumnRenamed("v", "sid"), "sid", "left"
-        ).withColumn("c", F.coalesce("c", "sid"))
-        labelled = self.scratch.saved(labelled, "labelled")
+        labelled = self._labelled()
         least = self.scratch.saved(
             labelled.groupBy("c").agg(F.min("least_id").alias("component_id")), "least"
         )
@@ -343,7 +374,7 @@ class GroupedPrefixJoin:
         )
         return rows.select(
             "doc_id",
-            F.col("n").alias("n_shingles"),
+            F.col("n").cast("long").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
             .alias("component_id"),
         )

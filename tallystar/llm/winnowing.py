@@ -171,6 +171,7 @@ class Winnowing:
         spark = docs.sparkSession
         ship(spark)
         scratch = Scratch(spark)
+        self.id_col, self.text_col = id_col, text_col
         items = texts(benchmark, "item_id", "text").withColumnRenamed("doc_id", "item_id")
         item_name = id_type(benchmark, "item_id").simpleString()
         spots = scratch.saved(
@@ -243,6 +244,23 @@ class Winnowing:
             "spans",
         )
 
+    def clean(self, docs: DataFrame) -> DataFrame:
+        """The rows of the searched table without those that share a window with the benchmark."""
+        found = self.spans.select(
+            F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
+        ).distinct()
+        key = F.xxhash64(F.coalesce(F.col(f"`{self.text_col}`").cast("string"), F.lit("")))
+        return (
+            docs.withColumn("__key_", key)
+            .join(
+                found,
+                (F.col("__key_") == F.col("__key"))
+                & F.col(f"`{self.id_col}`").eqNullSafe(F.col("__id")),
+                "left_anti",
+            )
+            .drop("__key_")
+        )
+
     def documents(self) -> DataFrame:
         """doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), spans: a row per row."""
         key = ["doc_id", "text_key"]
