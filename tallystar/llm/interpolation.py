@@ -29,6 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ from tallystar.llm.tables import Scratch, id_type, ship, texts
 from tallystar.llm.text import NOT_SPACE, Texts, U, chunks, mix, span_hashes, words
 
 #: Bytes of text in a block, and of text for each range of hashes.
-BLOCK = 6 << 20
+BLOCK = 4 << 20
 RANGE = 12 << 20
 
 _END = U(0x7C15B0A5D00D1E55)
@@ -46,14 +48,24 @@ STEPS = 16
 BUCKETS = 64
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """64-bit numbers as eight planes of bytes: high planes are zeros and compress to nothing."""
-    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+def _pack(values: np.ndarray, squeeze: bool = False) -> bytes:
+    """64-bit numbers as planes of bytes, without the high planes that are all zeros."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    used = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 0
+    data = bytes([used]) + np.ascontiguousarray(planes[:used]).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(data) if squeeze else data
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+def _unpack(data: bytes, squeezed: bool = False) -> np.ndarray:
+    if squeezed:
+        data = zstandard.ZstdDecompressor().decompress(data)
+    used = data[0] if data else 0
+    if not used:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(used, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :used] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64, copy=False)
 
 
 def _tokens(texts_: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,8 +123,8 @@ def _cells(ranges: int, held: int, tuning: int):
                     rows["range"].append(r)
                     rows["pairs"].append(pairs)
                     rows["keys"].append(_pack(np.diff(keys[a:b], prepend=U(0))))
-                    rows["main"].append(_pack(counts[0][a:b]))
-                    rows["tuned"].append(_pack(counts[1][a:b]))
+                    rows["main"].append(_pack(counts[0][a:b], True))
+                    rows["tuned"].append(_pack(counts[1][a:b], True))
             yield pa.record_batch(rows, schema=_CELL)
 
     return run
@@ -153,7 +165,7 @@ def _answers(table: pa.Table) -> pa.Table:
     keys, which = np.unique(np.concatenate(cells), return_inverse=True)
     sums = [
         np.bincount(
-            which, np.concatenate([_unpack(x.as_py()) for x in table[c]]), minlength=len(keys)
+            which, np.concatenate([_unpack(x.as_py(), True) for x in table[c]]), minlength=len(keys)
         ).astype(np.uint64)
         for c in ("main", "tuned")
     ]
@@ -167,8 +179,8 @@ def _answers(table: pa.Table) -> pa.Table:
             "range": table["range"],
             "pairs": table["pairs"],
             "mark": [_mark(c) for c in cells],
-            "main": [_pack(sums[0][p]) for p in parts],
-            "total": [_pack(total[p]) for p in parts],
+            "main": [_pack(sums[0][p], True) for p in parts],
+            "total": [_pack(total[p], True) for p in parts],
             "tokens": np.where(first, int(total.sum()), 0),
             "kinds": np.where(first, int((total > 0).sum()), 0),
         },
@@ -176,20 +188,36 @@ def _answers(table: pa.Table) -> pa.Table:
     )
 
 
-def _named_blocks(schema: pa.Schema):
-    """The texts with the name of their block, cut as in _cells."""
+def _packed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, data): the rows of each block, cut as in _cells, as one compressed value."""
+    from pyspark import TaskContext
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    task = TaskContext.get().partitionId()
+    for number, (batch, _) in enumerate(chunks(batches, size=BLOCK)):
+        sink = pa.BufferOutputStream()
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+            writer.write_batch(batch)
+        yield pa.record_batch(
+            {
+                "block": pa.array([_block_name(task, number)], pa.int64()),
+                "data": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+            }
+        )
 
-        task = TaskContext.get().partitionId()
-        for number, (batch, _) in enumerate(chunks(batches, size=BLOCK)):
-            name = pa.array(np.full(batch.num_rows, _block_name(task, number)), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, name], names=[*batch.schema.names, "block"]
-            )
 
-    return run
+def _parts(
+    batches: Iterator[pa.RecordBatch], column: str, size: int = BLOCK
+) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `size` bytes in a binary column."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            limit = size + (ends[first - 1] if first else 0)
+            last = max(first + 1, int(np.searchsorted(ends, limit, "right")))
+            yield batch.slice(first, last - first)
+            first = last
 
 
 def _split(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -199,12 +227,11 @@ def _split(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
 def _counted(tuning: int):
     """Counts of each text's tokens and pairs, from a block's texts and answers."""
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        docs = docs.combine_chunks()
-        batch = docs.to_batches()[0] if docs.num_rows else None
-        if batch is None:
-            raise ValueError("answers without a block of texts: the table changed between reads")
-        # Rows may come in another order than in the first read; sets of n-grams are the same.
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        if blocks.num_rows != 1:
+            raise ValueError("the blocks of texts changed between reads")
+        table = pa.ipc.open_stream(blocks["data"][0].as_py()).read_all()
+        [batch] = table.combine_chunks().to_batches()
         [(batch, texts_)] = chunks(iter([batch]), size=1 << 62)
         token, pair, bounds = _tokens(texts_)
         kind = answers["pairs"].to_numpy(zero_copy_only=False).astype(bool)
@@ -218,7 +245,7 @@ def _counted(tuning: int):
                 np.array([answers["mark"][i].as_py() for i in own], np.int64)
             )
             for column in ("main", "total"):
-                values = np.concatenate([_unpack(answers[column][i].as_py()) for i in own])
+                values = np.concatenate([_unpack(answers[column][i].as_py(), True) for i in own])
                 if len(values) != len(keys) or int(mark) != _mark(keys):
                     raise ValueError("the blocks of texts changed between reads")
                 found.append(values[which])
@@ -265,9 +292,7 @@ def _ratios(texts_count: float, base_size: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _parts(batches, "tokens_main"):
             tokens, bounds = _joined(batch.column("tokens_main"))
             pairs, _ = _joined(batch.column("pairs_main"))
             bucket, high, low = _estimates(tokens, pairs, bounds, texts_count, base_size)
@@ -311,9 +336,7 @@ def learned_weights(
 
 def _scores(weights: np.ndarray, texts_count: float, base_size: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _parts(batches, "tokens"):
             tokens, bounds = _joined(batch.column("tokens"))
             pairs, _ = _joined(batch.column("pairs"))
             bucket, high, low = _estimates(tokens, pairs, bounds, texts_count, base_size)
@@ -359,7 +382,7 @@ def interpolated_scores(
         own = scratch.saved(own, "texts")
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(16, -(-size // RANGE))
-    cells = own.select("text", "part").mapInArrow(
+    cells = own.mapInArrow(
         _cells(ranges, held, tuning),
         "block long, range int, pairs boolean, keys binary, main binary, tuned binary",
     )
@@ -379,12 +402,9 @@ def interpolated_scores(
         .first()
     )
     base_size = float(train + kinds + 1)
-    named = own.mapInArrow(
-        _named_blocks(None),
-        f"doc_id {id_type(docs, id_col).simpleString()}, text string, part int, block long",
-    )
+    blocks = own.mapInArrow(_packed_blocks, "block long, data binary")
     counted = scratch.saved(
-        named.groupBy("block")
+        blocks.groupBy("block")
         .cogroup(
             answers.select("block", "range", "pairs", "mark", "main", "total").groupBy("block")
         )
