@@ -12,7 +12,9 @@ least `percent` hundredths of the union; documents that links connect form a com
    original among its edited copies does. What is linked then is one component, and pairs inside
    a component need no comparison. Then every remaining pair between components is compared:
    per shingle, members of the largest component are met only by the others.
-5. Pairs of groups are expanded to their members, and these are verified on whole sets.
+5. A pair of groups goes on if the prefix shingles they share leave room for enough overlap: what
+   one prefix does not share, up to the earlier of the two prefixes' ends, the other set lacks.
+6. Such pairs are expanded to their members, and these are verified on whole sets.
 
 No pair that could link different components is left out, whatever the sizes of groups.
 
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.llm.components import connected
-from tallystar.llm.tables import Scratch, id_type, ship, texts
+from tallystar.llm.tables import Scratch, bit_table, id_type, passes, ship, texts
 from tallystar.llm.text import (
     NOT_SPACE,
     Texts,
@@ -96,6 +98,8 @@ def _signatures(k: int, percent: int, ranks):
             place = np.arange(len(gram)) - np.repeat(ends - n, n)
             prefix = gram[order][place < np.repeat(length, n)].view(np.int64)
             bounds = np.concatenate([[0], np.cumsum(length)])
+            last = np.concatenate([np.zeros(1, np.uint64), gram[order]])[np.where(n > 0, ends - n + length, 0)]
+            last_rank = ranks.value[last & U(SLOTS - 1)]
             group = []
             for salt in (U(3), U(4)):
                 sums = np.zeros(len(prefix) + 1, np.uint64)
@@ -110,6 +114,8 @@ def _signatures(k: int, percent: int, ranks):
                     "s2": keys[1].view(np.int64),
                     "p1": group[0].view(np.int64),
                     "p2": group[1].view(np.int64),
+                    "last_rank": pa.array(last_rank, pa.int64()),
+                    "last_gram": (last ^ U(1 << 63)).view(np.int64),  # in the same order
                     "prefix": lists(prefix, bounds, pa.int64()),
                 }
             )
@@ -117,13 +123,22 @@ def _signatures(k: int, percent: int, ranks):
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, kind: str, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts_ in chunks(batches):
+        def wanted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = batch.column("row_key").to_numpy()
+                yield batch.filter(pa.array(passes(table.value, keys)))
+
+        for batch, texts_ in chunks(wanted()):
             text, gram = distinct(*_grams(texts_, k))
             bounds = np.searchsorted(text, np.arange(len(texts_) + 1))
             yield pa.record_batch(
-                {"sid": batch.column("sid"), "grams": lists(gram.view(np.int64), bounds, pa.int64())}
+                {
+                    "doc_id": batch.column("doc_id"),
+                    "text_key": batch.column("text_key"),
+                    "grams": lists(gram.view(np.int64), bounds, pa.int64()),
+                }
             )
 
     return run
@@ -146,51 +161,45 @@ class GroupedPrefixJoin:
         ship(spark)
         self.percent, self.scratch = percent, Scratch(spark)
         self.id_col, self.text_col = id_col, text_col
-        texts_ = texts(docs, id_col, text_col)
-        counts = slot_counts(texts_, k)
-        ranks = spark.sparkContext.broadcast(counts)
-        id_name = id_type(docs, id_col).simpleString()
+        self.k, self.kind = k, id_type(docs, id_col).simpleString()
+        self.texts = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+        ranks = spark.sparkContext.broadcast(slot_counts(self.texts, k))
         self.signed = self.scratch.saved(
-            texts_.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+            self.texts.mapInArrow(
                 _signatures(k, percent, ranks),
-                f"doc_id {id_name}, text_key long, n long, s1 long, s2 long, p1 long, p2 long, "
-                "prefix array<long>",
+                f"doc_id {self.kind}, text_key long, n long, s1 long, s2 long, p1 long, p2 long, "
+                "last_rank long, last_gram long, prefix array<long>",
             ),
             "signed",
         )
         # One row per distinct set, numbered; the number is fixed by writing it.
         self.sets = self.scratch.saved(
             self.signed.where("n > 0")
-            .groupBy("n", "s1", "s2")
+            .groupBy("n", "s1", "s2", "p1", "p2", "last_rank", "last_gram")
             .agg(
                 F.min("doc_id").alias("least_id"),
                 F.min(
                     F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
                 ).alias("one"),
-                F.first("p1").alias("p1"),
-                F.first("p2").alias("p2"),
-                F.first("prefix").alias("prefix"),
             )
             .withColumn("sid", F.monotonically_increasing_id()),
             "sets",
         )
         # Sets of one size and prefix form a group; its number is that of its first member.
-        groups = self.sets.groupBy("n", "p1", "p2").agg(
+        groups = self.sets.groupBy("n", "p1", "p2", "last_rank", "last_gram").agg(
             F.min("sid").alias("gid"), F.count("*").alias("members")
         )
-        groups = self.scratch.saved(groups, "groups")
+        self.groups = self.scratch.saved(groups, "groups")
         self.members = self.scratch.saved(
-            self.sets.select("n", "p1", "p2", "sid").join(groups, ["n", "p1", "p2"])
-            .select("gid", "sid", "n", "members"),
+            self.sets.select("n", "p1", "p2", "sid")
+            .join(self.groups.select("n", "p1", "p2", "gid"), ["n", "p1", "p2"])
+            .select("gid", "sid"),
             "members",
         )
         postings = self._postings()
-        grams = self._grams_of_candidates(texts_, postings, k)
-        stars = self.scratch.saved(self._verified(self._star_pairs(postings), grams), "stars")
+        stars = self._verified(self._star_pairs(postings), "stars")
         first = self.scratch.saved(connected(stars, self.scratch, "first"), "first-labels")
-        rest = self.scratch.saved(
-            self._verified(self._cross_pairs(postings, first), grams), "rest"
-        )
+        rest = self._verified(self._cross_pairs(postings, first), "rest")
         self._links = stars.union(rest)
         # The stars of the first labels stand for the links they came from.
         joined = first.where("v <> c").select(F.col("v").alias("a"), F.col("c").alias("b"))
@@ -208,35 +217,45 @@ class GroupedPrefixJoin:
 
     def _postings(self) -> DataFrame:
         """(token, gid, n, pos, reach) of tokens in prefixes of two sets or more."""
-        rows = (
-            self.members.where("sid = gid").select("gid", "members")
-            .join(self.sets.select(F.col("sid").alias("gid"), "n", "prefix"), "gid")
-            .select("gid", "n", "members", F.posexplode("prefix").alias("pos", "token"))
+        first = self.groups.select("gid", "n", "members").join(
+            self.sets.select(F.col("sid").alias("gid"), "one"), "gid"
+        ).select("gid", "n", "members", F.col("one.doc_id").alias("__id"), F.col("one.text_key"))
+        owners = self.scratch.saved(
+            self.signed.where("n > 0").select("doc_id", "text_key", "prefix")
+            .join(self.scratch.saved(first, "first"), "text_key")
+            .where(F.col("doc_id").eqNullSafe(F.col("__id")))
+            .select("gid", "n", "members", "prefix"),
+            "prefixes",
         )
-        rows = self.scratch.saved(rows, "prefixes")
+        rows = owners.select("gid", "n", "members", F.posexplode("prefix").alias("pos", "token"))
         shared = rows.groupBy("token").agg(F.sum("members").alias("of")).where("of > 1")
         return self.scratch.saved(
-            rows.join(self.scratch.saved(shared.select("token"), "shared"), "token").select(
+            rows.join(self.scratch.saved(shared.select("token"), "shared"), "token")
+            .select(
                 "token", "gid", "n", "pos", self._reach(F.col("n"), F.col("pos")).alias("reach")
-            ),
+            )
+            .distinct(),
             "postings",
         )
 
-    def _grams_of_candidates(self, texts_: DataFrame, postings: DataFrame, k: int) -> DataFrame:
-        """Whole sets of all members that may be compared."""
-        wanted = self.members.join(postings.select("gid").distinct(), "gid", "left_semi")
+    def _grams_of(self, sids: DataFrame, name: str) -> DataFrame:
+        """Whole sets of the given numbers, from one document of each."""
         wanted = self.scratch.saved(
-            wanted.select("sid").join(self.sets.select("sid", "one"), "sid")
-            .select("sid", F.col("one.doc_id").alias("wanted_id"), F.col("one.text_key")),
-            "wanted",
+            sids.join(self.sets.select("sid", "one"), "sid").select(
+                "sid", F.col("one.doc_id").alias("__id"), F.col("one.text_key").alias("text_key"),
+                F.xxhash64("one.doc_id", "one.text_key").alias("row_key"),
+            ),
+            f"{name}-wanted",
+        )
+        table = self.texts.sparkSession.sparkContext.broadcast(bit_table(wanted, "row_key"))
+        found = self.texts.withColumn("row_key", F.xxhash64("doc_id", "text_key")).mapInArrow(
+            _sets(self.k, self.kind, table),
+            f"doc_id {self.kind}, text_key long, grams array<long>",
         )
-        found = texts_.withColumn("text_key", F.xxhash64("text")).join(
-            wanted, ["text_key"]
-        ).where(F.col("doc_id").eqNullSafe(F.col("wanted_id")))
         return self.scratch.saved(
-            found.dropDuplicates(["sid"]).select("sid", "text")
-            .mapInArrow(_sets(k), "sid long, grams array<long>"),
-            "grams",
+            found.join(wanted, "text_key").where(F.col("doc_id").eqNullSafe(F.col("__id")))
+            .dropDuplicates(["sid"]).select("sid", "grams"),
+            f"{name}-grams",
         )
 
     def _may_link(self, a: str, b: str):
@@ -257,15 +276,43 @@ class GroupedPrefixJoin:
         pairs = (
             postings.alias("x").join(centre.alias("y"), "token")
             .where((F.col("x.gid") != F.col("y.gid")) & self._may_link("x", "y"))
-            .select(F.col("y.gid").alias("a"), F.col("x.gid").alias("gid"))
+            .select(F.col("y.gid").alias("ga"), F.col("x.gid").alias("gb"))
             .distinct()
         )
-        return pairs.join(self.members.select("gid", "sid"), "gid").select(
-            "a", F.col("sid").alias("b")
+        pairs = self._roomy(pairs, postings, "stars")
+        return pairs.join(self.members.withColumnRenamed("gid", "gb"), "gb").select(
+            F.col("ga").alias("a"), F.col("sid").alias("b")
         ).union(
             self.members.where("sid <> gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
         )
 
+    def _roomy(self, pairs: DataFrame, postings: DataFrame, name: str) -> DataFrame:
+        """Pairs of groups (ga, gb, ...) whose shared prefix shingles leave room for a link."""
+        pairs = self.scratch.saved(pairs, f"{name}-pairs")
+        own = postings.select("gid", "token")
+        two = pairs.select("ga", "gb").where("ga <> gb").distinct()
+        shared = (
+            two.join(own.withColumnRenamed("gid", "ga"), "ga")
+            .join(own.withColumnRenamed("gid", "gb"), ["gb", "token"])
+            .groupBy("ga", "gb").agg(F.count("*").alias("shared"))
+        )
+        n = F.col("n")
+        short = n + F.floor(n * -self.percent / F.lit(100.0)) + 1  # length of the prefix
+        shape = self.groups.select(
+            "gid", "n", (n - short).alias("rest"), F.struct("last_rank", "last_gram").alias("last")
+        )
+        a, b = (shape.select(*[F.col(c).alias(f"{x}_{c}") for c in shape.columns]) for x in "ab")
+        most = F.col("shared") + F.when(
+            F.col("a_last") <= F.col("b_last"), F.col("a_rest")
+        ).otherwise(F.col("b_rest"))
+        roomy = (
+            shared.join(a, F.col("ga") == F.col("a_gid")).join(b, F.col("gb") == F.col("b_gid"))
+            .where(most * (100 + self.percent) >= (F.col("a_n") + F.col("b_n")) * self.percent)
+            .select("ga", "gb")
+        )
+        rest = pairs.where("ga = gb")
+        return pairs.join(roomy, ["ga", "gb"]).unionByName(rest)
+
     def _cross_pairs(self, postings: DataFrame, labels: DataFrame) -> DataFrame:
         """(a, b): members of different components whose groups share a shingle and may link."""
         parts = self.scratch.saved(
@@ -296,28 +343,29 @@ class GroupedPrefixJoin:
             )
             .distinct()
             .select(
-                F.col("p.gid").alias("gid"), F.col("p.part").alias("part"),
-                F.col("q.gid").alias("gid2"), F.col("q.part").alias("part2"),
+                F.col("p.gid").alias("ga"), F.col("p.part").alias("pa"),
+                F.col("q.gid").alias("gb"), F.col("q.part").alias("pb"),
             )
         )
-        second = parts.select(
-            F.col("gid").alias("gid2"), F.col("part").alias("part2"), F.col("sid").alias("b")
-        )
+        pairs = self._roomy(pairs, postings, "rest")
         return (
-            pairs.join(parts.withColumnRenamed("sid", "a"), ["gid", "part"])
-            .join(second, ["gid2", "part2"])
+            pairs.join(parts.toDF("ga", "a", "pa"), ["ga", "pa"])
+            .join(parts.toDF("gb", "b", "pb"), ["gb", "pb"])
             .select("a", "b")
         )
 
-    def _verified(self, pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Pairs that link, by their whole sets."""
+        pairs = self.scratch.saved(pairs, f"{name}-members")
+        grams = self._grams_of(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), name)
         left = grams.select(F.col("sid").alias("a"), F.col("grams").alias("ga"))
         right = grams.select(F.col("sid").alias("b"), F.col("grams").alias("gb"))
         shared = F.size(F.array_intersect("ga", "gb"))
-        return (
+        return self.scratch.saved(
             pairs.join(right, "b").join(left, "a")
             .select("a", "b", (F.size("ga") + F.size("gb")).alias("sizes"), shared.alias("shared"))
-            .where(F.col("shared") * 100 >= (F.col("sizes") - F.col("shared")) * self.percent)
+            .where(F.col("shared") * 100 >= (F.col("sizes") - F.col("shared")) * self.percent),
+            name,
         )
 
     def links(self) -> DataFrame:

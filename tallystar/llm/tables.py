@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,3 +53,30 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def id_type(docs: DataFrame, id_col: str = "doc_id") -> T.DataType:
     return docs.schema[id_col].dataType
+
+
+#: Bits of a table of hashes: 1 MB on the driver and in each worker, for any number of hashes.
+BITS = 1 << 23
+
+
+def bit_table(rows: DataFrame, column: str) -> np.ndarray:
+    """A bit for each slot that a hash of the column falls into, in 64-bit words.
+
+    It lets through all rows whose hash is there, and by chance some others; a join follows.
+    """
+    slot = F.col(column).bitwiseAND(F.lit(BITS - 1))
+    bits = (
+        rows.groupBy(F.shiftright(slot, 6).alias("at"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, int(`{column}` & 63))")).alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(BITS // 64, np.uint64)
+    table[bits["at"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    return table
+
+
+def passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit in the table."""
+    slot = hashes.view(np.uint64) & np.uint64(BITS - 1)
+    word = table[(slot >> np.uint64(6)).astype(np.int64)]
+    return (word >> (slot & np.uint64(63))) & np.uint64(1) == np.uint64(1)

@@ -28,12 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.tables import Scratch, id_type, ship, texts
+from tallystar.llm.tables import Scratch, bit_table, id_type, passes, ship, texts
 from tallystar.llm.text import ALNUM, Texts, U, Words, chain, chunks, mix, span_hashes, words
 
-#: Bits of the table that documents' fingerprints pass: 1 MB in each worker.
-BITS = 1 << 23
-
 _SPOTS = "array<struct<hash: bigint, pos: int, size: int, around: array<bigint>>>"
 _SPOT = pa.struct(
     [("hash", pa.int64()), ("pos", pa.int32()), ("size", pa.int32()), ("around", pa.list_(pa.int64()))]
@@ -66,7 +63,7 @@ def _around(
 
 
 def _spots(
-    texts_: Texts, gram: int, window: int, shorts: list[int] | None, blank: int, passes=None
+    texts_: Texts, gram: int, window: int, shorts: list[int] | None, blank: int, table=None
 ) -> tuple[Words, np.ndarray, list[tuple[np.ndarray, int, np.ndarray, np.ndarray]]]:
     """Words, and (place, size, hash, words around) of fingerprints.
 
@@ -90,8 +87,8 @@ def _spots(
                 place = np.arange(len(whole))
                 place = place[place + size <= found.bounds[1:][found.text[: len(whole)]]]
             key = mix(whole[place] + U(size))
-        if passes is not None:
-            ok = passes(key)
+        if table is not None:
+            ok = passes(table, key)
             place, key = place[ok], key[ok]
         side = window - gram if short else 0
         out.append((place, 0 if short else size, key, _around(hashes, found, place, size, side, blank)))
@@ -135,13 +132,9 @@ def _items(gram: int, window: int):
 
 
 def _documents(gram: int, window: int, shorts: list[int], table):
-    def passes(key: np.ndarray) -> np.ndarray:
-        slot = key & U(BITS - 1)
-        return (table.value[(slot >> U(6)).astype(np.int64)] >> (slot & U(63))) & U(1) == U(1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts_ in chunks(batches):
-            found, _, spots = _spots(texts_, gram, window, shorts, 2, passes)
+            found, _, spots = _spots(texts_, gram, window, shorts, 2, table.value)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -193,14 +186,7 @@ class Winnowing:
             "owners",
         )
         shorts = sorted(r[0] for r in variants.where("size > 0").select("size").distinct().collect())
-        slot = F.col("hash").bitwiseAND(F.lit(BITS - 1))
-        bits = (
-            variants.groupBy(F.shiftright(slot, 6).alias("at"))
-            .agg(F.bit_or(F.expr(f"shiftleft(1L, int(hash & 63))")).alias("bits"))
-            .toArrow()
-        )
-        table = np.zeros(BITS // 64, np.uint64)
-        table[bits["at"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+        table = bit_table(variants, "hash")
         table = spark.sparkContext.broadcast(table)
         id_name = id_type(docs, id_col).simpleString()
         self.heads = scratch.saved(
