@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +48,10 @@ from tallystar.llm.text import (
     words,
 )
 
-#: Slots of the table that orders shingles by frequency; 2 MB on the driver and in each worker.
-SLOTS = 1 << 18
+#: Slots of the table that orders shingles by frequency; 8 MB on the driver and in each worker.
+SLOTS = 1 << 21
+#: Slots that are added up together, and first sums of each such range.
+RANGE, FAN = 1 << 14, 256
 
 
 def _grams(texts_: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,29 +59,65 @@ def _grams(texts_: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
     return shingles(found, span_hashes(texts_, found.start, found.end, lower=True), k)
 
 
+def _squeezed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i8").view(np.uint8)
+                                                      .reshape(-1, 8).T.tobytes())
+
+
+def _opened(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
+
+
 def _count_slots(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         total = np.zeros(SLOTS, np.int64)
         for _, texts_ in chunks(batches):
             total += np.bincount(_grams(texts_, k)[1] & U(SLOTS - 1), minlength=SLOTS)
-        slot = np.flatnonzero(total)
-        yield pa.record_batch({"slot": pa.array(slot, pa.int32()), "n": total[slot]})
+        parts = total.reshape(-1, RANGE)
+        yield pa.record_batch(
+            {
+                "part": pa.array(np.arange(len(parts)), pa.int32()),
+                "fan": pa.array(np.full(len(parts), TaskContext.get().partitionId() % FAN), pa.int32()),
+                "counts": pa.array([_squeezed(p) for p in parts], pa.binary()),
+            }
+        )
 
     return run
 
 
+def _added(table: pa.Table) -> pa.Table:
+    total = np.zeros(RANGE, np.int64)
+    for counts in table["counts"]:
+        total += _opened(counts.as_py())
+    return pa.table(
+        {
+            "part": table["part"][:1],
+            "fan": table["fan"][:1],
+            "counts": pa.array([_squeezed(total)], pa.binary()),
+        }
+    )
+
+
 def slot_counts(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles of all documents by hash slot; the result has the same size for any input."""
+    """Shingles of all documents by hash slot; the result has the same size for any input.
+
+    Each task sends its counts packed; they are added up in two steps, so that no task gets
+    those of all others.
+    """
+    schema = "part int, fan int, counts binary"
     counted = (
-        docs.select("text")
-        .mapInArrow(_count_slots(k), "slot int, n long")
-        .groupBy("slot")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
+        docs.select("text").mapInArrow(_count_slots(k), schema)
+        .groupBy("part", "fan").applyInArrow(_added, schema)
+        .groupBy("part").applyInArrow(_added, schema)
+        .select("part", "counts").toArrow()
     )
-    counts = np.zeros(SLOTS, np.int64)
-    counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    return counts
+    counts = np.zeros((SLOTS // RANGE, RANGE), np.int64)
+    for part, data in zip(counted["part"].to_pylist(), counted["counts"].to_pylist(), strict=True):
+        counts[part] = _opened(data)
+    return np.minimum(counts.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _signatures(k: int, percent: int, ranks):
