@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.operators.checks import integrity
+from tallystar.operators.reports import preview
 from tallystar.plans.analysis import marts, write_marts
 from tallystar.plans.etl import reload_latest, run_etl
 from tallystar.session import build_session, shuffle_partitions
@@ -58,6 +59,9 @@ def _size_shuffles(spark: SparkSession, path: str) -> None:
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
     fact = read_fact(spark, args.mart)
+    print(f"sales_fact: {fact.count()} rows")
+    fact.printSchema()
+    preview(fact).show(truncate=False)
     if args.output:
         write_marts(fact, args.output)
         return
@@ -85,11 +89,14 @@ def main(argv: list[str] | None = None) -> None:
             extra_formats=args.formats,
         )
     elif args.job == "reload":
+        _size_shuffles(spark, args.lake)
         print(reload_latest(spark, args.lake, args.mart))
     elif args.job == "check":
+        _size_shuffles(spark, args.mart)
         star = [read(spark, args.mart) for read in (read_fact, read_date_dim, read_product_dim)]
         integrity(*star).show(truncate=False)
     else:
+        _size_shuffles(spark, args.mart)
         _report(spark, args)
 
 

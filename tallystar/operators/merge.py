@@ -10,34 +10,23 @@ from pyspark.sql import functions as F
 # Keys up to this size, counted and not estimated, are sent to every executor.
 BROADCAST_BYTES = 64 << 20
 
-_MATCHED = "_matched"
-
 
 def merge(
     target: DataFrame, source: DataFrame, keys: Sequence[str], key_bytes: int | None = None
 ) -> DataFrame:
     """`target` after `source` was merged into it on `keys`.
 
-    A matched row takes all its values from the source, also null ones. A null
-    key matches nothing. `source` must hold each key once (see
-    operators.checks.require_unique).
+    Rows of the target whose key the source has give way to the source's row, which brings all
+    its values, also null ones; a key that the target repeats is one row afterwards. A null key
+    matches nothing. `source` must hold each key once (see operators.checks.require_unique).
 
-    `key_bytes` is the size of the source's keys if the caller has counted it.
-    Small keys are broadcast, and the target is not shuffled at all. Otherwise
-    both sides are shuffled once and joined in full, where Spark picks a hash or
-    a sort merge by the real size of the partitions. It is not left to guess
-    from file sizes: tens of millions of keys may compress below its threshold.
+    `key_bytes` is the size of the source's keys if the caller has counted it. It chooses the
+    join and not the result: small keys are broadcast, and the target is not shuffled at all;
+    large ones are shuffled with the target and merged by sorting. It is not left to guess from
+    file sizes: tens of millions of keys may compress below Spark's threshold.
     """
-    if key_bytes is not None and key_bytes <= BROADCAST_BYTES:
-        kept = target.join(F.broadcast(source.select(*keys)), list(keys), "left_anti")
-        return kept.select(*target.columns).unionByName(source.select(*target.columns))
-    marked = source.withColumn(_MATCHED, F.lit(True)).alias("s")
-    joined = target.alias("t").join(marked, list(keys), "full_outer")
-    return joined.select(
-        *[
-            F.col(c)
-            if c in keys
-            else F.when(F.col(_MATCHED), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-            for c in target.columns
-        ]
-    )
+    merged_keys = source.select(*keys)
+    small = key_bytes is not None and key_bytes <= BROADCAST_BYTES
+    merged_keys = F.broadcast(merged_keys) if small else merged_keys.hint("merge")
+    kept = target.join(merged_keys, list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))

@@ -40,14 +40,12 @@ def preview(fact: DataFrame, n: int = 5) -> DataFrame:
 def monthly_by_product(fact: DataFrame, dates: DataFrame, products: DataFrame) -> DataFrame:
     """The star join: sales per month and product, with the labels of both dimensions.
 
-    The date dimension is broadcast: it has at most one row per calendar date,
-    which bounds it by the calendar (36,525 rows a century) whatever the size of
-    the sales. Nothing bounds the products, so the fact is first added up per
-    month and product key, map-side, and only those totals meet the product
-    dimension, by whichever join their size calls for.
+    Spark broadcasts the dates if their size allows. Nothing bounds the products, so
+    the fact is first added up per month and product key, map-side, and only those
+    totals meet the product dimension, by whichever join their size calls for.
     """
     per_key = (
-        fact.join(F.broadcast(dates.select("date_key", "year", "month")), "date_key")
+        fact.join(dates.select("date_key", "year", "month"), "date_key")
         .groupBy("year", "month", "product_key")
         .agg(
             F.sum("total_units_sold").alias("total_units"),

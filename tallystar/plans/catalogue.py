@@ -11,8 +11,9 @@ from tallystar.functions.dates import date_parts, parse_date
 from tallystar.functions.fingerprint import table_fingerprint, text_hash
 from tallystar.operators import checks, dimensions, membership, reports
 from tallystar.operators.clean import clean, narrow_revenue, typed, validation_counts
-from tallystar.operators.merge import merge
+from tallystar.operators.merge import BROADCAST_BYTES, merge
 from tallystar.operators.unpivot import to_long
+from tallystar.plans.analysis import write_marts
 from tallystar.plans.etl import run_etl
 from tallystar.schemas import (
     CLEAN,
@@ -24,9 +25,11 @@ from tallystar.schemas import (
     UNITS_PREFIX,
 )
 from tallystar.session import scratch_folder
+from tallystar.sinks.snapshots import append_manifest, snapshot_name, write_snapshot
+from tallystar.sources import snapshots, supplied
 from tallystar.sources import star_tables as star
-from tallystar.sources import supplied
 from tallystar.sources.snapshots import stage_rows
+from tallystar.sources.wide_files import read_wide
 from tallystar.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +116,94 @@ def validation_counts_lines(spark, sf_dir):
     return _counts(supplied.wide_lines(spark, sf_dir))
 
 
+def csv_snapshot_rows(spark, sf_dir):
+    """A CSV snapshot written by the sink and read back by position."""
+    path = f"{scratch_folder(spark)}/{snapshot_name('csv')}"
+    write_snapshot(_clean_daily(spark, sf_dir), path, "csv")
+    return snapshots.read_snapshot(spark, path, "csv")
+
+
+def csv_staging_rejects(spark, sf_dir):
+    """Rows of a staged CSV file that the load would refuse."""
+    path = f"{scratch_folder(spark)}/staged.csv"
+    supplied.staged_lines(spark, sf_dir).write.option("header", True).csv(path)
+    return snapshots.staging_rejects(snapshots.read_staging(spark, path))
+
+
+def written_manifest(spark, sf_dir):
+    """The manifest row of a written snapshot, without its name, time and hash."""
+    lake, name = scratch_folder(spark), snapshot_name()
+    append_manifest(
+        spark, lake, name, write_snapshot(clean_lines(spark, sf_dir), f"{lake}/{name}")
+    )
+    return star.read_manifest(spark, lake).select(
+        "record_count", "min_date", "max_date", "pipeline_version"
+    )
+
+
+def newest_snapshot_rows(spark, sf_dir):
+    """Rows of the newest complete of two snapshots; the newer one lacks P4."""
+    lake, cleaned = scratch_folder(spark), _clean_daily(spark, sf_dir)
+    for suffix, rows in (("_a", cleaned), ("_b", cleaned.where(F.col("product_id") != "P4"))):
+        name = snapshot_name(suffix=suffix)
+        append_manifest(spark, lake, name, write_snapshot(rows, f"{lake}/{name}"))
+    return snapshots.read_snapshot(spark, f"{lake}/{snapshots.latest_snapshot(spark, lake)}")
+
+
+def globbed_sales(spark, sf_dir):
+    """Wide rows of the files that match a pattern, from a folder that holds others too."""
+    folder, wide = f"{scratch_folder(spark)}/data", supplied.wide_daily(spark, sf_dir)
+    wide.write.option("header", True).csv(f"{folder}/sales.csv")
+    wide.write.option("header", True).option("compression", "gzip").csv(f"{folder}/old.csv")
+    return clean(to_long(read_wide(spark, f"{folder}/*", glob="*.csv")))
+
+
+def ledger_months(spark, sf_dir):
+    """Months that the ledger lists after one run over the daily file."""
+    home = scratch_folder(spark)
+    _write_wide(supplied.wide_daily(spark, sf_dir), f"{home}/data")
+    run_etl(spark, f"{home}/data", f"{home}/lake", f"{home}/mart")
+    ledger = star.read_ledger(spark, f"{home}/mart")
+    return ledger.select(F.explode("months.ym").alias("ym"))
+
+
+def written_marts(spark, sf_dir):
+    """The report by month as the report job writes it."""
+    folder = scratch_folder(spark)
+    write_marts(supplied.line_fact(spark, sf_dir), folder)
+    return spark.read.parquet(f"{folder}/monthly_sales_trend")
+
+
+def _fine_fact(spark, sf_dir):
+    """Discounted revenue with four decimals."""
+    lines = supplied.table(spark, sf_dir, "lineitem")
+    net = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4)
+    return lines.select(
+        F.col("l_shipdate").cast("date").alias("date_key"),
+        F.concat(F.lit("P"), (F.col("l_partkey") % 25).cast("string")).alias("product_key"),
+        F.col("l_quantity").cast("int").alias("total_units_sold"),
+        net.alias("total_revenue"),
+    )
+
+
+def total_sales_fine(spark, sf_dir):
+    return reports.total_sales_by_product(_fine_fact(spark, sf_dir))
+
+
+def avg_revenue_fine(spark, sf_dir):
+    return reports.avg_revenue(_fine_fact(spark, sf_dir))
+
+
+def merge_fact_shuffled(spark, sf_dir):
+    """merge_fact_many with keys counted as too large to broadcast."""
+    return _merged_fact(supplied.keyed_fact(spark, sf_dir), BROADCAST_BYTES + 1)
+
+
+def merge_fact_broadcast(spark, sf_dir):
+    """merge_fact_many with keys counted as small."""
+    return _merged_fact(supplied.keyed_fact(spark, sf_dir), 1)
+
+
 def staging_rejects(spark, sf_dir):
     return staged_sales(spark, sf_dir).agg(*validation_counts())
 
@@ -135,8 +226,14 @@ def snapshot_manifest_lines(spark, sf_dir):
 
 
 def content_fingerprint(spark, sf_dir):
-    return clean_lines(spark, sf_dir).agg(
-        table_fingerprint(CLEAN.fieldNames()).alias("content_hash")
+    """Orders by the fingerprint of their lines: how many contents occur how often."""
+    lines = supplied.table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1)
+    per_part = lines.groupBy("l_partkey").agg(
+        table_fingerprint(["l_quantity", "l_linenumber"]).alias("content_hash")
+    )
+    return (
+        per_part.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy("copies").agg(F.count(F.lit(1)).alias("contents"))
     )
 
 
@@ -161,7 +258,7 @@ def _dates_but_february(fact: DataFrame) -> DataFrame:
 
 def fact_orphans(spark, sf_dir):
     fact = _daily_fact(spark, sf_dir)
-    return checks.orphans(fact, F.broadcast(_dates_but_february(fact)), DATE_KEYS)
+    return checks.orphans(fact, _dates_but_february(fact), DATE_KEYS)
 
 
 def _small_parts(spark, sf_dir):
@@ -274,11 +371,11 @@ def merge_product_dim_many(spark, sf_dir):
     return merge(target, source, PRODUCT_KEYS)
 
 
-def _merged_fact(fact: DataFrame) -> DataFrame:
+def _merged_fact(fact: DataFrame, key_bytes: int | None = None) -> DataFrame:
     stale = fact.where(_is_target()).withColumn(
         "total_units_sold", F.col("total_units_sold") - 1
     )
-    return merge(stale, fact.where(_is_source()), FACT_KEYS)
+    return merge(stale, fact.where(_is_source()), FACT_KEYS, key_bytes)
 
 
 def merge_fact(spark, sf_dir):
@@ -404,6 +501,17 @@ QUERIES: dict[str, Query] = {
     "validation_counts": validation_counts_daily,
     "validation_counts_lines": validation_counts_lines,
     "staging_rejects": staging_rejects,
+    "csv_snapshot_rows": csv_snapshot_rows,
+    "csv_staging_rejects": csv_staging_rejects,
+    "written_manifest": written_manifest,
+    "newest_snapshot_rows": newest_snapshot_rows,
+    "globbed_sales": globbed_sales,
+    "ledger_months": ledger_months,
+    "written_marts": written_marts,
+    "total_sales_fine": total_sales_fine,
+    "avg_revenue_fine": avg_revenue_fine,
+    "merge_fact_shuffled": merge_fact_shuffled,
+    "merge_fact_broadcast": merge_fact_broadcast,
     "snapshot_manifest": snapshot_manifest,
     "snapshot_manifest_lines": snapshot_manifest_lines,
     "content_fingerprint": content_fingerprint,

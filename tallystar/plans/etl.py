@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -61,7 +62,8 @@ def run_etl(
     snapshot = _snapshot_with(spark, lake, content_hash)
     new_content = snapshot is None
     if new_content:
-        snapshot = snapshot_name(fmt)
+        # The random end keeps two runs of one second apart.
+        snapshot = snapshot_name(fmt, suffix=f"_{uuid.uuid4().hex[:8]}")
         written = write_snapshot(clean(long), f"{lake}/{snapshot}", fmt)
         if written["content_hash"] != content_hash:
             raise RuntimeError(f"{in_path} changed while it was read; {snapshot} is not used")

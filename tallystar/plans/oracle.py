@@ -167,7 +167,7 @@ long AS (
          CAST(EXTRACT(month FROM d) AS INT) AS month,
          CAST(EXTRACT(day FROM d) AS INT) AS day,
          product_key AS product_id,
-         CAST(trunc(CAST(units_str AS DOUBLE)) AS INT) AS total_units_sold,
+         CAST(round(CAST(units_str AS DOUBLE)) AS INT) AS total_units_sold,
          CAST(revenue_str AS DOUBLE) AS total_revenue
   FROM staged)"""
 
@@ -224,7 +224,36 @@ SELECT DISTINCT product_key, concat('Product ', substr(product_key, 2{width})) A
 FROM fact"""
 
 
+FINE_FACT = """fact AS (
+  SELECT 'P' || CAST(l_partkey % 25 AS VARCHAR) AS product_key,
+         round(l_extendedprice * (1 - l_discount), 4) AS total_revenue FROM lineitem)"""
+
+FINE_SUM = "CAST(SUM(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE)"
+
 ORACLE: dict[str, str] = {
+    "csv_snapshot_rows": f"WITH {DAILY_CLEAN} SELECT * FROM clean",
+    "csv_staging_rejects": f"""WITH {LINES}, {STAGED}
+SELECT COUNT(*) AS rows_in, CAST(0 AS BIGINT) AS corrupt,
+  COUNT(*) FILTER (WHERE date IS NULL) AS unreadable FROM long""",
+    "written_manifest": f"""WITH {LINE_CLEAN}
+SELECT COUNT(*) AS record_count, MIN("Date") AS min_date, MAX("Date") AS max_date,
+  '1.0' AS pipeline_version FROM clean""",
+    "newest_snapshot_rows": f"WITH {DAILY_CLEAN} SELECT * FROM clean WHERE product_id <> 'P4'",
+    "globbed_sales": f"WITH {DAILY_CLEAN} SELECT * FROM clean",
+    "ledger_months": f"""WITH {DAILY_CLEAN}
+SELECT DISTINCT CAST("Year" * 100 + "Month" AS INT) AS ym FROM clean""",
+    "written_marts": f"WITH {LINE_FACT} {BY_MONTH}",
+    "total_sales_fine": f"""WITH {FINE_FACT}
+SELECT product_key, {FINE_SUM} AS total_sales FROM fact GROUP BY product_key""",
+    "avg_revenue_fine": f"""WITH {FINE_FACT}
+SELECT {FINE_SUM} / COUNT(total_revenue) AS avg_revenue FROM fact""",
+    "merge_fact_shuffled": f"WITH {KEYED_FACT}, {MERGED}",
+    "merge_fact_broadcast": f"WITH {KEYED_FACT}, {MERGED}",
+    "content_fingerprint": """SELECT copies, COUNT(*) AS contents FROM (
+  SELECT COUNT(*) AS copies FROM (
+    SELECT l_partkey, list_sort(list(l_quantity)) AS content
+    FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey)
+  GROUP BY content) GROUP BY copies""",
     "unpivot_sales": f"WITH {DAILY_LONG} SELECT * FROM long",
     "unpivot_brands": f"WITH {BRAND_LONG} SELECT * FROM long",
     "unpivot_lines": f"WITH {LINE_LONG} SELECT * FROM long",

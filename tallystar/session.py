@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,11 +50,12 @@ def build_session(
 def scratch_folder(spark: SparkSession) -> str:
     """A new path under the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session may fall back to this machine's temporary folder.
+    A session without that setting has to be local, all in one process. It gets the folder
+    `checkpoints` in Spark's warehouse folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     return f"{base.rstrip('/')}/tallystar-{uuid.uuid4().hex}"

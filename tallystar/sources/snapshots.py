@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystar.functions.dates import parse_staging_date
-from tallystar.functions.numbers import parse_double, parse_int
+from tallystar.functions.numbers import parse_double, round_int
 from tallystar.operators.clean import is_complete
 from tallystar.operators.membership import latest
 from tallystar.schemas import CLEAN, SNAPSHOT_FOLDER, SNAPSHOT_PREFIX, STAGING
@@ -59,11 +59,11 @@ def stage_rows(staged: DataFrame, *carry: str) -> DataFrame:
     return staged.select(
         *carry,
         parse_staging_date(F.col("date_str")).alias("Date"),
-        parse_int(F.col("year")).alias("Year"),
-        parse_int(F.col("month")).alias("Month"),
-        parse_int(F.col("day")).alias("Day"),
+        round_int(F.col("year")).alias("Year"),
+        round_int(F.col("month")).alias("Month"),
+        round_int(F.col("day")).alias("Day"),
         F.col("product_key").alias("product_id"),
-        parse_int(F.col("total_units_sold")).alias("Total_Units_Sold"),
+        round_int(F.col("total_units_sold")).alias("Total_Units_Sold"),
         parse_double(F.col("total_revenue")).alias("Total_Revenue"),
     )
 

@@ -56,6 +56,28 @@ def test_exact_sum_edges(spark, values, expected):
     assert total(spark, values) == expected
 
 
+@pytest.mark.parametrize(
+    "value, rows, expected",
+    [(0.004, 1000, 4.0), (0.0001, 3, 0.0003), (12.3456, 1000, 12345.6), (9e13, 1000, 9e16)],
+)
+def test_exact_sum_keeps_finer_values(spark, value, rows, expected):
+    df = spark.range(rows).select(F.lit(value).alias("v"))
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == expected
+
+
+def test_exact_sum_of_mixed_scales(spark):
+    df = spark.createDataFrame([(0.01,), (0.004,), (2.5e9 + 0.125,)], "v double")
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == 2.5e9 + 0.139
+
+
+def test_exact_sum_has_room_for_many_large_values(spark):
+    # A lane takes 2**17 at most from each value, so a long holds 2**44 of them.
+    df = spark.range(1).select(F.lit(float(2**53 // 100 - 1)).alias("v"))
+    lanes = df.select((F.rint(F.col("v") * 100.0).cast("bigint")).alias("m"))
+    top = lanes.select(F.shiftright("m", 36)).first()[0]
+    assert 0 < top < 2**17
+
+
 def test_exact_sum_of_nan_is_nan(spark):
     assert math.isnan(total(spark, [1.0, math.nan]))
 

@@ -5,7 +5,16 @@ import pytest
 from tallystar.plans.catalogue import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-THROUGH_FILES = {"etl_sales_fact", "ingest_sales_fact"}
+THROUGH_FILES = {
+    "etl_sales_fact",
+    "ingest_sales_fact",
+    "csv_snapshot_rows",
+    "globbed_sales",
+    "ledger_months",
+    "newest_snapshot_rows",
+    "written_manifest",
+    "written_marts",
+}
 UNWANTED = [
     "CartesianProduct",
     "NestedLoopJoin",

@@ -78,6 +78,15 @@ def test_merge_takes_null_values_from_the_source(spark, key_bytes):
     assert as_dict(merged) == {(date(2010, 1, 1), "P1"): (None, 2.0)}
 
 
+def test_a_key_that_the_target_repeats_is_one_row_afterwards(spark, key_bytes):
+    day = date(2010, 1, 1)
+    target = spark.createDataFrame(
+        [(day, "P1", 1, 1.0), (day, "P1", 2, 2.0), (day, "P2", 3, 3.0)], SALES_FACT
+    )
+    merged = merge(target, fact(spark, {(day, "P1"): (9, 9.0)}), FACT_KEYS, key_bytes)
+    assert sorted(tuple(r) for r in merged.collect()) == [(day, "P1", 9, 9.0), (day, "P2", 3, 3.0)]
+
+
 def test_null_keys_match_nothing(spark, key_bytes):
     both = spark.createDataFrame([(None, "P1", 1, 1.0)], SALES_FACT)
     assert merge(both, both, FACT_KEYS, key_bytes).count() == 2
