@@ -58,11 +58,13 @@ def _luhn(digits: Column) -> Column:
 
 
 def _valid(kind: Column, value: Column) -> Column:
-    parts = F.transform(F.split(value, r"\."), lambda p: F.length(F.ltrim(F.lit("0"), p)))
-    numbers = F.transform(F.split(value, r"\."), lambda p: F.substring(F.ltrim(F.lit("0"), p), 1, 4))
-    small = F.forall(numbers, lambda p: F.coalesce(p.try_cast("int"), F.lit(0)) <= 255)
+    parts = F.transform(F.split(value, r"\."), lambda p: F.ltrim(p, F.lit("0")))
+    # Without leading zeros, a part of more than three digits is too large, however long it is.
+    small = F.forall(
+        parts, lambda p: (F.length(p) <= 3) & (F.coalesce(p.try_cast("int"), F.lit(0)) <= 255)
+    )
     return (
-        F.when(kind == "ip", F.forall(parts, lambda n: n <= 3) & small)
+        F.when(kind == "ip", small)
         .when(kind == "card", _luhn(_digits(value)))
         .when(kind == "phone", F.length(_digits(value)).between(10, 15))
         .otherwise(True)
