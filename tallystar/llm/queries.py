@@ -1,4 +1,8 @@
-"""Registered queries of this package: each operator over its whole table, and their SQL."""
+"""Registered queries of this package: each operator over its whole table.
+
+oracle.py has SQL for three. The others have methods that SQL can't express (weights learned by EM,
+index scores, packing, merges, disclosure, fertility, a permutation) and are tested by brute force.
+"""
 
 from __future__ import annotations
 
@@ -98,7 +102,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_grouped_prefix_join,
     )
 }
-
-#: SQL for what SQL can express. The others have methods that it can't (EM weights, merges,
-#: packing, permutations, fertility, index scores, disclosure) and are tested by brute force.
-ORACLE: dict[str, str] = {}
