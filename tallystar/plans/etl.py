@@ -17,7 +17,7 @@ from tallystar.schemas import CLEAN
 from tallystar.sinks.snapshots import append_manifest, snapshot_name, write_snapshot
 from tallystar.sources.snapshots import latest_snapshot
 from tallystar.sources.star_tables import read_manifest
-from tallystar.sources.wide_files import read_wide
+from tallystar.sources.wide_files import Rejected, file_headers, lines_of, read_by_header
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,7 @@ class EtlResult:
     snapshot: str
     new_content: bool
     counts: dict[str, int]
+    rejected: tuple[Rejected, ...] = ()
 
 
 def profile(long: DataFrame) -> DataFrame:
@@ -51,12 +52,17 @@ def run_etl(
 ) -> EtlResult:
     """One run over the wide file or folder at `in_path`.
 
-    The first pass over the input counts and hashes it. Content that has a
+    A pass over the lines finds each file's header; files that cannot be read are returned as
+    `rejected`, and the others are loaded. The next pass over the input counts and hashes it. Content that has a
     snapshot already is not written again; if that snapshot is also in the
     ledger the run ends as `skipped`, if not (an earlier run died in between)
-    it is loaded now. New content costs a second pass, which writes it.
+    it is loaded now. New content costs one more pass, which writes it.
     """
-    long = to_long(read_wide(spark, in_path), extra_formats)
+    # Each file is read by its own header, so products may come and go between files.
+    headers = file_headers(lines_of(spark.read, in_path, None)).collect()
+    long, rejected = read_by_header(spark, headers, lambda wide: to_long(wide, extra_formats))
+    if long is None:
+        raise ValueError(f"no file of {in_path} can be read: {rejected}")
     found = profile(long).first().asDict()
     content_hash = found.pop("content_hash")
     snapshot = _snapshot_with(spark, lake, content_hash)
@@ -70,7 +76,7 @@ def run_etl(
         append_manifest(spark, lake, snapshot, written)
     stored = "csv" if snapshot.endswith(".csv") else "parquet"
     status = load_star(spark, snapshot, lake, mart, content_hash, stored)
-    return EtlResult(status, snapshot, new_content, found)
+    return EtlResult(status, snapshot, new_content, found, tuple(rejected))
 
 
 def reload_latest(spark: SparkSession, lake: str, mart: str) -> str | None:

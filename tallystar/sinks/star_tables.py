@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.dates import year_month
 from tallystar.schemas import PROCESSED_FILES
-from tallystar.sources.star_tables import LEDGER, empty, read_ledger
+from tallystar.sources.star_tables import LEDGER, REJECTED, empty, read_ledger
 
 
 def new_load_id() -> str:
@@ -85,6 +85,16 @@ def commit_load(
     )
 
 
+def append_rejected(spark: SparkSession, mart: str, rejected: Iterable) -> None:
+    """Lists files that were not loaded, with the reason; a replayed batch lists them again."""
+    rows = [(r.filename, r.reason) for r in rejected]
+    if rows:
+        listed = spark.createDataFrame(rows, "filename string, reason string")
+        listed.withColumn("at", F.localtimestamp()).coalesce(1).write.mode("append").parquet(
+            f"{mart}/{REJECTED}"
+        )
+
+
 def is_processed(spark: SparkSession, mart: str, filename: str) -> bool:
     ledger = read_ledger(spark, mart)
     return not ledger.where(F.col("filename") == filename).isEmpty()

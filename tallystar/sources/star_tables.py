@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from tallystar.schemas import DATE_DIM, MANIFEST, PROCESSED_FILES, PRODUCT_DIM, SALES_FACT
 
 LEDGER = "processed_files"
+REJECTED = "rejected_files"
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -46,6 +47,13 @@ def read_ledger(spark: SparkSession, mart: str) -> DataFrame:
     return read_or_empty(spark, f"{mart}/{LEDGER}", PROCESSED_FILES)
 
 
+def read_rejected(spark: SparkSession, mart: str) -> DataFrame:
+    """Files that the stream could not load, each once, with the reason."""
+    schema = T.StructType.fromDDL("filename string, reason string, at timestamp_ntz")
+    listed = read_or_empty(spark, f"{mart}/{REJECTED}", schema)
+    return listed.groupBy("filename", "reason").agg(F.min("at").alias("at"))
+
+
 def read_manifest(spark: SparkSession, lake: str) -> DataFrame:
     return read_or_empty(spark, f"{lake}/manifest", MANIFEST)
 

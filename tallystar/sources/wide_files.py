@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import re
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -57,16 +63,81 @@ def read_wide(
     return _select(_options(spark.read, schema, glob).csv(path), schema, with_source)
 
 
-def stream_wide(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    max_files: int,
-    glob: str | None = None,
-) -> DataFrame:
-    """The same over new files of a folder, at most `max_files` per batch, oldest first."""
-    reader: DataStreamReader = _options(spark.readStream, schema, glob)
+def lines_of(reader: DataStreamReader | DataFrameReader, path: str, glob: str | None) -> DataFrame:
+    """Lines of text files with their file, its time, and the place of their block in it."""
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.format("text").load(path).select(
+        "value",
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias(SOURCE_TIME),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """One row per file: `source_file, source_time, header`, its first line.
+
+    Lines of a block are read in order by one task, so the line with the smallest row number of
+    a file's first block is its first. A file without a line has no row.
+    """
+    first = F.min_by("value", "row").alias("header")
+    return (
+        lines.withColumn("row", F.monotonically_increasing_id())
+        .where("block = 0")
+        .groupBy(SOURCE_FILE, SOURCE_TIME)
+        .agg(first)
+    )
+
+
+def _path(uri: str) -> str:
+    """The name under which a file of the metadata column can be read again."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+@dataclass(frozen=True)
+class Rejected:
+    """A file that is not loaded, and why."""
+
+    filename: str
+    reason: str
+
+
+def read_by_header(
+    spark: SparkSession, headers: Sequence[Row], to_rows: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame | None, list[Rejected]]:
+    """Rows of files with any headers, and the files that cannot be read.
+
+    Files of one header are read together, by their own column names; `to_rows` makes rows of
+    the same columns from each such group. `headers` are rows of file_headers, one per file.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    rejected = []
+    for row in headers:
+        names = tuple(next(csv.reader([row["header"] or ""]), ()))
+        try:
+            if len(set(names)) < len(names):
+                raise ValueError(f"a column name occurs twice in {list(names)}")
+            used_columns(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        except ValueError as e:
+            rejected.append(Rejected(row[SOURCE_FILE], str(e)))
+            continue
+        groups.setdefault(names, []).append(_path(row[SOURCE_FILE]))
+    result = None
+    for names, paths in sorted(groups.items()):
+        # An unnamed column, as an index has, gets the name that the reader would give it.
+        named = [n or f"_c{i}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in named])
+        same = "" not in names
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", not same)
+        rows = to_rows(_select(reader.csv(paths), schema, with_source=True))
+        result = rows if result is None else result.unionByName(rows)
+    return result, rejected
+
+
+def stream_lines(spark: SparkSession, path: str, max_files: int, glob: str | None = None) -> DataFrame:
+    """Lines of new files of a folder, at most `max_files` files per batch, oldest first."""
     # By default a stream ignores a file that is a week older than the newest one
     # it has seen; a delivery that comes late must still be loaded.
-    reader = reader.option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
-    return _select(reader.csv(path), schema, with_source=True)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return lines_of(reader.option("maxFileAge", "36500d"), path, glob)

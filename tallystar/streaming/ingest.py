@@ -16,10 +16,17 @@ from tallystar.operators.unpivot import to_long
 from tallystar.plans.load import load_rows
 from tallystar.schemas import CLEAN
 from tallystar.sinks.snapshots import append_manifest, snapshot_name, write_snapshot
-from tallystar.sinks.star_tables import ensure_star
+from tallystar.sinks.star_tables import append_rejected, ensure_star
 from tallystar.sources.snapshots import read_snapshot
 from tallystar.sources.star_tables import read_ledger
-from tallystar.sources.wide_files import SOURCE_FILE, SOURCE_TIME, header_schema, stream_wide
+from tallystar.sources.wide_files import (
+    SOURCE_FILE,
+    SOURCE_TIME,
+    Rejected,
+    file_headers,
+    read_by_header,
+    stream_lines,
+)
 
 SOURCE = (SOURCE_FILE, SOURCE_TIME)
 RANK = "file_rank"
@@ -81,17 +88,41 @@ def _rows_of(spark: SparkSession, long: DataFrame, accepted: Sequence[Row]) -> D
     return rows if len(accepted) == 1 else newest_per_key(rows)
 
 
+def _files_with_repeated_keys(long: DataFrame) -> list[str]:
+    """Files that hold a date and product twice; at most the files of a batch."""
+    repeated = (
+        clean(long, SOURCE)
+        .groupBy(SOURCE_FILE, "Date", "product_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+    )
+    return [r[0] for r in repeated.select(SOURCE_FILE).distinct().collect()]
+
+
 def load_batch(
-    wide: DataFrame, batch_id: int, lake: str, mart: str, extra_formats: Sequence[str] = ()
+    lines: DataFrame, batch_id: int, lake: str, mart: str, extra_formats: Sequence[str] = ()
 ) -> int:
     """Loads the files of one batch and returns how many had new content.
 
+    Each file is read by its own header. A file without the needed columns, or with a date and
+    product twice, is listed in the mart's rejected files and left out; the others are loaded.
     Run twice, for a batch that is replayed after a failure, it finds the files
     in the ledger and does nothing.
     """
-    spark = wide.sparkSession
+    spark = lines.sparkSession
     ensure_star(spark, mart)
-    long = to_long(wide, extra_formats, carry=SOURCE)
+    headers = file_headers(lines).collect()
+    long, rejected = read_by_header(
+        spark, headers, lambda wide: to_long(wide, extra_formats, carry=SOURCE)
+    )
+    if long is not None:
+        repeated = _files_with_repeated_keys(long)
+        rejected += [Rejected(f, "not unique: a date and product twice") for f in repeated]
+        if repeated:
+            long = long.where(~F.col(SOURCE_FILE).isin(repeated))
+    append_rejected(spark, mart, rejected)
+    if long is None:
+        return 0
     picked = accepted_files(file_profiles(long), read_ledger(spark, mart))
     accepted = sorted(picked.collect(), key=lambda r: (r[SOURCE_TIME], r["filename"]))
     if not accepted:
@@ -121,8 +152,7 @@ def ingest_new_files(
     `max_files` bounds a batch: what it keeps on the driver is one row per file,
     whatever the size of the files.
     """
-    schema = header_schema(spark, in_folder, glob)
-    stream = stream_wide(spark, in_folder, schema, max_files, glob)
+    stream = stream_lines(spark, in_folder, max_files, glob)
     query = (
         stream.writeStream.foreachBatch(
             lambda df, batch_id: load_batch(df, batch_id, lake, mart, extra_formats)

@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -78,13 +79,13 @@ def test_copies_within_a_batch_are_loaded_once(spark, home):
 
 
 @pytest.mark.parametrize("others", [[], [B]])
-def test_duplicate_keys_within_one_file_stop_the_stream(spark, home, others):
+def test_a_file_with_duplicate_keys_is_left_out(spark, home, others):
     write_file(f"{home}/data", "a.csv", [A[0], A[0]])
     for i, rows in enumerate(others):
         write_file(f"{home}/data", f"{i}.csv", rows)
-    with pytest.raises(Exception, match="not unique"):
-        run(spark, home)
-    assert star.read_ledger(spark, f"{home}/mart").count() == 0
+    run(spark, home)
+    assert ledger(spark, home) == [f"{i}.csv" for i in range(len(others))]
+    assert star.read_rejected(spark, f"{home}/mart").first()["reason"].startswith("not unique")
 
 
 @pytest.mark.parametrize("before_commit", [True, False])
@@ -164,3 +165,52 @@ def test_rows_are_combined_before_each_shuffle_to_the_newest(spark):
     assert len(below) == 2 and all("HashAggregate" in line for line in below)
     assert all("partial_" in line for line in below)
     assert [tuple(r)[-2:] for r in newest.collect()] == [(3, 3.0)]
+
+
+GROWING = [
+    ("1.csv", "Date,Q-P1,S-P1\n13-06-2010,1,1.5\n"),
+    ("2 é.csv", "S-P2,Date,Q-P2,Q-P1,S-P1\n2.5,14-06-2010,2,3,3.5\n"),
+    ("3.csv", "Date,Q-P1,S-P1\n15-06-2010,4,4.5\n"),
+]
+GROWN = {
+    ("2010-06-13", "P1"): (1, 1.5),
+    ("2010-06-14", "P1"): (3, 3.5),
+    ("2010-06-14", "P2"): (2, 2.5),
+    ("2010-06-15", "P1"): (4, 4.5),
+}
+
+
+def put(home, name, text):
+    folder = Path(home) / "data"
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+
+
+@pytest.mark.parametrize("at_once", [True, False])
+def test_products_may_come_and_go_between_files(spark, home, at_once):
+    for name, text in GROWING:
+        put(home, name, text)
+        if not at_once:
+            run(spark, home)
+    run(spark, home)
+    assert fact(spark, home) == GROWN
+    assert star.read_rejected(spark, f"{home}/mart").isEmpty()
+
+
+def test_etl_reads_a_folder_of_different_headers(spark, home):
+    for name, text in [*GROWING, ("4.csv", "no,such,columns\n1,2,3\n")]:
+        put(home, name, text)
+    result = run_etl(spark, f"{home}/data", f"{home}/lake", f"{home}/mart")
+    assert fact(spark, home) == GROWN
+    assert [r.filename.rsplit("/", 1)[1] for r in result.rejected] == ["4.csv"]
+
+
+def test_broken_files_are_listed_and_the_others_load(spark, home):
+    put(home, "bad.csv", "no,such,columns\n1,2,3\n")
+    put(home, "twice.csv", "Date,Q-P1,S-P1\n01-01-2011,1,1.0\n01-01-2011,2,2.0\n")
+    for name, text in GROWING:
+        put(home, name, text)
+    run(spark, home)
+    assert fact(spark, home) == GROWN
+    listed = star.read_rejected(spark, f"{home}/mart").collect()
+    assert {r["filename"].rsplit("/", 1)[1] for r in listed} == {"bad.csv", "twice.csv"}
