@@ -40,6 +40,8 @@ PATTERNS = {
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 #: Code points on each side of an entity in which terms are weighed.
 SIDE = 48
+#: Code points of a cell, in which terms and values of a text meet, and of a block of text to cut.
+CELL, BLOCK = 64, 1024
 KEY = ["doc_id", "text_key"]
 
 
@@ -198,11 +200,17 @@ class Sanitiser:
             near.join(pairs, ["entity", "term"])
             .groupBy(*KEY, "start", "stop", "term").agg(F.max("disclosure").alias("disclosure"))
         )
-        # A term that is a part of personal data goes with it.
-        t, b = found.alias("t"), self.base.alias("b")
+        # A term that is a part of personal data goes with it. Terms have SIDE + 1 code points at
+        # most; both meet in cells, so a text full of values is not compared pair by pair.
+        cells = F.sequence(
+            F.floor((F.col("start") - SIDE) / CELL), F.floor((F.col("stop") - 1) / CELL)
+        )
+        t = found.withColumn("cell", F.floor(F.col("start") / CELL)).alias("t")
+        b = self.base.select(*KEY, "start", "stop", F.explode(cells).alias("cell")).alias("b")
         inside = (
             (F.col("t.text_key") == F.col("b.text_key"))
             & F.col("t.doc_id").eqNullSafe(F.col("b.doc_id"))
+            & (F.col("t.cell") == F.col("b.cell"))
             & (F.col("t.start") < F.col("b.stop"))
             & (F.col("b.start") < F.col("t.stop"))
         )
@@ -213,12 +221,19 @@ class Sanitiser:
         )
         label = F.element_at(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv]), F.col("kind"))
         order = F.array_position(F.array(*[F.lit(k) for k in [*KINDS, "term"]]), F.col("kind"))
+        # `far`: the furthest end of the spans before.
+        earlier = (
+            Window.partitionBy(*KEY).orderBy("start", "order", "stop", "kind", "label")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
         self.spans = scratch.saved(
             self.base.select(*KEY, "kind", "start", "stop", label.alias("label")).union(terms)
+            .withColumn("order", order)
+            .withColumn("far", F.coalesce(F.max("stop").over(earlier), F.lit(0).cast("long")))
             .groupBy(*KEY)
             .agg(
                 F.array_sort(
-                    F.collect_list(F.struct("start", order.alias("order"), "stop", "kind", "label"))
+                    F.collect_list(F.struct("start", "order", "stop", "kind", "label", "far"))
                 ).alias("spans")
             ),
             "all-spans",
@@ -240,32 +255,25 @@ class Sanitiser:
         )
 
     def sanitised(self, docs: DataFrame) -> DataFrame:
-        """The rows of the searched table, their texts without what the spans cover."""
+        """The rows of the searched table, their texts without what the spans cover.
+
+        Texts with spans are cut into blocks first, so that a text of many spans is not read from
+        its beginning for each of them.
+        """
         text = F.col(f"`{self.text_col}`").cast("string")
-        cut = F.aggregate(
-            "__spans",
-            F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-            lambda a, x: F.struct(
-                F.concat(
-                    a.out,
-                    F.when(
-                        x.start >= a.at,
-                        F.concat(
-                            F.substring(text, (a.at + 1).cast("int"), (x.start - a.at).cast("int")),
-                            x.label,
-                        ),
-                    ).otherwise(""),
-                ).alias("out"),
-                F.greatest(a.at, x.stop).alias("at"),
-            ),
-            lambda a: F.concat(
-                a.out, F.substring(text, (a.at + 1).cast("int"), F.lit(2147483647))
-            ),
-        )
         spans = self.spans.select(
             F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"),
             F.col("spans").alias("__spans"),
         )
+        blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+        kept = F.transform(
+            "__spans",
+            lambda x: F.when(
+                x.start >= x.far, F.concat(_between("__blocks", x.far, x.start), x.label)
+            ).otherwise(""),
+        )
+        last = F.array_max(F.transform("__spans", lambda x: x.stop))
+        cut = F.concat(F.array_join(kept, ""), _between("__blocks", last, F.length(text)))
         return (
             docs.withColumn("__key_", F.xxhash64(F.coalesce(text, F.lit(""))))
             .join(
@@ -274,11 +282,19 @@ class Sanitiser:
                 & F.col(f"`{self.id_col}`").eqNullSafe(F.col("__id")),
                 "left",
             )
+            .withColumn("__blocks", F.when(F.col("__spans").isNotNull(), blocks))
             .withColumn(self.text_col, F.when(F.col("__spans").isNotNull(), cut).otherwise(text))
             .select(*[f"`{c}`" for c in docs.columns])
         )
 
 
+def _between(blocks: str, start: Column, stop: Column) -> Column:
+    """Code points from start to stop of a text in blocks; reads the blocks between alone."""
+    first, last = F.floor(start / BLOCK), F.floor((stop - 1) / BLOCK)
+    joined = F.array_join(F.slice(blocks, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+    return F.substring(joined, (start - first * BLOCK + 1).cast("int"), (stop - start).cast("int"))
+
+
 def _of_kind(spans: str, kind: str) -> Column:
     return F.filter(spans, lambda x: x.kind == kind)
 

@@ -175,7 +175,19 @@ def test_packing(table, library):
     assert len(sequences) <= sum(r.length for r in got) / 1024 * 1.03 + 2
 
 
-def test_the_closest_filling_is_the_best(): 
+def test_packing_with_many_buckets(documents, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKETS", 1)
+    monkeypatch.setattr(packing, "BUCKET_PIECES", 3)
+    rows = packing.packed(documents).collect()
+    places = [(r.sequence_id, r.offset + i) for r in rows for i in (0, r.length - 1)]
+    assert len({(s, o) for s, o in places}) >= len(rows)
+    ends = defaultdict(list)
+    for r in rows:
+        ends[r.sequence_id].append((r.offset, r.offset + r.length))
+    assert all(sorted(x)[0][0] == 0 and all(a[1] == b[0] for a, b in zip(sorted(x), sorted(x)[1:])) for x in ends.values())
+
+
+def test_the_closest_filling_is_the_best():
     rng = np.random.default_rng(1)
     for _ in range(60):
         counts = {int(x): int(rng.integers(1, 4)) for x in rng.integers(1, 30, 5)}
@@ -232,6 +244,32 @@ def test_sanitised_texts_hold_no_personal_data(edges):
     assert sum(r.text is None for r in clean) == 2
 
 
+def test_texts_full_of_values_are_cut_in_the_right_places(spark):
+    """Values across the borders of blocks and cells, kinds that overlap, signs of four bytes."""
+    rng = np.random.default_rng(6)
+    value = ["jo{}@mail.example.com", "10.0.{}.7", "+1 415 555 {:04d}", "+4111 1111 1111 1111 {}"]
+    parts = ["\U0001f600é\n" * int(rng.integers(0, 9)) + value[i % 4].format(int(rng.integers(250))) for i in range(20_000)]
+    long = " zorb ".join(parts) + "é" * 3000
+    rows = [(1, long), (2, long[: 1024 * 3]), (3, "a@b.cc"), (4, "é" * 1024 + "a@b.cc"), (5, "a@b.cc" + "é" * 1018)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Sanitiser(frame, support=1)
+    spans = {r.doc_id: r.spans for r in found.documents().select("doc_id", "spans").collect()}
+    assert len(spans[1]) > 15_000 and any(s.kind == "term" for s in spans[1])
+    texts = {r.doc_id: r.text for r in found.sanitised(frame).collect()}
+    for i, text in rows:
+        out, at = [], 0
+        for s in spans[i]:
+            if s.start >= at:
+                out += [text[at : s.start], s.label]
+            at = max(at, s.stop)
+        assert texts[i] == "".join(out) + text[at:]
+        values = [(s.start, s.stop) for s in spans[i] if s.kind != "term"]
+        inside = np.zeros(len(text), bool)
+        for a, b in values:
+            inside[a:b] = True
+        assert not any(inside[s.start : s.stop].any() for s in spans[i] if s.kind == "term")
+
+
 # 7
 
 
