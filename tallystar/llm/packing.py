@@ -8,7 +8,8 @@ back to a count of each length. That filling is used as often as the lengths las
 of steps depends on the window, not on the number of documents.
 
 Each piece then finds its place from its rank among the pieces of its length. Ranks come from
-numbered buckets of a hash, so pieces of a frequent length are not ranked in one task.
+numbered buckets of a hash, so pieces of a frequent length are not ranked in one task. A length has
+as many buckets as its pieces need, so a bucket keeps its size and rare lengths have one.
 
 The ids are those of the vocabulary file by its own pattern and merges, computed from the file's
 vocabulary by the rank-based encoder, which gives the same ids as the file's library at a fifth of
@@ -36,8 +37,8 @@ from tallystar.llm.merge_counts import VOCABULARY, byte_signs
 from tallystar.llm.tables import Scratch, id_type, ship, texts
 from tallystar.llm.text import chunks
 
-#: Buckets of a hash in which the pieces of a length are numbered.
-BUCKETS = 256
+#: Pieces of a bucket, about, and the most buckets whose first ranks are sent to every executor.
+BUCKET_PIECES, BROADCAST_BUCKETS = 1 << 11, 1 << 17
 
 _encoders: dict[str, tiktoken.Encoding] = {}
 
@@ -180,22 +181,25 @@ def packed(
         "ids_crc32 long, doc_tokens long"
     )
     pieces = scratch.saved(
-        texts(docs, id_col, text_col).mapInArrow(_pieces(vocabulary, window, end), head)
-        .withColumn(
-            "bucket",
-            F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(BUCKETS)).cast("int"),
-        ),
+        texts(docs, id_col, text_col).mapInArrow(_pieces(vocabulary, window, end), head),
         "pieces",
     )
-    # One row for each length and bucket, at most window * BUCKETS rows.
+    # One row for each length, at most `window`.
+    lengths = scratch.saved(pieces.groupBy("length").agg(F.count("*").alias("n")), "lengths")
+    counts = dict(lengths.collect())
+    buckets = F.ceil(F.col("n") / BUCKET_PIECES)
+    pieces = pieces.join(
+        F.broadcast(lengths.select("length", buckets.alias("buckets"))), "length"
+    ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("buckets")))
     sizes = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     sizes = scratch.saved(sizes, "sizes")
-    counts = {r[0]: r[1] for r in sizes.groupBy("length").agg(F.sum("n")).collect()}
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = scratch.saved(
         sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")),
         "firsts",
     )
+    n_buckets = sum(-(-n // BUCKET_PIECES) for n in counts.values())
+    firsts = F.broadcast(firsts) if n_buckets <= BROADCAST_BUCKETS else firsts.hint("merge")
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
     ranked = pieces.withColumn("at", F.row_number().over(inside)).join(firsts, ["length", "bucket"])
     return ranked.select(
