@@ -19,7 +19,9 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text handled at a time. A longer text is handled by itself, whole.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Powers of a base that a worker keeps at most.
+KEPT_POWERS = 1 << 22
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -51,7 +53,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         _powers[base] = have = np.cumprod(have)
-        if size > 4 * CHUNK_BYTES:  # of one very long text: not kept
+        if size > KEPT_POWERS:  # of one very long text: not kept
             del _powers[base]
     return have[:n]
 
@@ -98,6 +100,7 @@ def chunks(
             part = Texts(all_texts.data[ends[0] : ends[-1]], ends - ends[0])
             yield batch.slice(first, last - first), part
             first = last
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 @dataclass
