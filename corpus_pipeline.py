@@ -28,7 +28,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of five-word similarity 0.8 or more (operator 10)."""
-    return GroupedPrefixJoin(docs, k=5, percent=80).representatives(docs)
+    join = GroupedPrefixJoin(docs, k=5, percent=80)
+    kept = join.representatives(docs)
+    join.release()
+    return kept
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,22 +17,29 @@ from tallystar.llm.tables import Scratch
 def connected(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Edges (a, b), longs -> (v, c): the smallest vertex c of each vertex's component.
 
-    Vertices without edges are not returned. Null ends, loops and repeated edges don't matter;
+    The result is the scratch table `<name>-labels`. Vertices without edges are not returned. Null ends, loops and repeated edges don't matter;
     an empty table gives an empty result.
     """
     found = scratch.saved(_small_star(edges.where("a <> b"), scratch, f"{name}-0"), f"{name}-0")
+    scratch.drop(f"{name}-0-least")
     mark, step = _mark(found), 0
     while True:
         step += 1
         large = scratch.saved(
             _large_star(found, scratch, f"{name}-{step}"), f"{name}-{step}-large"
         )
+        scratch.drop(f"{name}-{step}-around", f"{name}-{step - 1}")
         found = scratch.saved(_small_star(large, scratch, f"{name}-{step}"), f"{name}-{step}")
+        scratch.drop(f"{name}-{step}-least", f"{name}-{step}-large")
         last, mark = mark, _mark(found)
         if mark == last:
             break
     roots = found.select(F.col("b").alias("v"), F.col("b").alias("c")).distinct()
-    return found.select(F.col("a").alias("v"), F.col("b").alias("c")).union(roots)
+    labels = scratch.saved(
+        found.select(F.col("a").alias("v"), F.col("b").alias("c")).union(roots), f"{name}-labels"
+    )
+    scratch.drop(f"{name}-{step}")
+    return labels
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -105,7 +105,7 @@ def base_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
     cuts = [F.when(F.size(k) > 1, cut(k)).otherwise(none) for k in KINDS]
     found = scratch.saved(found.select(*KEY, F.concat(*cuts).alias("cuts")), "marked")
     before = Window.partitionBy(*KEY, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    return scratch.saved(
+    spans = scratch.saved(
         found.dropDuplicates(KEY)
         .select(*KEY, F.explode("cuts").alias("c")).select(*KEY, "c.*")
         .withColumn("start", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
@@ -115,6 +115,8 @@ def base_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
                 "before", "after"),
         "spans",
     )
+    scratch.drop("marked")
+    return spans
 
 
 def _terms_of(side: str) -> Column:
@@ -238,6 +240,7 @@ class Sanitiser:
             ),
             "all-spans",
         )
+        scratch.drop("near", "pairs", "terms", "disclosing")
 
     def documents(self) -> DataFrame:
         """doc_id, n_email, n_ip, n_card, n_phone, base (array), spans (array)."""

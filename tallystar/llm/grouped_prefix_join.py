@@ -236,16 +236,19 @@ class GroupedPrefixJoin:
             "members",
         )
         postings = self._postings()
+        # The prefixes are in the postings now; the rest of the signatures stays.
+        self.signed = self.scratch.saved(self.signed.drop("prefix", "last_rank", "last_gram"), "keys")
+        self.scratch.drop("signed", "prefixes")
         stars = self._verified(self._star_pairs(postings), "stars")
-        first = self.scratch.saved(connected(stars, self.scratch, "first"), "first-labels")
+        self.scratch.drop("centres")
+        first = connected(stars, self.scratch, "first")
         rest = self._verified(self._cross_pairs(postings, first), "rest")
+        self.scratch.drop("parts", "posted-parts", "mixed", "mixed-rows", "postings", "groups", "members")
         self._links = stars.union(rest)
         # The stars of the first labels stand for the links they came from.
         joined = first.where("v <> c").select(F.col("v").alias("a"), F.col("c").alias("b"))
         self.labels = (
-            self.scratch.saved(
-                connected(joined.union(rest.select("a", "b")), self.scratch, "all"), "all-labels"
-            )
+            connected(joined.union(rest.select("a", "b")), self.scratch, "all")
             if not rest.isEmpty()
             else first
         )
@@ -266,9 +269,10 @@ class GroupedPrefixJoin:
             .select("gid", "n", "members", "prefix"),
             "prefixes",
         )
+        self.scratch.drop("first")
         rows = owners.select("gid", "n", "members", F.posexplode("prefix").alias("pos", "token"))
         shared = rows.groupBy("token").agg(F.sum("members").alias("of")).where("of > 1")
-        return self.scratch.saved(
+        postings = self.scratch.saved(
             rows.join(self.scratch.saved(shared.select("token"), "shared"), "token")
             .select(
                 "token", "gid", "n", "pos", self._reach(F.col("n"), F.col("pos")).alias("reach")
@@ -276,6 +280,8 @@ class GroupedPrefixJoin:
             .distinct(),
             "postings",
         )
+        self.scratch.drop("shared")
+        return postings
 
     def _grams_of(self, sids: DataFrame, name: str) -> DataFrame:
         """Whole sets of the given numbers, from one document of each."""
@@ -291,11 +297,13 @@ class GroupedPrefixJoin:
             _sets(self.k, self.kind, table),
             f"doc_id {self.kind}, text_key long, grams array<long>",
         )
-        return self.scratch.saved(
+        grams = self.scratch.saved(
             found.join(wanted, "text_key").where(F.col("doc_id").eqNullSafe(F.col("__id")))
             .dropDuplicates(["sid"]).select("sid", "grams"),
             f"{name}-grams",
         )
+        self.scratch.drop(f"{name}-wanted")
+        return grams
 
     def _may_link(self, a: str, b: str):
         """Sizes and positions of the shared shingle leave room for enough overlap."""
@@ -396,16 +404,19 @@ class GroupedPrefixJoin:
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Pairs that link, by their whole sets."""
         pairs = self.scratch.saved(pairs, f"{name}-members")
+        self.scratch.drop(f"{name}-pairs")
         grams = self._grams_of(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), name)
         left = grams.select(F.col("sid").alias("a"), F.col("grams").alias("ga"))
         right = grams.select(F.col("sid").alias("b"), F.col("grams").alias("gb"))
         shared = F.size(F.array_intersect("ga", "gb"))
-        return self.scratch.saved(
+        links = self.scratch.saved(
             pairs.join(right, "b").join(left, "a")
             .select("a", "b", (F.size("ga") + F.size("gb")).alias("sizes"), shared.alias("shared"))
             .where(F.col("shared") * 100 >= (F.col("sizes") - F.col("shared")) * self.percent),
             name,
         )
+        self.scratch.drop(f"{name}-members", f"{name}-grams")
+        return links
 
     def links(self) -> DataFrame:
         """Verified links between distinct sets, by their smallest ids: id_a, id_b, shared.
@@ -449,6 +460,13 @@ class GroupedPrefixJoin:
             rows = full.unionByName(rest.dropDuplicates([self.id_col, "__key_"]))
         return rows.drop("__key_")
 
+    def release(self) -> None:
+        """Remove the scratch tables but those that rows of `representatives` come from.
+
+        Other results can't be had from this join afterwards.
+        """
+        self.scratch.keep("kept")
+
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id: one row per row of the table."""
         labelled = self._labelled()

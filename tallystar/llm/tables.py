@@ -26,22 +26,46 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([*paths, ROOT])
 
 
+#: With it, Spark removes the shuffle files of a query as soon as the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables of one run, written below the shared folder of spark.checkpoint.dir.
 
     A table that was written does not depend on the executors that made it, and numbers given
-    to its rows stay as they are.
+    to its rows stay as they are. So the shuffle files behind it go when it has been written, and
+    it goes itself by `drop` when all that is read from it has been written.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.folder = scratch_folder(spark)
+        self.names: list[str] = []
 
     def saved(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
+        if name not in self.names:
+            self.names.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Remove tables that nothing reads any more."""
+        for name in names:
+            self.names.remove(name)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def keep(self, *names: str) -> None:
+        """Remove all tables but these."""
+        self.drop(*[n for n in self.names if n not in names])
+
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and text under fixed names; a null text is an empty one. Other columns are left out."""
