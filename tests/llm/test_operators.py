@@ -241,6 +241,10 @@ def test_sanitised_texts_hold_no_personal_data(edges):
     clean = Sanitiser(edges).sanitised(edges).collect()
     assert all(brute.personal(r.text) == "" for r in clean)
     assert sum(r.text is None for r in clean) == 2
+    # Each row is there once, and texts without personal data are as they were.
+    assert bag(r.doc_id for r in clean) == bag(r.doc_id for r in edges.collect())
+    plain = [r for r in edges.collect() if brute.personal(r.text) == ""]
+    assert not bag((r.doc_id, r.text) for r in plain) - bag((r.doc_id, r.text) for r in clean)
 
 
 def test_texts_full_of_values_are_cut_in_the_right_places(spark):
