@@ -1,14 +1,15 @@
 """Information-theoretic sanitisation, in DataFrame functions only (operator 6).
 
 Protected entities are the personal values in the corpus: e-mail and IP addresses, card and phone
-numbers. A term near an entity discloses it as far as knowing the term makes the entity likelier:
-the pointwise mutual information of term and entity, over the entity's information content,
+numbers. A term in a text that holds an entity discloses it as far as both are found together: their
+normalised pointwise mutual information,
 
-    disclosure = log(co * N / (df_term * df_entity)) / log(N / df_entity)
+    disclosure = log(co * N / (df_term * df_entity)) / log(N / co)
 
-with document counts over the whole corpus; it is 1 if the term occurs with the entity alone.
-Terms that were seen near the entity in `support` documents or more are removed from its
-surroundings at `remove_at`, and replaced by their kind (a word or a number) at `generalise_at`.
+with counts of distinct texts over the whole corpus, so copies of a text count once. It is 1 if both
+occur only together, and less the rarer a pair is beside its parts, which corrects small counts:
+entities of one or two texts act, too. Terms are removed at `remove_at`, and replaced by their kind
+(a word or a number) at `generalise_at`, wherever they stand in a text that holds the entity.
 
 The base spans are the leftmost non-overlapping matches of each kind. Matches are set off by marks
 in the text; the lengths between the marks, added up in a window per document, give the places, as
@@ -40,11 +41,10 @@ PATTERNS = {
 #: Every valid IP address or card number holds a match of this; one cheap pass over a text.
 NUMBERS = r"[0-9](?:(?:[ -]?[0-9]){13}|[0-9]*\.[0-9]+\.[0-9]+\.[0-9])"
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
-#: Code points on each side of an entity in which terms are weighed.
-SIDE = 48
-#: Code points of a cell, in which terms and values of a text meet, and of a block of text to cut.
-CELL, BLOCK = 64, 1024
+#: Code points of a block of text to cut.
+BLOCK = 1024
 KEY = ["doc_id", "text_key"]
+GROUP = ["df_entity", "a", "b"]
 
 
 def _digits(value: Column) -> Column:
@@ -86,10 +86,7 @@ def _valid(kind: Column, value: Column) -> Column:
 
 
 def base_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, text_key, kind, start, stop, value, before, after) of each valid match.
-
-    before, after: up to SIDE + 1 code points of the text on each side, up to the next match.
-    """
+    """(doc_id, text_key, kind, start, stop, value) of each valid match."""
     # A mark in the text itself becomes another sign of the same length, which no pattern has.
     clean = F.translate("text", MARK, "\x02")
     parts = [
@@ -106,14 +103,10 @@ def base_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
                 i.alias("i"),
                 F.length(s).alias("length"),
                 F.when(i % 2 == 1, s).alias("value"),
-                F.when(i % 2 == 1, F.right(F.get(kind, i - 1), F.lit(SIDE + 1))).alias("before"),
-                F.when(i % 2 == 1, F.left(F.get(kind, i + 1), F.lit(SIDE + 1))).alias("after"),
             ),
         )
 
-    none = F.array().cast(
-        "array<struct<kind:string,i:int,length:int,value:string,before:string,after:string>>"
-    )
+    none = F.array().cast("array<struct<kind:string,i:int,length:int,value:string>>")
     cuts = [F.when(F.size(k) > 1, cut(k)).otherwise(none) for k in KINDS]
     found = scratch.saved(found.select(*KEY, F.concat(*cuts).alias("cuts")), "marked")
     before = Window.partitionBy(*KEY, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
@@ -123,73 +116,104 @@ def base_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
         .withColumn("start", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
         .where("value is not null")
         .where(_valid(F.col("kind"), F.col("value")))
-        .select(*KEY, "kind", "start", (F.col("start") + F.col("length")).alias("stop"), "value",
-                "before", "after"),
+        .select(*KEY, "kind", "start", (F.col("start") + F.col("length")).alias("stop"), "value"),
         "spans",
     )
     scratch.drop("marked")
     return spans
 
 
-def _terms_of(side: str) -> Column:
-    """(term, at): whole words of a side, lower-case, at its code points."""
-    pieces = F.split(F.regexp_replace(side, r"[\p{L}\p{N}]++", f"{MARK}$0{MARK}"), MARK, -1)
-    # A side has SIDE + 1 code points at most, so adding up again for each piece is short.
-    return F.transform(
-        pieces,
-        lambda s, i: F.struct(
-            F.lower(s).alias("term"),
-            F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda a, x: a + F.length(x)).alias("at"),
-            F.length(s).alias("length"),
-            i.alias("i"),
-        ),
+def term_places(rows: DataFrame) -> DataFrame:
+    """(text_key, term, start, stop): the words of each text, lower-case, at its code points."""
+    marked = F.regexp_replace(F.translate("text", MARK, "\x02"), r"[\p{L}\p{N}]++", f"{MARK}$0{MARK}")
+    before = Window.partitionBy("text_key").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.dropDuplicates(["text_key"])
+        .select("text_key", F.posexplode(F.split(marked, MARK, -1)).alias("i", "piece"))
+        .withColumn("length", F.length("piece").cast("long"))
+        .withColumn("start", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long")))
+        .where("i % 2 = 1")
+        .select(
+            "text_key", F.lower("piece").alias("term"), "start",
+            (F.col("start") + F.col("length")).alias("stop"),
+        )
     )
 
 
-def surroundings(spans: DataFrame) -> DataFrame:
-    """(doc_id, text_key, entity, term, start, stop): whole words beside each entity."""
+def entity_groups(base: DataFrame) -> DataFrame:
+    """(text_key, df_entity, a, b): the entities of each text; those of the same texts are one.
+
+    Entities that stand in the same texts disclose alike. A text full of values that stand nowhere
+    else has one group of them, so terms and groups of a text are few pairs.
+    """
     entity = F.concat("kind", F.lit(":"), F.lower("value"))
-    left = spans.select(
-        *KEY, entity.alias("entity"), (F.col("start") - F.length("before")).alias("from"),
-        F.length("before").alias("size"), F.explode(_terms_of("before")).alias("t"),
-    ).where("t.i % 2 = 1 and (t.at > 0 or from = 0)")
-    right = spans.select(
-        *KEY, entity.alias("entity"), F.col("stop").alias("from"),
-        F.length("after").alias("size"), F.explode(_terms_of("after")).alias("t"),
-    ).where(f"t.i % 2 = 1 and t.at + t.length <= {SIDE}")
-    return left.union(right).select(
-        *KEY, "entity", "t.term",
-        (F.col("from") + F.col("t.at")).cast("long").alias("start"),
-        (F.col("from") + F.col("t.at") + F.col("t.length")).cast("long").alias("stop"),
+    held = base.select("text_key", entity.alias("entity")).distinct()
+    groups = held.groupBy("entity").agg(
+        F.count("*").alias("df_entity"),
+        F.bit_xor(F.xxhash64("text_key")).alias("a"),
+        F.bit_xor(F.xxhash64("text_key", F.lit(1))).alias("b"),
     )
+    return held.join(groups, "entity").select("text_key", *GROUP).distinct()
 
 
 def disclosing(
-    rows: DataFrame, near: DataFrame, scratch: Scratch, support: int, least: float
+    rows: DataFrame, words: DataFrame, groups: DataFrame, scratch: Scratch, support: int, least: float
 ) -> DataFrame:
-    """(entity, term, disclosure) of pairs at or above `least`."""
-    total = rows.count()
-    met = near.select(*KEY, "entity", "term").distinct()
-    pairs = met.groupBy("entity", "term").agg(F.count("*").alias("co")).where(F.col("co") >= support)
-    entities = (
-        near.select(*KEY, "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
-    )
-    pairs = scratch.saved(pairs.join(entities, "entity"), "pairs")
-    wanted = scratch.saved(pairs.select("term").distinct(), "terms")
-    # Words are counted in each task first; only then they meet the terms that matter.
+    """(text_key, term, disclosure) of the terms at or above `least` for an entity of their text."""
+    total = float(max(rows.select("text_key").distinct().count(), 1))
+    own = words.select("text_key", "term").distinct()
+    # Distinct words meet their copies by the text's key; only then they are counted.
+    parts = F.transform(F.split("text", r"[^\p{L}\p{N}]+"), F.lower)
     counted = (
-        rows.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
+        rows.select("text_key", F.array_distinct(parts).alias("terms"))
+        .dropDuplicates(["text_key"])
+        .select(F.explode("terms").alias("term"))
         .groupBy("term").agg(F.count("*").alias("df_term"))
-        .join(wanted, "term", "left_semi")
+        .join(own.select("term").distinct(), "term", "left_semi")
     )
-    base = F.log(F.lit(float(max(total, 1))) / F.col("df_entity"))
-    ratio = F.log(F.col("co") * F.lit(float(total)) / (F.col("df_term") * F.col("df_entity"))) / base
-    return scratch.saved(
-        pairs.join(counted, "term")
-        .select("entity", "term", F.when(base > 0, F.least(ratio, F.lit(1.0))).otherwise(0.0).alias("disclosure"))
-        .where(F.col("disclosure") >= least),
+    counted = scratch.saved(counted, "terms")
+    # A pair is found together as often as its rarer part at most: others cannot reach `least`.
+    rarer, commoner = F.least("df_term", "df_entity"), F.greatest("df_term", "df_entity")
+    possible = F.log(total / commoner) >= F.log(total / rarer) * least - 1e-9
+    most = F.log(total / F.col("co"))
+    ratio = F.log(F.col("co") * total / (F.col("df_term") * F.col("df_entity"))) / most
+    found = scratch.saved(
+        own.join(counted, "term").join(groups, "text_key").where(possible)
+        .groupBy(*GROUP, "term", "df_term").agg(F.count("*").alias("co"))
+        .where(F.col("co") >= support)
+        .withColumn("disclosure", F.when(most > 0, F.least(ratio, F.lit(1.0))).otherwise(0.0))
+        .where(F.col("disclosure") >= least)
+        .select(*GROUP, "term", "disclosure"),
         "disclosing",
     )
+    return (
+        groups.join(found, GROUP)
+        .groupBy("text_key", "term").agg(F.max("disclosure").alias("disclosure"))
+    )
+
+
+def _apart(found: DataFrame, base: DataFrame) -> DataFrame:
+    """The terms that share no code point with personal data; the others go with it.
+
+    Terms and values are passed in order, so a text full of values is not compared pair by pair.
+    """
+    values = base.select("text_key", "start", "stop").distinct().select(
+        "*", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("disclosure")
+    )
+    value = F.col("term").isNull()
+    # Of those that begin at the same place, values come before terms.
+    order = Window.partitionBy("text_key").orderBy("start", value.desc())
+    before = order.rowsBetween(Window.unboundedPreceding, 0)
+    after = (
+        Window.partitionBy("text_key").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        found.unionByName(values)
+        .withColumn("last", F.max(F.when(value, F.col("stop"))).over(before))
+        .withColumn("next", F.min(F.when(value, F.col("start"))).over(after))
+        .where("term is not null and coalesce(last <= start, true) and coalesce(next >= stop, true)")
+        .drop("last", "next")
+    )
 
 
 class Sanitiser:
@@ -198,7 +222,7 @@ class Sanitiser:
     def __init__(
         self,
         docs: DataFrame,
-        support: int = 3,
+        support: int = 1,
         remove_at: float = 0.95,
         generalise_at: float = 0.8,
         id_col: str = "doc_id",
@@ -208,31 +232,20 @@ class Sanitiser:
         self.id_col, self.text_col = id_col, text_col
         self.rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
         self.base = base_spans(self.rows, scratch)
-        near = scratch.saved(surroundings(self.base), "near")
-        pairs = disclosing(self.rows, near, scratch, support, generalise_at)
-        found = (
-            near.join(pairs, ["entity", "term"])
-            .groupBy(*KEY, "start", "stop", "term").agg(F.max("disclosure").alias("disclosure"))
-        )
-        # A term that is a part of personal data goes with it. Terms have SIDE + 1 code points at
-        # most; both meet in cells, so a text full of values is not compared pair by pair.
-        cells = F.sequence(
-            F.floor((F.col("start") - SIDE) / CELL), F.floor((F.col("stop") - 1) / CELL)
-        )
-        t = found.withColumn("cell", F.floor(F.col("start") / CELL)).alias("t")
-        b = self.base.select(*KEY, "start", "stop", F.explode(cells).alias("cell")).alias("b")
-        inside = (
-            (F.col("t.text_key") == F.col("b.text_key"))
-            & F.col("t.doc_id").eqNullSafe(F.col("b.doc_id"))
-            & (F.col("t.cell") == F.col("b.cell"))
-            & (F.col("t.start") < F.col("b.stop"))
-            & (F.col("b.start") < F.col("t.stop"))
+        groups = scratch.saved(entity_groups(self.base), "groups")
+        holding = self.rows.where(_may_have_spans(F.col("text"))).join(
+            groups.select("text_key").distinct(), "text_key", "left_semi"
         )
+        words = scratch.saved(term_places(holding), "words")
+        pairs = disclosing(self.rows, words, groups, scratch, support, generalise_at)
         kind = F.when(F.col("term").rlike(r"^\p{N}+$"), "[NUMBER]").otherwise("[WORD]")
-        terms = t.join(b, inside, "left_anti").select(
-            *KEY, F.lit("term").alias("kind"), "start", "stop",
+        places = _apart(words.join(pairs, ["text_key", "term"]), self.base).select(
+            "text_key", F.lit("term").alias("kind"), "start", "stop",
             F.when(F.col("disclosure") >= remove_at, "").otherwise(kind).alias("label"),
         )
+        terms = self.base.select(*KEY).distinct().join(places, "text_key").select(
+            *KEY, "kind", "start", "stop", "label"
+        )
         label = F.element_at(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv]), F.col("kind"))
         order = F.array_position(F.array(*[F.lit(k) for k in [*KINDS, "term"]]), F.col("kind"))
         # `far`: the furthest end of the spans before.
@@ -252,7 +265,7 @@ class Sanitiser:
             ),
             "all-spans",
         )
-        scratch.drop("near", "pairs", "terms", "disclosing")
+        scratch.drop("groups", "words", "terms", "disclosing")
 
     def documents(self) -> DataFrame:
         """doc_id, n_email, n_ip, n_card, n_phone, base (array), spans (array)."""

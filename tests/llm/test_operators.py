@@ -237,6 +237,19 @@ def test_terms_that_disclose_an_entity_are_taken_out(spark):
     assert found.sanitised(frame).columns == frame.columns
 
 
+def test_terms_far_from_rare_entities_are_taken_out(spark):
+    """Entities of one and two texts act on whole texts; copies count once, however many."""
+    filler = " and so on" * 30
+    rows = [(1, f"Quimby{filler} writes to q@x.example"), (2, f"b@y.example{filler} by Zorba or ZORBA")]
+    rows += [(3, f"Again Zorba{filler}, b@y.example")] + [(4, rows[0][1])] * 5
+    rows += [(100 + i, f"again: by or writes to{filler} {i}") for i in range(60)]
+    found = Sanitiser(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = {r.doc_id: r.text for r in found.sanitised(found.rows.select("doc_id", "text")).collect()}
+    assert texts[1] == texts[4] == f"{filler} writes to [EMAIL]"
+    assert texts[2] == f"[EMAIL]{filler} by  or " and texts[3] == f"Again {filler}, [EMAIL]"
+    assert texts[100] == dict(rows)[100]
+
+
 def test_sanitised_texts_hold_no_personal_data(edges):
     clean = Sanitiser(edges).sanitised(edges).collect()
     assert all(brute.personal(r.text) == "" for r in clean)
