@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm.disclosure import Sanitiser
-from tallystar.llm.fertility import quality
+from tallystar.llm.fertility import WIDE, quality
 from tallystar.llm.grouped_prefix_join import GroupedPrefixJoin
 from tallystar.llm.packing import packed
 from tallystar.llm.winnowing import Winnowing
@@ -21,8 +21,8 @@ from tallystar.session import scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the fertility and base rules accept (operator 7)."""
-    kept = quality(docs, carried=tuple(docs.columns)).where("kept")
+    """Documents that the fertility rules, with wide bands, and the base rules accept (operator 7)."""
+    kept = quality(docs, WIDE, carried=tuple(docs.columns)).where("kept")
     return kept.select(*[F.col(f"`kept_{c}`").alias(c) for c in docs.columns])
 
 

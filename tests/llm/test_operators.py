@@ -310,6 +310,15 @@ def test_bands_reject_what_no_language_has(spark):
     assert got[2].byte_share > 0.8 and not got[2].base_failed and not got[2].kept
 
 
+def test_bands_part_labelled_junk_from_good_text(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = quality(documents).where("not base_failed").join(labels, "doc_id").select("quality", "kept").collect()
+    assert all(r.kept for r in got if r.quality == 1)
+    junk = [r.kept for r in got if r.quality == 0]
+    assert len(junk) == 27 and sum(junk) <= 1
+
+
 # 8
 
 
