@@ -226,7 +226,7 @@ def snapshot_manifest_lines(spark, sf_dir):
 
 
 def content_fingerprint(spark, sf_dir):
-    """Orders by the fingerprint of their lines: how many contents occur how often."""
+    """Parts by the fingerprint of the quantities of their first lines: how many occur how often."""
     lines = supplied.table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1)
     per_part = lines.groupBy("l_partkey").agg(
         table_fingerprint(["l_quantity", "l_linenumber"]).alias("content_hash")
@@ -237,6 +237,20 @@ def content_fingerprint(spark, sf_dir):
     )
 
 
+def content_copies(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups by the fingerprint of their whole clean rows: how many contents occur how often."""
+    groups = rows.groupBy(*keys).agg(table_fingerprint(CLEAN.fieldNames()).alias("content_hash"))
+    return (
+        groups.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy("copies").agg(F.count(F.lit(1)).alias("contents"))
+    )
+
+
+def content_fingerprint_rows(spark, sf_dir):
+    """All clean lines in all columns, by date and product."""
+    return content_copies(clean_lines(spark, sf_dir), ["Date", "product_id"])
+
+
 def content_hash(spark, sf_dir):
     docs = supplied.table(spark, sf_dir, "documents")
     return docs.select("doc_id", text_hash(F.col("text")).alias("content_hash"))
@@ -518,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_manifest": snapshot_manifest,
     "snapshot_manifest_lines": snapshot_manifest_lines,
     "content_fingerprint": content_fingerprint,
+    "content_fingerprint_rows": content_fingerprint_rows,
     "content_hash": content_hash,
     "page_hash": page_hash,
     "fact_duplicate_keys": fact_duplicate_keys,

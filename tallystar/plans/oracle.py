@@ -253,6 +253,13 @@ SELECT {FINE_SUM} / COUNT(total_revenue) AS avg_revenue FROM fact""",
   SELECT COUNT(*) AS copies FROM (
     SELECT l_partkey, list_sort(list(l_quantity)) AS content
     FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey)
+  GROUP BY content) GROUP BY copies""",
+    "content_fingerprint_rows": f"""WITH {LINE_CLEAN}
+SELECT copies, COUNT(*) AS contents FROM (
+  SELECT COUNT(*) AS copies FROM (
+    SELECT "Date", product_id, list_sort(list(ROW("Date", "Year", "Month", "Day", product_id,
+      "Total_Units_Sold", "Total_Revenue"))) AS content
+    FROM clean GROUP BY "Date", product_id)
   GROUP BY content) GROUP BY copies""",
     "unpivot_sales": f"WITH {DAILY_LONG} SELECT * FROM long",
     "unpivot_brands": f"WITH {BRAND_LONG} SELECT * FROM long",

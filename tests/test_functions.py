@@ -1,6 +1,6 @@
 import math
 import struct
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import hashlib
@@ -14,6 +14,7 @@ from tallystar.functions.dates import month_start, year_month
 from tallystar.functions.fingerprint import table_fingerprint, text_hash
 from tallystar.functions.labels import product_label
 from tallystar.functions.numbers import exact_avg, exact_sum
+from tallystar.plans.catalogue import content_copies
 from tallystar.session import scratch_folder, shuffle_partitions
 
 few = settings(
@@ -134,6 +135,18 @@ def test_fingerprint_sees_changes_and_copies(spark):
     assert len({fingerprint(d) for d in [df, *others]}) == len(others) + 1
 
 
+def test_content_copies_read_every_column_of_every_row(spark):
+    day = date(2020, 1, 2)
+    row = (day, 2020, 1, 2, "P1", 5, 1.5)
+    other = (day + timedelta(1), 2021, 2, 3, "P2", 6, 1.25)
+    groups = [[row] * 3, [row] * 3, [row] * 2]
+    groups += [[row, row, row[:i] + other[i : i + 1] + row[i + 1 :]] for i in range(len(row))]
+    rows = [(k, *r) for k, group in enumerate(groups) for r in group]
+    schema = "k int, Date date, Year int, Month int, Day int, product_id string, Total_Units_Sold int, Total_Revenue double"
+    copies = content_copies(spark.createDataFrame(rows, schema), ["k"])
+    assert sorted(map(tuple, copies.collect())) == [(1, 8), (2, 1)]
+
+
 def test_fingerprint_of_a_kept_part_is_that_of_the_part(spark):
     df = spark.range(100).select("id")
     kept = df.agg(table_fingerprint(["id"], keep=F.col("id") < 10)).first()[0]
