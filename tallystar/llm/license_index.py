@@ -138,7 +138,7 @@ def scan(
     index, index_rows = [], []
     for at, own in enumerate(split):
         top = sorted(set(own), key=lambda w: (-weight[w], w))[:rare]
-        whole = sum(weight[w] for w in top) or 1.0
+        whole = sum(weight[w] for w in top)
         index.append({w: weight[w] / whole for w in top})
         index_rows += [(w, at, p, weight[w] / whole) for p, w in enumerate(own) if w in top]
     postings = spark.createDataFrame(index_rows, "word string, notice int, at int, share double")
@@ -222,7 +222,8 @@ def scan(
 
 
 def inverse_frequencies(total: int, have: dict[str, int], words: set[str]) -> dict[str, float]:
-    return {w: math.log((total + 1) / (have.get(w, 0) + 1)) for w in words}
+    """Above 0 for words of every row, too, so that a notice in all rows keeps its weight."""
+    return {w: math.log(1 + (total + 1) / (have.get(w, 0) + 1)) for w in words}
 
 
 def _inside(words: list[str], key: list[str]) -> int:

@@ -97,6 +97,13 @@ def test_a_notice_is_found_by_its_rare_words(spark):
 # 3
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_a_notice_in_every_row_is_found(spark, copies):
+    text = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+    rows = spark.createDataFrame([(i, text) for i in range(copies)], "doc_id long, text string")
+    assert [(r.labels, round(r.score, 9)) for r in scan(rows).collect()] == [("mit", 1.0)] * copies
+
+
 def test_archive(spark, home):
     pages = [(5, "u5", "same"), (3, "u3", "same"), (9, None, None), (8, "a\nb", ""), (7, "u7", "é\r\n" * 4000), (6, "u6", "only")]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("payload", F.lit(1))
