@@ -20,6 +20,7 @@ from tallystar.llm.interpolation import interpolated_scores
 from tallystar.llm.license_index import scan
 from tallystar.llm.merge_counts import token_counts
 from tallystar.llm.packing import packed
+from tallystar.llm.pairwise_quality import ranked
 from tallystar.llm.winnowing import benchmark_overlap
 from tallystar.session import scratch_folder
 
@@ -87,6 +88,10 @@ def op10_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op13_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,5 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_feistel_shards,
         op9_winnowing,
         op10_grouped_prefix_join,
+        op13_pairwise_quality,
     )
 }

@@ -32,6 +32,10 @@ NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
+#: Signs that quality rules count.
+SYMBOLS = np.zeros(256, bool)
+SYMBOLS[list(b"#*$%&|<>")] = True
+
 _STEP = 0x9E3779B97F4A7C15 | 1
 _BACK = pow(_STEP, -1, 1 << 64)
 _VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -185,3 +189,43 @@ def distinct(text: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     """List column: list t holds the values from bounds[t] to bounds[t + 1]."""
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
+
+
+def sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the entries from each bound to the next."""
+    total = np.zeros(len(flags) + 1, np.float64 if flags.dtype.kind == "f" else np.int64)
+    np.cumsum(flags, out=total[1:])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def repeated_lines(texts_: Texts, found: Words) -> np.ndarray:
+    """Lines with a word that equal an earlier line of their text."""
+    n = len(texts_.data)
+    breaks = np.flatnonzero(texts_.data == 10)
+    start = np.union1d(texts_.offsets[:-1][texts_.sizes > 0], breaks + 1)
+    start = start[start < n]
+    end = np.append(start[1:], n)
+    end = end - ((end > start) & (texts_.data[np.maximum(end, 1) - 1] == 10))
+    full = np.searchsorted(found.start, end) > np.searchsorted(found.start, start)
+    start, end = start[full], end[full]
+    text = np.searchsorted(texts_.offsets, start, "right") - 1
+    once, _ = distinct(text, span_hashes(texts_, start, end))
+    size = len(texts_)
+    return np.bincount(text, minlength=size) - np.bincount(once, minlength=size)
+
+
+def repeated_words(found: Words, hashes: np.ndarray, size: int = 3) -> np.ndarray:
+    """Words inside windows of `size` words that their text has twice or more."""
+    text = found.text
+    grams = chain(hashes, size)
+    place = np.arange(len(grams))
+    place = place[place + size <= found.bounds[1:][text[: len(grams)]]]
+    order = place[np.lexsort((grams[place], text[place]))]
+    same = (text[order][1:] == text[order][:-1]) & (grams[order][1:] == grams[order][:-1])
+    again = np.zeros(len(order), bool)
+    again[1:] |= same
+    again[:-1] |= same
+    inside = np.zeros(len(hashes), bool)
+    for i in range(size):
+        inside[order[again] + i] = True
+    return sums(inside, found.bounds)
