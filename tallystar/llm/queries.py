@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm.content_archive import read_archive, write_archive
+from tallystar.llm.conversation_repair import ConversationRepair, damaged
 from tallystar.llm.disclosure import Sanitiser, joined_spans
 from tallystar.llm.feistel import sharded
 from tallystar.llm.fertility import quality
@@ -88,6 +89,10 @@ def op10_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ConversationRepair(damaged(_table(spark, sf_dir, "conversations")), "copies").summary()
+
+
 def op13_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_feistel_shards,
         op9_winnowing,
         op10_grouped_prefix_join,
+        op11_conversation_repair,
         op13_pairwise_quality,
     )
 }
