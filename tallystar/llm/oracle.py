@@ -132,9 +132,29 @@ SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(bla
 FROM ids LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM ids.conv_id
 LEFT JOIN (SELECT * FROM dp WHERE i = 0) d ON d.conv_id IS NOT DISTINCT FROM ids.conv_id"""
 
+NEGATIVES = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, id, score FROM scores WHERE same
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(ROW_NUMBER() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3"""
+
 ORACLE: dict[str, str] = {
     "op3_content_archive": ARCHIVE,
     "op9_winnowing": OVERLAP,
     "op10_grouped_prefix_join": COMPONENTS,
     "op11_conversation_repair": REPAIR,
+    "op12_hard_negatives": NEGATIVES,
 }

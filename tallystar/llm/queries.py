@@ -1,7 +1,8 @@
 """Registered queries of this package: each operator over its whole table.
 
-oracle.py has SQL for three. The others have methods that SQL can't express (weights learned by EM,
-index scores, packing, merges, disclosure, fertility, a permutation) and are tested by brute force.
+oracle.py has SQL for five. The others have methods that SQL can't express (weights learned by EM or
+from preference pairs, index scores, packing, merges, disclosure, fertility, a permutation) and are
+tested by brute force or held-out accuracy.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from tallystar.llm.disclosure import Sanitiser, joined_spans
 from tallystar.llm.feistel import sharded
 from tallystar.llm.fertility import quality
 from tallystar.llm.grouped_prefix_join import ngram_jaccard_components
+from tallystar.llm.hard_negatives import hard_negatives
 from tallystar.llm.interpolation import interpolated_scores
 from tallystar.llm.license_index import scan
 from tallystar.llm.merge_counts import token_counts
@@ -93,6 +95,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ConversationRepair(damaged(_table(spark, sf_dir, "conversations")), "copies").summary()
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_winnowing,
         op10_grouped_prefix_join,
         op11_conversation_repair,
+        op12_hard_negatives,
         op13_pairwise_quality,
     )
 }

@@ -204,7 +204,7 @@ def repeated_lines(texts_: Texts, found: Words) -> np.ndarray:
     breaks = np.flatnonzero(texts_.data == 10)
     start = np.union1d(texts_.offsets[:-1][texts_.sizes > 0], breaks + 1)
     start = start[start < n]
-    end = np.append(start[1:], n)
+    end = np.append(start, n)[1:]
     end = end - ((end > start) & (texts_.data[np.maximum(end, 1) - 1] == 10))
     full = np.searchsorted(found.start, end) > np.searchsorted(found.start, start)
     start, end = start[full], end[full]

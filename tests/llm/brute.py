@@ -190,3 +190,74 @@ def components(rows, k=4, percent=85):
     return [
         (len(s), least.get(root(i)) if s else rows[i][0]) for i, s in enumerate(sets)
     ]
+
+
+NEXT_ROLE = {"": "user", "s": "user", "u": "assistant", "a": "user"}
+
+
+def repairs(rows):
+    """{conv_id: (gaps, blank, duplicate, truncated, illegal, cost, audit, lines)} after damage."""
+    convs = defaultdict(list)
+    for c, t, role, text in rows:
+        c_, t_, role, text = (" " if v is None else str(v) for v in (c, t, role, text))
+        kind = zlib.crc32(f"{c_}:{t_}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        convs[c] += [(t, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    out = {}
+    for c, own in convs.items():
+        own.sort(key=lambda v: (v[0] is not None, v[0] or 0, v[1], v[2]))
+        turns = {t for t, _, _ in own if t is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        seen, faults = set(), []
+        for _, role, text in own:
+            body = SPACE_WORD.findall(text)
+            last = body[-1][-1] if body else ""
+            faults.append(
+                "b" if not body else "d" if (role, text) in seen else "t" if last not in ".!?" else ""
+            )
+            seen.add((role, text))
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        best = {"": (0, "", []), "a": (0, "", []), "u": (5, "I", ["assistant:"]),
+                "s": (10, "II", ["user:", "assistant:"])}
+        for (_, role, text), fault in reversed(list(zip(own, faults))):
+            def options(state, done, lines, cost):
+                yield cost + 2 + best[state][0], done + "D" + best[state][1], lines + best[state][2]
+                extra = 5 if fault == "t" else 0
+                to = NEXT_ROLE[state]
+                if fault not in ("b", "d"):
+                    i = role[:1]
+                    if i == to[0] or (i == "s" and state == ""):
+                        b = best[i]
+                        yield cost + extra + b[0], done + "K" + b[1], [*lines, f"{role}:{text}", *b[2]]
+                    b = best[to[0]]
+                    yield cost + extra + 1 + b[0], done + "R" + b[1], [*lines, f"{to}:{text}", *b[2]]
+                if len(done) < 3:
+                    yield from options(to[0], done + "I", [*lines, f"{to}:"], cost + 5)
+
+            best = {state: min(options(state, "", [], 0)) for state in best}
+        cost, audit, lines = best[""]
+        out[c] = (gaps, *map(faults.count, "bdt"), illegal, cost, audit, lines)
+    return out
+
+
+def negatives(rows, positives=5, most=3):
+    """Sorted (anchor, positive, rank, negative, positive score, negative score)."""
+    own = []
+    for i, v, label in rows:
+        if i is None or v is None or label is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        row = i, (label + 1) % 10 if i % 7 == 0 else label, tuple(math.floor(256 * x) for x in v)
+        if row not in own:
+            own.append(row)
+    out = []
+    for a in own:
+        if a[0] % 50:
+            continue
+        scores = [(-sum(x * y for x, y in zip(a[2], b[2])), b[0], b) for b in own]
+        near = sorted(s[:2] for s in scores if s[2][1] == a[1] and s[2] is not a)[:positives]
+        far = sorted(s[:2] for s in scores if s[2][1] != a[1])
+        for p, i in near:
+            fit = [(n, j) for n, j in far if 50 * -p <= 100 * -n <= 95 * -p][:most]
+            out += [(a[0], i, r, j, -p, -n) for r, (n, j) in enumerate(fit, 1)]
+    return sorted(out)

@@ -471,3 +471,10 @@ def test_hashes_do_not_depend_on_chunks(documents):
     many = interpolated_scores(documents.repartition(9)).orderBy("doc_id").collect()
     assert [(r.doc_id, r.n_known, round(r.score, 6)) for r in one] == [(r.doc_id, r.n_known, round(r.score, 6)) for r in many]
     assert hashlib.sha256(b"").hexdigest() == hashlib.sha256(",".join([]).encode()).hexdigest()
+
+
+def test_measures_of_a_table_of_empty_texts(spark):
+    """A task whose texts have no byte at all."""
+    frame = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_words, r.n_dup_lines, r.kept) for r in quality(frame).collect()}
+    assert got == {1: (0, 0, False), 2: (0, 0, False)}
