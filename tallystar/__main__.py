@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{name}", required=True)
         if "input" in names:
             sub.add_argument("--date-format", action="append", default=[], dest="formats")
+            sub.add_argument("--glob", help="only files whose names match the pattern")
         if job == "etl":
             sub.add_argument("--format", choices=["parquet", "csv"], default="parquet")
         if job == "ingest":
@@ -77,7 +78,11 @@ def main(argv: list[str] | None = None) -> None:
         ensure_star(spark, args.mart)
     elif args.job == "etl":
         _size_shuffles(spark, args.input)
-        print(run_etl(spark, args.input, args.lake, args.mart, args.formats, args.format))
+        print(
+            run_etl(
+                spark, args.input, args.lake, args.mart, args.formats, args.format, args.glob
+            )
+        )
     elif args.job == "ingest":
         _size_shuffles(spark, args.input)
         ingest_new_files(
@@ -86,6 +91,7 @@ def main(argv: list[str] | None = None) -> None:
             args.lake,
             args.mart,
             max_files=args.max_files,
+            glob=args.glob,
             extra_formats=args.formats,
         )
     elif args.job == "reload":

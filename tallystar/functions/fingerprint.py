@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 SEEDS = (0, 1)
 LANE_BITS = 21
 LANES = 3
+N_LANES = 1 + len(SEEDS) * LANES
 
 
 def text_hash(text: Column) -> Column:
@@ -22,13 +24,12 @@ def text_hash(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def table_fingerprint(columns: Sequence[str], keep: Column | None = None) -> Column:
-    """Aggregate: 32 hex digits that depend on the set of rows and on how often each occurs.
+def lane_columns(columns: Sequence[str], keep: Column | None = None) -> list[Column]:
+    """Aggregates whose values add up over disjoint sets of rows: their number, and lane sums.
 
-    Row order and partitioning do not matter. Every row is hashed twice to 64
-    bits, each hash is cut into lanes of 21 bits, and the lanes are summed as
-    longs: no lane sum can overflow below 2**42 rows and all of it is combined
-    map-side. `keep` restricts it to the rows for which the condition holds.
+    Every row is hashed twice to 64 bits, each hash is cut into lanes of 21 bits, and the lanes are
+    summed as longs: no lane sum can overflow below 2**42 rows and all of it is combined map-side.
+    `keep` restricts it to the rows for which the condition holds.
     """
     parts = [F.count(F.lit(1)) if keep is None else F.count_if(keep)]
     mask = F.lit(2**LANE_BITS - 1)
@@ -39,4 +40,36 @@ def table_fingerprint(columns: Sequence[str], keep: Column | None = None) -> Col
         for lane in range(LANES):
             value = F.shiftrightunsigned(row, lane * LANE_BITS).bitwiseAND(mask)
             parts.append(F.coalesce(F.sum(value), F.lit(0)))
-    return F.md5(F.concat_ws(",", *[p.cast("string") for p in parts]).cast("binary"))
+    return parts
+
+
+def lane_sums(columns: Sequence[str], keep: Column | None = None) -> Column:
+    """Aggregate: the lane columns as one array."""
+    return F.array(*lane_columns(columns, keep))
+
+
+def added_lanes(lanes: Column) -> Column:
+    """Aggregate: the lane sums of the union of disjoint sets of rows."""
+    return F.array(*[F.coalesce(F.sum(lanes[i]), F.lit(0)) for i in range(N_LANES)])
+
+
+def fingerprint(lanes: Column) -> Column:
+    """32 hex digits of lane sums."""
+    return F.md5(F.concat_ws(",", lanes.cast("array<string>")).cast("binary"))
+
+
+def fingerprint_of(groups: Iterable[Sequence[int]]) -> str:
+    """The fingerprint of the union of disjoint sets of rows, of which the lane sums are known."""
+    total = [0] * N_LANES
+    for lanes in groups:
+        total = [a + b for a, b in zip(total, lanes, strict=True)]
+    return hashlib.md5(",".join(map(str, total)).encode()).hexdigest()
+
+
+def table_fingerprint(columns: Sequence[str], keep: Column | None = None) -> Column:
+    """Aggregate: 32 hex digits that depend on the set of rows and on how often each occurs.
+
+    Row order and partitioning do not matter. It is the fingerprint of the rows' lane sums, so
+    groups that were summed apart give that of the whole without another pass.
+    """
+    return fingerprint(lane_sums(columns, keep))

@@ -12,6 +12,10 @@ from tallystar.functions.numbers import parse_double, parse_int
 from tallystar.schemas import CLEAN
 
 
+# Names of the validation counts, in their order.
+COUNTS = ("rows_in", "bad_date", "bad_product", "bad_units", "bad_revenue", "rows_out")
+
+
 def _int_column(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.IntegerType):
         return F.col(name)

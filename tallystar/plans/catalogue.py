@@ -29,7 +29,6 @@ from tallystar.sinks.snapshots import append_manifest, snapshot_name, write_snap
 from tallystar.sources import snapshots, supplied
 from tallystar.sources import star_tables as star
 from tallystar.sources.snapshots import stage_rows
-from tallystar.sources.wide_files import read_wide
 from tallystar.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,11 +150,13 @@ def newest_snapshot_rows(spark, sf_dir):
 
 
 def globbed_sales(spark, sf_dir):
-    """Wide rows of the files that match a pattern, from a folder that holds others too."""
-    folder, wide = f"{scratch_folder(spark)}/data", supplied.wide_daily(spark, sf_dir)
-    wide.write.option("header", True).csv(f"{folder}/sales.csv")
-    wide.write.option("header", True).option("compression", "gzip").csv(f"{folder}/old.csv")
-    return clean(to_long(read_wide(spark, f"{folder}/*", glob="*.csv")))
+    """Rows that a run loads of the files that match a pattern, from a folder that holds others too."""
+    home, wide = scratch_folder(spark), supplied.wide_daily(spark, sf_dir)
+    wide.write.option("header", True).csv(f"{home}/data")
+    old = wide.withColumn(f"{UNITS_PREFIX}P1", F.lit(0))
+    old.write.mode("append").option("header", True).option("compression", "gzip").csv(f"{home}/data")
+    run = run_etl(spark, f"{home}/data", f"{home}/lake", f"{home}/mart", glob="*.csv")
+    return snapshots.read_snapshot(spark, f"{home}/lake/{run.snapshot}")
 
 
 def ledger_months(spark, sf_dir):

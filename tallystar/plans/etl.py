@@ -9,15 +9,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.functions.fingerprint import table_fingerprint
-from tallystar.operators.clean import clean, is_complete, typed, validation_counts
+from tallystar.functions.dates import year_month
+from tallystar.functions.fingerprint import fingerprint_of, lane_sums
+from tallystar.operators.clean import COUNTS, clean, is_complete, typed, validation_counts
 from tallystar.operators.unpivot import to_long
-from tallystar.plans.load import load_star
+from tallystar.plans.load import KEY_ROW_BYTES, load_star, month_rows
 from tallystar.schemas import CLEAN
 from tallystar.sinks.snapshots import append_manifest, snapshot_name, write_snapshot
 from tallystar.sources.snapshots import latest_snapshot
 from tallystar.sources.star_tables import read_manifest
-from tallystar.sources.wide_files import Rejected, file_headers, lines_of, read_by_header
+from tallystar.sources.wide_files import Rejected, read_folder
 
 
 @dataclass(frozen=True)
@@ -30,10 +31,14 @@ class EtlResult:
 
 
 def profile(long: DataFrame) -> DataFrame:
-    """One row: the validation counts and the content hash of the rows that will be kept."""
-    return typed(long).agg(
+    """Per month (null: no date) the validation counts, and lane sums and key size of the rows that
+    will be kept. Months add up to the whole, see functions/fingerprint.py."""
+    rows = typed(long)
+    size = F.lit(KEY_ROW_BYTES) + F.octet_length("product_id")
+    return rows.groupBy(year_month(F.col("Date")).alias("ym")).agg(
         *validation_counts(),
-        table_fingerprint(CLEAN.fieldNames(), keep=is_complete()).alias("content_hash"),
+        lane_sums(CLEAN.fieldNames(), keep=is_complete()).alias("lanes"),
+        F.coalesce(F.sum(F.when(is_complete(), size)), F.lit(0)).alias("key_bytes"),
     )
 
 
@@ -49,22 +54,25 @@ def run_etl(
     mart: str,
     extra_formats: Sequence[str] = (),
     fmt: str = "parquet",
+    glob: str | None = None,
 ) -> EtlResult:
-    """One run over the wide file or folder at `in_path`.
+    """One run over the wide file or folder at `in_path`, or over its files that match `glob`.
 
-    A pass over the lines finds each file's header; files that cannot be read are returned as
-    `rejected`, and the others are loaded. The next pass over the input counts and hashes it. Content that has a
+    The first bytes of each file tell its header, so products may come and go between files; files
+    that cannot be read are returned as `rejected`, and the others are loaded. A pass over the input
+    counts and hashes it by month. Content that has a
     snapshot already is not written again; if that snapshot is also in the
     ledger the run ends as `skipped`, if not (an earlier run died in between)
     it is loaded now. New content costs one more pass, which writes it.
     """
-    # Each file is read by its own header, so products may come and go between files.
-    headers = file_headers(lines_of(spark.read, in_path, None)).collect()
-    long, rejected = read_by_header(spark, headers, lambda wide: to_long(wide, extra_formats))
+    long, rejected = read_folder(spark, in_path, glob, lambda wide: to_long(wide, extra_formats))
     if long is None:
         raise ValueError(f"no file of {in_path} can be read: {rejected}")
-    found = profile(long).first().asDict()
-    content_hash = found.pop("content_hash")
+    rows = profile(long).collect()
+    counts = {c: sum(r[c] for r in rows) for c in COUNTS}
+    # Counts of no rows at all are zeros, as those of an aggregate without groups.
+    months = [(r["ym"], r["lanes"], r["key_bytes"]) for r in rows if r["lanes"][0]]
+    content_hash = fingerprint_of(lanes for _, lanes, _ in months)
     snapshot = _snapshot_with(spark, lake, content_hash)
     new_content = snapshot is None
     if new_content:
@@ -73,10 +81,12 @@ def run_etl(
         written = write_snapshot(clean(long), f"{lake}/{snapshot}", fmt)
         if written["content_hash"] != content_hash:
             raise RuntimeError(f"{in_path} changed while it was read; {snapshot} is not used")
-        append_manifest(spark, lake, snapshot, written)
+        append_manifest(spark, lake, snapshot, written, months)
     stored = "csv" if snapshot.endswith(".csv") else "parquet"
-    status = load_star(spark, snapshot, lake, mart, content_hash, stored)
-    return EtlResult(status, snapshot, new_content, found, tuple(rejected))
+    status = load_star(
+        spark, snapshot, lake, mart, content_hash, stored, month_rows(months)
+    )
+    return EtlResult(status, snapshot, new_content, counts, tuple(rejected))
 
 
 def reload_latest(spark: SparkSession, lake: str, mart: str) -> str | None:

@@ -70,7 +70,12 @@ MONTH = T.StructType(
     [T.StructField("ym", T.IntegerType()), T.StructField("source_hash", T.StringType())]
 )
 
-# One row per loaded file. `load` and `months` are what make the ledger row the
+# A folder of dimension rows that is current after a load.
+DIM_FOLDER = T.StructType(
+    [T.StructField("name", T.StringType()), T.StructField("load", T.StringType())]
+)
+
+# One row per loaded file. `load`, `months` and `dims` are what make the ledger rows the
 # commit of a load; see sources/star_tables.py.
 PROCESSED_FILES = T.StructType(
     [
@@ -79,6 +84,16 @@ PROCESSED_FILES = T.StructType(
         T.StructField("content_hash", T.StringType()),
         T.StructField("load", T.StringType()),
         T.StructField("months", T.ArrayType(MONTH)),
+        T.StructField("dims", T.ArrayType(DIM_FOLDER)),
+    ]
+)
+
+# What a snapshot holds of a month: lane sums of its rows, and the size of their keys in memory.
+SNAPSHOT_MONTH = T.StructType(
+    [
+        T.StructField("ym", T.IntegerType()),
+        T.StructField("lanes", T.ArrayType(T.LongType())),
+        T.StructField("key_bytes", T.LongType()),
     ]
 )
 
@@ -91,6 +106,7 @@ MANIFEST = T.StructType(
         T.StructField("content_hash", T.StringType()),
         T.StructField("min_date", T.DateType()),
         T.StructField("max_date", T.DateType()),
+        T.StructField("months", T.ArrayType(SNAPSHOT_MONTH)),
     ]
 )
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallystar.functions.fingerprint import table_fingerprint
 from tallystar.schemas import (
@@ -13,6 +16,7 @@ from tallystar.schemas import (
     MANIFEST,
     PIPELINE_VERSION,
     SNAPSHOT_FOLDER,
+    SNAPSHOT_MONTH,
     SNAPSHOT_PREFIX,
     SNAPSHOT_STAMP,
 )
@@ -46,7 +50,17 @@ def write_snapshot(cleaned: DataFrame, path: str, fmt: str = "parquet") -> dict:
     return seen.get
 
 
-def append_manifest(spark: SparkSession, lake: str, snapshot: str, written: dict) -> None:
+def append_manifest(
+    spark: SparkSession,
+    lake: str,
+    snapshot: str,
+    written: dict,
+    months: Sequence[tuple[int, Sequence[int], int]] | None = None,
+) -> None:
+    """`months`, if known, are (month, lane sums, bytes of keys); a load then need not count them."""
+    parts = SNAPSHOT_MONTH.fieldNames()
+    listed = json.dumps([dict(zip(parts, m, strict=True)) for m in months or ()])
+    listed = F.from_json(F.lit(listed), T.ArrayType(SNAPSHOT_MONTH))
     row = spark.range(1).select(
         F.lit(snapshot).alias("snapshot"),
         F.localtimestamp().alias("processed_date"),
@@ -55,6 +69,7 @@ def append_manifest(spark: SparkSession, lake: str, snapshot: str, written: dict
         F.lit(written["content_hash"]).alias("content_hash"),
         F.lit(written["min_date"]).cast("date").alias("min_date"),
         F.lit(written["max_date"]).cast("date").alias("max_date"),
+        (F.lit(None) if months is None else listed).cast(T.ArrayType(SNAPSHOT_MONTH)).alias("months"),
     )
     row.select(*MANIFEST.fieldNames()).coalesce(1).write.mode("append").parquet(
         f"{lake}/manifest"

@@ -1,31 +1,47 @@
 """Writes of the star tables. The layout is described in sources/star_tables.py.
 
-One load at a time: two loads that run at once would each miss the other's rows.
+Two loads that run at once from one state would each miss the other's rows. Each takes the next
+number of the ledger, which only one can get, so the other fails before anything of it is visible.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from datetime import datetime, timezone
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.dates import year_month
-from tallystar.schemas import PROCESSED_FILES
-from tallystar.sources.star_tables import LEDGER, REJECTED, empty, read_ledger
+from tallystar.sinks.commits import create_new
+from tallystar.sources.star_tables import LEDGER, LEDGER_TIME, REJECTED
 
 
-def new_load_id() -> str:
-    """Sorts by time; the random end keeps a repeated load apart from its failed try."""
-    return f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+class ConcurrentLoad(RuntimeError):
+    """Two loads ran at once; the later one has not seen the rows of the other."""
+
+
+def new_load_id(number: int) -> str:
+    """Sorts by the number of the commit; the random end keeps a load apart from its failed try."""
+    return f"{number:010d}-{uuid.uuid4().hex[:8]}"
+
+
+def _commit_file(mart: str, number: int) -> str:
+    return f"{mart}/{LEDGER}/{number:010d}.json"
 
 
 def ensure_star(spark: SparkSession, mart: str) -> None:
     """Creates the ledger if it is missing; with an empty ledger the other tables are empty."""
-    empty(spark, PROCESSED_FILES).write.mode("ignore").parquet(f"{mart}/{LEDGER}")
+    create_new(spark, _commit_file(mart, 0), "")
+
+
+def write_profile(spark: SparkSession, profile: DataFrame, mart: str, load: str) -> DataFrame:
+    """What a load found in its source, written once and read by its steps."""
+    path = f"{mart}/load_profiles/load={load}"
+    profile.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(profile.schema).parquet(path)
 
 
 def write_dim(dim: DataFrame, mart: str, name: str, load: str) -> None:
@@ -53,36 +69,28 @@ def write_fact(fact: DataFrame, mart: str, load: str) -> None:
 def commit_load(
     spark: SparkSession,
     mart: str,
+    number: int,
     files: Iterable[tuple[str, str]],
     load: str,
     months: dict[int, str],
+    dims: dict[str, list[str]],
 ) -> None:
-    """Appends the ledger rows of a load, in one file.
+    """Writes the ledger rows of a load, all in the commit file of its number.
 
-    `files` are (name, content hash); `months` maps each written month to the
-    fingerprint of its source rows and is kept with the first of them.
+    `files` are (name, content hash); `months` maps each written month to the fingerprint of its
+    source rows, `dims` each dimension to its current folders. Both are kept with the first file.
     """
-    names, hashes = zip(*files)
-    written = [{"ym": ym, "source_hash": h} for ym, h in sorted(months.items())]
-    month = pa.struct([("ym", pa.int32()), ("source_hash", pa.string())])
-    rows = pa.table(
-        {
-            "filename": pa.array(names, pa.string()),
-            "content_hash": pa.array(hashes, pa.string()),
-            "months": pa.array([written] + [[]] * (len(names) - 1), pa.list_(month)),
-        }
-    )
-    ledger = (
-        spark.createDataFrame(rows)
-        .withColumn("processed_at", F.localtimestamp())
-        .withColumn("load", F.lit(load))
-    )
-    (
-        ledger.select(*PROCESSED_FILES.fieldNames())
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(f"{mart}/{LEDGER}")
-    )
+    now = datetime.now(timezone.utc).strftime(LEDGER_TIME)
+    first = {
+        "months": [{"ym": ym, "source_hash": h} for ym, h in sorted(months.items())],
+        "dims": [{"name": n, "load": x} for n, folders in sorted(dims.items()) for x in folders],
+    }
+    lines = []
+    for name, content_hash in files:
+        row = {"filename": name, "processed_at": now, "content_hash": content_hash, "load": load}
+        lines.append(json.dumps(row | (first if not lines else {"months": [], "dims": []})))
+    if not create_new(spark, _commit_file(mart, number), "\n".join(lines) + "\n"):
+        raise ConcurrentLoad(f"another load of {mart} was committed meanwhile; run again")
 
 
 def append_rejected(spark: SparkSession, mart: str, rejected: Iterable) -> None:
@@ -93,8 +101,3 @@ def append_rejected(spark: SparkSession, mart: str, rejected: Iterable) -> None:
         listed.withColumn("at", F.localtimestamp()).coalesce(1).write.mode("append").parquet(
             f"{mart}/{REJECTED}"
         )
-
-
-def is_processed(spark: SparkSession, mart: str, filename: str) -> bool:
-    ledger = read_ledger(spark, mart)
-    return not ledger.where(F.col("filename") == filename).isEmpty()

@@ -54,6 +54,15 @@ def latest_snapshot(spark: SparkSession, lake: str) -> str | None:
     return row["snapshot"] if row else None
 
 
+def snapshot_months(
+    spark: SparkSession, lake: str, snapshot: str
+) -> list[tuple[int, list[int], int]] | None:
+    """(month, lane sums, bytes of keys) of a snapshot if the manifest lists them."""
+    row = read_manifest(spark, lake).where(F.col("snapshot") == snapshot).select("months").first()
+    listed = row["months"] if row else None
+    return None if listed is None else [tuple(m) for m in listed]
+
+
 def stage_rows(staged: DataFrame, *carry: str) -> DataFrame:
     """Staging text to the types of a clean row; what cannot be read becomes null."""
     return staged.select(

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.functions.fingerprint import table_fingerprint
+from tallystar.functions.fingerprint import N_LANES, fingerprint, lane_columns
 from tallystar.operators.clean import clean, is_complete, typed
 from tallystar.operators.membership import first_of_each_content, new_content, unprocessed
 from tallystar.operators.unpivot import to_long
@@ -23,9 +23,9 @@ from tallystar.sources.wide_files import (
     SOURCE_FILE,
     SOURCE_TIME,
     Rejected,
-    file_headers,
+    collected_headers,
     read_by_header,
-    stream_lines,
+    stream_files,
 )
 
 SOURCE = (SOURCE_FILE, SOURCE_TIME)
@@ -33,12 +33,18 @@ RANK = "file_rank"
 
 
 def file_profiles(long: DataFrame) -> DataFrame:
-    """One row per source file with the content hash of its clean rows."""
-    return (
-        typed(long, SOURCE)
-        .groupBy(*SOURCE)
-        .agg(table_fingerprint(CLEAN.fieldNames(), keep=is_complete()).alias("content_hash"))
-    )
+    """One row per source file: the content hash of its clean rows, and whether a date and product
+    stand in it twice.
+
+    Rows are added up per file, date and product, and those groups per file, both map-side.
+    """
+    rows = typed(long, SOURCE)
+    kept = [F.when(is_complete(), F.col(c)).alias(f"key_{c}") for c in ("Date", "product_id")]
+    lanes = lane_columns(CLEAN.fieldNames(), keep=is_complete())
+    per_key = rows.groupBy(*SOURCE, *kept).agg(*[c.alias(f"lane{i}") for i, c in enumerate(lanes)])
+    content = fingerprint(F.array(*[F.sum(f"lane{i}") for i in range(N_LANES)]))
+    twice = F.bool_or((F.col("lane0") > 1) & F.col("key_Date").isNotNull())
+    return per_key.groupBy(*SOURCE).agg(content.alias("content_hash"), twice.alias("repeated"))
 
 
 def accepted_files(profiles: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -88,43 +94,37 @@ def _rows_of(spark: SparkSession, long: DataFrame, accepted: Sequence[Row]) -> D
     return rows if len(accepted) == 1 else newest_per_key(rows)
 
 
-def _files_with_repeated_keys(long: DataFrame) -> list[str]:
-    """Files that hold a date and product twice; at most the files of a batch."""
-    repeated = (
-        clean(long, SOURCE)
-        .groupBy(SOURCE_FILE, "Date", "product_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-    )
-    return [r[0] for r in repeated.select(SOURCE_FILE).distinct().collect()]
-
-
 def load_batch(
-    lines: DataFrame, batch_id: int, lake: str, mart: str, extra_formats: Sequence[str] = ()
+    files: DataFrame, batch_id: int, lake: str, mart: str, extra_formats: Sequence[str] = ()
 ) -> int:
     """Loads the files of one batch and returns how many had new content.
 
-    Each file is read by its own header. A file without the needed columns, or with a date and
-    product twice, is listed in the mart's rejected files and left out; the others are loaded.
-    Run twice, for a batch that is replayed after a failure, it finds the files
+    Each file is read by its own header, of which only the first bytes are read here; then one pass
+    over the batch profiles the files and one writes the rows. A file without the needed columns, or
+    with a date and product twice, is listed in the mart's rejected files and left out; the others
+    are loaded. Run twice, for a batch that is replayed after a failure, it finds the files
     in the ledger and does nothing.
     """
-    spark = lines.sparkSession
+    spark = files.sparkSession
     ensure_star(spark, mart)
-    headers = file_headers(lines).collect()
+    headers = collected_headers(spark, files)
     long, rejected = read_by_header(
         spark, headers, lambda wide: to_long(wide, extra_formats, carry=SOURCE)
     )
+    accepted = []
     if long is not None:
-        repeated = _files_with_repeated_keys(long)
+        # One row per file of the batch comes to the driver.
+        profiles = file_profiles(long).collect()
+        repeated = [r[SOURCE_FILE] for r in profiles if r["repeated"]]
         rejected += [Rejected(f, "not unique: a date and product twice") for f in repeated]
-        if repeated:
-            long = long.where(~F.col(SOURCE_FILE).isin(repeated))
+        sound = [tuple(r)[:3] for r in profiles if not r["repeated"]]
+        if sound:
+            table = spark.createDataFrame(
+                sound, f"{SOURCE_FILE} string, {SOURCE_TIME} timestamp, content_hash string"
+            )
+            picked = accepted_files(table, read_ledger(spark, mart))
+            accepted = sorted(picked.collect(), key=lambda r: (r[SOURCE_TIME], r["filename"]))
     append_rejected(spark, mart, rejected)
-    if long is None:
-        return 0
-    picked = accepted_files(file_profiles(long), read_ledger(spark, mart))
-    accepted = sorted(picked.collect(), key=lambda r: (r[SOURCE_TIME], r["filename"]))
     if not accepted:
         return 0
     # The random end keeps a replay apart from the snapshot of its failed try.
@@ -152,7 +152,7 @@ def ingest_new_files(
     `max_files` bounds a batch: what it keeps on the driver is one row per file,
     whatever the size of the files.
     """
-    stream = stream_lines(spark, in_folder, max_files, glob)
+    stream = stream_files(spark, in_folder, max_files, glob)
     query = (
         stream.writeStream.foreachBatch(
             lambda df, batch_id: load_batch(df, batch_id, lake, mart, extra_formats)
