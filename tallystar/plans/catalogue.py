@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.dates import date_parts, parse_date
-from tallystar.functions.fingerprint import table_fingerprint, text_hash
+from tallystar.functions.fingerprint import (
+    added_lanes,
+    fingerprint,
+    lane_sums,
+    table_fingerprint,
+    text_hash,
+)
 from tallystar.operators import checks, dimensions, membership, reports
 from tallystar.operators.clean import clean, narrow_revenue, typed, validation_counts
 from tallystar.operators.merge import BROADCAST_BYTES, merge
@@ -226,18 +232,6 @@ def snapshot_manifest_lines(spark, sf_dir):
     return _manifest(clean_lines(spark, sf_dir))
 
 
-def content_fingerprint(spark, sf_dir):
-    """Parts by the fingerprint of the quantities of their first lines: how many occur how often."""
-    lines = supplied.table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1)
-    per_part = lines.groupBy("l_partkey").agg(
-        table_fingerprint(["l_quantity", "l_linenumber"]).alias("content_hash")
-    )
-    return (
-        per_part.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))
-        .groupBy("copies").agg(F.count(F.lit(1)).alias("contents"))
-    )
-
-
 def content_copies(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Groups by the fingerprint of their whole clean rows: how many contents occur how often."""
     groups = rows.groupBy(*keys).agg(table_fingerprint(CLEAN.fieldNames()).alias("content_hash"))
@@ -247,9 +241,48 @@ def content_copies(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _delivered(rows: DataFrame, number: str) -> DataFrame:
+    """Every group of rows four times: as it is; with a cent more for one number in three; with a
+    unit less for one in four; with every row twice for one in five. So contents occur one to four
+    times, and a fingerprint that is blind to revenue, units or repetition counts them otherwise.
+    """
+    n = F.col(number)
+    changed = rows.withColumn("delivery", F.explode(F.array(*map(F.lit, range(4)))))
+    cent = F.when((F.col("delivery") == 1) & (n % 3 == 0), 0.01).otherwise(0.0)
+    unit = F.when((F.col("delivery") == 2) & (n % 4 == 0), 1).otherwise(0)
+    times = F.when((F.col("delivery") == 3) & (n % 5 == 0), 2).otherwise(1)
+    return (
+        changed.withColumn("Total_Revenue", F.round(F.col("Total_Revenue") + cent, 2))
+        .withColumn("Total_Units_Sold", F.col("Total_Units_Sold") - unit)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
+        .drop("copy")
+    )
+
+
+def content_fingerprint(spark, sf_dir):
+    """All clean lines in all columns, as four deliveries of each order: contents by their copies."""
+    wide = supplied.wide_lines(spark, sf_dir, "orderkey")
+    rows = clean(to_long(wide, carry=["orderkey"]), ["orderkey"])
+    return content_copies(_delivered(rows, "orderkey"), ["orderkey", "delivery"])
+
+
 def content_fingerprint_rows(spark, sf_dir):
-    """All clean lines in all columns, by date and product."""
-    return content_copies(clean_lines(spark, sf_dir), ["Date", "product_id"])
+    """All clean lines in all columns, as four deliveries of each date and product."""
+    rows = clean_lines(spark, sf_dir).withColumn("number", F.datediff("Date", F.lit("1970-01-01")))
+    return content_copies(_delivered(rows, "number"), ["Date", "product_id", "delivery"])
+
+
+def combined_fingerprint(spark, sf_dir):
+    """Products whose lines' fingerprint, added up from their months, is that of a whole pass."""
+    rows, columns = clean_lines(spark, sf_dir), CLEAN.fieldNames()
+    months = rows.groupBy("product_id", "Year", "Month").agg(lane_sums(columns).alias("lanes"))
+    added = months.groupBy("product_id").agg(
+        fingerprint(added_lanes(F.col("lanes"))).alias("added"), F.sum(F.col("lanes")[0]).alias("lines")
+    )
+    whole = rows.groupBy("product_id").agg(table_fingerprint(columns).alias("whole"))
+    return added.join(whole, "product_id").select(
+        "product_id", "lines", (F.col("added") == F.col("whole")).alias("same")
+    )
 
 
 def content_hash(spark, sf_dir):
@@ -534,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_manifest_lines": snapshot_manifest_lines,
     "content_fingerprint": content_fingerprint,
     "content_fingerprint_rows": content_fingerprint_rows,
+    "combined_fingerprint": combined_fingerprint,
     "content_hash": content_hash,
     "page_hash": page_hash,
     "fact_duplicate_keys": fact_duplicate_keys,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -163,7 +164,7 @@ def load_rows(
     for all figures about them and twice by the merge, for its keys and its rows. If they are not
     known, the first of these passes covers the whole source.
 
-    Order: dimensions, fact, ledger. Nothing is visible before the commit, so
+    Dimensions and fact are written before the ledger. Nothing is visible before the commit, so
     a load that fails anywhere can simply be run again. Of two loads from one state, only one commits.
     """
     at = at or star.current(spark, mart)
@@ -186,11 +187,14 @@ def load_rows(
             shown = "; ".join(str(e.asDict()) for e in examples[:3])
             raise DuplicateKeys(f"keys {list(FACT_KEYS)} are not unique, for example {shown}")
     if changed:
-        folders = _write_dimensions(spark, profile, changed, mart, load, at)
         source = dimensions.sales_fact(only_months(cleaned, changed))
         target = star.read_fact(spark, mart, changed, at)
         size = sum(m.key_bytes for m in changed.values())
-        sink.write_fact(merge(target, source, FACT_KEYS, size), mart, load)
+        # The small jobs of the dimensions run beside the large one of the fact.
+        with ThreadPoolExecutor(1) as beside:
+            dims = beside.submit(_write_dimensions, spark, profile, changed, mart, load, at)
+            sink.write_fact(merge(target, source, FACT_KEYS, size), mart, load)
+            folders = dims.result()
     written = {ym: m.source_hash for ym, m in changed.items()}
     sink.commit_load(spark, mart, at.number + 1, files, load, written, folders)
 

@@ -230,6 +230,36 @@ FINE_FACT = """fact AS (
 
 FINE_SUM = "CAST(SUM(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE)"
 
+# Clean lines with their order; each line has one product.
+KEYED_CLEAN = """clean AS (
+  SELECT l_orderkey AS orderkey, CAST(l_shipdate AS DATE) AS "Date",
+    CAST(EXTRACT(year FROM l_shipdate) AS INT) AS "Year",
+    CAST(EXTRACT(month FROM l_shipdate) AS INT) AS "Month",
+    CAST(EXTRACT(day FROM l_shipdate) AS INT) AS "Day",
+    'P' || CAST(l_partkey % 4 + 1 AS VARCHAR) AS product_id,
+    CAST(trunc(l_quantity) AS INT) AS "Total_Units_Sold", l_extendedprice AS "Total_Revenue"
+  FROM lineitem WHERE EXTRACT(day FROM l_shipdate) <> 29)"""
+
+
+def _delivered(number: str, order: str = "orderkey") -> str:
+    """Every group of rows in four deliveries, of which three differ for some numbers."""
+    return f"""delivered AS (
+  SELECT {order}, delivery, "Date", "Year", "Month", "Day", product_id,
+    "Total_Units_Sold" - CASE WHEN delivery = 2 AND number % 4 = 0 THEN 1 ELSE 0 END AS units,
+    round("Total_Revenue" + CASE WHEN delivery = 1 AND number % 3 = 0 THEN 0.01 ELSE 0 END, 2) AS revenue
+  FROM (SELECT *, {number} AS number FROM clean),
+    (SELECT unnest(range(0, 4)) AS delivery),
+    LATERAL (SELECT unnest(range(0, CASE WHEN delivery = 3 AND number % 5 = 0 THEN 2 ELSE 1 END)) AS copy))"""
+
+
+def _copies(keys: str) -> str:
+    return f"""SELECT copies, COUNT(*) AS contents FROM (
+  SELECT COUNT(*) AS copies FROM (
+    SELECT {keys}, list_sort(list(ROW("Date", "Year", "Month", "Day", product_id, units, revenue))) AS content
+    FROM delivered GROUP BY {keys})
+  GROUP BY content) GROUP BY copies"""
+
+
 ORACLE: dict[str, str] = {
     "csv_snapshot_rows": f"WITH {DAILY_CLEAN} SELECT * FROM clean",
     "csv_staging_rejects": f"""WITH {LINES}, {STAGED}
@@ -249,18 +279,13 @@ SELECT product_key, {FINE_SUM} AS total_sales FROM fact GROUP BY product_key""",
 SELECT {FINE_SUM} / COUNT(total_revenue) AS avg_revenue FROM fact""",
     "merge_fact_shuffled": f"WITH {KEYED_FACT}, {MERGED}",
     "merge_fact_broadcast": f"WITH {KEYED_FACT}, {MERGED}",
-    "content_fingerprint": """SELECT copies, COUNT(*) AS contents FROM (
-  SELECT COUNT(*) AS copies FROM (
-    SELECT l_partkey, list_sort(list(l_quantity)) AS content
-    FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey)
-  GROUP BY content) GROUP BY copies""",
-    "content_fingerprint_rows": f"""WITH {LINE_CLEAN}
-SELECT copies, COUNT(*) AS contents FROM (
-  SELECT COUNT(*) AS copies FROM (
-    SELECT "Date", product_id, list_sort(list(ROW("Date", "Year", "Month", "Day", product_id,
-      "Total_Units_Sold", "Total_Revenue"))) AS content
-    FROM clean GROUP BY "Date", product_id)
-  GROUP BY content) GROUP BY copies""",
+    "content_fingerprint": f"""WITH {KEYED_CLEAN}, {_delivered("orderkey")}
+{_copies("orderkey, delivery")}""",
+    "content_fingerprint_rows": f"""WITH {LINE_CLEAN},
+{_delivered("""date_diff('day', DATE '1970-01-01', "Date")""", "number")}
+{_copies('"Date", product_id, delivery')}""",
+    "combined_fingerprint": f"""WITH {LINE_CLEAN}
+SELECT product_id, COUNT(*) AS lines, true AS same FROM clean GROUP BY product_id""",
     "unpivot_sales": f"WITH {DAILY_LONG} SELECT * FROM long",
     "unpivot_brands": f"WITH {BRAND_LONG} SELECT * FROM long",
     "unpivot_lines": f"WITH {LINE_LONG} SELECT * FROM long",

@@ -47,6 +47,7 @@ def date_text(date: Column) -> Column:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"),
         F.col("l_shipdate").cast("date").alias("d"),
         F.col("l_partkey").alias("partkey"),
         F.col("l_quantity").alias("units"),
@@ -81,10 +82,12 @@ def wide_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(lines(spark, sf_dir).join(parts, "partkey"), BRANDS)
 
 
-def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_lines(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
+    """One wide row per line; `carry` are other columns of `lines`."""
     sales = lines(spark, sf_dir).withColumn("number", _product_number())
     here = {n: F.col("number") == n for n in PRODUCTS}
     return sales.select(
+        *carry,
         date_text(F.col("d")).alias(DATE_COLUMN),
         *[F.when(here[n], F.col("units")).alias(f"{UNITS_PREFIX}P{n}") for n in PRODUCTS],
         *[F.when(here[n], F.col("revenue")).alias(f"{REVENUE_PREFIX}P{n}") for n in PRODUCTS],

@@ -1,0 +1,269 @@
+"""Passes of a load, headers, commits, dimension folders and hashes that add up."""
+
+import json
+import os
+import subprocess
+import sys
+import threading
+from datetime import date
+from pathlib import Path
+
+import psutil
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sales_files import facts, write_file
+from tallystar.__main__ import main
+from tallystar.functions.fingerprint import (
+    added_lanes,
+    fingerprint,
+    fingerprint_of,
+    lane_sums,
+    table_fingerprint,
+)
+from tallystar.plans import load as plan
+from tallystar.plans.catalogue import _delivered, clean_lines, content_copies
+from tallystar.plans.etl import run_etl
+from tallystar.plans.load import ConcurrentLoad, load_rows, source_profile
+from tallystar.schemas import CLEAN
+from tallystar.sinks import star_tables as sink
+from tallystar.sinks.commits import create_new
+from tallystar.sources import star_tables as star
+from tallystar.sources import wide_files
+
+ROOT = Path(__file__).resolve().parent.parent
+JAN, FEB = date(2010, 1, 31), date(2010, 2, 1)
+
+
+def cleaned(spark, rows):
+    return spark.createDataFrame(
+        [(d, d.year, d.month, d.day, p, u, float(r)) for (d, p), (u, r) in rows.items()], CLEAN
+    )
+
+
+def load(spark, home, rows, name="f"):
+    load_rows(spark, cleaned(spark, rows), home, [(name, "h")])
+
+
+def folders(home, name):
+    path = Path(home) / name
+    return sorted(f.name for f in path.iterdir() if f.is_dir()) if path.exists() else []
+
+
+# Hashes
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.text(max_size=3), st.floats(allow_nan=False)), max_size=12))
+def test_hashes_of_parts_add_up_to_that_of_the_whole(spark, rows):
+    df = spark.createDataFrame(rows, "part int, a string, b double")
+    whole = df.agg(table_fingerprint(["a", "b"]).alias("h")).first()["h"]
+    parts = df.groupBy("part").agg(lane_sums(["a", "b"]).alias("lanes"))
+    assert fingerprint_of(r["lanes"] for r in parts.collect()) == whole
+    assert parts.agg(fingerprint(added_lanes(F.col("lanes"))).alias("h")).first()["h"] == whole
+
+
+def test_blind_hashes_count_the_copies_otherwise(spark):
+    """The fingerprint queries fail for a hash that ignores revenue, units, or repetition."""
+    lines = clean_lines(spark, "/root/testdata/sf0.001")
+    rows = _delivered(lines.withColumn("n", F.datediff("Date", F.lit("1970-01-01"))), "n")
+    keys = ["Date", "product_id", "delivery"]
+
+    def copies(df):
+        return {tuple(r) for r in content_copies(df, keys).collect()}
+
+    right = copies(rows)
+    assert len(right) == 4
+    assert copies(rows.withColumn("Total_Revenue", F.lit(1.0))) != right
+    assert copies(rows.withColumn("Total_Units_Sold", F.lit(1))) != right
+    assert copies(rows.dropDuplicates()) != right
+
+
+# One profile of the source
+
+
+def test_the_profile_of_a_source(spark):
+    rows = {(JAN, "P1"): (1, 1.0), (JAN, "P2"): (2, 2.0), (FEB, "P1"): (3, 3.0)}
+    source = cleaned(spark, rows).unionAll(cleaned(spark, {(FEB, "P1"): (9, 9.0)}))
+    found = source_profile(source).collect()
+    by_kind = {k: [r for r in found if r["kind"] == k] for k in ("month", "date", "product")}
+    assert {k: len(v) for k, v in by_kind.items()} == {"month": 2, "date": 2, "product": 2}
+    months = {r["ym"]: r for r in by_kind["month"]}
+    assert (months[201001]["n_repeated"], months[201002]["n_repeated"]) == (0, 1)
+    assert months[201002]["example"].asDict() == {"Date": FEB, "product_id": "P1", "n": 2}
+    for ym, own in ((201001, source.where("Month = 1")), (201002, source.where("Month = 2"))):
+        want = own.agg(table_fingerprint(CLEAN.fieldNames())).first()[0]
+        assert fingerprint_of([months[ym]["lanes"]]) == want
+    assert {tuple(r["parts"]) for r in by_kind["date"]} == {(2010, 1, 31), (2010, 2, 1)}
+    assert {r["product_id"] for r in by_kind["product"]} == {"P1", "P2"}
+
+
+RUN = """
+import sys
+from tallystar.session import build_session
+from tallystar.plans.etl import run_etl, reload_latest
+home = sys.argv[1]
+spark = build_session("reads", "local[2]", spark_eventLog_enabled="true", spark_eventLog_dir=home + "/events",
+    spark_eventLog_compress="false", spark_eventLog_rolling_enabled="false", spark_sql_shuffle_partitions="2",
+    spark_ui_showConsoleProgress="false")
+run_etl(spark, home + "/data", home + "/lake", home + "/mart")
+spark.range(1).write.parquet(home + "/marker")
+run_etl(spark, home + "/more", home + "/lake", home + "/mart")
+spark.stop()
+"""
+
+
+def scans(node, of):
+    own = of in str(node.get("metadata", {}).get("Location", ""))
+    return own + sum(scans(c, of) for c in node["children"])
+
+
+def test_a_load_reads_its_snapshot_three_times_at_most(home):
+    """By the plans that ran, of a first load and of one that adds a month to a history."""
+    days = [(f"{d:02d}-{m:02d}-2010", d, d / 2, m, m / 2) for m in (1, 2, 3) for d in range(1, 29)]
+    write_file(f"{home}/data", "a.csv", days[:56])
+    write_file(f"{home}/more", "a.csv", days)
+    os.makedirs(f"{home}/events")
+    subprocess.run(
+        [sys.executable, "-c", RUN, home], check=True, cwd=ROOT, capture_output=True, timeout=300
+    )
+    (log,) = [f for f in Path(f"{home}/events").iterdir() if not f.name.endswith(".crc")]
+    reads, inputs, run = [0, 0], [0, 0], 0
+    for line in log.read_text().splitlines():
+        event = json.loads(line)
+        if event["Event"].endswith("SparkListenerSQLExecutionStart"):
+            run += f"{home}/marker" in event["physicalPlanDescription"]
+            reads[run] += scans(event["sparkPlanInfo"], "/lake/processed_data")
+            inputs[run] += scans(event["sparkPlanInfo"], f"{home}/{('data', 'more')[run]}")
+    assert 1 <= reads[0] <= 3 and 1 <= reads[1] <= 3
+    assert inputs == [3, 3]  # listed for the headers; counted; written
+
+
+# Headers
+
+
+def test_a_header_takes_the_first_bytes_of_a_file_only(home):
+    path = f"{home}/large.csv"
+    with open(path, "wb") as out:
+        out.write(b"Date,Q-P1,S-P1\r\n" + b"01-01-2010,1,1.5\n" * 3_000_000)
+    before = psutil.Process().io_counters().read_chars
+    assert wide_files._first_line(f"file:{path}") == b"Date,Q-P1,S-P1"
+    assert psutil.Process().io_counters().read_chars - before < 1 << 20
+
+
+@pytest.mark.parametrize(
+    "content,line",
+    [(b"", None), (b"a", b"a"), (b"a\rb\n", b"a"), (b"\nb", b""), (b"x" * 200_000 + b"\ny", b"x" * 200_000)],
+)
+def test_first_lines(home, content, line):
+    Path(f"{home}/f # é%41.csv").write_bytes(content)
+    assert wide_files._first_line(f"file:{home}/f # é%41.csv") == line
+
+
+def test_compressed_files_and_names_with_signs(spark, home):
+    write_file(f"{home}/data", "a b%20#é.csv", [("13-06-2010", 1, 1.5, 2, 2.5)])
+    os.system(f"gzip -c '{home}/data/a b%20#é.csv' | sed s/x/x/ > {home}/data/b.csv.gz")
+    files = wide_files.files_of(spark.read, f"{home}/data", None)
+    rows = wide_files.collected_headers(spark, files)
+    assert [r["header"] for r in rows] == [",Date,Q-P1,S-P1,Q-P2,S-P2"] * 2
+    by_reading = wide_files.headers_by_reading(spark, [r["source_file"] for r in rows]).collect()
+    assert sorted(r["header"] for r in by_reading) == [r["header"] for r in rows]
+    assert {r["source_file"] for r in by_reading} == {r["source_file"] for r in rows}
+
+
+def test_a_store_that_only_spark_reads_is_read_by_lines(spark, home, monkeypatch):
+    write_file(f"{home}/data", "a.csv", [("13-06-2010", 1, 1.5, 2, 2.5)])
+    real = wide_files.file_headers
+
+    def closed(files):
+        return real(files).withColumn("opened", F.lit(False)).withColumn("header", F.lit(None).cast("string"))
+
+    monkeypatch.setattr(wide_files, "file_headers", closed)
+    result = run_etl(spark, f"{home}/data", f"{home}/lake", f"{home}/mart")
+    assert result.counts["rows_out"] == 2
+
+
+def test_jobs_take_a_pattern(spark, home, capsys):
+    write_file(f"{home}/data", "a.csv", [("13-06-2010", 1, 1.5, 2, 2.5)])
+    write_file(f"{home}/data", "b.txt", [("14-06-2010", 1, 1.5, 2, 2.5)])
+    places = ["--input", f"{home}/data", "--lake", f"{home}/lake", "--mart", f"{home}/mart"]
+    for job in ("etl", "ingest"):
+        main([job, *places, "--glob", "*.csv"])
+        assert set(facts(star.read_fact(spark, f"{home}/mart"))) == {("2010-06-13", "P1"), ("2010-06-13", "P2")}
+
+
+# Commits
+
+
+def test_a_file_is_created_once(spark, home):
+    assert create_new(spark, f"{home}/x/a.json", "one")
+    assert not create_new(spark, f"{home}/x/a.json", "two")
+    assert create_new(spark, f"file:{home}/x/b.json", "")
+    assert Path(f"{home}/x/a.json").read_text() == "one"
+    assert sorted(os.listdir(f"{home}/x")) == ["a.json", "b.json"]
+
+
+def test_of_two_loads_from_one_state_one_commits(spark, home, monkeypatch):
+    """In two threads, both kept at the commit until both are there."""
+    load(spark, home, {(JAN, "P1"): (1, 1.0)}, "a")
+    both, real, ends = threading.Barrier(2), sink.commit_load, []
+
+    def together(*args):
+        both.wait(120)
+        real(*args)
+
+    monkeypatch.setattr(sink, "commit_load", together)
+
+    def run(product):
+        try:
+            load(spark, home, {(JAN, product): (2, 2.0)}, product)
+            ends.append(product)
+        except ConcurrentLoad:
+            ends.append(None)
+
+    threads = [threading.Thread(target=run, args=(p,)) for p in ("P2", "P3")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    (winner,) = [p for p in ends if p]
+    assert len(ends) == 2
+    assert {k[1] for k in facts(star.read_fact(spark, home))} == {"P1", winner}
+    assert {r[0] for r in star.read_product_dim(spark, home).collect()} == {"P1", winner}
+    assert {r["filename"] for r in star.read_ledger(spark, home).collect()} == {"a", winner}
+
+
+# Dimensions
+
+
+def test_only_changes_of_dimensions_are_written(spark, home):
+    rows = {(JAN, "P1"): (1, 1.0), (FEB, "P2"): (2, 2.0)}
+    load(spark, home, rows, "a")
+    first = folders(home, "date_dim"), folders(home, "product_dim")
+    load(spark, home, rows, "b")  # nothing new
+    load(spark, home, {(JAN, "P1"): (5, 5.0)}, "c")  # other figures, no new key
+    assert (folders(home, "date_dim"), folders(home, "product_dim")) == first
+    load(spark, home, {(JAN, "P3"): (5, 5.0)}, "d")
+    assert folders(home, "date_dim") == first[0]
+    (new,) = set(folders(home, "product_dim")) - set(first[1])
+    assert [r[0] for r in spark.read.parquet(f"{home}/product_dim/{new}").collect()] == ["P3"]
+    assert {r[0] for r in star.read_product_dim(spark, home).collect()} == {"P1", "P2", "P3"}
+    assert star.read_date_dim(spark, home).count() == 2
+
+
+def test_the_newest_row_of_a_key_counts_and_folders_are_folded(spark, home, monkeypatch):
+    monkeypatch.setattr(plan, "MOST_FOLDERS", 2)
+    load(spark, home, {(JAN, "P1"): (1, 1.0)}, "a")
+    odd = cleaned(spark, {(JAN, "P2"): (2, 2.0)}).withColumn("Day", F.lit(99))
+    load_rows(spark, odd, home, [("b", "h")])
+    assert [tuple(r) for r in star.read_date_dim(spark, home).collect()] == [(JAN, 2010, 1, 99)]
+    assert len(star.current(spark, home).dims["date_dim"]) == 2
+    load(spark, home, {(FEB, "P3"): (3, 3.0), (JAN, "P3"): (3, 3.0)}, "c")
+    at = star.current(spark, home)
+    assert len(at.dims["date_dim"]) == len(at.dims["product_dim"]) == 1
+    assert sorted(tuple(r) for r in star.read_date_dim(spark, home, at).collect()) == [
+        (JAN, 2010, 1, 31), (FEB, 2010, 2, 1),
+    ]
+    assert {r[0] for r in star.read_product_dim(spark, home, at).collect()} == {"P1", "P2", "P3"}
