@@ -4,29 +4,33 @@ Protected entities are the personal values in the corpus: e-mail and IP addresse
 numbers. A term in a text that holds an entity discloses it as far as both are found together: their
 normalised pointwise mutual information,
 
-    disclosure = log(co * N / (df_term * df_entity)) / log(N / co)
+    disclosure = log(co * N / (df_term * df_entity)) / log(N / co) * co / (co + 1) * m / (m + 1)
 
-with counts of distinct texts over the whole corpus, so copies of a text count once. It is 1 if both
-occur only together, and less the rarer a pair is beside its parts, which corrects small counts:
-entities of one or two texts act, too. Terms are removed at `remove_at`, and replaced by their kind
-(a word or a number) at `generalise_at`, wherever they stand in a text that holds the entity.
+with counts of distinct texts over the whole corpus, so copies of a text count once; m is the smaller
+of df_term and df_entity. The first part is 1 if both occur only together. The last two discount small
+counts: a pair that was met in one text scores 0.25 at most, so a word is not taken out because it,
+too, stands in that text alone; two texts give 0.44, four 0.64. Terms are removed at `remove_at`, and
+replaced by their kind (a word or a number) at `generalise_at`, wherever they stand in a text that
+holds the entity. Only terms that meet an entity in enough texts are counted in the whole corpus.
 
 The base spans are the leftmost non-overlapping matches of each kind. Matches are set off by marks
 in the text; the lengths between the marks, added up in a window per document, give the places, as
 code points. Quantifiers are possessive and start where a run starts, so long runs cost one pass.
 
 Null and empty texts have no spans. Repeated rows get the same spans; null ids are handled like
-any other. An empty table gives no rows.
+any other. Very long texts are searched whole. Ties in disclosure are treated alike. Extra columns
+stay, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.llm.tables import Scratch, texts
+from tallystar.llm.tables import Scratch, text_digest, texts, unused
 
 MARK = "\x01"
 # The kinds in their order, and their patterns.
@@ -45,6 +49,8 @@ LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"
 BLOCK = 1024
 KEY = ["doc_id", "text_key"]
 GROUP = ["df_entity", "a", "b"]
+#: Terms up to this size, counted, are sent to every executor.
+BROADCAST_BYTES = 32 << 20
 
 
 def _digits(value: Column) -> Column:
@@ -156,38 +162,63 @@ def entity_groups(base: DataFrame) -> DataFrame:
     return held.join(groups, "entity").select("text_key", *GROUP).distinct()
 
 
+def _needed(least: float) -> int:
+    """The fewest texts in which a pair must be met for its discounted score to reach `least`."""
+    if least >= 1:
+        raise ValueError("a discounted disclosure stays below 1")
+    root = math.sqrt(max(least, 0.0))
+    return max(1, math.ceil(root / (1 - root) - 1e-9))
+
+
 def disclosing(
     rows: DataFrame, words: DataFrame, groups: DataFrame, scratch: Scratch, support: int, least: float
 ) -> DataFrame:
     """(text_key, term, disclosure) of the terms at or above `least` for an entity of their text."""
+    need = max(support, _needed(least))
     total = float(max(rows.select("text_key").distinct().count(), 1))
     own = words.select("text_key", "term").distinct()
-    # Distinct words meet their copies by the text's key; only then they are counted.
+    # Neither part may be rarer than the pair has to be.
+    often = own.groupBy("term").agg(F.count("*").alias("df_here")).where(F.col("df_here") >= need)
+    entity = F.col("df_entity")
+    most = F.log(total / F.col("co"))
+
+    def score(df_term: str, rarer: Column) -> Column:
+        ratio = F.log(F.col("co") * total / (F.col(df_term) * entity)) / most
+        discount = F.col("co") / (F.col("co") + 1) * rarer / (rarer + 1)
+        return F.when(most > 0, F.least(ratio, F.lit(1.0)) * discount).otherwise(0.0)
+
+    # A term is at least as common in the corpus as in the texts that hold values: what cannot
+    # reach `least` by that count, as common words cannot, need not be counted.
+    met = (
+        own.join(often, "term")
+        .join(groups.where(entity >= need), "text_key")
+        .groupBy(*GROUP, "term", "df_here").agg(F.count("*").alias("co"))
+        .where((F.col("co") >= need) & (score("df_here", entity) >= least - 1e-9))
+    )
+    met = scratch.saved(met, "met")
+    wanted = scratch.saved(met.select("term").distinct(), "wanted")
+    size = wanted.agg(F.sum(F.octet_length("term") + F.lit(96))).first()[0]
+    if size is None:
+        return own.select("text_key", "term", F.lit(0.0).alias("disclosure")).where(F.lit(False))
+    # The wanted words of each text meet those of its copies; only then they are counted.
     parts = F.transform(F.split("text", r"[^\p{L}\p{N}]+"), F.lower)
     counted = (
-        rows.select("text_key", F.array_distinct(parts).alias("terms"))
-        .dropDuplicates(["text_key"])
-        .select(F.explode("terms").alias("term"))
+        rows.select("text_key", F.explode(F.array_distinct(parts)).alias("term"))
+        .join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, "term")
+        .distinct()
         .groupBy("term").agg(F.count("*").alias("df_term"))
-        .join(own.select("term").distinct(), "term", "left_semi")
     )
     counted = scratch.saved(counted, "terms")
-    # A pair is found together as often as its rarer part at most: others cannot reach `least`.
-    rarer, commoner = F.least("df_term", "df_entity"), F.greatest("df_term", "df_entity")
-    possible = F.log(total / commoner) >= F.log(total / rarer) * least - 1e-9
-    most = F.log(total / F.col("co"))
-    ratio = F.log(F.col("co") * total / (F.col("df_term") * F.col("df_entity"))) / most
     found = scratch.saved(
-        own.join(counted, "term").join(groups, "text_key").where(possible)
-        .groupBy(*GROUP, "term", "df_term").agg(F.count("*").alias("co"))
-        .where(F.col("co") >= support)
-        .withColumn("disclosure", F.when(most > 0, F.least(ratio, F.lit(1.0))).otherwise(0.0))
+        met.join(counted, "term")
+        .withColumn("disclosure", score("df_term", F.least("df_term", "df_entity")))
         .where(F.col("disclosure") >= least)
         .select(*GROUP, "term", "disclosure"),
         "disclosing",
     )
     return (
         groups.join(found, GROUP)
+        .join(own, ["text_key", "term"])
         .groupBy("text_key", "term").agg(F.max("disclosure").alias("disclosure"))
     )
 
@@ -223,14 +254,14 @@ class Sanitiser:
         self,
         docs: DataFrame,
         support: int = 1,
-        remove_at: float = 0.95,
-        generalise_at: float = 0.8,
+        remove_at: float = 0.4,
+        generalise_at: float = 0.3,
         id_col: str = "doc_id",
         text_col: str = "text",
     ) -> None:
         scratch = Scratch(docs.sparkSession)
         self.id_col, self.text_col = id_col, text_col
-        self.rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+        self.rows = texts(docs, id_col, text_col).withColumn("text_key", text_digest(F.col("text")))
         self.base = base_spans(self.rows, scratch)
         groups = scratch.saved(entity_groups(self.base), "groups")
         holding = self.rows.where(_may_have_spans(F.col("text"))).join(
@@ -265,7 +296,7 @@ class Sanitiser:
             ),
             "all-spans",
         )
-        scratch.drop("groups", "words", "terms", "disclosing")
+        scratch.keep("spans", "all-spans")
 
     def documents(self) -> DataFrame:
         """doc_id, n_email, n_ip, n_card, n_phone, base (array), spans (array)."""
@@ -290,32 +321,31 @@ class Sanitiser:
         not read from its beginning for each of them.
         """
         text = F.col(f"`{self.text_col}`").cast("string")
+        digest, i, key, found_, cut_ = unused(docs.columns, "digest", "id", "key", "found", "cut")
         spans = self.spans.select(
-            F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"),
-            F.col("spans").alias("__spans"),
+            F.col("doc_id").alias(i), F.col("text_key").alias(key), F.col("spans").alias(found_)
         )
         blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
         kept = F.transform(
-            "__spans",
+            found_,
             lambda x: F.when(
-                x.start >= x.far, F.concat(_between("__blocks", x.far, x.start), x.label)
+                x.start >= x.far, F.concat(_between(cut_, x.far, x.start), x.label)
             ).otherwise(""),
         )
-        last = F.array_max(F.transform("__spans", lambda x: x.stop))
-        cut = F.concat(F.array_join(kept, ""), _between("__blocks", last, F.length(text)))
+        last = F.array_max(F.transform(found_, lambda x: x.stop))
+        cut = F.concat(F.array_join(kept, ""), _between(cut_, last, F.length(text)))
         own = [F.col(f"`{c}`") for c in docs.columns]
         plain = docs.where(~_may_have_spans(text)).withColumn(self.text_col, text).select(*own)
         found = (
             docs.where(_may_have_spans(text))
-            .withColumn("__key_", F.xxhash64(F.coalesce(text, F.lit(""))))
+            .withColumn(digest, text_digest(text))
             .join(
                 spans,
-                (F.col("__key_") == F.col("__key"))
-                & F.col(f"`{self.id_col}`").eqNullSafe(F.col("__id")),
+                (F.col(digest) == F.col(key)) & F.col(f"`{self.id_col}`").eqNullSafe(F.col(i)),
                 "left",
             )
-            .withColumn("__blocks", F.when(F.col("__spans").isNotNull(), blocks))
-            .withColumn(self.text_col, F.when(F.col("__spans").isNotNull(), cut).otherwise(text))
+            .withColumn(cut_, F.when(F.col(found_).isNotNull(), blocks))
+            .withColumn(self.text_col, F.when(F.col(found_).isNotNull(), cut).otherwise(text))
             .select(*own)
         )
         return plain.union(found)

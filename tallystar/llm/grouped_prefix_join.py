@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.llm.components import connected
-from tallystar.llm.tables import Scratch, bit_table, id_type, passes, ship, texts
+from tallystar.llm.tables import Scratch, bit_table, id_type, passes, ship, texts, unused
 from tallystar.llm.text import (
     NOT_SPACE,
     Texts,
@@ -440,25 +440,25 @@ class GroupedPrefixJoin:
 
         The one with the smallest id stays, and all that have no shingles.
         """
+        digest, i, key = unused(docs.columns, "digest", "id", "key")
         kept = self._labelled().groupBy("c").agg(F.min("one").alias("one"))
-        kept = kept.select(
-            F.col("one.doc_id").alias("__id"), F.col("one.text_key").alias("__key")
-        ).union(self.signed.where("n = 0").select("doc_id", "text_key").distinct())
+        kept = kept.select(F.col("one.doc_id").alias(i), F.col("one.text_key").alias(key)).union(
+            self.signed.where("n = 0").select("doc_id", "text_key").distinct()
+        )
         kept = self.scratch.saved(kept, "kept")
-        key = F.xxhash64(F.coalesce(F.col(f"`{self.text_col}`").cast("string"), F.lit("")))
-        rows = docs.withColumn("__key_", key)
+        text = F.col(f"`{self.text_col}`")
+        rows = docs.withColumn(digest, F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
         rows = rows.join(
             kept,
-            (F.col("__key_") == F.col("__key"))
-            & F.col(f"`{self.id_col}`").eqNullSafe(F.col("__id")),
+            (F.col(digest) == F.col(key)) & F.col(f"`{self.id_col}`").eqNullSafe(F.col(i)),
             "left_semi",
         )
         again = self.signed.where("n > 0").groupBy("doc_id", "text_key").count().where("count > 1")
         if not again.isEmpty():  # rows that repeat id and text
-            full = rows.where(~F.col(f"`{self.text_col}`").rlike(r"[^\x20\x09-\x0D]") | F.col(f"`{self.text_col}`").isNull())
-            rest = rows.where(F.col(f"`{self.text_col}`").rlike(r"[^\x20\x09-\x0D]"))
-            rows = full.unionByName(rest.dropDuplicates([self.id_col, "__key_"]))
-        return rows.drop("__key_")
+            full = rows.where(~text.rlike(r"[^\x20\x09-\x0D]") | text.isNull())
+            rest = rows.where(text.rlike(r"[^\x20\x09-\x0D]"))
+            rows = full.unionByName(rest.dropDuplicates([self.id_col, digest]))
+        return rows.drop(digest)
 
     def release(self) -> None:
         """Remove the scratch tables but those that rows of `representatives` come from.

@@ -26,6 +26,23 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([*paths, ROOT])
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def text_digest(text: F.Column) -> F.Column:
+    """128 bits that stand for a text; a null text is an empty one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 #: With it, Spark removes the shuffle files of a query as soon as the query has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

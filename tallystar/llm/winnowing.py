@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.tables import Scratch, bit_table, id_type, passes, ship, texts
+from tallystar.llm.tables import Scratch, bit_table, id_type, passes, ship, texts, unused
 from tallystar.llm.text import ALNUM, Texts, U, Words, chain, chunks, mix, span_hashes, words
 
 _SPOTS = "array<struct<hash: bigint, pos: int, size: int, around: array<bigint>>>"
@@ -232,19 +232,17 @@ class Winnowing:
 
     def clean(self, docs: DataFrame) -> DataFrame:
         """The rows of the searched table without those that share a window with the benchmark."""
-        found = self.spans.select(
-            F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
-        ).distinct()
-        key = F.xxhash64(F.coalesce(F.col(f"`{self.text_col}`").cast("string"), F.lit("")))
+        digest, i, key = unused(docs.columns, "digest", "id", "key")
+        found = self.spans.select(F.col("doc_id").alias(i), F.col("text_key").alias(key)).distinct()
+        text = F.coalesce(F.col(f"`{self.text_col}`").cast("string"), F.lit(""))
         return (
-            docs.withColumn("__key_", key)
+            docs.withColumn(digest, F.xxhash64(text))
             .join(
                 found,
-                (F.col("__key_") == F.col("__key"))
-                & F.col(f"`{self.id_col}`").eqNullSafe(F.col("__id")),
+                (F.col(digest) == F.col(key)) & F.col(f"`{self.id_col}`").eqNullSafe(F.col(i)),
                 "left_anti",
             )
-            .drop("__key_")
+            .drop(digest)
         )
 
     def documents(self) -> DataFrame:

@@ -9,6 +9,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import public_tokenizers
+import regex
+import sentencepiece
+import tiktoken
+
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -145,6 +150,87 @@ def quality(text):
     return *counts, len(w) < 50 or 100 * len(inside) > 50 * len(w)
 
 
+SCRIPT_ENDS = [
+    (0x41, None), (0x5B, "latin"), (0x61, None), (0x7B, "latin"), (0xC0, None), (0x280, "latin"),
+    (0x340, None), (0x400, "greek"), (0x500, "cyrillic"), (0x3000, "other"), (0xE000, "east_asian"),
+]
+FIRST = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+    RANKS = {base64.b64decode(t): int(r) for t, r in (x.split() for x in file if x.strip())}
+SECOND = tiktoken.Encoding(
+    "second", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={}
+)
+
+
+def fertility(text, rules):
+    """(tokens, byte tokens, entropy, tokens of the second vocabulary, script, kept) of a text."""
+    x = text or ""
+    w = SPACE_WORD.findall(x)
+    ids = [i for word in w for i in FIRST.encode(word)]
+    n, counts = len(ids), Counter(ids)
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    second = sum(len(SECOND.encode_ordinary(" " + word)) for word in w)
+    scripts = Counter(next((s for end, s in SCRIPT_ENDS if ord(c) < end), None) for c in x)
+    del scripts[None]
+    order = ["latin", "cyrillic", "greek", "east_asian", "other"]
+    script = min(scripts, key=lambda s: (-scripts[s], order.index(s)), default="other")
+    band, tokens = rules.bands[script], max(n, 1)
+    usual = most = math.log2(max(n, 2))
+    if rules.usual:
+        size, points = math.log2(tokens), list(rules.usual)
+        usual = points[-1][1]
+        if size < points[0][0]:
+            usual = size * points[0][1] / points[0][0]
+        for (a, b), (c, d) in zip(points, points[1:]):
+            if a <= size < c:
+                usual = b + (size - a) * (d - b) / (c - a)
+        usual = max(usual, 1.0)
+    chars = sum(map(len, w)) / tokens
+    bytes_ = sum(FIRST.is_byte(i) for i in ids)
+    kept = (
+        not quality(x)[-1] and band.chars_least <= chars <= band.chars_most
+        and bytes_ / tokens <= band.byte_share_most and entropy / most >= band.entropy_least
+        and entropy / usual >= band.usual_least and n / max(second, 1) >= band.ratio_least
+    )
+    return n, bytes_, entropy, second, script, kept
+
+
+def disclosures(rows, least=0.3, remove_at=0.4):
+    """Per row the sorted term spans (start, end, label) of its text."""
+    held, words = {}, {}
+    for _, x in rows:
+        x = x or ""
+        spans = [s.split(":") for s in personal(x).split(",") if s]
+        held[x] = [(kind, int(a), int(b)) for kind, a, b in spans]
+        words[x] = [(m[0].lower(), m.start(), m.end()) for m in regex.finditer(r"[\p{L}\p{N}]+", x)]
+    df_term, df_entity, co = Counter(), Counter(), Counter()
+    entities = {x: {f"{k}:{x[a:b].lower()}" for k, a, b in own} for x, own in held.items()}
+    for x in held:
+        terms = {w for w, _, _ in words[x]}
+        df_term.update(terms)
+        df_entity.update(entities[x])
+        co.update((t, e) for t in terms for e in entities[x])
+    total = len(held)
+
+    def score(t, e):
+        n, m = co[t, e], min(df_term[t], df_entity[e])
+        if n == total:
+            return 0.0
+        part = min(1.0, math.log(n * total / (df_term[t] * df_entity[e])) / math.log(total / n))
+        return part * n / (n + 1) * m / (m + 1)
+
+    out = []
+    for _, x in rows:
+        x, spans = x or "", []
+        for t, a, b in words[x]:
+            best = max((score(t, e) for e in entities[x]), default=0.0)
+            if best >= least and not any(c < b and a < d for _, c, d in held[x]):
+                number = regex.fullmatch(r"\p{N}+", t)
+                spans.append((a, b, "" if best >= remove_at else "[NUMBER]" if number else "[WORD]"))
+        out.append(spans)
+    return out
+
+
 def overlaps(docs, items, window=10):
     """Per row: (n_words, n_hit, sorted item ids)."""
     found = defaultdict(set)

@@ -15,7 +15,7 @@ from tallystar.llm.components import connected
 from tallystar.llm.content_archive import read_archive, write_archive
 from tallystar.llm.disclosure import Sanitiser, joined_spans
 from tallystar.llm.feistel import permuted, sharded
-from tallystar.llm.fertility import quality
+from tallystar.llm.fertility import Rules, fitted_rules, quality
 from tallystar.llm.grouped_prefix_join import GroupedPrefixJoin, ngram_jaccard_components
 from tallystar.llm.interpolation import interpolated_scores, learned_weights
 from tallystar.llm.license_index import scan
@@ -245,14 +245,15 @@ def test_terms_that_disclose_an_entity_are_taken_out(spark):
 
 
 def test_terms_far_from_rare_entities_are_taken_out(spark):
-    """Entities of one and two texts act on whole texts; copies count once, however many."""
+    """Two texts that share an entity and a name are enough, wherever it stands; one is not, and
+    copies of it count once, however many."""
     filler = " and so on" * 30
     rows = [(1, f"Quimby{filler} writes to q@x.example"), (2, f"b@y.example{filler} by Zorba or ZORBA")]
     rows += [(3, f"Again Zorba{filler}, b@y.example")] + [(4, rows[0][1])] * 5
     rows += [(100 + i, f"again: by or writes to{filler} {i}") for i in range(60)]
     found = Sanitiser(spark.createDataFrame(rows, "doc_id long, text string"))
     texts = {r.doc_id: r.text for r in found.sanitised(found.rows.select("doc_id", "text")).collect()}
-    assert texts[1] == texts[4] == f"{filler} writes to [EMAIL]"
+    assert texts[1] == texts[4] == f"Quimby{filler} writes to [EMAIL]"
     assert texts[2] == f"[EMAIL]{filler} by  or " and texts[3] == f"Again {filler}, [EMAIL]"
     assert texts[100] == dict(rows)[100]
 
@@ -293,6 +294,54 @@ def test_texts_full_of_values_are_cut_in_the_right_places(spark):
         assert not any(inside[s.start : s.stop].any() for s in spans[i] if s.kind == "term")
 
 
+def test_terms_by_brute_force(spark):
+    """Term spans of texts that share values and names, of near copies and of the supplied texts."""
+    rng = np.random.default_rng(11)
+    names = [f"Name{i}" for i in range(30)]
+    rows = []
+    for i in range(150):
+        n = int(rng.integers(30))
+        value = f"{names[n].lower()}@x.example" if rng.random() < 0.5 else f"10.0.0.{n}"
+        some = " ".join(f"w{int(x)}" for x in rng.integers(0, 25, 12))
+        named = names[n] if rng.random() < 0.7 else names[int(rng.integers(30))]
+        rows.append((i, f"{some} {named} {n + 500} {value if rng.random() < 0.6 else ''} end"))
+    rows += [(200 + i, x) for i, x in rows[:20]] + [(300, None), (301, "")]
+    supplied = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    for pairs in (rows, [tuple(r) for r in supplied.collect()]):
+        frame = spark.createDataFrame(pairs, "doc_id long, text string")
+        got = {r.doc_id: r.spans for r in Sanitiser(frame).documents().collect()}
+        want = brute.disclosures(pairs)
+        for (i, _), spans in zip(pairs, want):
+            assert [(s.start, s.stop, s.label) for s in got[i] if s.kind == "term"] == spans
+        assert pairs is not rows or {x[2] for spans in want for x in spans} == {"", "[WORD]", "[NUMBER]"}
+
+
+def test_few_words_are_taken_out_of_supplied_texts(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = Sanitiser(documents).documents().where("size(spans) > 0").collect()
+    texts = dict(documents.select("doc_id", "text").collect())
+    words = sum(len(texts[r.doc_id].split()) for r in found)
+    assert len(found) > 40
+    assert sum(s.kind == "term" for r in found for s in r.spans) <= 0.01 * words
+
+
+def test_inner_names_leave_columns_of_the_same_name_alone(spark):
+    names = ["digest", "id", "key", "found", "cut", "__key_", "__id", "__spans", "Digest_"]
+    kind = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    body = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, f"{body} a@b.cc", *names), (2, f"{body} a@b.cc", *names), (3, "a b c", *names)]
+    frame = spark.createDataFrame(rows, kind)
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    for result, n in (
+        (Sanitiser(frame).sanitised(frame), 3),
+        (Winnowing(frame, items).clean(frame), 2),
+        (GroupedPrefixJoin(frame, k=5, percent=80).representatives(frame), 2),
+    ):
+        assert result.columns == frame.columns
+        got = result.collect()
+        assert len(got) == n and all(list(r)[2:] == names for r in got)
+
+
 # 7
 
 
@@ -317,13 +366,39 @@ def test_bands_reject_what_no_language_has(spark):
     assert got[2].byte_share > 0.8 and not got[2].base_failed and not got[2].kept
 
 
-def test_bands_part_labelled_junk_from_good_text(spark):
+def test_fitted_bands_part_held_out_junk_from_good_text(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = quality(documents).where("not base_failed").join(labels, "doc_id").select("quality", "kept").collect()
-    assert all(r.kept for r in got if r.quality == 1)
-    junk = [r.kept for r in got if r.quality == 0]
-    assert len(junk) == 27 and sum(junk) <= 1
+    rules = fitted_rules(documents, labels)
+    got = quality(documents, rules).where("not base_failed").join(labels, "doc_id").collect()
+    for held in (False, True):
+        own = [r for r in got if (brute.part(r.doc_id, 5) == 0) == held]
+        good = [r.kept for r in own if r.quality == 1]
+        junk = [r.kept for r in own if r.quality == 0]
+        assert len(junk) >= 4 and sum(junk) <= 0.1 * len(junk) and sum(good) >= 0.98 * len(good)
+
+
+def test_fertility(table, request, spark):
+    """Tokens, bytes, entropy, ratio and verdict, by wide and by fitted rules."""
+    docs, pairs = table
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    fitted = fitted_rules(request.getfixturevalue("documents"), labels)
+    assert fitted.usual and fitted.bands["latin"] != Rules().bands["latin"]
+    for rules in (Rules(), fitted):
+        want = defaultdict(list)
+        for i, x in pairs:
+            want[i].append(brute.fertility(x, rules))
+        for r in quality(docs, rules).collect():
+            exact = (r.n_tokens, r.n_byte_tokens, r.n_second_tokens, r.script, r.kept)
+            assert any(
+                (w[0], w[1], w[3], w[4], w[5]) == exact and abs(w[2] - r.entropy) < 1e-9 for w in want[r.doc_id]
+            ), r
+
+
+def test_rules_without_labels_are_wide(spark, documents, nothing):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert fitted_rules(documents, none) == Rules()
+    assert fitted_rules(nothing, none.union(spark.createDataFrame([(1, 1)], none.schema))) == Rules()
 
 
 # 8

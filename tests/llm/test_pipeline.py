@@ -6,6 +6,7 @@ import brute
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from tallystar.llm.fertility import fitted_rules
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,7 +25,14 @@ def test_stages_keep_what_they_should(spark, documents, tmp_path):
         assert docs.columns == documents.columns
         kept[name] = before, [(r.doc_id, r.text) for r in docs.collect()]
     before, after = kept["quality_rules"]
-    assert sorted(i for i, _ in after) == sorted(i for i, x in before if not brute.quality(x)[-1])
+    rules = fitted_rules(documents, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    verdicts = [(i, brute.quality(x)[-1], brute.fertility(x, rules)[-1]) for i, x in before]
+    assert sorted(i for i, _ in after) == sorted(i for i, _, kept in verdicts if kept)
+    # The method rejects junk that passes the base rules, and no good text.
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()
+    quality = {r.doc_id: r.quality for r in labels}
+    gone = [quality.get(i) for i, failed, kept in verdicts if not failed and not kept]
+    assert gone.count(0) >= 5 and gone.count(1) == 0
     before, after = kept["near_duplicates"]
     found = brute.components(before, 5, 80)
     assert sorted(i for i, _ in after) == sorted({c for _, c in found})
