@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all documents that the stage before kept. All
 but the last return the columns of the documents; run() writes each stage's result as Parquet
 below the session's shared folder and reads it again for the next. Columns beyond those that a
-stage uses are carried along as they are. Null and empty texts are rejected by the first stage;
-any stage accepts an empty table.
+stage uses are carried along as they are, whatever their names. Null and empty texts are rejected by
+the first stage; of rows that repeat a text one stays after the second; very long texts are handled
+whole; any stage accepts an empty table.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm.disclosure import Sanitiser
-from tallystar.llm.fertility import WIDE, quality
+from tallystar.llm.fertility import fitted_rules, quality
 from tallystar.llm.grouped_prefix_join import GroupedPrefixJoin
 from tallystar.llm.packing import packed
 from tallystar.llm.winnowing import Winnowing
@@ -21,8 +22,12 @@ from tallystar.session import scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the fertility rules, with wide bands, and the base rules accept (operator 7)."""
-    kept = quality(docs, WIDE, carried=tuple(docs.columns)).where("kept")
+    """Documents that the base rules and the fertility rules accept (operator 7).
+
+    The bands are fitted to a bounded sample of the labelled documents of the folder.
+    """
+    rules = fitted_rules(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    kept = quality(docs, rules, carried=tuple(docs.columns)).where("kept")
     return kept.select(*[F.col(f"`kept_{c}`").alias(c) for c in docs.columns])
 
 
