@@ -254,8 +254,8 @@ class Sanitiser:
         self,
         docs: DataFrame,
         support: int = 1,
-        remove_at: float = 0.4,
-        generalise_at: float = 0.3,
+        remove_at: float = 0.43,
+        generalise_at: float = 0.4,
         id_col: str = "doc_id",
         text_col: str = "text",
     ) -> None:

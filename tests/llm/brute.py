@@ -195,7 +195,7 @@ def fertility(text, rules):
     return n, bytes_, entropy, second, script, kept
 
 
-def disclosures(rows, least=0.3, remove_at=0.4):
+def disclosures(rows, least=0.4, remove_at=0.43):
     """Per row the sorted term spans (start, end, label) of its text."""
     held, words = {}, {}
     for _, x in rows:
