@@ -11,7 +11,7 @@ of df_term and df_entity. The first part is 1 if both occur only together. The l
 counts: a pair that was met in one text scores 0.25 at most, so a word is not taken out because it,
 too, stands in that text alone; two texts give 0.44, four 0.64. Terms are removed at `remove_at`, and
 replaced by their kind (a word or a number) at `generalise_at`, wherever they stand in a text that
-holds the entity. Only terms that meet an entity in enough texts are counted in the whole corpus.
+holds the entity.
 
 The base spans are the leftmost non-overlapping matches of each kind. Matches are set off by marks
 in the text; the lengths between the marks, added up in a window per document, give the places, as
@@ -24,7 +24,6 @@ stay, whatever their names. An empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,8 +48,8 @@ LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"
 BLOCK = 1024
 KEY = ["doc_id", "text_key"]
 GROUP = ["df_entity", "a", "b"]
-#: Terms up to this size, counted, are sent to every executor.
-BROADCAST_BYTES = 32 << 20
+#: Digests up to this size, counted, are sent to every executor; what one takes in a hash table.
+BROADCAST_BYTES, KEY_BYTES = 32 << 20, 96
 
 
 def _digits(value: Column) -> Column:
@@ -162,63 +161,56 @@ def entity_groups(base: DataFrame) -> DataFrame:
     return held.join(groups, "entity").select("text_key", *GROUP).distinct()
 
 
-def _needed(least: float) -> int:
-    """The fewest texts in which a pair must be met for its discounted score to reach `least`."""
-    if least >= 1:
-        raise ValueError("a discounted disclosure stays below 1")
-    root = math.sqrt(max(least, 0.0))
-    return max(1, math.ceil(root / (1 - root) - 1e-9))
+def _corpus_counts(rows: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
+    """(term, df_term) of the wanted terms: in how many distinct texts of the corpus each stands.
+
+    Texts without copies are counted where they lie. Only those with copies meet by their digests,
+    unless their digests are too many to be sent to every executor; then all texts do.
+    """
+    parts = F.array_distinct(F.transform(F.split("text", r"[^\p{L}\p{N}]+"), F.lower))
+    terms = rows.select("text_key", parts.alias("terms"))
+    keys = rows.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1").select("text_key")
+    copied = scratch.saved(keys, "copied")
+    if copied.count() * KEY_BYTES <= BROADCAST_BYTES:
+        copied = F.broadcast(copied)
+        alone = terms.join(copied, "text_key", "left_anti")
+        once = terms.join(copied, "text_key", "left_semi").dropDuplicates(["text_key"])
+        each = alone.select("terms").union(once.select("terms"))
+    else:
+        each = terms.dropDuplicates(["text_key"]).select("terms")
+    counted = (
+        each.select(F.explode("terms").alias("term"))
+        .groupBy("term").agg(F.count("*").alias("df_term"))
+        .join(wanted, "term", "left_semi")
+    )
+    return scratch.saved(counted, "terms")
 
 
 def disclosing(
     rows: DataFrame, words: DataFrame, groups: DataFrame, scratch: Scratch, support: int, least: float
 ) -> DataFrame:
     """(text_key, term, disclosure) of the terms at or above `least` for an entity of their text."""
-    need = max(support, _needed(least))
     total = float(max(rows.select("text_key").distinct().count(), 1))
     own = words.select("text_key", "term").distinct()
-    # Neither part may be rarer than the pair has to be.
-    often = own.groupBy("term").agg(F.count("*").alias("df_here")).where(F.col("df_here") >= need)
-    entity = F.col("df_entity")
+    counted = _corpus_counts(rows, own.select("term").distinct(), scratch)
+    rarer, commoner = F.least("df_term", "df_entity"), F.greatest("df_term", "df_entity")
     most = F.log(total / F.col("co"))
-
-    def score(df_term: str, rarer: Column) -> Column:
-        ratio = F.log(F.col("co") * total / (F.col(df_term) * entity)) / most
-        discount = F.col("co") / (F.col("co") + 1) * rarer / (rarer + 1)
-        return F.when(most > 0, F.least(ratio, F.lit(1.0)) * discount).otherwise(0.0)
-
-    # A term is at least as common in the corpus as in the texts that hold values: what cannot
-    # reach `least` by that count, as common words cannot, need not be counted.
-    met = (
-        own.join(often, "term")
-        .join(groups.where(entity >= need), "text_key")
-        .groupBy(*GROUP, "term", "df_here").agg(F.count("*").alias("co"))
-        .where((F.col("co") >= need) & (score("df_here", entity) >= least - 1e-9))
-    )
-    met = scratch.saved(met, "met")
-    wanted = scratch.saved(met.select("term").distinct(), "wanted")
-    size = wanted.agg(F.sum(F.octet_length("term") + F.lit(96))).first()[0]
-    if size is None:
-        return own.select("text_key", "term", F.lit(0.0).alias("disclosure")).where(F.lit(False))
-    # The wanted words of each text meet those of its copies; only then they are counted.
-    parts = F.transform(F.split("text", r"[^\p{L}\p{N}]+"), F.lower)
-    counted = (
-        rows.select("text_key", F.explode(F.array_distinct(parts)).alias("term"))
-        .join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, "term")
-        .distinct()
-        .groupBy("term").agg(F.count("*").alias("df_term"))
-    )
-    counted = scratch.saved(counted, "terms")
+    ratio = F.log(F.col("co") * total / (F.col("df_term") * F.col("df_entity"))) / most
+    discount = F.col("co") / (F.col("co") + 1) * rarer / (rarer + 1)
+    # A pair is found together as often as its rarer part at most: others cannot reach `least`.
+    best = F.log(total / commoner) * F.pow(rarer / (rarer + 1), 2)
+    possible = best >= F.log(total / rarer) * least - 1e-9
     found = scratch.saved(
-        met.join(counted, "term")
-        .withColumn("disclosure", score("df_term", F.least("df_term", "df_entity")))
+        own.join(counted, "term").join(groups, "text_key").where(possible)
+        .groupBy(*GROUP, "term", "df_term").agg(F.count("*").alias("co"))
+        .where(F.col("co") >= support)
+        .withColumn("disclosure", F.when(most > 0, F.least(ratio, F.lit(1.0)) * discount).otherwise(0.0))
         .where(F.col("disclosure") >= least)
         .select(*GROUP, "term", "disclosure"),
         "disclosing",
     )
     return (
         groups.join(found, GROUP)
-        .join(own, ["text_key", "term"])
         .groupBy("text_key", "term").agg(F.max("disclosure").alias("disclosure"))
     )
 
