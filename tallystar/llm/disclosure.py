@@ -168,16 +168,16 @@ def _corpus_counts(rows: DataFrame, wanted: DataFrame, scratch: Scratch) -> Data
     unless their digests are too many to be sent to every executor; then all texts do.
     """
     parts = F.array_distinct(F.transform(F.split("text", r"[^\p{L}\p{N}]+"), F.lower))
-    terms = rows.select("text_key", parts.alias("terms"))
     keys = rows.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1").select("text_key")
     copied = scratch.saved(keys, "copied")
     if copied.count() * KEY_BYTES <= BROADCAST_BYTES:
         copied = F.broadcast(copied)
-        alone = terms.join(copied, "text_key", "left_anti")
-        once = terms.join(copied, "text_key", "left_semi").dropDuplicates(["text_key"])
-        each = alone.select("terms").union(once.select("terms"))
+        alone = rows.join(copied, "text_key", "left_anti").select(parts.alias("terms"))
+        together = rows.join(copied, "text_key", "left_semi")
     else:
-        each = terms.dropDuplicates(["text_key"]).select("terms")
+        alone, together = None, rows
+    once = together.select("text_key", parts.alias("terms")).dropDuplicates(["text_key"])
+    each = once.select("terms") if alone is None else alone.union(once.select("terms"))
     counted = (
         each.select(F.explode("terms").alias("term"))
         .groupBy("term").agg(F.count("*").alias("df_term"))
