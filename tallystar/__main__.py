@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallystar.operators.checks import integrity
 from tallystar.operators.reports import preview
-from tallystar.plans.analysis import marts, write_marts
+from tallystar.plans.analysis import marts, write_marts, year_report
 from tallystar.plans.etl import reload_latest, run_etl
 from tallystar.session import build_session, shuffle_partitions
 from tallystar.sinks.star_tables import ensure_star
@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--max-files", type=int, default=1000)
         if job == "report":
             sub.add_argument("--output", help="folder for the reports as tables")
+            sub.add_argument("--year", type=int, help="only a year's sales by month and product")
     return parser
 
 
@@ -59,6 +60,13 @@ def _size_shuffles(spark: SparkSession, path: str) -> None:
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.year is not None:
+        report = year_report(spark, args.mart, args.year)
+        if args.output:
+            report.write.mode("overwrite").parquet(f"{args.output}/year={args.year}")
+        else:
+            report.orderBy("month", "product_key").show(1000, truncate=False)
+        return
     fact = read_fact(spark, args.mart)
     print(f"sales_fact: {fact.count()} rows")
     fact.printSchema()

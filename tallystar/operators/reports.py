@@ -43,9 +43,15 @@ def monthly_by_product(fact: DataFrame, dates: DataFrame, products: DataFrame) -
     Spark broadcasts the dates if their size allows. Nothing bounds the products, so
     the fact is first added up per month and product key, map-side, and only those
     totals meet the product dimension, by whichever join their size calls for.
+
+    A fact with the month `ym` by which it is partitioned is joined by it, too: then a filter on the
+    dates' year or month keeps Spark from reading the other months.
     """
+    days, keys = dates.select("date_key", "year", "month"), ["date_key"]
+    if "ym" in fact.columns:
+        days, keys = days.withColumn("ym", F.col("year") * 100 + F.col("month")), ["date_key", "ym"]
     per_key = (
-        fact.join(dates.select("date_key", "year", "month"), "date_key")
+        fact.join(days, keys)
         .groupBy("year", "month", "product_key")
         .agg(
             F.sum("total_units_sold").alias("total_units"),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallystar.operators import reports
+from tallystar.sources import star_tables as star
 
 
 def marts(fact: DataFrame) -> dict[str, DataFrame]:
@@ -20,3 +22,11 @@ def write_marts(fact: DataFrame, folder: str) -> None:
     """Each report as a small table under `folder`; the first two feed the charts."""
     for name, report in marts(fact).items():
         report.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def year_report(spark: SparkSession, mart: str, year: int) -> DataFrame:
+    """Sales of a year per month and product. The dates choose the months of the fact to read."""
+    at = star.current(spark, mart)
+    dates = star.read_date_dim(spark, mart, at).where(F.col("year") == year)
+    fact = star.read_fact(spark, mart, at=at, with_month=True)
+    return reports.monthly_by_product(fact, dates, star.read_product_dim(spark, mart, at))

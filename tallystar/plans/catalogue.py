@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tallystar.operators import checks, dimensions, membership, reports
 from tallystar.operators.clean import clean, narrow_revenue, typed, validation_counts
 from tallystar.operators.merge import BROADCAST_BYTES, merge
 from tallystar.operators.unpivot import to_long
-from tallystar.plans.analysis import write_marts
+from tallystar.plans.analysis import write_marts, year_report
 from tallystar.plans.etl import run_etl
 from tallystar.schemas import (
     CLEAN,
@@ -37,6 +38,7 @@ from tallystar.sources import star_tables as star
 from tallystar.sources.snapshots import stage_rows
 from tallystar.streaming.ingest import ingest_new_files
 
+REPORTS = ("total_sales_by_product", "monthly_sales_trend", "top_products", "avg_revenue")
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The merge queries: the target holds the days before TARGET_END with older
@@ -175,10 +177,22 @@ def ledger_months(spark, sf_dir):
 
 
 def written_marts(spark, sf_dir):
-    """The report by month as the report job writes it."""
+    """All reports as the report job writes them, in one table."""
     folder = scratch_folder(spark)
     write_marts(supplied.line_fact(spark, sf_dir), folder)
-    return spark.read.parquet(f"{folder}/monthly_sales_trend")
+    read = {n: spark.read.parquet(f"{folder}/{n}") for n in REPORTS}
+    none = F.lit(None).cast("string")
+    rows = [
+        ("total_sales_by_product", F.col("product_key"), F.col("total_sales")),
+        ("monthly_sales_trend", F.col("month").cast("string"), F.col("total_sales")),
+        ("top_products", F.col("product_key"), F.col("total_units").cast("double")),
+        ("avg_revenue", none, F.col("avg_revenue")),
+    ]
+    parts = [
+        read[name].select(F.lit(name).alias("report"), key.alias("key"), value.alias("value"))
+        for name, key, value in rows
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _fine_fact(spark, sf_dir):
@@ -540,6 +554,14 @@ def ingest_sales_fact(spark, sf_dir):
     return star.read_fact(spark, f"{home}/mart")
 
 
+def year_report_pruned(spark, sf_dir):
+    """Sales of 1997 by month and product, from a star that a run has loaded."""
+    home = scratch_folder(spark)
+    _write_wide(supplied.wide_daily(spark, sf_dir), f"{home}/data")
+    run_etl(spark, f"{home}/data", f"{home}/lake", f"{home}/mart")
+    return year_report(spark, f"{home}/mart", 1997)
+
+
 QUERIES: dict[str, Query] = {
     "unpivot_sales": unpivot_sales,
     "unpivot_brands": unpivot_brands,
@@ -604,4 +626,5 @@ QUERIES: dict[str, Query] = {
     "star_monthly_by_product_many": star_monthly_by_product_many,
     "etl_sales_fact": etl_sales_fact,
     "ingest_sales_fact": ingest_sales_fact,
+    "year_report_pruned": year_report_pruned,
 }

@@ -272,7 +272,11 @@ SELECT COUNT(*) AS record_count, MIN("Date") AS min_date, MAX("Date") AS max_dat
     "globbed_sales": f"WITH {DAILY_CLEAN} SELECT * FROM clean",
     "ledger_months": f"""WITH {DAILY_CLEAN}
 SELECT DISTINCT CAST("Year" * 100 + "Month" AS INT) AS ym FROM clean""",
-    "written_marts": f"WITH {LINE_FACT} {BY_MONTH}",
+    "written_marts": f"""WITH {LINE_FACT}
+SELECT 'total_sales_by_product' AS report, product_key AS key, total_sales AS value FROM ({BY_PRODUCT})
+UNION ALL SELECT 'monthly_sales_trend', CAST(month AS VARCHAR), total_sales FROM ({BY_MONTH})
+UNION ALL SELECT 'top_products', product_key, CAST(total_units AS DOUBLE) FROM ({TOP})
+UNION ALL SELECT 'avg_revenue', NULL, avg_revenue FROM ({AVERAGE})""",
     "total_sales_fine": f"""WITH {FINE_FACT}
 SELECT product_key, {FINE_SUM} AS total_sales FROM fact GROUP BY product_key""",
     "avg_revenue_fine": f"""WITH {FINE_FACT}
@@ -371,4 +375,6 @@ product_dim AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_key,
 {STAR}""",
     "etl_sales_fact": f"WITH {DAILY_FACT}, {MERGED}",
     "ingest_sales_fact": f"WITH {DAILY_FACT}, {MERGED}",
+    "year_report_pruned": f"""WITH {DAILY_FACT}, {DATE_DIM}, {PRODUCT_DIM}
+SELECT * FROM ({STAR}) WHERE year = 1997""",
 }

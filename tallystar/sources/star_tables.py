@@ -38,6 +38,7 @@ REJECTED = "rejected_files"
 DATES, PRODUCTS = "date_dim", "product_dim"
 #: Schema and key of each dimension.
 DIMENSIONS = {DATES: (DATE_DIM, DATE_KEYS), PRODUCTS: (PRODUCT_DIM, PRODUCT_KEYS)}
+YM = T.StructField("ym", T.IntegerType())
 # Times of the ledger, as written and as read.
 LEDGER_TIME = "%Y-%m-%dT%H:%M:%S.%f"
 LEDGER_TIME_READ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -134,15 +135,23 @@ def read_fact(
     mart: str,
     months: Iterable[int] | None = None,
     at: Current | None = None,
+    with_month: bool = False,
 ) -> DataFrame:
-    """The fact table, or only some of its months; other months are not even listed."""
+    """The fact table, or only some of its months; other months are not even listed.
+
+    `with_month` adds `ym`, the month by which the table is partitioned, for joins that prune by it.
+    """
+    schema = T.StructType([*SALES_FACT.fields, *([YM] if with_month else [])])
     known = (at or current(spark, mart)).months
     wanted = known if months is None else {m: known[m] for m in months if m in known}
     if not wanted:
-        return empty(spark, SALES_FACT)
+        return empty(spark, schema)
     base = f"{mart}/sales_fact"
     paths = [f"{base}/load={month.load}/ym={ym}" for ym, month in sorted(wanted.items())]
-    return spark.read.schema(SALES_FACT).parquet(*paths)
+    reader = spark.read.schema(schema)
+    if not with_month:
+        return reader.parquet(*paths)
+    return reader.option("basePath", base).parquet(*paths).select(*schema.fieldNames())
 
 
 def _read_dim(spark: SparkSession, mart: str, name: str, at: Current | None) -> DataFrame:

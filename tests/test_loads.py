@@ -24,6 +24,7 @@ from tallystar.functions.fingerprint import (
     table_fingerprint,
 )
 from tallystar.plans import load as plan
+from tallystar.plans.analysis import year_report
 from tallystar.plans.catalogue import _delivered, clean_lines, content_copies
 from tallystar.plans.etl import run_etl
 from tallystar.plans.load import ConcurrentLoad, load_rows, source_profile
@@ -267,3 +268,19 @@ def test_the_newest_row_of_a_key_counts_and_folders_are_folded(spark, home, monk
         (JAN, 2010, 1, 31), (FEB, 2010, 2, 1),
     ]
     assert {r[0] for r in star.read_product_dim(spark, home, at).collect()} == {"P1", "P2", "P3"}
+
+
+# Reports
+
+
+def test_a_year_reads_its_months_only(spark, home, capsys):
+    rows = {(date(y, m, 1), p): (y, float(m)) for y in (2009, 2010, 2011) for m in (1, 2) for p in ("P1", "P2")}
+    load(spark, home, rows)
+    report = year_report(spark, home, 2010)
+    assert sorted(tuple(r) for r in report.collect()) == [
+        (2010, m, p, f"Product {p[1]}", 2010, float(m)) for m in (1, 2) for p in ("P1", "P2")
+    ]
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text.lower()
+    main(["report", "--mart", home, "--year", "2010"])
+    assert "Product 2" in capsys.readouterr().out

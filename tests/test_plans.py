@@ -14,6 +14,7 @@ THROUGH_FILES = {
     "newest_snapshot_rows",
     "written_manifest",
     "written_marts",
+    "year_report_pruned",
 }
 UNWANTED = [
     "CartesianProduct",
