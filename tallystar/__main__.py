@@ -12,8 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.operators.checks import integrity
-from tallystar.operators.reports import preview
-from tallystar.plans.analysis import marts, write_marts, year_report
+from tallystar.plans.analysis import first_rows, kept_marts, write_reports, year_report
 from tallystar.plans.etl import reload_latest, run_etl
 from tallystar.session import build_session, shuffle_partitions
 from tallystar.sinks.star_tables import ensure_star
@@ -67,16 +66,15 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
         else:
             report.orderBy("month", "product_key").show(1000, truncate=False)
         return
-    fact = read_fact(spark, args.mart)
-    print(f"sales_fact: {fact.count()} rows")
-    fact.printSchema()
-    preview(fact).show(truncate=False)
+    found = kept_marts(spark, args.mart)
+    print(f"sales_fact: {read_fact(spark, args.mart).count()} rows")
+    first_rows(spark, args.mart).show(truncate=False)
     if args.output:
-        write_marts(fact, args.output)
+        write_reports(found, args.output)
         return
-    for name, mart in marts(fact).items():
+    for name, report in found.items():
         print(name)
-        mart.show(truncate=False)
+        report.show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:

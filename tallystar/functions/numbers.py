@@ -35,6 +35,11 @@ def exact_sum(value: Column, scale: int = 2) -> Column:
     is written as: with 16 decimals below 1e9, with 8 below 1e17, which is all that a double of
     that size holds. Only values from 1e17 on, infinities and NaN are added as doubles.
     """
+    return exact_total({name: F.sum(part) for name, part in exact_parts(value, scale).items()}, scale)
+
+
+def exact_parts(value: Column, scale: int = 2) -> dict[str, Column]:
+    """What of each value is added up apart. Sums of these add up, over any groups of rows."""
     units = 10**scale
     minor = F.rint(value * F.lit(float(units)))
     size = F.abs(value)
@@ -43,14 +48,21 @@ def exact_sum(value: Column, scale: int = 2) -> Column:
     mask = F.lit(2**_LANE_BITS - 1)
     lanes = [F.shiftright(number, i * _LANE_BITS) for i in range(_LANES)]
     lanes = [x if i == _LANES - 1 else x.bitwiseAND(mask) for i, x in enumerate(lanes)]
+    return {f"lane{i}": x for i, x in enumerate(lanes)} | {
+        "fine": F.when(~whole & (size < 1e9), value.cast("decimal(28,16)")),
+        "large": F.when(~whole & (size >= 1e9) & (size < 1e17), value.cast("decimal(28,8)")),
+        "rest": F.when((size >= 1e17) | F.isnan(value), value),
+    }
+
+
+def exact_total(sums: dict[str, Column], scale: int = 2) -> Column:
+    """The total of the summed parts."""
     total = sum(
-        F.sum(x).cast("decimal(20,0)") * F.lit(Decimal(2 ** (i * _LANE_BITS)))
-        for i, x in enumerate(lanes)
+        sums[f"lane{i}"].cast("decimal(20,0)") * F.lit(Decimal(2 ** (i * _LANE_BITS)))
+        for i in range(_LANES)
     )
     money = (total * F.lit(Decimal(1).scaleb(-scale))).cast("double")
-    fine = F.sum(F.when(~whole & (size < 1e9), value.cast("decimal(28,16)")))
-    large = F.sum(F.when(~whole & (size >= 1e9) & (size < 1e17), value.cast("decimal(28,8)")))
-    rest = F.sum(F.when((size >= 1e17) | F.isnan(value), value))
+    fine, large, rest = sums["fine"], sums["large"], sums["rest"]
     # Cents and finer values meet as decimals too, so their total is rounded once.
     both = F.try_add(
         (total * F.lit(Decimal(1).scaleb(-scale))).try_cast("decimal(36,16)"), fine

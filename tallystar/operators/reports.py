@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions.dates import month_start
-from tallystar.functions.numbers import exact_avg, exact_sum
+from tallystar.functions.numbers import exact_avg, exact_parts, exact_sum, exact_total
 
 
 def total_sales_by_product(fact: DataFrame) -> DataFrame:
@@ -61,3 +61,32 @@ def monthly_by_product(fact: DataFrame, dates: DataFrame, products: DataFrame) -
     return per_key.join(products, "product_key").select(
         "year", "month", "product_key", "product_name", "total_units", "total_sales"
     )
+
+
+def month_parts(fact: DataFrame, *by: str) -> DataFrame:
+    """What the reports need of a fact with `ym`, per month and product: exact sums that add up."""
+    revenue = exact_parts(F.col("total_revenue"))
+    return fact.groupBy(*by, "ym", "product_key").agg(
+        F.sum("total_units_sold").alias("units"),
+        F.count("total_revenue").alias("amounts"),
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum(part).alias(name) for name, part in revenue.items()],
+    )
+
+
+# Names of the summed parts of the revenue.
+PARTS = ("lane0", "lane1", "lane2", "fine", "large", "rest")
+
+
+def reports_of_parts(parts: DataFrame) -> dict[str, DataFrame]:
+    """The reports above, from month_parts instead of the fact."""
+    sales = exact_total({name: F.sum(name) for name in PARTS})
+    month = F.to_date(F.concat(F.col("ym").cast("string"), F.lit("01")), "yyyyMMdd").alias("month")
+    units = parts.groupBy("product_key").agg(F.sum("units").alias("total_units"))
+    return {
+        "total_sales_by_product": parts.groupBy("product_key")
+        .agg(sales.alias("total_sales")).orderBy(F.desc("total_sales"), "product_key"),
+        "monthly_sales_trend": parts.groupBy(month).agg(sales.alias("total_sales")).orderBy("month"),
+        "top_products": units.orderBy(F.desc("total_units"), "product_key").limit(5),
+        "avg_revenue": parts.agg((sales / F.sum("amounts")).alias("avg_revenue")),
+    }

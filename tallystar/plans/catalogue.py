@@ -20,7 +20,7 @@ from tallystar.operators import checks, dimensions, membership, reports
 from tallystar.operators.clean import clean, narrow_revenue, typed, validation_counts
 from tallystar.operators.merge import BROADCAST_BYTES, merge
 from tallystar.operators.unpivot import to_long
-from tallystar.plans.analysis import write_marts, year_report
+from tallystar.plans.analysis import kept_marts, marts, write_marts, year_report
 from tallystar.plans.etl import run_etl
 from tallystar.schemas import (
     CLEAN,
@@ -38,7 +38,6 @@ from tallystar.sources import star_tables as star
 from tallystar.sources.snapshots import stage_rows
 from tallystar.streaming.ingest import ingest_new_files
 
-REPORTS = ("total_sales_by_product", "monthly_sales_trend", "top_products", "avg_revenue")
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The merge queries: the target holds the days before TARGET_END with older
@@ -176,25 +175,38 @@ def ledger_months(spark, sf_dir):
     return ledger.select(F.explode("months.ym").alias("ym"))
 
 
-def written_marts(spark, sf_dir):
-    """All reports as the report job writes them, in one table."""
-    folder = scratch_folder(spark)
-    write_marts(supplied.line_fact(spark, sf_dir), folder)
-    read = {n: spark.read.parquet(f"{folder}/{n}") for n in REPORTS}
-    none = F.lit(None).cast("string")
-    rows = [
-        ("total_sales_by_product", F.col("product_key"), F.col("total_sales")),
-        ("monthly_sales_trend", F.col("month").cast("string"), F.col("total_sales")),
-        ("top_products", F.col("product_key"), F.col("total_units").cast("double")),
-        ("avg_revenue", none, F.col("avg_revenue")),
-    ]
+def _in_one(found: dict[str, DataFrame]) -> DataFrame:
+    """The four reports as one table."""
+    columns = {
+        "total_sales_by_product": (F.col("product_key"), F.col("total_sales")),
+        "monthly_sales_trend": (F.col("month").cast("string"), F.col("total_sales")),
+        "top_products": (F.col("product_key"), F.col("total_units").cast("double")),
+        "avg_revenue": (F.lit(None).cast("string"), F.col("avg_revenue")),
+    }
     parts = [
-        read[name].select(F.lit(name).alias("report"), key.alias("key"), value.alias("value"))
-        for name, key, value in rows
+        found[name].select(F.lit(name).alias("report"), key.alias("key"), value.alias("value"))
+        for name, (key, value) in columns.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def written_marts(spark, sf_dir):
+    """All reports as the report job writes them."""
+    folder, fact = scratch_folder(spark), supplied.line_fact(spark, sf_dir)
+    write_marts(fact, folder)
+    return _in_one({name: spark.read.parquet(f"{folder}/{name}") for name in marts(fact)})
+
+
+def kept_reports(spark, sf_dir):
+    """Reports from kept sums: after an old delivery, and after a newer one replaced months of it."""
+    home = scratch_folder(spark)
+    for number, wide in enumerate(_old_and_new(spark, sf_dir)):
+        _write_wide(wide, f"{home}/data/{number}")
+        run_etl(spark, f"{home}/data/{number}", f"{home}/lake", f"{home}/mart")
+        found = kept_marts(spark, f"{home}/mart")
+    return _in_one(found)
+
+
 def _fine_fact(spark, sf_dir):
     """Discounted revenue with four decimals."""
     lines = supplied.table(spark, sf_dir, "lineitem")
@@ -581,6 +593,7 @@ QUERIES: dict[str, Query] = {
     "globbed_sales": globbed_sales,
     "ledger_months": ledger_months,
     "written_marts": written_marts,
+    "kept_reports": kept_reports,
     "total_sales_fine": total_sales_fine,
     "avg_revenue_fine": avg_revenue_fine,
     "merge_fact_shuffled": merge_fact_shuffled,

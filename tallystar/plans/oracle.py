@@ -260,6 +260,11 @@ def _copies(keys: str) -> str:
   GROUP BY content) GROUP BY copies"""
 
 
+IN_ONE = f"""SELECT 'total_sales_by_product' AS report, product_key AS key, total_sales AS value FROM ({BY_PRODUCT})
+UNION ALL SELECT 'monthly_sales_trend', CAST(month AS VARCHAR), total_sales FROM ({BY_MONTH})
+UNION ALL SELECT 'top_products', product_key, CAST(total_units AS DOUBLE) FROM ({TOP})
+UNION ALL SELECT 'avg_revenue', NULL, avg_revenue FROM ({AVERAGE})"""
+
 ORACLE: dict[str, str] = {
     "csv_snapshot_rows": f"WITH {DAILY_CLEAN} SELECT * FROM clean",
     "csv_staging_rejects": f"""WITH {LINES}, {STAGED}
@@ -272,11 +277,9 @@ SELECT COUNT(*) AS record_count, MIN("Date") AS min_date, MAX("Date") AS max_dat
     "globbed_sales": f"WITH {DAILY_CLEAN} SELECT * FROM clean",
     "ledger_months": f"""WITH {DAILY_CLEAN}
 SELECT DISTINCT CAST("Year" * 100 + "Month" AS INT) AS ym FROM clean""",
-    "written_marts": f"""WITH {LINE_FACT}
-SELECT 'total_sales_by_product' AS report, product_key AS key, total_sales AS value FROM ({BY_PRODUCT})
-UNION ALL SELECT 'monthly_sales_trend', CAST(month AS VARCHAR), total_sales FROM ({BY_MONTH})
-UNION ALL SELECT 'top_products', product_key, CAST(total_units AS DOUBLE) FROM ({TOP})
-UNION ALL SELECT 'avg_revenue', NULL, avg_revenue FROM ({AVERAGE})""",
+    "written_marts": f"WITH {LINE_FACT} {IN_ONE}",
+    "kept_reports": f"""WITH {DAILY_FACT.replace("fact AS", "days AS")},
+fact AS (SELECT * FROM (WITH fact AS (SELECT * FROM days), {MERGED})) {IN_ONE}""",
     "total_sales_fine": f"""WITH {FINE_FACT}
 SELECT product_key, {FINE_SUM} AS total_sales FROM fact GROUP BY product_key""",
     "avg_revenue_fine": f"""WITH {FINE_FACT}

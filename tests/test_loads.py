@@ -24,7 +24,7 @@ from tallystar.functions.fingerprint import (
     table_fingerprint,
 )
 from tallystar.plans import load as plan
-from tallystar.plans.analysis import year_report
+from tallystar.plans.analysis import first_rows, kept_marts, marts, year_report
 from tallystar.plans.catalogue import _delivered, clean_lines, content_copies
 from tallystar.plans.etl import run_etl
 from tallystar.plans.load import ConcurrentLoad, load_rows, source_profile
@@ -284,3 +284,35 @@ def test_a_year_reads_its_months_only(spark, home, capsys):
     assert "dynamicpruning" in text.lower()
     main(["report", "--mart", home, "--year", "2010"])
     assert "Product 2" in capsys.readouterr().out
+
+
+def test_reports_read_only_months_without_kept_sums(spark, home, monkeypatch):
+    rows = {(date(2010, m, d), p): (m, 0.01 * d + m / 3) for m in range(1, 6) for d in (1, 2) for p in ("P1", "P2")}
+    read, real = [], star.read_fact
+
+    def noted(spark, mart, months=None, *args, **kwargs):
+        read.append(None if months is None else sorted(months))
+        return real(spark, mart, months, *args, **kwargs)
+
+    def both():
+        want = {n: [tuple(r) for r in m.collect()] for n, m in marts(real(spark, home)).items()}
+        got = {n: [tuple(r) for r in m.collect()] for n, m in kept_marts(spark, home).items()}
+        assert got == want
+
+    load(spark, home, rows, "a")
+    monkeypatch.setattr(star, "read_fact", noted)
+    both()
+    assert read == [[201001, 201002, 201003, 201004, 201005]]
+    load_rows(spark, cleaned(spark, {(date(2010, 3, 9), "P3"): (7, 1e9 + 1 / 3)}), home, [("b", "h")])
+    read.clear()
+    both()
+    both()
+    assert read == [[201003]]
+    assert [r[0] for r in first_rows(spark, home, 3).collect()] == [date(2010, 1, 1)] * 2 + [date(2010, 1, 2)]
+    assert read == [[201003], [201001]]
+
+
+def test_reports_on_an_empty_star(spark, home):
+    sink.ensure_star(spark, home)
+    assert kept_marts(spark, home)["total_sales_by_product"].count() == 0
+    assert first_rows(spark, home).count() == 0

@@ -15,6 +15,7 @@ THROUGH_FILES = {
     "written_manifest",
     "written_marts",
     "year_report_pruned",
+    "kept_reports",
 }
 UNWANTED = [
     "CartesianProduct",
