@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallystar.operators.clean import clean, narrow_revenue, typed, validation_counts
 from tallystar.operators.unpivot import product_ids, to_long
-from tallystar.sources.wide_files import read_wide
+from tallystar.sources.wide_files import read_folder
 
 WIDE = "Date string, `Q-P1` string, `S-P1` string, `Q-P10` string, `S-P10` string"
 
@@ -46,7 +46,8 @@ def test_unpivot_keeps_rows_and_units(spark, products):
 def test_unpivot_is_one_scan(spark, home):
     path = f"{home}/wide.csv"
     wide(spark, ("13-06-2010", "1", "2.5", "3", "4.5")).write.option("header", True).csv(path)
-    plan = to_long(read_wide(spark, path))._jdf.queryExecution().executedPlan().toString()
+    long, _ = read_folder(spark, path, None, to_long)
+    plan = long._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert "Exchange" not in plan
 
