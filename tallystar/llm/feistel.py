@@ -7,8 +7,8 @@ over the next even number of bits; a result of n or more is put through again un
 gaps. Nothing is sorted by the shuffled order, and each row's place is computed by itself.
 
 The number of a row is its place among the rows of a hash bucket, by id, checksum and size, plus
-the rows of all buckets before. There are BUCKETS buckets for any input. Rows equal in all three
-are interchangeable. The same rows, seed and shards give the same places, whatever the files.
+the rows of all buckets before. There are BUCKETS buckets, and more for inputs beyond BUCKET_ROWS rows a
+bucket. Rows equal in all three are interchangeable. The same rows, seed and shards give the same places, whatever the files.
 
 A null text has no bytes and checksum 0; a null id is an id like any other, repeated rows are rows
 of their own. An empty table gives no rows. Equal texts need not share a shard under this law.
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from tallystar.llm.tables import Scratch, ship
 from tallystar.llm.text import U, mix
 
-#: Hash buckets in which rows are numbered; their counts are added up in one task.
-BUCKETS = 4096
+#: Hash buckets in which rows are numbered, at least, and the rows of one beyond which there are more.
+#: Their counts are added up in one task, and sent to every executor up to so many.
+BUCKETS, BUCKET_ROWS, BROADCAST_BUCKETS = 4096, 1 << 16, 1 << 17
 
 
 def permuted(numbers: np.ndarray, n: int, seed: int = 0, rounds: int = 6) -> np.ndarray:
@@ -65,10 +66,11 @@ def _placed(n: int, shards: int, seed: int):
     return run
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Adds `number`, 0 .. n-1, fixed by the values of the `order` columns."""
+def numbered(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """Adds `number`, 0 .. n-1, to n rows, fixed by the values of the `order` columns."""
     scratch = Scratch(rows.sparkSession)
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int"))
+    buckets = max(BUCKETS, 1 << max(n // BUCKET_ROWS - 1, 0).bit_length())
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = scratch.saved(
         rows.groupBy("bucket").agg(F.count("*").alias("n"))
@@ -76,10 +78,10 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
         "buckets",
     )
     inside = Window.partitionBy("bucket").orderBy(*order)
-    # One row per bucket: small for any input.
+    firsts = F.broadcast(firsts) if buckets <= BROADCAST_BUCKETS else firsts
     return (
         rows.withColumn("at", F.row_number().over(inside))
-        .join(F.broadcast(firsts), "bucket")
+        .join(firsts, "bucket")
         .withColumn("number", F.col("first") + F.col("at") - 1)
         .drop("bucket", "at", "first")
     )
@@ -105,7 +107,7 @@ def sharded(
     )
     rows = Scratch(spark).saved(rows, "sizes")
     n = rows.count()
-    ready = numbered(rows, ["doc_id", "text_crc32", "size"])
+    ready = numbered(rows, ["doc_id", "text_crc32", "size"], n)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return ready.mapInArrow(
         _placed(n, shards, seed),

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallystar.llm import merge_counts, packing
+from tallystar.llm import feistel, merge_counts, packing
 from tallystar.llm.components import connected
 from tallystar.llm.content_archive import read_archive, write_archive
 from tallystar.llm.disclosure import Sanitiser, joined_spans
@@ -404,6 +404,16 @@ def test_rules_without_labels_are_wide(spark, documents, nothing):
 # 8
 
 
+@pytest.mark.parametrize("most", [1 << 17, 1])
+def test_shards_with_more_buckets(documents, monkeypatch, most):
+    """Places stay a permutation, whether the buckets' counts are broadcast or not."""
+    monkeypatch.setattr(feistel, "BUCKETS", 2)
+    monkeypatch.setattr(feistel, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(feistel, "BROADCAST_BUCKETS", most)
+    got = sharded(documents).collect()
+    assert sorted(r.slot * 16 + r.shard for r in got) == list(range(len(got)))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 64, 65, 1000, 4097])
 def test_feistel_is_a_permutation(n):
     assert sorted(permuted(np.arange(n), n, seed=n)) == list(range(n))
