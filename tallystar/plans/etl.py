@@ -78,7 +78,8 @@ def run_etl(
     if new_content:
         # The random end keeps two runs of one second apart.
         snapshot = snapshot_name(fmt, suffix=f"_{uuid.uuid4().hex[:8]}")
-        written = write_snapshot(clean(long), f"{lake}/{snapshot}", fmt)
+        sizes = {ym: lanes[0] for ym, lanes, _ in months}
+        written = write_snapshot(clean(long), f"{lake}/{snapshot}", fmt, sizes)
         if written["content_hash"] != content_hash:
             raise RuntimeError(f"{in_path} changed while it was read; {snapshot} is not used")
         append_manifest(spark, lake, snapshot, written, months)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystar.functions.dates import year_month
 from tallystar.functions.fingerprint import table_fingerprint
 from tallystar.schemas import (
     CLEAN,
@@ -21,6 +23,9 @@ from tallystar.schemas import (
     SNAPSHOT_STAMP,
 )
 
+#: Clean rows per file of a snapshot whose months are known, about 64 MB of Parquet.
+ROWS_PER_FILE = 1 << 22
+
 
 def snapshot_name(fmt: str = "parquet", when: datetime | None = None, suffix: str = "") -> str:
     stamp = (when or datetime.now(timezone.utc)).strftime(SNAPSHOT_STAMP)
@@ -28,14 +33,68 @@ def snapshot_name(fmt: str = "parquet", when: datetime | None = None, suffix: st
     return f"{SNAPSHOT_FOLDER}/{SNAPSHOT_PREFIX}{stamp}{suffix}{extension}"
 
 
-def write_snapshot(cleaned: DataFrame, path: str, fmt: str = "parquet") -> dict:
+def month_parts(
+    months: Iterable[tuple[int, int]], per_file: int = ROWS_PER_FILE
+) -> tuple[dict[int, tuple[int, int]], int]:
+    """Partitions for months of known row counts: month to (first partition, number), and how many
+    there are. Neighbouring small months share a partition, a large month has several of its own.
+    """
+    parts: dict[int, tuple[int, int]] = {}
+    n, filled = 0, per_file
+    for ym, rows in sorted(months):
+        if filled + rows > per_file:  # it doesn't fit beside the months before it
+            own = max(1, -(-rows // per_file))
+            parts[ym] = (n, own)
+            n += own
+            filled = rows if own == 1 else per_file
+        else:
+            parts[ym] = (n - 1, 1)
+            filled += rows
+    return parts, n
+
+
+def in_months(
+    cleaned: DataFrame, months: Iterable[tuple[int, int]], per_file: int = ROWS_PER_FILE
+) -> DataFrame:
+    """Rows ranged by month, sorted by date and product within each partition.
+
+    The row counts are known, so no pass over the rows samples them for bounds. A large month is
+    spread over its partitions by date and product, so one date with a third of all rows is split
+    too. A row of a month that is not listed goes to the first partition.
+    """
+    parts, n = month_parts(months, per_file)
+    table = pa.table(
+        {
+            "__ym": pa.array(parts, pa.int32()),
+            "__first": pa.array([first for first, _ in parts.values()], pa.int32()),
+            "__of": pa.array([of for _, of in parts.values()], pa.int32()),
+        }
+    )
+    # One row per calendar month.
+    places = F.broadcast(cleaned.sparkSession.createDataFrame(table))
+    spread = F.col("__first") + F.pmod(F.xxhash64("Date", "product_id"), F.col("__of")).cast("int")
+    return (
+        cleaned.join(places, year_month(F.col("Date")) == F.col("__ym"), "left")
+        .repartitionById(max(n, 1), F.coalesce(spread, F.lit(0)))
+        .sortWithinPartitions("Date", "product_id")
+        .select(*cleaned.columns)
+    )
+
+
+def write_snapshot(
+    cleaned: DataFrame, path: str, fmt: str = "parquet", months: Mapping[int, int] | None = None
+) -> dict:
     """Writes clean rows; returns `record_count, min_date, max_date, content_hash` of them.
 
     The figures are observed by the job that writes, so the rows are not read
-    again. An existing snapshot is never overwritten.
+    again. An existing snapshot is never overwritten. With `months`, the rows of each month if they
+    are known, files hold ranges of months, and who reads some months skips the others' files.
     """
     seen = Observation()
-    rows = cleaned.select(*CLEAN.fieldNames()).observe(
+    rows = cleaned.select(*CLEAN.fieldNames())
+    if months and fmt == "parquet":
+        rows = in_months(rows, months.items())
+    rows = rows.observe(
         seen,
         F.count(F.lit(1)).alias("record_count"),
         F.min("Date").alias("min_date"),

@@ -27,12 +27,15 @@ from tallystar.plans import load as plan
 from tallystar.plans.analysis import first_rows, kept_marts, marts, year_report
 from tallystar.plans.catalogue import _delivered, clean_lines, content_copies
 from tallystar.plans.etl import run_etl
-from tallystar.plans.load import ConcurrentLoad, load_rows, source_profile
+from tallystar.plans.load import ConcurrentLoad, load_rows, only_months, source_profile
 from tallystar.schemas import CLEAN
+from tallystar.sinks import snapshots
 from tallystar.sinks import star_tables as sink
 from tallystar.sinks.commits import create_new
+from tallystar.sinks.snapshots import in_months, month_parts
 from tallystar.sources import star_tables as star
 from tallystar.sources import wide_files
+from tallystar.sources.snapshots import read_snapshot
 
 ROOT = Path(__file__).resolve().parent.parent
 JAN, FEB = date(2010, 1, 31), date(2010, 2, 1)
@@ -142,6 +145,50 @@ def test_a_load_reads_its_snapshot_three_times_at_most(home):
     assert inputs == [3, 3]  # listed for the headers; counted; written
 
 
+# Snapshots by month
+
+
+def test_small_months_share_a_part_and_a_large_one_has_several():
+    parts, n = month_parts([(201003, 25), (201001, 4), (201002, 5), (201004, 3), (201005, 7)], 10)
+    assert parts == {201001: (0, 1), 201002: (0, 1), 201003: (1, 3), 201004: (4, 1), 201005: (4, 1)}
+    assert n == 5
+    assert month_parts([]) == ({}, 0)
+
+
+def scanned_rows(df):
+    """Rows that the scan of a plan without a shuffle gave, after running it."""
+    df.collect()
+    (leaf,) = [df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)]
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_reading_a_month_of_a_snapshot_skips_the_other_files(spark, home):
+    days = [(f"{d:02d}-{m:02d}-2010", d, d / 2, m, m / 2) for m in range(1, 13) for d in range(1, 29)]
+    hot = [(f"01-{m:02d}-2011", m, m / 2, m, m / 2) for m in (1, 2, 3)]
+    write_file(f"{home}/data", "a.csv", days + hot)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(snapshots, "ROWS_PER_FILE", 60)
+        m.setattr(snapshots.in_months, "__defaults__", (60,))
+        run = run_etl(spark, f"{home}/data", f"{home}/lake", f"{home}/mart")
+    rows = read_snapshot(spark, f"{home}/lake/{run.snapshot}")
+    assert rows.count() == 2 * len(days + hot)
+    june = only_months(rows, [201006])
+    assert scanned_rows(june) == june.count() == 56
+
+
+def test_a_hot_day_of_a_snapshot_is_split(spark, home):
+    rows = {(JAN, f"P{i}"): (i, 1.0) for i in range(300)} | {(FEB, "P1"): (1, 1.0)}
+    ranged = in_months(cleaned(spark, rows), [(201001, 300), (201002, 1)], 100)
+    parts = ranged.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 150
+    assert {tuple(r) for r in ranged.collect()} == {tuple(r) for r in cleaned(spark, rows).collect()}
+
+
+def test_a_month_that_is_not_listed_is_kept(spark):
+    rows = cleaned(spark, {(JAN, "P1"): (1, 1.0), (FEB, "P1"): (1, 1.0)})
+    assert in_months(rows, [(201001, 1)]).count() == 2
+
+
 # Headers
 
 
