@@ -36,7 +36,8 @@ from tallystar.sinks.snapshots import append_manifest, snapshot_name, write_snap
 from tallystar.sources import snapshots, supplied
 from tallystar.sources import star_tables as star
 from tallystar.sources.snapshots import stage_rows
-from tallystar.streaming.ingest import ingest_new_files
+from tallystar.sources.wide_files import SOURCE_FILE, SOURCE_TIME
+from tallystar.streaming.ingest import accepted_files, file_profiles, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,6 +137,13 @@ def csv_staging_rejects(spark, sf_dir):
     return snapshots.staging_rejects(snapshots.read_staging(spark, path))
 
 
+def csv_refused_rows(spark, sf_dir):
+    """The rows of a staged CSV file that the load would refuse, with the reason."""
+    path = f"{scratch_folder(spark)}/staged.csv"
+    supplied.staged_lines(spark, sf_dir).write.option("header", True).csv(path)
+    return snapshots.refused_rows(snapshots.read_staging(spark, path))
+
+
 def written_manifest(spark, sf_dir):
     """The manifest row of a written snapshot, without its name, time and hash."""
     lake, name = scratch_folder(spark), snapshot_name()
@@ -368,6 +376,31 @@ def unprocessed_files(spark, sf_dir):
     return membership.unprocessed(files.select("filename").distinct(), ledger)
 
 
+def _as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long rows of the four deliveries of each order, each as a file of its own."""
+    long = to_long(supplied.wide_lines(spark, sf_dir, "orderkey"), carry=["orderkey"])
+    rows = _delivered(typed(long, ["orderkey"]), "orderkey")
+    name = F.concat_ws("/", F.lit("orders"), "orderkey", "delivery").alias(SOURCE_FILE)
+    time = F.timestamp_seconds(F.col("delivery") * 86400 + F.col("orderkey")).alias(SOURCE_TIME)
+    named = [F.col(c).alias(c.lower()) for c in CLEAN.fieldNames()]
+    return rows.select("orderkey", "delivery", name, time, *named)
+
+
+def accepted_deliveries(spark, sf_dir):
+    """Files that the ingest job would load of four deliveries of each order, if it had loaded the
+    first delivery of every seventh order before: by its own profile of files and its own choice.
+
+    Files with a date and product twice are refused; of equal contents the oldest file is taken.
+    """
+    rows = _as_files(spark, sf_dir)
+    before = (F.col("orderkey") % 7 == 0) & (F.col("delivery") == 0)
+    sound, loaded = (
+        file_profiles(r).where(~F.col("repeated")).drop("repeated") for r in (rows, rows.where(before))
+    )
+    ledger = loaded.select(F.col(SOURCE_FILE).alias("filename"), "content_hash")
+    return accepted_files(sound, ledger).select("filename", "copies_skipped")
+
+
 def latest_snapshot(spark, sf_dir):
     files = supplied.event_files(spark, sf_dir).select("filename", "modified")
     return membership.latest(files, "modified", "filename")
@@ -588,6 +621,8 @@ QUERIES: dict[str, Query] = {
     "staging_rejects": staging_rejects,
     "csv_snapshot_rows": csv_snapshot_rows,
     "csv_staging_rejects": csv_staging_rejects,
+    "csv_refused_rows": csv_refused_rows,
+    "accepted_deliveries": accepted_deliveries,
     "written_manifest": written_manifest,
     "newest_snapshot_rows": newest_snapshot_rows,
     "globbed_sales": globbed_sales,

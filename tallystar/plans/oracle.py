@@ -260,6 +260,24 @@ def _copies(keys: str) -> str:
   GROUP BY content) GROUP BY copies"""
 
 
+# Four deliveries of each order as files; the first of every seventh order was loaded before.
+ACCEPTED = f"""{KEYED_CLEAN}, {_delivered("orderkey")},
+files AS (
+  SELECT DISTINCT l_orderkey AS orderkey, delivery
+  FROM lineitem, (SELECT unnest(range(0, 4)) AS delivery)),
+contents AS (
+  SELECT orderkey, delivery, COUNT(*) > COUNT(DISTINCT ROW("Date", product_id)) AS repeated,
+    CAST(list_sort(list(ROW("Date", "Year", "Month", "Day", product_id, units, revenue))) AS VARCHAR) AS content
+  FROM delivered GROUP BY 1, 2),
+sound AS (
+  SELECT orderkey, delivery, delivery * 86400 + orderkey AS arrival, coalesce(content, '') AS content,
+    concat_ws('/', 'orders', orderkey, delivery) AS filename
+  FROM files LEFT JOIN contents USING (orderkey, delivery) WHERE NOT coalesce(repeated, false)),
+ledger AS (SELECT * FROM sound WHERE orderkey % 7 = 0 AND delivery = 0)
+SELECT arg_min(filename, ROW(arrival, filename)) AS filename, COUNT(*) - 1 AS copies_skipped
+FROM sound WHERE filename NOT IN (SELECT filename FROM ledger)
+  AND content NOT IN (SELECT content FROM ledger) GROUP BY content"""
+
 IN_ONE = f"""SELECT 'total_sales_by_product' AS report, product_key AS key, total_sales AS value FROM ({BY_PRODUCT})
 UNION ALL SELECT 'monthly_sales_trend', CAST(month AS VARCHAR), total_sales FROM ({BY_MONTH})
 UNION ALL SELECT 'top_products', product_key, CAST(total_units AS DOUBLE) FROM ({TOP})
@@ -270,6 +288,14 @@ ORACLE: dict[str, str] = {
     "csv_staging_rejects": f"""WITH {LINES}, {STAGED}
 SELECT COUNT(*) AS rows_in, CAST(0 AS BIGINT) AS corrupt,
   COUNT(*) FILTER (WHERE date IS NULL) AS unreadable FROM long""",
+    "csv_refused_rows": f"""WITH {LINES}, {STAGED}
+SELECT date_str, CAST(EXTRACT(year FROM d) AS VARCHAR) || '.0' AS year,
+  CAST(EXTRACT(month FROM d) AS VARCHAR) || '.0' AS month,
+  CAST(EXTRACT(day FROM d) AS VARCHAR) || '.0' AS day, product_key,
+  units_str AS total_units_sold, revenue_str AS total_revenue, 'unreadable: date_str' AS reason
+FROM staged
+WHERE try_strptime(date_str, '%Y-%m-%d') IS NULL""",
+    "accepted_deliveries": f"WITH {ACCEPTED}",
     "written_manifest": f"""WITH {LINE_CLEAN}
 SELECT COUNT(*) AS record_count, MIN("Date") AS min_date, MAX("Date") AS max_date,
   '1.0' AS pipeline_version FROM clean""",

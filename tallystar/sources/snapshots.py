@@ -100,6 +100,24 @@ def staging_rejects(staged: DataFrame) -> DataFrame:
     )
 
 
+def refused_rows(staged: DataFrame) -> DataFrame:
+    """The staged rows that a load refuses, as their text, and why.
+
+    `reason` is "wrong width", or "unreadable" with the names of the columns without a value.
+    """
+    text = F.struct(*STAGING.fieldNames()).alias("staged")
+    rows = stage_rows(staged.select("*", text), "staged", CORRUPT)
+    without = [
+        F.when(F.col(c).isNull(), F.lit(name))
+        for c, name in zip(CLEAN.fieldNames(), STAGING.fieldNames(), strict=True)
+    ]
+    nan = F.when(F.isnan("Total_Revenue"), F.lit(STAGING.fieldNames()[-1]))
+    unreadable = F.concat(F.lit("unreadable: "), F.concat_ws(", ", *without, nan))
+    reason = F.when(F.col(CORRUPT).isNotNull(), "wrong width").otherwise(unreadable)
+    refused = F.col(CORRUPT).isNotNull() | ~is_complete()
+    return rows.where(refused).select("staged.*", reason.alias("reason"))
+
+
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The clean rows of a snapshot."""
     if fmt == "parquet":
@@ -109,6 +127,10 @@ def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 def require_readable(spark: SparkSession, path: str) -> None:
     """Fails if a CSV snapshot holds any row that cannot be loaded as it is."""
-    found = staging_rejects(read_staging(spark, path)).first()
+    staged = read_staging(spark, path)
+    found = staging_rejects(staged).first()
     if found["corrupt"] or found["unreadable"]:
-        raise ValueError(f"snapshot {path} has rows that cannot be read: {found.asDict()}")
+        shown = "; ".join(str(r.asDict()) for r in refused_rows(staged).limit(3).collect())
+        raise ValueError(
+            f"snapshot {path} has rows that cannot be read: {found.asDict()}, for example {shown}"
+        )

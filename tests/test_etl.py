@@ -16,6 +16,7 @@ from tallystar.sources.snapshots import (
     list_snapshots,
     read_snapshot,
     read_staging,
+    refused_rows,
     staging_rejects,
 )
 from tallystar.sources.wide_files import read_folder
@@ -235,7 +236,13 @@ def test_unreadable_staging_rows_are_counted_and_stop_the_load(spark, home):
         "unreadable": 2,
     }
     assert [r[CORRUPT] for r in staged.collect() if r[CORRUPT]] == ["2010-06-15,2010"]
-    with pytest.raises(ValueError, match="cannot be read"):
+    refused = {r["date_str"]: r["reason"] for r in refused_rows(staged).collect()}
+    assert refused == {
+        "13-06-2010": "unreadable: date_str",
+        "2010-06-14": "unreadable: total_units_sold",
+        "2010-06-15": "wrong width",
+    }
+    with pytest.raises(ValueError, match="cannot be read.*'reason': "):
         etl.load_star(spark, "s.csv", f"{home}/lake", f"{home}/mart", fmt="csv")
     assert star.read_ledger(spark, f"{home}/mart").count() == 0
 

@@ -8,6 +8,7 @@ SF_DIR = "/root/testdata/sf0.001"
 THROUGH_FILES = {
     "etl_sales_fact",
     "ingest_sales_fact",
+    "csv_refused_rows",
     "csv_snapshot_rows",
     "globbed_sales",
     "ledger_months",
