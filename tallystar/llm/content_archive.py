@@ -3,7 +3,8 @@
 A written archive has two tables. `payloads` holds each distinct payload once, under its SHA-256;
 `headers` holds one row per record: its exact header bytes (the WARC header, and the HTTP header
 that opens its block) and the address of its payload. Records are put together again by joining
-the two. Addresses are verified: writing fails if payloads of one address differ in length or
+the two, and `from_records` cuts the rebuilt bytes up again, as a reader of the archive would.
+Addresses are verified: writing fails if payloads of one address differ in length or
 SHA-1, reading fails if stored bytes don't have the digests that address and header state.
 
 Of records with equal payloads the one with the smallest page id is a response, the others are
@@ -179,3 +180,49 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
             F.concat("warc_header", "http_header", "payload", end),
         ).otherwise(F.concat("warc_header", "http_header", end)).alias("record"),
     )
+
+
+def from_records(archive: DataFrame) -> DataFrame:
+    """page_id, record_type, refers_to, payload_bytes, payload_digest, as the bytes of `record` say.
+
+    The WARC header ends at the first empty line and states the block's length, the HTTP header ends
+    at the next. What follows in a response is its payload, whose length and SHA-1 must be those that
+    the headers state; a revisit has no payload of its own and states those of the record that it
+    refers to, which reading has compared. A record that doesn't end after its block fails the job.
+    """
+    blank = "\r\n\r\n"
+    text = F.decode("record", "ISO-8859-1")  # a character for each byte
+    ends = archive.withColumn("text", text).withColumn("warc_end", F.locate(blank, "text") + 3)
+    ends = ends.withColumn("http_end", F.expr("locate('\\r\\n\\r\\n', text, warc_end + 1)") + 3)
+    warc = F.decode(F.expr("substring(record, 1, warc_end)"), "UTF-8")
+    http = F.expr("substring(text, warc_end + 1, http_end - warc_end)")
+    field = lambda head, name: F.regexp_extract(head, f"\r\n{name}: ([^\r\n]*)", 1)
+    kind = archive.schema["page_id"].dataType.simpleString()
+    cut = ends.select(
+        "page_id",
+        field(warc, "WARC-Type").alias("record_type"),
+        F.regexp_extract(warc, "\r\nWARC-Refers-To: <urn:tallystar:page:(.*):[^:>]*>", 1).alias("to"),
+        F.regexp_extract(warc, "\r\nWARC-Payload-Digest: sha1:([A-Z2-7]*)", 1).alias("stated"),
+        field(http, "Content-Length").cast("long").alias("payload_bytes"),
+        (F.col("warc_end") + field(warc, "Content-Length").cast("long")).alias("block_end"),
+        F.octet_length("record").alias("size"),
+        "http_end",
+        "record",
+    )
+    payload = F.expr("substring(record, http_end + 1, cast(block_end as int) - http_end)")
+    response = F.col("record_type") == "response"
+    whole = (F.col("block_end") + len(blank) == F.col("size")) & (
+        F.when(
+            response,
+            (F.octet_length(payload) == F.col("payload_bytes"))
+            & (base32_sha1(payload) == F.col("stated")),
+        ).otherwise(F.col("http_end") == F.col("block_end"))
+    )
+    wrong = F.raise_error(F.lit("a record isn't what its headers state"))
+    return cut.select(
+        "page_id",
+        "record_type",
+        F.expr(f"try_cast(`to` as {kind})").alias("refers_to"),
+        "payload_bytes",
+        F.when(whole, F.col("stated")).otherwise(wrong).alias("payload_digest"),
+    )

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.content_archive import read_archive, write_archive
+from tallystar.llm.content_archive import from_records, read_archive, write_archive
 from tallystar.llm.conversation_repair import ConversationRepair, damaged
 from tallystar.llm.disclosure import Sanitiser, joined_spans
 from tallystar.llm.feistel import sharded
@@ -44,9 +44,7 @@ def op2_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark)
     write_archive(_table(spark, sf_dir, "pages"), path)
-    return read_archive(spark, path).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    return from_records(read_archive(spark, path))
 
 
 def op4_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
