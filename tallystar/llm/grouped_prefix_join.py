@@ -16,7 +16,10 @@ least `percent` hundredths of the union; documents that links connect form a com
    one prefix does not share, up to the earlier of the two prefixes' ends, the other set lacks.
 6. Such pairs are expanded to their members, and these are verified on whole sets.
 
-No pair that could link different components is left out, whatever the sizes of groups.
+No pair that could link different components is left out, whatever the sizes of groups. With
+`whole`, every pair that could link is compared instead of step 4, so that all links between
+different sets are known, not only enough to connect them. Groups of one shingle then meet in
+blocks of BLOCK, so a shingle that many groups share is spread over many tasks.
 
 Null, empty or blank texts have no shingles and are linked with nothing. Fewer words than a
 shingle form one shingle of all words. Repeated rows are copies of each other; null ids are kept,
@@ -52,6 +55,8 @@ from tallystar.llm.text import (
 SLOTS = 1 << 21
 #: Slots that are added up together, and first sums of each such range.
 RANGE, FAN = 1 << 14, 256
+#: Groups of one shingle that meet those of another block in one place, where all links are wanted.
+BLOCK = 256
 
 
 def _grams(texts_: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +189,7 @@ def _sets(k: int, kind: str, table):
 
 
 class GroupedPrefixJoin:
-    """The join over one table; `components()` and `links()` are its results."""
+    """The join over one table; `components()` and, with `whole`, `links()` are its results."""
 
     def __init__(
         self,
@@ -193,12 +198,13 @@ class GroupedPrefixJoin:
         percent: int = 85,
         id_col: str = "doc_id",
         text_col: str = "text",
+        whole: bool = False,
     ) -> None:
         if not 0 < percent <= 100 or k < 1:
             raise ValueError("percent must be from 1 to 100, k at least 1")
         spark = docs.sparkSession
         ship(spark)
-        self.percent, self.scratch = percent, Scratch(spark)
+        self.percent, self.whole, self.scratch = percent, whole, Scratch(spark)
         self.id_col, self.text_col = id_col, text_col
         self.k, self.kind = k, id_type(docs, id_col).simpleString()
         self.texts = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
@@ -239,6 +245,11 @@ class GroupedPrefixJoin:
         # The prefixes are in the postings now; the rest of the signatures stays.
         self.signed = self.scratch.saved(self.signed.drop("prefix", "last_rank", "last_gram"), "keys")
         self.scratch.drop("signed", "prefixes")
+        if whole:
+            self._links = self._verified(self._all_pairs(postings), "every")
+            self.scratch.drop("blocks", "postings", "groups", "members")
+            self.labels = connected(self._links.select("a", "b"), self.scratch, "all")
+            return
         stars = self._verified(self._star_pairs(postings), "stars")
         self.scratch.drop("centres")
         first = connected(stars, self.scratch, "first")
@@ -333,6 +344,37 @@ class GroupedPrefixJoin:
             self.members.where("sid <> gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
         )
 
+    def _all_pairs(self, postings: DataFrame) -> DataFrame:
+        """(a, b), a < b: all members whose groups share a prefix shingle and may link, or are one."""
+        sizes = postings.groupBy("token").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+        rows = self.scratch.saved(
+            postings.join(sizes.where("blocks > 1"), "token", "left")
+            .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+            .withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks"))),
+            "blocks",
+        )
+        # A block meets itself and each later one once.
+        first = rows.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
+        second = rows.withColumn("one", F.explode(F.expr("sequence(0L, block)")))
+        met = (
+            (F.col("x.token") == F.col("y.token"))
+            & (F.col("x.block") == F.col("y.one")) & (F.col("x.other") == F.col("y.block"))
+        )
+        pairs = (
+            first.alias("x").join(second.alias("y"), met)
+            .where((F.col("x.block") < F.col("y.block")) | (F.col("x.gid") < F.col("y.gid")))
+            .where(self._may_link("x", "y"))
+            .select(F.least("x.gid", "y.gid").alias("ga"), F.greatest("x.gid", "y.gid").alias("gb"))
+            .distinct()
+        )
+        pairs = self._roomy(pairs, postings, "every")
+        one, two = self.members.toDF("ga", "a"), self.members.toDF("gb", "b")
+        within = one.join(two, F.col("ga") == F.col("gb")).where("a < b").select("a", "b")
+        between = pairs.join(one, "ga").join(two, "gb")
+        return between.select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        ).union(within)
+
     def _roomy(self, pairs: DataFrame, postings: DataFrame, name: str) -> DataFrame:
         """Pairs of groups (ga, gb, ...) whose shared prefix shingles leave room for a link."""
         pairs = self.scratch.saved(pairs, f"{name}-pairs")
@@ -418,17 +460,40 @@ class GroupedPrefixJoin:
         self.scratch.drop(f"{name}-members", f"{name}-grams")
         return links
 
-    def links(self) -> DataFrame:
-        """Verified links between distinct sets, by their smallest ids: id_a, id_b, shared.
-
-        They connect each component; pairs inside one that were not needed are not listed.
-        """
+    def _named_links(self) -> DataFrame:
         ids = self.sets.select("sid", "least_id")
+        pair = F.sort_array(F.array("x", "y"))  # a null id comes first
         return (
-            self._links.join(ids.toDF("a", "id_a"), "a").join(ids.toDF("b", "id_b"), "b")
-            .select("id_a", "id_b", "shared")
+            self._links.join(ids.toDF("a", "x"), "a").join(ids.toDF("b", "y"), "b")
+            .select(pair[0].alias("id_a"), pair[1].alias("id_b"), "shared")
         )
 
+    def links(self) -> DataFrame:
+        """Every link between different sets, once: id_a, id_b (their smallest ids), shared.
+
+        Documents of equal sets link too; `components()` counts them.
+        """
+        if not self.whole:
+            raise ValueError("all links are known only with whole=True")
+        return self._named_links()
+
+    def spanning_links(self) -> DataFrame:
+        """Links that connect each component, each once; others inside it may be missing."""
+        return self._named_links().distinct()
+
+    def _link_counts(self) -> DataFrame:
+        """(n, s1, s2, n_links): the documents that one of this set links with, itself left out."""
+        copies = (
+            self.signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.count("*").alias("copies"))
+            .join(self.sets.select("n", "s1", "s2", "sid"), ["n", "s1", "s2"])
+        )
+        copies = self.scratch.saved(copies, "copies")
+        both = self._links.select("a", "b").union(self._links.select("b", "a")).toDF("sid", "with")
+        others = both.join(copies.select(F.col("sid").alias("with"), F.col("copies").alias("of")), "with")
+        others = others.groupBy("sid").agg(F.sum("of").alias("others"))
+        n_links = F.col("copies") - 1 + F.coalesce("others", F.lit(0))
+        return copies.join(others, "sid", "left").select("n", "s1", "s2", n_links.alias("n_links"))
+
     def _labelled(self) -> DataFrame:
         labelled = self.sets.select("n", "s1", "s2", "sid", "least_id", "one").join(
             self.labels.withColumnRenamed("v", "sid"), "sid", "left"
@@ -468,20 +533,27 @@ class GroupedPrefixJoin:
         self.scratch.keep("kept")
 
     def components(self) -> DataFrame:
-        """doc_id, n_shingles, component_id: one row per row of the table."""
+        """doc_id, n_shingles, component_id: one row per row of the table.
+
+        With `whole` n_links follows, the number of other documents that it links with.
+        """
         labelled = self._labelled()
         least = self.scratch.saved(
             labelled.groupBy("c").agg(F.min("least_id").alias("component_id")), "least"
         )
         named = labelled.join(least, "c").select("n", "s1", "s2", "component_id")
+        if self.whole:
+            named = named.join(self._link_counts(), ["n", "s1", "s2"])
         rows = self.signed.select("doc_id", "n", "s1", "s2").join(
             self.scratch.saved(named, "named"), ["n", "s1", "s2"], "left"
         )
+        counts = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if self.whole else []
         return rows.select(
             "doc_id",
             F.col("n").cast("long").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
             .alias("component_id"),
+            *counts,
         )
 
 
