@@ -10,6 +10,10 @@ found.
 An item with fewer words than a window, but not none, is one window; documents are searched for
 it by the hashes of all their runs of that many words.
 
+A run that many items and documents have in different surroundings doesn't bring all of them
+together: of a shared span, at least half of the words beside the run stand before it or behind it,
+so fingerprints are joined with these words, once for each side.
+
 Before the join, document fingerprints pass a bit table of the benchmark's, which has the same
 size for any benchmark. What passes it by chance finds no partner in the join. Words are compared
 by 64-bit hashes.
@@ -147,6 +151,20 @@ def _documents(gram: int, window: int, shorts: list[int], table):
     return run
 
 
+def _sided(rows: DataFrame, around: str, gram: int, side: int) -> DataFrame:
+    """Rows once for the words before the run (1) and once for those behind it (2), as many as a
+    shared span has on one side at least; runs that are whole items (0) have none."""
+    half = (side + 1) // 2
+    before = F.xxhash64(F.slice(around, side - half + 1, half))
+    behind = F.xxhash64(F.slice(around, side + gram + 1, half))
+    whole = F.array(F.struct(F.lit(0).alias("part"), F.lit(0).cast("long").alias("beside")))
+    both = F.array(
+        F.struct(F.lit(1).alias("part"), before.alias("beside")),
+        F.struct(F.lit(2).alias("part"), behind.alias("beside")),
+    )
+    return rows.select("*", F.inline(F.when(F.col("size") > 0, whole).otherwise(both)))
+
+
 class Winnowing:
     """Shared spans of documents and benchmark items."""
 
@@ -197,13 +215,15 @@ class Winnowing:
             ),
             "documents",
         )
-        met = (
+        side = window - gram
+        places = (
             self.heads.where("size(spots) > 0")
             .select("doc_id", "text_key", F.explode("spots").alias("s"))
             .select("doc_id", "text_key", "s.hash", "s.pos", "s.size", F.col("s.around").alias("mine"))
-            .join(variants, ["hash", "size"])
         )
-        side = window - gram
+        met = _sided(places, "mine", gram, side).join(
+            _sided(variants, "around", gram, side), ["hash", "size", "part", "beside"]
+        )
         same = F.zip_with("mine", "around", lambda x, y: x == y)
         # Equal words next to the run, outwards: up to the first difference.
         left = F.coalesce(
@@ -222,6 +242,8 @@ class Winnowing:
             .withColumn("right", F.when(F.col("size") > 0, 0).otherwise(right))
             .withColumn("long", F.when(F.col("size") > 0, F.col("size")).otherwise(gram))
             .where((F.col("size") > 0) | (F.col("left") + F.col("right") + gram >= window))
+            # What both sides brought together counts once.
+            .where((F.col("part") < 2) | (F.col("left") < (side + 1) // 2))
             .select(
                 "doc_id", "text_key", "variant",
                 (F.col("pos") - F.col("left")).cast("long").alias("start"),
