@@ -1,23 +1,24 @@
 """License scan by a positional rare-token index, in DataFrame functions only (operator 2).
 
-Each notice (template) is indexed by its RARE words with the highest inverse document frequency
-over all documents: word -> notice, position. A file looks up the indexed words it has. Files that
-hold enough of a notice's weight get their positions looked up, and postings are intersected by
-relative position: words that stand at the same distance as in the notice vote for (notice,
-offset). A notice is found where the votes reach `least` of its weight and its key phrase stands
-at its place.
+Each notice (template) is indexed by its words with the highest inverse document frequency
+over all documents: word -> notice, position. One pass normalises every text, counts the base phrases
+and notes which words of any notice the text has. From those notes come the document frequencies.
+A text that has all words of some notice's key phrase keeps its words; it looks its own notice words up
+in the index, and notices of which it holds enough weight get their postings intersected by relative
+position: words that stand at the same distance as in the notice vote for (notice, offset). A notice is
+found where the votes reach `least` of its weight and its key phrase stands at its place.
 
 Beside it, the base phrases are counted wherever their words stand consecutively.
 
 Words are runs of letters and digits, lower-case in A-Z. Null, empty and wordless texts have no
-words, places or labels, and score 0. Repeated rows and null ids are scanned like any other; an
-empty table gives no rows.
+words, places or labels, and score 0. Repeated rows and null ids are scanned like any other; very long
+texts are scanned whole; columns beside id and text are left out, whatever their names; an
+empty table gives no rows. Of notices found equally well all count.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +43,7 @@ class Notice(NamedTuple):
     key: str
 
 
-# Opening words of public licence notices.
+# Public licence notices, opening words and whole texts.
 NOTICES = [
     Notice("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
     Notice("gpl-3.0", "licensed under the gnu general public license version 3", "general public license version 3"),
@@ -59,9 +60,50 @@ NOTICES = [
     Notice("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
     Notice("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
     Notice("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0"),
+    Notice(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+        "associated documentation files the software to deal in the software without restriction including "
+        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+        "copies of the software and to permit persons to whom the software is furnished to do so subject to "
+        "the following conditions the above copyright notice and this permission notice shall be included in "
+        "all copies or substantial portions of the software the software is provided as is without warranty "
+        "of any kind express or implied including but not limited to the warranties of merchantability "
+        "fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+        "holders be liable for any claim damages or other liability whether in an action of contract tort or "
+        "otherwise arising from out of or in connection with the software or the use or other dealings in the "
+        "software",
+        "shall be included in all copies or substantial portions of the software",
+    ),
+    Notice(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+        "hereby granted provided that the above copyright notice and this permission notice appear in all "
+        "copies the software is provided as is and the author disclaims all warranties with regard to this "
+        "software including all implied warranties of merchantability and fitness in no event shall the author "
+        "be liable for any special direct indirect or consequential damages or any damages whatsoever "
+        "resulting from loss of use data or profits whether in an action of contract negligence or other "
+        "tortious action arising out of or in connection with the use or performance of this software",
+        "the author disclaims all warranties with regard to this software",
+    ),
+    Notice(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors "
+        "be held liable for any damages arising from the use of this software permission is granted to anyone "
+        "to use this software for any purpose including commercial applications and to alter it and "
+        "redistribute it freely subject to the following restrictions the origin of this software must not be "
+        "misrepresented you must not claim that you wrote the original software",
+        "to alter it and redistribute it freely",
+    ),
+    Notice(
+        "unlicense",
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source "
+        "code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+        "use compile sell or distribute this software",
+    ),
 ]
-#: Indexed words of a notice.
-RARE = 6
+#: Least number of indexed words of a notice; a longer notice has one for every EVERY words.
+RARE, EVERY = 6, 10
 
 
 def normal(text: Column) -> Column:
@@ -100,20 +142,50 @@ def base_scan(rows: DataFrame) -> DataFrame:
     ).drop("parts")
 
 
-def document_frequencies(rows: DataFrame, words: list[str]) -> tuple[int, dict[str, int]]:
-    """Number of rows, and of rows that have each of the given words; as many rows as words."""
-    wanted = F.array(*[F.lit(w) for w in words])
-    counted = (
-        rows.select(
-            F.explode(F.concat(F.array_intersect(wanted, F.split("words_text", " ")), F.array(F.lit(""))))
-            .alias("word")
-        )
-        .groupBy("word").count()
-    )
-    found = dict(counted.collect())
+def document_frequencies(rows: DataFrame) -> tuple[int, dict[str, int]]:
+    """Number of rows, and of rows that list each word in `own`; as many rows as notices have words."""
+    counted = rows.select(F.explode(F.concat("own", F.array(F.lit("")))).alias("word"))
+    found = dict(counted.groupBy("word").count().collect())
     return found.pop("", 0), found
 
 
+def _literal(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
+
+
+def noted(docs: DataFrame, split: list[list[str]], keys: list[list[str]], id_col: str, text_col: str) -> DataFrame:
+    """One pass over the texts: base columns, the words of any notice that a row has (`own`), and the
+    words of texts that have all words of some key phrase (else null); each row with its number.
+
+    Words of notices and keys are two literal arrays, so the plan does not grow with the notices.
+    """
+    rows = texts(docs, id_col, text_col).select("doc_id", normal(F.col("text")).alias("words_text"))
+    known = _literal(sorted({w for s in split for w in s}))
+    distinct = sorted({tuple(sorted(set(k))) for k in keys})
+    wanted = F.array(*[_literal(list(k)) for k in distinct])
+    own = F.array_intersect(known, F.split("words_text", " "))
+    maybe = F.exists(wanted, lambda k: F.size(F.array_except(k, F.col("own"))) == 0)
+    return (
+        base_scan(rows)
+        .withColumn("own", own)
+        .withColumn("words_text", F.when(maybe, F.col("words_text")))
+        .withColumn("row", F.monotonically_increasing_id())
+    )
+
+
+def postings_of(
+    split: list[list[str]], weight: dict[str, float], rare: int, every: int
+) -> list[tuple[str, int, int, float]]:
+    """The index: (word, notice, position, share of the notice's indexed weight)."""
+    index = []
+    for notice, own in enumerate(split):
+        n = max(rare, len(own) // every)
+        top = sorted(set(own), key=lambda w: (-weight[w], w))[:n]
+        whole = sum(weight[w] for w in top)
+        index += [(w, notice, p, weight[w] / whole) for p, w in enumerate(own) if w in top]
+    return index
+
+
 def scan(
     docs: DataFrame,
     notices: list[Notice] = NOTICES,
@@ -121,6 +193,7 @@ def scan(
     least: float = 0.7,
     id_col: str = "doc_id",
     text_col: str = "text",
+    every: int = EVERY,
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, places.
 
@@ -128,89 +201,57 @@ def scan(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    rows = texts(docs, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").alias("text_key"), normal(F.col("text")).alias("words_text")
-    )
-    split = [n.text.split() for n in notices]
-    total, have = document_frequencies(rows, sorted({w for s in split for w in s}))
+    split, keys = [n.text.split() for n in notices], [n.key.split() for n in notices]
+    seen = scratch.saved(noted(docs, split, keys, id_col, text_col), "seen")
+    total, have = document_frequencies(seen)
     # Natural logarithms of inverse document frequencies; sizes are those of the notices.
     weight = inverse_frequencies(total, have, {w for s in split for w in s})
-    index, index_rows = [], []
-    for at, own in enumerate(split):
-        top = sorted(set(own), key=lambda w: (-weight[w], w))[:rare]
-        whole = sum(weight[w] for w in top)
-        index.append({w: weight[w] / whole for w in top})
-        index_rows += [(w, at, p, weight[w] / whole) for p, w in enumerate(own) if w in top]
-    postings = spark.createDataFrame(index_rows, "word string, notice int, at int, share double")
-    indexed = sorted({w for i in index for w in i})
-    having = F.array_intersect(
-        F.array(*[F.lit(w) for w in indexed]), F.split("words_text", " ")
-    )
-    # A file that lacks the weight of each notice cannot reach `least` at any offset.
-    enough = [
-        reduce(
-            lambda a, b: a + b,
-            [F.when(F.array_contains("own", w), s).otherwise(0.0) for w, s in words.items()],
-        )
-        >= least - 1e-9
-        for words in index
-    ]
-    seen = (
-        base_scan(rows)
-        .withColumn("own", having)
-        .withColumn("maybe", reduce(lambda a, b: a | b, enough))
-        .withColumn("words_text", F.when(F.col("maybe"), F.col("words_text")))
-        .drop("own", "maybe")
-    )
-    seen = scratch.saved(seen, "seen")
-    files = seen.where("words_text is not null").select("doc_id", "text_key", "words_text").distinct()
-    files = scratch.saved(
-        files.withColumn("file", F.monotonically_increasing_id()).withColumn(
-            "words", F.split(F.trim("words_text"), " ")
-        ),
-        "files",
+    # As many rows as the notices have indexed words, whatever the documents.
+    index = postings_of(split, weight, rare, every)
+    postings = spark.createDataFrame(index, "word string, notice int, at int, share double")
+    once = sorted({(w, notice, share) for w, notice, _, share in index})
+    shares = spark.createDataFrame(once, "word string, notice int, share double")
+    files = seen.where("words_text is not null")
+    # A file that lacks the weight of a notice cannot reach `least` at any offset.
+    looked_up = (
+        files.select("row", F.explode("own").alias("word"))
+        .join(F.broadcast(shares), "word")
+        .groupBy("row", "notice")
+        .agg(F.sum("share").alias("held"))
+        .where(F.col("held") >= least - 1e-9)
     )
+    # A word that a notice has more than once votes once for an offset.
     votes = (
-        files.select("file", F.posexplode("words").alias("pos", "word"))
-        .join(F.broadcast(postings), "word")  # as many rows as the notices have indexed words
-        .groupBy("file", "notice", (F.col("pos") - F.col("at")).alias("offset"), "word")
+        files.select("row", F.posexplode(F.split(F.trim("words_text"), " ")).alias("pos", "word"))
+        .join(F.broadcast(postings), "word")
+        .select("row", "notice", "word", "share", (F.col("pos") - F.col("at")).alias("offset"))
+        .join(looked_up, ["row", "notice"], "left_semi")
+        .groupBy("row", "notice", "offset", "word")
         .agg(F.max("share").alias("share"))
-        .groupBy("file", "notice", "offset")
+        .groupBy("row", "notice", "offset")
         .agg(F.sum("share").alias("score"))
         .where(F.col("score") >= least - 1e-9)
     )
-    keys = spark.createDataFrame(
-        [
-            (i, n.label, n.key.split(), _inside(n.text.split(), n.key.split()))
-            for i, n in enumerate(notices)
-        ],
+    places = spark.createDataFrame(
+        [(i, n.label, k, _inside(s, k)) for i, (n, s, k) in enumerate(zip(notices, split, keys))],
         "notice int, label string, key array<string>, key_at int",
     )
     from_word = F.col("offset") + F.col("key_at")
+    words = files.select("row", F.split(F.trim("words_text"), " ").alias("words"))
+    # Rounded, so that the order in which shares were added up does not show.
+    score = F.round(F.least("score", F.lit(1.0)), 9).alias("score")
+    place = F.struct("label", F.col("offset").alias("word"), score)
     verified = (
-        votes.join(F.broadcast(keys), "notice").join(files, "file")
+        votes.join(F.broadcast(places), "notice")
+        .join(words, "row")
         .where(from_word >= 0)
         .where(F.slice("words", from_word.cast("int") + 1, F.size("key")) == F.col("key"))
-        .groupBy("doc_id", "text_key")
-        .agg(
-            F.array_sort(
-                F.collect_set(
-                    F.struct("label", F.col("offset").alias("word"), F.least("score", F.lit(1.0)).alias("score"))
-                )
-            ).alias("places")
-        )
-    )
-    verified = scratch.saved(verified, "verified")
-    s, v = seen.alias("s"), verified.alias("v")
-    joined = s.join(
-        v,
-        (F.col("s.text_key") == F.col("v.text_key")) & F.col("s.doc_id").eqNullSafe(F.col("v.doc_id")),
-        "left",
-    ).select(
-        "s.doc_id", "n_words", "n_base", "first_word", "last_word", "base_list",
-        F.coalesce("places", F.array().cast("array<struct<label:string,word:int,score:double>>"))
-        .alias("places"),
+        .groupBy("row")
+        .agg(F.array_sort(F.collect_set(place)).alias("places"))
     )
+    joined = seen.drop("own", "words_text").join(scratch.saved(verified, "verified"), "row", "left")
+    none = F.array().cast("array<struct<label:string,word:int,score:double>>")
+    joined = joined.withColumn("places", F.coalesce("places", none))
     labels = F.array_union("base_list", F.transform("places", lambda p: p.label))
     return joined.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

@@ -90,6 +90,28 @@ def licences(text):
     return len(w), len(at), *ends, ",".join(sorted(labels))
 
 
+def notices_found(texts, notices, rare=6, every=10, least=0.7):
+    """Per text: labels and score, and the places (label, word, score), by trying every offset."""
+    texts = [ALNUM_WORD.findall(lower(x)) for x in texts]
+    df = Counter(w for t in texts for w in set(t))
+    out = []
+    for t in texts:
+        places = set()
+        for n in notices:
+            own, key = n.text.split(), n.key.split()
+            idf = {w: math.log(1 + (len(texts) + 1) / (df[w] + 1)) for w in own}
+            top = sorted(idf, key=lambda w: (-idf[w], w))[: max(rare, len(own) // every)]
+            whole = sum(idf[w] for w in top)
+            key_at = next(i for i in range(len(own)) if own[i : i + len(key)] == key)
+            for start in (i - key_at for i in range(len(t)) if t[i : i + len(key)] == key):
+                met = {w for p, w in enumerate(own) if 0 <= start + p < len(t) and t[start + p] == w}
+                score = sum(idf[w] for w in top if w in met) / whole
+                if score >= least - 1e-9:
+                    places.add((n.label, start, round(min(score, 1.0), 9)))
+        out.append(sorted(places))
+    return out
+
+
 def archive(pages):
     """{page_id: (bytes, digest, type, refers_to)} for distinct ids."""
     first = {}

@@ -18,7 +18,7 @@ from tallystar.llm.feistel import permuted, sharded
 from tallystar.llm.fertility import Rules, fitted_rules, quality
 from tallystar.llm.grouped_prefix_join import GroupedPrefixJoin, ngram_jaccard_components
 from tallystar.llm.interpolation import interpolated_scores, learned_weights
-from tallystar.llm.license_index import scan
+from tallystar.llm.license_index import NOTICES, Notice, scan
 from tallystar.llm.tables import Scratch
 from tallystar.llm.winnowing import Winnowing, benchmark_overlap
 
@@ -83,6 +83,61 @@ def test_licences(table):
         assert 0 <= r.score <= 1
 
 
+def places_of(rows):
+    return [[(p.label, p.word, round(p.score, 9)) for p in r.places] for r in rows]
+
+
+def test_notices_are_those_of_all_offsets(table):
+    docs, pairs = table
+    got = scan(docs).collect()
+    want = brute.notices_found([x for _, x in pairs], NOTICES)
+    assert any(want)
+    assert bag((r.doc_id, *p) for r, p in zip(got, places_of(got))) == bag(
+        (i, *p) for (i, _), p in zip(pairs, want)
+    )
+    for r in got:
+        base = set(filter(None, r.base_labels.split(",")))
+        assert set(filter(None, r.labels.split(","))) == base | {p.label for p in r.places}
+        assert r.score == max((p.score for p in r.places), default=0.0)
+
+
+def damaged(rng, words):
+    """Some words changed, dropped or put in, and prose around."""
+    out = [f"w{rng.integers(9)}" for _ in range(rng.integers(4))]
+    for w in words:
+        r = rng.random()
+        out += [] if r < 0.02 else [f"x{rng.integers(9)}"] if r < 0.06 else [w, "of"] if r < 0.08 else [w]
+    return " ".join(out + [f"w{rng.integers(9)}" for _ in range(rng.integers(4))])
+
+
+def test_whole_and_damaged_notices(spark):
+    """Each notice as it is, behind comment signs, twice, damaged in places, and cut off at its end."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{rng.integers(40)}" for _ in range(30)) for _ in range(40)]
+    for n in NOTICES:
+        words = n.text.split()
+        texts += [n.text, "# " + n.text.upper().replace(" ", "\n# "), f"{n.text} . {n.text}", n.text[:-3]]
+        texts += [damaged(rng, words) for _ in range(6)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in scan(rows).collect()}
+    want = brute.notices_found(texts, NOTICES)
+    assert places_of(got[i] for i in range(len(texts))) == want
+    assert all(n.label in got[40 + 10 * i + k].labels.split(",") for i, n in enumerate(NOTICES) for k in range(3))
+
+
+def test_hundreds_of_notices(spark):
+    """The plan does not grow with the notices."""
+    rng = np.random.default_rng(3)
+    notices = []
+    for i in range(300):
+        words = [f"t{w}" for w in rng.integers(0, 500, 60)]
+        notices.append(Notice(f"n{i:03d}", " ".join(words), " ".join(words[20:24])))
+    texts = [f"a {notices[7 * i].text} b {notices[(11 * i) % 300].text}" for i in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(scan(rows, notices).collect(), key=lambda r: r.doc_id)
+    assert places_of(got) == brute.notices_found(texts, notices)
+
+
 def test_a_notice_is_found_by_its_rare_words(spark):
     notice = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
     shuffled = " ".join(sorted(notice.split()))
