@@ -1,15 +1,19 @@
 """Language-model scoring by deleted interpolation (operator 1).
 
-P(w | v) = l(b) * count(v w) / count(v) + (1 - l(b)) * (count(w) + 1) / (N + V + 1)
+P1(w) = (count(w) + 1) / (N + V + 1)
+P2(w | v) = l2(b) * count(v w) / count(v) + (1 - l2(b)) * P1(w)
+P3(w | u v) = l3(b) * count(u v w) / count(u v) + (1 - l3(b)) * P2(w | v)
 
-for bigrams of words and an end after each text; b is the bucket of the context's frequency, by
-powers of two. The weights l(b) come from expectation-maximisation on training texts whose own
-counts are deleted from the model for that (one in `parts`, the tuning part); scoring then uses
-the counts of all training texts.
+and so on up to `order`, over words and an end after each text; before a text stand starts. b is the
+bucket of the context's frequency, by powers of two; a context never seen has weight 0. The weights come
+from expectation-maximisation on training texts whose own counts are deleted from the model for that (the
+tuning part): those of l2 first, those of l3 over the P2 so found, and so on. Scoring then uses the counts of
+all training texts.
 
 How it runs. Texts are cut into blocks of some megabytes. A block counts its distinct n-grams and
 sends them, as sorted packed hashes, one cell for each range of hashes; so a frequent n-gram
-travels once for each block and not for each of its places. Each range adds up its cells and
+travels once for each block and not for each of its places. Words and pairs are counted first, then each
+longer order by itself, so that only one order's cells lie on disk at a time. Each range adds up its cells and
 answers every cell with the totals, in the cell's own order. The answers meet the block's texts
 again, and each text gets its lists of counts, from which EM and scores are scans. What is sent
 grows with the corpus; a range or a block keeps its size. N-grams are compared by 64-bit hashes.
@@ -18,6 +22,7 @@ The texts are read twice and must come in the same blocks both times. A table of
 with `fixed=False` the texts are written to the scratch folder first. Each answer is checked
 against the block's n-grams, and a difference stops the job.
 
+Very long texts are blocks of their own. Columns beside id and text are left out, whatever their names.
 Null and empty texts consist of the end alone. A null id counts as empty text for the split.
 Repeated rows are texts of their own. Without training texts all counts are 0 and the score is
 that of the uniform base; an empty table gives no rows.
@@ -46,6 +51,8 @@ _START = U(0x1B873593CC9E2D51)
 #: Steps of an octave in which ratios of the two estimates are told apart for EM.
 STEPS = 16
 BUCKETS = 64
+#: Tasks of a shuffle beyond which each takes more pieces, one after another.
+MOST_TASKS = 1 << 15
 
 
 def _pack(values: np.ndarray, squeeze: bool = False) -> bytes:
@@ -68,8 +75,8 @@ def _unpack(data: bytes, squeezed: bool = False) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64, copy=False)
 
 
-def _tokens(texts_: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of words and ends, of (previous, this) pairs, and each text's bounds."""
+def _grams(texts_: Texts, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of words and ends, of (previous, this) pairs and so on, and each text's bounds."""
     found = words(texts_, NOT_SPACE)
     n = len(texts_)
     bounds = found.bounds + np.arange(n + 1)
@@ -79,10 +86,14 @@ def _tokens(texts_: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside[ends] = False
     token[inside] = span_hashes(texts_, found.start, found.end, lower=True)
     token[ends] = _END
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[bounds[:-1]] = _START
-    return token, mix(before + mix(token + U(1))), bounds
+    place = np.arange(len(token)) - np.repeat(bounds[:-1], np.diff(bounds))
+    grams = [token]
+    for back in range(1, order):
+        before = np.full_like(token, _START)
+        inner = np.flatnonzero(place >= back)
+        before[inner] = token[inner - back]
+        grams.append(mix(before + mix(grams[-1] + U(back))))
+    return grams, bounds
 
 
 def _ranges(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -99,20 +110,20 @@ def _roles(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("part").to_numpy(zero_copy_only=False)
 
 
-def _cells(ranges: int, held: int, tuning: int):
-    """(block, range, keys, main, tuned): counts of the block's distinct n-grams."""
+def _cells(ranges: int, held: int, tuning: int, orders: tuple[int, ...]):
+    """(block, range, order, keys, main, tuned): counts of the block's distinct n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
         for number, (batch, texts_) in enumerate(chunks(batches, size=BLOCK)):
-            token, pair, bounds = _tokens(texts_)
+            grams, bounds = _grams(texts_, orders[-1])
             role = np.repeat(_roles(batch), np.diff(bounds))
             main, tuned = (role != held) & (role != tuning), role == tuning
-            rows = {"block": [], "range": [], "pairs": [], "keys": [], "main": [], "tuned": []}
-            for pairs, grams in ((False, token), (True, pair)):
-                keys, which = np.unique(grams, return_inverse=True)
+            rows = {name: [] for name in _CELL.names}
+            for order in orders:
+                keys, which = np.unique(grams[order - 1], return_inverse=True)
                 counts = [np.bincount(which[m], minlength=len(keys)) for m in (main, tuned)]
                 cuts = _ranges(keys, ranges)
                 for r in range(ranges):
@@ -121,7 +132,7 @@ def _cells(ranges: int, held: int, tuning: int):
                         continue
                     rows["block"].append(_block_name(task, number))
                     rows["range"].append(r)
-                    rows["pairs"].append(pairs)
+                    rows["order"].append(order)
                     rows["keys"].append(_pack(np.diff(keys[a:b], prepend=U(0))))
                     rows["main"].append(_pack(counts[0][a:b], True))
                     rows["tuned"].append(_pack(counts[1][a:b], True))
@@ -134,7 +145,7 @@ _CELL = pa.schema(
     [
         ("block", pa.int64()),
         ("range", pa.int32()),
-        ("pairs", pa.bool_()),
+        ("order", pa.int32()),
         ("keys", pa.binary()),
         ("main", pa.binary()),
         ("tuned", pa.binary()),
@@ -144,7 +155,7 @@ _ANSWER = pa.schema(
     [
         ("block", pa.int64()),
         ("range", pa.int32()),
-        ("pairs", pa.bool_()),
+        ("order", pa.int32()),
         ("mark", pa.int64()),
         ("main", pa.binary()),
         ("total", pa.binary()),
@@ -177,7 +188,7 @@ def _answers(table: pa.Table) -> pa.Table:
         {
             "block": table["block"],
             "range": table["range"],
-            "pairs": table["pairs"],
+            "order": table["order"],
             "mark": [_mark(c) for c in cells],
             "main": [_pack(sums[0][p], True) for p in parts],
             "total": [_pack(total[p], True) for p in parts],
@@ -220,12 +231,8 @@ def _parts(
             first = last
 
 
-def _split(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    return [_pack(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-
-
-def _counted(tuning: int):
-    """Counts of each text's tokens and pairs, from a block's texts and answers."""
+def _counted(tuning: int, order: int):
+    """Counts of the n-grams that end at each token of a text, from a block's texts and answers."""
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         if blocks.num_rows != 1:
@@ -233,14 +240,14 @@ def _counted(tuning: int):
         table = pa.ipc.open_stream(blocks["data"][0].as_py()).read_all()
         [batch] = table.combine_chunks().to_batches()
         [(batch, texts_)] = chunks(iter([batch]), size=1 << 62)
-        token, pair, bounds = _tokens(texts_)
-        kind = answers["pairs"].to_numpy(zero_copy_only=False).astype(bool)
-        order = answers["range"].to_numpy()
-        found = []
-        for pairs, grams in ((False, token), (True, pair)):
-            keys, which = np.unique(grams, return_inverse=True)
-            own = np.flatnonzero(kind == pairs)
-            own = own[np.argsort(order[own])].tolist()
+        grams, bounds = _grams(texts_, order)
+        kind, at = answers["order"].to_numpy(), answers["range"].to_numpy()
+        is_tuned = _roles(batch) == tuning
+        out = {"doc_id": batch.column("doc_id"), "part": batch.column("part")}
+        for n, own_grams in enumerate(grams, 1):
+            keys, which = np.unique(own_grams, return_inverse=True)
+            own = np.flatnonzero(kind == n)
+            own = own[np.argsort(at[own])].tolist()
             mark = np.bitwise_xor.reduce(
                 np.array([answers["mark"][i].as_py() for i in own], np.int64)
             )
@@ -248,23 +255,15 @@ def _counted(tuning: int):
                 values = np.concatenate([_unpack(answers[column][i].as_py(), True) for i in own])
                 if len(values) != len(keys) or int(mark) != _mark(keys):
                     raise ValueError("the blocks of texts changed between reads")
-                found.append(values[which])
-        tokens_main, tokens_all, pairs_main, pairs_all = found
-        tuned = np.repeat(_roles(batch) == tuning, np.diff(bounds))
-        empty = [b""] * batch.num_rows
-        is_tuned = _roles(batch) == tuning
-        main = (_split(tokens_main, bounds), _split(pairs_main, bounds)) if tuned.any() else (empty, empty)
-        keep = [[x if t else b"" for x, t in zip(m, is_tuned, strict=True)] for m in main]
-        return pa.table(
-            {
-                "doc_id": batch.column("doc_id"),
-                "part": batch.column("part"),
-                "tokens": _split(tokens_all, bounds),
-                "pairs": _split(pairs_all, bounds),
-                "tokens_main": pa.array(keep[0], pa.binary()),
-                "pairs_main": pa.array(keep[1], pa.binary()),
-            }
-        )
+                # Counts without the tuning part are wanted for its own texts only.
+                wanted = is_tuned if column == "main" else np.ones(len(is_tuned), bool)
+                found = values[which] if wanted.any() else values
+                packed = [
+                    _pack(found[a:b]) if w else b""
+                    for a, b, w in zip(bounds[:-1], bounds[1:], wanted, strict=True)
+                ]
+                out[f"{column}{n}"] = pa.array(packed, pa.binary())
+        return pa.table(out)
 
     return run
 
@@ -278,24 +277,39 @@ def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def _estimates(tokens, pairs, bounds, texts_count: float, base_size: float):
-    """Bucket of the context, likelihood of the pair given it, and base of the token."""
-    context = np.empty(len(tokens))
-    context[1:] = tokens[:-1]
-    context[bounds[:-1]] = texts_count
-    bucket = np.log2(context + 1).astype(np.int64)
-    return bucket, pairs / np.maximum(context, 1), (tokens + 1) / base_size
+class _Model:
+    """The mixture: counts that do not depend on a text, and the weights of the orders from 2 on."""
+
+    def __init__(self, texts_count: int, base_size: int, weights: list[np.ndarray]) -> None:
+        self.texts_count, self.base_size, self.weights = texts_count, base_size, weights
+
+    def level(self, contexts: np.ndarray, counts: np.ndarray, bounds: np.ndarray):
+        """Bucket of each context, and likelihood of the n-gram given it."""
+        context = np.empty(len(counts))
+        context[1:] = contexts[:-1]
+        context[bounds[:-1]] = self.texts_count
+        return np.log2(context + 1).astype(np.int64), counts / np.maximum(context, 1)
 
+    def estimate(self, counts: list[np.ndarray], bounds: np.ndarray):
+        """P1 of each token, and its estimate by all orders that have weights."""
+        base = estimate = (counts[0] + 1) / self.base_size
+        for weight, contexts, own in zip(self.weights, counts, counts[1:]):
+            bucket, high = self.level(contexts, own, bounds)
+            estimate = weight[bucket] * high + (1 - weight[bucket]) * estimate
+        return base, estimate
 
-def _ratios(texts_count: float, base_size: float):
-    """(bucket, step, n): how often the pair's estimate is 2**(step/STEPS) times the base."""
+
+def _ratios(model: _Model, order: int):
+    """(bucket, step, n): how often the estimate of `order` is 2**(step/STEPS) times the lower ones'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
-        for batch in _parts(batches, "tokens_main"):
-            tokens, bounds = _joined(batch.column("tokens_main"))
-            pairs, _ = _joined(batch.column("pairs_main"))
-            bucket, high, low = _estimates(tokens, pairs, bounds, texts_count, base_size)
+        for batch in _parts(batches, "main1"):
+            counts = [_joined(batch.column(f"main{n}")) for n in range(1, order + 1)]
+            bounds = counts[0][1]
+            counts = [c for c, _ in counts]
+            _, low = model.estimate(counts[:-1], bounds)
+            bucket, high = model.level(counts[-2], counts[-1], bounds)
             known = bucket > 0  # contexts that the model has not seen have no weight
             step = np.full(len(high), -(1 << 15))
             seen = high > 0
@@ -318,7 +332,7 @@ def _ratios(texts_count: float, base_size: float):
 def learned_weights(
     bucket: np.ndarray, step: np.ndarray, n: np.ndarray, rounds: int = 200
 ) -> np.ndarray:
-    """Weight of the pair's estimate in each bucket, by EM. Unseen buckets have weight 0."""
+    """Weight of the longer n-gram's estimate in each bucket, by EM. Unseen buckets have weight 0."""
     ratio = np.where(step == -(1 << 15), 0.0, 2.0 ** (step / STEPS))
     size = np.bincount(bucket, n, minlength=BUCKETS)
     weight = np.where(size > 0, 0.5, 0.0)
@@ -334,28 +348,33 @@ def learned_weights(
     return weight
 
 
-def _scores(weights: np.ndarray, texts_count: float, base_size: float):
+def _scores(model: _Model, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches, "tokens"):
-            tokens, bounds = _joined(batch.column("tokens"))
-            pairs, _ = _joined(batch.column("pairs"))
-            bucket, high, low = _estimates(tokens, pairs, bounds, texts_count, base_size)
-            w = weights[bucket]
+        for batch in _parts(batches, "total1"):
+            counts = [_joined(batch.column(f"total{n}")) for n in range(1, order + 1)]
+            bounds = counts[0][1]
+            counts = [c for c, _ in counts]
+            base, estimate = model.estimate(counts, bounds)
             first = bounds[:-1]
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
                     "part": batch.column("part"),
                     "n_tokens": pa.array(np.diff(bounds), pa.int64()),
-                    "n_known": pa.array(np.add.reduceat((tokens > 0).astype(np.int64), first)),
-                    "base_score": np.add.reduceat(np.log10(low), first),
-                    "score": np.add.reduceat(np.log10(w * high + (1 - w) * low), first),
+                    "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first)),
+                    "base_score": np.add.reduceat(np.log10(base), first),
+                    "score": np.add.reduceat(np.log10(estimate), first),
                 }
             )
 
     return run
 
 
+def _tasks(pieces: int, each: int) -> int:
+    """Tasks of `each` pieces; so many that a task keeps its size as the corpus grows."""
+    return min(max(16, -(-pieces // each)), MOST_TASKS)
+
+
 def interpolated_scores(
     docs: DataFrame,
     modulus: int = 7,
@@ -364,11 +383,12 @@ def interpolated_scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     fixed: bool = False,
+    order: int = 3,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, train_kinds, base_score, score.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, train_kinds.
 
     A text's part is crc32 of its id, as text, modulo `modulus`: `held` texts are scored only,
-    `tuning` texts learn the weights, all but the held ones are counted.
+    `tuning` texts learn the weights, all but the held ones are counted. `order` is 2 or more.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -382,50 +402,53 @@ def interpolated_scores(
         own = scratch.saved(own, "texts")
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(16, -(-size // RANGE))
-    cells = own.mapInArrow(
-        _cells(ranges, held, tuning),
-        "block long, range int, pairs boolean, keys binary, main binary, tuned binary",
-    )
-    answers = scratch.saved(
-        cells.groupBy("pairs", "range").applyInArrow(
-            _answers,
-            "block long, range int, pairs boolean, mark long, main binary, total binary, "
-            "tokens long, kinds long",
-        ),
-        "answers",
-    )
-    train, kinds = answers.where("not pairs").agg(F.sum("tokens"), F.sum("kinds")).first()
+    answers = None
+    for orders in [(1, 2), *[(n,) for n in range(3, order + 1)]]:
+        cells = own.mapInArrow(
+            _cells(ranges, held, tuning, orders),
+            "block long, range int, order int, keys binary, main binary, tuned binary",
+        ).repartition(_tasks(ranges, 2), "order", "range")
+        added = scratch.saved(
+            cells.groupBy("order", "range").applyInArrow(
+                _answers,
+                "block long, range int, order int, mark long, main binary, total binary, "
+                "tokens long, kinds long",
+            ),
+            f"answers{orders[-1]}",
+        )
+        answers = added if answers is None else answers.unionByName(added)
+    train, kinds = answers.where("order = 1").agg(F.sum("tokens"), F.sum("kinds")).first()
     train, kinds = train or 0, kinds or 0
     texts_all, texts_main = (
         own.where(F.col("part") != held)
         .agg(F.count("*"), F.count(F.when(F.col("part") != tuning, 1)))
         .first()
     )
-    base_size = float(train + kinds + 1)
-    blocks = own.mapInArrow(_packed_blocks, "block long, data binary")
+    tasks = _tasks(-(-size // BLOCK), 2)
+    blocks = own.mapInArrow(_packed_blocks, "block long, data binary").repartition(tasks, "block")
+    answers = answers.select("block", "range", "order", "mark", "main", "total")
+    kinds_of_counts = ", ".join(f"main{n} binary, total{n} binary" for n in range(1, order + 1))
+    kind = id_type(docs, id_col).simpleString()
     counted = scratch.saved(
         blocks.groupBy("block")
-        .cogroup(
-            answers.select("block", "range", "pairs", "mark", "main", "total").groupBy("block")
-        )
-        .applyInArrow(
-            _counted(tuning),
-            f"doc_id {id_type(docs, id_col).simpleString()}, part int, tokens binary, "
-            "pairs binary, tokens_main binary, pairs_main binary",
-        ),
+        .cogroup(answers.repartition(tasks, "block").groupBy("block"))
+        .applyInArrow(_counted(tuning, order), f"doc_id {kind}, part int, {kinds_of_counts}"),
         "counted",
     )
-    ratios = (
-        counted.where(F.col("part") == tuning).select("tokens_main", "pairs_main")
-        .mapInArrow(_ratios(float(texts_main), base_size), "bucket int, step int, n long")
-        .groupBy("bucket", "step").agg(F.sum("n").alias("n"))
-        .orderBy("bucket", "step").toArrow()
-    )
-    weights = learned_weights(*(ratios[c].to_numpy().astype(np.int64) for c in ("bucket", "step", "n")))
-    scored = counted.select("doc_id", "part", "tokens", "pairs").mapInArrow(
-        _scores(weights, float(texts_all), base_size),
-        f"doc_id {id_type(docs, id_col).simpleString()}, part int, n_tokens long, n_known long, "
-        "base_score double, score double",
+    base_size, weights = train + kinds + 1, []
+    for n in range(2, order + 1):
+        main = [f"main{k}" for k in range(1, n + 1)]
+        ratios = (
+            counted.where(F.col("part") == tuning).select(*main)
+            .mapInArrow(_ratios(_Model(texts_main, base_size, weights), n), "bucket int, step int, n long")
+            .groupBy("bucket", "step").agg(F.sum("n").alias("n"))
+            .orderBy("bucket", "step").toArrow()
+        )
+        found = (ratios[c].to_numpy().astype(np.int64) for c in ("bucket", "step", "n"))
+        weights = [*weights, learned_weights(*found)]
+    scored = counted.select("doc_id", "part", *[f"total{n}" for n in range(1, order + 1)]).mapInArrow(
+        _scores(_Model(texts_all, base_size, weights), order),
+        f"doc_id {kind}, part int, n_tokens long, n_known long, base_score double, score double",
     )
     return scored.select(
         "doc_id",

@@ -26,50 +26,61 @@ def part(doc_id, modulus=7):
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus
 
 
-def interpolated(rows, held=2, tuning=5):
-    """Per row: (n_tokens, n_known, train_tokens, base_score, score)."""
+def interpolated(rows, held=2, tuning=5, order=3):
+    """Per row: (n_tokens, n_known, train_tokens, base_score, score); exact EM, order by order."""
     texts = [(part(i), SPACE_WORD.findall(lower(x)) + ["\n"]) for i, x in rows]
 
+    def grams(t, n):
+        return zip(*[(["\r"] * (n - 1) + t)[k:] for k in range(n)])
+
     def counts(parts):
-        words, pairs = Counter(), Counter()
+        found = Counter()
         for p, t in texts:
             if p in parts:
-                words.update(t)
-                words["\r"] += 1
-                pairs.update(zip(["\r", *t], t))
-        return words, pairs
+                found[()] += 1  # texts, the count of each context of starts only
+                for n in range(1, order + 1):
+                    found.update(grams(t, n))
+        return found
 
     train = set(range(7)) - {held}
-    words, pairs = counts(train)
-    main, main_pairs = counts(train - {tuning})
-    starts = words.pop("\r", 0)
-    n, base = sum(words.values()), sum(words.values()) + len(words) + 1
-    words["\r"] = starts
-    seen = [
-        (int(math.log2(main[v] + 1)), main_pairs[v, w] / main[v], (main[w] + 1) / base)
-        for p, t in texts if p == tuning
-        for v, w in zip(["\r", *t], t) if main[v]
-    ]
-    weight = dict.fromkeys({b for b, _, _ in seen}, 0.5)
-    for _ in range(200):
-        share, size = Counter(), Counter()
-        for b, high, low in seen:
-            share[b] += weight[b] * high / (weight[b] * high + (1 - weight[b]) * low)
-            size[b] += 1
-        weight = {b: min(share[b] / size[b], 1 - 1e-6) for b in size}
-    out = []
-    for _, t in texts:
-        score = 0.0
-        for v, w in zip(["\r", *t], t):
-            k = weight.get(int(math.log2(words[v] + 1)), 0) if words[v] else 0
-            score += math.log10(
-                k * pairs[v, w] / max(words[v], 1) + (1 - k) * (words[w] + 1) / base
-            )
-        out.append(
-            (len(t), sum(words[w] > 0 for w in t), n,
-             sum(math.log10((words[w] + 1) / base) for w in t), score)
+    all_, main = counts(train), counts(train - {tuning})
+    n = sum(len(t) for p, t in texts if p in train)
+    base = n + sum(len(g) == 1 for g in all_) + 1
+
+    def estimate(count, t, i, weights):
+        p = (count[t[i],] + 1) / base
+        for k, weight in enumerate(weights, 2):
+            before = count[()] if i == 0 else count[tuple((["\r"] * k + t)[i + 1 : i + k])]
+            own = count[tuple((["\r"] * k + t)[i + 1 : i + k + 1])]
+            w = weight.get(int(math.log2(before + 1)), 0) if before else 0
+            p = w * own / max(before, 1) + (1 - w) * p
+        return p
+
+    weights = []
+    for k in range(2, order + 1):
+        seen = []
+        for t in (t for p, t in texts if p == tuning):
+            for i in range(len(t)):
+                before = main[()] if i == 0 else main[tuple((["\r"] * k + t)[i + 1 : i + k])]
+                if before:
+                    own = main[tuple((["\r"] * k + t)[i + 1 : i + k + 1])]
+                    seen.append((int(math.log2(before + 1)), own / before, estimate(main, t, i, weights)))
+        weight = dict.fromkeys({b for b, _, _ in seen}, 0.5)
+        for _ in range(200):
+            share, size = Counter(), Counter()
+            for b, high, low in seen:
+                share[b] += weight[b] * high / (weight[b] * high + (1 - weight[b]) * low)
+                size[b] += 1
+            weight = {b: min(share[b] / size[b], 1 - 1e-6) for b in size}
+        weights.append(weight)
+    return [
+        (
+            len(t), sum(all_[w,] > 0 for w in t), n,
+            sum(math.log10((all_[w,] + 1) / base) for w in t),
+            sum(math.log10(estimate(all_, t, i, weights)) for i in range(len(t))),
         )
-    return out
+        for _, t in texts
+    ]
 
 
 PHRASES = {
