@@ -48,8 +48,9 @@ RANGE = 12 << 20
 
 _END = U(0x7C15B0A5D00D1E55)
 _START = U(0x1B873593CC9E2D51)
-#: Steps of an octave in which ratios of the two estimates are told apart for EM.
-STEPS = 16
+#: Steps of an octave in which ratios of the two estimates are told apart for EM. The histogram that comes
+#: to the driver has at most BUCKETS times some 2**14 rows, whatever the corpus.
+STEPS = 256
 BUCKETS = 64
 #: Tasks of a shuffle beyond which each takes more pieces, one after another.
 MOST_TASKS = 1 << 15
