@@ -18,7 +18,7 @@ answers every cell with the totals, in the cell's own order. The answers meet th
 again, and each text gets its lists of counts, from which EM and scores are scans. What is sent
 grows with the corpus; a range or a block keeps its size. N-grams are compared by 64-bit hashes.
 
-The texts are read twice and must come in the same blocks both times. A table of files does so;
+The texts are read several times and must come in the same blocks each time. A table of files does so;
 with `fixed=False` the texts are written to the scratch folder first. Each answer is checked
 against the block's n-grams, and a difference stops the job.
 
