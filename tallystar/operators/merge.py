@@ -12,7 +12,11 @@ BROADCAST_BYTES = 64 << 20
 
 
 def merge(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], key_bytes: int | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    key_bytes: int | None = None,
+    lead_bytes: int | None = None,
 ) -> DataFrame:
     """`target` after `source` was merged into it on `keys`.
 
@@ -24,9 +28,18 @@ def merge(
     join and not the result: small keys are broadcast, and the target is not shuffled at all;
     large ones are shuffled with the target and merged by sorting. It is not left to guess from
     file sizes: tens of millions of keys may compress below Spark's threshold.
+
+    `lead_bytes` is the counted size of the distinct values of the first key. Where the keys are
+    large and these are small (the days of many sales), the values are broadcast: target rows whose
+    value the source lacks stay where they are, and only the others are shuffled.
     """
     merged_keys = source.select(*keys)
     small = key_bytes is not None and key_bytes <= BROADCAST_BYTES
     merged_keys = F.broadcast(merged_keys) if small else merged_keys.hint("merge")
-    kept = target.join(merged_keys, list(keys), "left_anti")
+    if small or lead_bytes is None or lead_bytes > BROADCAST_BYTES:
+        kept = target.join(merged_keys, list(keys), "left_anti")
+    else:
+        lead = F.broadcast(source.select(keys[0]).distinct())
+        meeting = target.join(lead, keys[0], "left_semi").join(merged_keys, list(keys), "left_anti")
+        kept = target.join(lead, keys[0], "left_anti").unionByName(meeting)
     return kept.select(*target.columns).unionByName(source.select(*target.columns))

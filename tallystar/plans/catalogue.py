@@ -22,6 +22,7 @@ from tallystar.operators.merge import BROADCAST_BYTES, merge
 from tallystar.operators.unpivot import to_long
 from tallystar.plans.analysis import kept_marts, marts, write_marts, year_report
 from tallystar.plans.etl import run_etl
+from tallystar.plans.load import KEY_ROW_BYTES
 from tallystar.schemas import (
     CLEAN,
     DATE_COLUMN,
@@ -241,8 +242,12 @@ def merge_fact_shuffled(spark, sf_dir):
 
 
 def merge_fact_broadcast(spark, sf_dir):
-    """merge_fact_many with keys counted as small."""
-    return _merged_fact(supplied.keyed_fact(spark, sf_dir), 1)
+    """merge_fact_many with the source's keys and days counted: what of them is small is broadcast."""
+    fact = supplied.keyed_fact(spark, sf_dir)
+    size = F.coalesce(F.sum(F.lit(KEY_ROW_BYTES) + F.octet_length("product_key")), F.lit(0))
+    days = F.count_distinct("date_key") * KEY_ROW_BYTES
+    # One row comes to the driver.
+    return _merged_fact(fact, *fact.where(_is_source()).agg(size, days).first())
 
 
 def staging_rejects(spark, sf_dir):
@@ -478,11 +483,13 @@ def merge_product_dim_many(spark, sf_dir):
     return merge(target, source, PRODUCT_KEYS)
 
 
-def _merged_fact(fact: DataFrame, key_bytes: int | None = None) -> DataFrame:
+def _merged_fact(
+    fact: DataFrame, key_bytes: int | None = None, lead_bytes: int | None = None
+) -> DataFrame:
     stale = fact.where(_is_target()).withColumn(
         "total_units_sold", F.col("total_units_sold") - 1
     )
-    return merge(stale, fact.where(_is_source()), FACT_KEYS, key_bytes)
+    return merge(stale, fact.where(_is_source()), FACT_KEYS, key_bytes, lead_bytes)
 
 
 def merge_fact(spark, sf_dir):

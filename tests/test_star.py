@@ -17,6 +17,7 @@ from tallystar.operators.checks import (
 from tallystar.operators.dimensions import product_dim
 from tallystar.operators.merge import BROADCAST_BYTES, merge
 from tallystar.plans.analysis import marts, write_marts
+from tallystar.plans.catalogue import QUERIES
 from tallystar.plans.load import (
     LOADED,
     SKIPPED,
@@ -112,6 +113,25 @@ def test_only_keys_that_were_counted_small_are_broadcast(spark, home):
     assert "Broadcast" not in plan(None)
 
 
+def test_of_large_keys_only_their_days_are_broadcast(spark, monkeypatch):
+    old = fact(spark, {(date(2010, 1, d), f"P{p}"): (1, 1.0) for d in (1, 2) for p in range(9)})
+    repeated_or_null = [(date(2010, 1, 2), "P1", 5, 5.0), (None, "P1", 6, 6.0)]
+    target = old.unionByName(spark.createDataFrame(repeated_or_null, SALES_FACT))
+    new = {(date(2010, 1, d), f"P{p}"): (2, 2.0) for d in (2, 3) for p in range(1, 5)}
+    source = fact(spark, new).unionByName(spark.createDataFrame([(None, "P1", 7, 7.0)], SALES_FACT))
+    parted = merge(target, source, FACT_KEYS, BROADCAST_BYTES + 1, 1)
+    whole = merge(target, source, FACT_KEYS, BROADCAST_BYTES + 1)
+    assert sorted(map(str, parted.collect())) == sorted(map(str, whole.collect()))
+
+    # The query counts its keys: beyond the bound they meet by sorting, their days are broadcast.
+    monkeypatch.setattr("tallystar.operators.merge.BROADCAST_BYTES", 200_000)
+    merged = QUERIES["merge_fact_broadcast"](spark, "/root/testdata/sf0.001")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "BroadcastExchange" in line]
+    assert sent and not [line for line in sent if "input[1" in line]
+    assert "SortMergeJoin" in plan
+
+
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a")], "x int, y string")
     assert [tuple(r) for r in duplicate_keys(df, ["x", "y"]).collect()] == [(1, "a", 2)]
