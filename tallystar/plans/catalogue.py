@@ -300,7 +300,7 @@ def _delivered(rows: DataFrame, number: str) -> DataFrame:
 
 def content_fingerprint(spark, sf_dir):
     """All clean lines in all columns, as four deliveries of each order: contents by their copies."""
-    wide = supplied.wide_lines(spark, sf_dir, "orderkey")
+    wide = supplied.wide_lines(spark, sf_dir, "orderkey", together="orderkey")
     rows = clean(to_long(wide, carry=["orderkey"]), ["orderkey"])
     return content_copies(_delivered(rows, "orderkey"), ["orderkey", "delivery"])
 

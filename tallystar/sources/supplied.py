@@ -27,6 +27,8 @@ from tallystar.schemas import (
 # The numbers of the four products, and of the 25 brands of the parts.
 PRODUCTS = [1, 2, 3, 4]
 BRANDS = list(range(1, 26))
+# Lines that meet in one task where they are dealt by a column.
+LINES_A_TASK = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,9 +84,19 @@ def wide_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(lines(spark, sf_dir).join(parts, "partkey"), BRANDS)
 
 
-def wide_lines(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
-    """One wide row per line; `carry` are other columns of `lines`."""
+def wide_lines(
+    spark: SparkSession, sf_dir: str, *carry: str, together: str | None = None
+) -> DataFrame:
+    """One wide row per line; `carry` are other columns of `lines`.
+
+    With `together`, lines of one value of that column are dealt to one task, as narrow rows, before
+    anything is made of them: what is grouped within such values later needs no shuffle. Tasks grow
+    in number with the lines (counted from the files' footers), not in size.
+    """
     sales = lines(spark, sf_dir).withColumn("number", _product_number())
+    if together is not None:
+        tasks = max(spark.sparkContext.defaultParallelism, -(-sales.count() // LINES_A_TASK))
+        sales = sales.repartition(tasks, together)
     here = {n: F.col("number") == n for n in PRODUCTS}
     return sales.select(
         *carry,
