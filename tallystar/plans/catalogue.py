@@ -382,9 +382,12 @@ def unprocessed_files(spark, sf_dir):
 
 
 def _as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long rows of the four deliveries of each order, each as a file of its own."""
-    long = to_long(supplied.wide_lines(spark, sf_dir, "orderkey"), carry=["orderkey"])
-    rows = _delivered(typed(long, ["orderkey"]), "orderkey")
+    """Long rows of the four deliveries of each order, each as a file of its own.
+
+    An order's rows are dealt to one task before they are multiplied.
+    """
+    wide = supplied.wide_lines(spark, sf_dir, "orderkey", together="orderkey")
+    rows = _delivered(typed(to_long(wide, carry=["orderkey"]), ["orderkey"]), "orderkey")
     name = F.concat_ws("/", F.lit("orders"), "orderkey", "delivery").alias(SOURCE_FILE)
     time = F.timestamp_seconds(F.col("delivery") * 86400 + F.col("orderkey")).alias(SOURCE_TIME)
     named = [F.col(c).alias(c.lower()) for c in CLEAN.fieldNames()]
@@ -400,7 +403,8 @@ def accepted_deliveries(spark, sf_dir):
     rows = _as_files(spark, sf_dir)
     before = (F.col("orderkey") % 7 == 0) & (F.col("delivery") == 0)
     sound, loaded = (
-        file_profiles(r).where(~F.col("repeated")).drop("repeated") for r in (rows, rows.where(before))
+        file_profiles(r, ["orderkey"]).where(~F.col("repeated")).drop("repeated")
+        for r in (rows, rows.where(before))
     )
     ledger = loaded.select(F.col(SOURCE_FILE).alias("filename"), "content_hash")
     return accepted_files(sound, ledger).select("filename", "copies_skipped")

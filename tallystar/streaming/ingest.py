@@ -32,19 +32,24 @@ SOURCE = (SOURCE_FILE, SOURCE_TIME)
 RANK = "file_rank"
 
 
-def file_profiles(long: DataFrame) -> DataFrame:
+def file_profiles(long: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """One row per source file: the content hash of its clean rows, and whether a date and product
     stand in it twice.
 
     Rows are added up per file, date and product, and those groups per file, both map-side.
+
+    `within` are columns that the name of a file determines. Rows that come dealt to tasks by them
+    (many small files) are added up where they are, without a shuffle.
     """
-    rows = typed(long, SOURCE)
+    files = (*within, *SOURCE)
+    rows = typed(long, files)
     kept = [F.when(is_complete(), F.col(c)).alias(f"key_{c}") for c in ("Date", "product_id")]
     lanes = lane_columns(CLEAN.fieldNames(), keep=is_complete())
-    per_key = rows.groupBy(*SOURCE, *kept).agg(*[c.alias(f"lane{i}") for i, c in enumerate(lanes)])
+    per_key = rows.groupBy(*files, *kept).agg(*[c.alias(f"lane{i}") for i, c in enumerate(lanes)])
     content = fingerprint(F.array(*[F.sum(f"lane{i}") for i in range(N_LANES)]))
     twice = F.bool_or((F.col("lane0") > 1) & F.col("key_Date").isNotNull())
-    return per_key.groupBy(*SOURCE).agg(content.alias("content_hash"), twice.alias("repeated"))
+    profiles = per_key.groupBy(*files).agg(content.alias("content_hash"), twice.alias("repeated"))
+    return profiles.drop(*within)
 
 
 def accepted_files(profiles: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 """What must not appear in a physical plan that has to hold at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallystar.plans.catalogue import QUERIES
+from tallystar.sources import supplied
+from tallystar.streaming.ingest import file_profiles
 
 SF_DIR = "/root/testdata/sf0.001"
 THROUGH_FILES = {
@@ -79,3 +82,30 @@ def test_filters_reach_the_scan(spark):
     text = plan(spark, "merge_fact_many")
     assert "LessThan(l_shipdate,1999-01-01" in text
     assert "GreaterThanOrEqual(l_shipdate,1998-01-01" in text
+
+
+@pytest.mark.parametrize("name", ["content_fingerprint", "accepted_deliveries"])
+def test_orders_are_shuffled_as_lines_and_not_as_their_deliveries(spark, name):
+    """What is made of an order's lines is added up in their task; contents alone are shuffled then."""
+    shuffled = [x for x in plan(spark, name).splitlines() if "Exchange hashpartitioning" in x]
+    assert any("(orderkey" in x for x in shuffled)
+    assert not [x for x in shuffled if "delivery" in x or "source_time" in x or "key_product" in x]
+
+
+def test_tasks_of_lines_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(supplied, "LINES_A_TASK", 500)
+    lines = supplied.wide_lines(spark, SF_DIR, "orderkey", together="orderkey")
+    parts = lines.select("orderkey", F.spark_partition_id().alias("part"))
+    assert lines.rdd.getNumPartitions() == -(-lines.count() // 500)
+    assert parts.distinct().groupBy("orderkey").count().where("count > 1").count() == 0
+
+
+def test_profiles_of_dealt_rows_are_those_of_all(spark):
+    from tallystar.plans.catalogue import _as_files
+
+    rows = _as_files(spark, SF_DIR)
+    dealt, plain = (
+        sorted(map(tuple, file_profiles(r, within).collect()))
+        for r, within in ((rows, ["orderkey"]), (rows.repartition(3), []))
+    )
+    assert dealt == plain
