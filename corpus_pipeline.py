@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm.disclosure import Sanitiser
-from tallystar.llm.fertility import fitted_rules, quality
+from tallystar.llm.fertility import fitted_quality
 from tallystar.llm.grouped_prefix_join import GroupedPrefixJoin
 from tallystar.llm.packing import packed
 from tallystar.llm.winnowing import Winnowing
@@ -24,10 +24,10 @@ from tallystar.session import scratch_folder
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the fertility rules accept (operator 7).
 
-    The bands are fitted to a bounded sample of the labelled documents of the folder.
+    The bands are fitted to all labelled training documents of the folder that are good.
     """
-    rules = fitted_rules(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
-    kept = quality(docs, rules, carried=tuple(docs.columns)).where("kept")
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    kept = fitted_quality(docs, labels, carried=tuple(docs.columns)).where("kept")
     return kept.select(*[F.col(f"`kept_{c}`").alias(c) for c in docs.columns])
 
 

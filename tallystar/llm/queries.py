@@ -16,7 +16,7 @@ from tallystar.llm.content_archive import from_records, read_archive, write_arch
 from tallystar.llm.conversation_repair import ConversationRepair, damaged
 from tallystar.llm.disclosure import Sanitiser, joined_spans
 from tallystar.llm.feistel import sharded
-from tallystar.llm.fertility import fitted_rules, quality
+from tallystar.llm.fertility import fitted_quality
 from tallystar.llm.grouped_prefix_join import ngram_jaccard_components
 from tallystar.llm.hard_negatives import hard_negatives
 from tallystar.llm.interpolation import interpolated_scores
@@ -65,8 +65,7 @@ def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    rules = fitted_rules(docs, _table(spark, sf_dir, "labels"))
-    return quality(docs, rules).select(
+    return fitted_quality(docs, _table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_tokens", "chars_per_token", "byte_share", "entropy", "script",
     )

@@ -9,6 +9,7 @@ from collections import defaultdict
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallystar.llm import hard_negatives as H
 from tallystar.llm import pairwise_quality as Q
@@ -215,3 +216,45 @@ def test_measures_do_not_depend_on_the_neighbours():
     together = Q.measures(texts_of(pa.array(texts)))
     for text, row in zip(texts, together):
         assert np.allclose(Q.measures(texts_of(pa.array([text])))[0], row)
+
+
+# Fits to all rows
+
+
+def test_quantiles_are_those_of_all_rows(spark, monkeypatch):
+    from tallystar.llm import quantiles as S
+
+    rng = np.random.default_rng(3)
+    tables = {
+        "a": rng.normal(size=3000), "b": np.repeat([1.5, -2.0, 1e300], 700),
+        "c": 1.0 + rng.integers(0, 90, 2000) * 2.0**-52, "d": np.array([4.0]),
+    }
+    rows = [(name, float(x)) for name, xs in tables.items() for x in xs] + [("other", 5.0)]
+    values = spark.createDataFrame(rows, "name string, x double").repartition(3).cache()
+    wanted = {name: [0.001, 0.37, 0.5, 0.999] for name in [*tables, "none"]}
+    for few in (S.FEW, 3):
+        monkeypatch.setattr(S, "FEW", few)
+        counts, got = S.quantiles(values, wanted)
+        assert counts == {name: len(x) for name, x in tables.items()}
+        for (name, q), found in got.items():
+            assert found.linear == pytest.approx(np.quantile(tables[name], q), rel=1e-15), (name, q)
+            assert found.midpoint == pytest.approx(np.quantile(tables[name], q, method="midpoint"), rel=1e-15)
+    values.unpersist()
+
+
+def test_rules_come_from_all_good_texts(spark, documents):
+    """More labelled rows than any bound of a sample, nearly all of texts that are not there."""
+    from tallystar.llm import fertility as R
+
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", "quality")
+    many = spark.range(60_000).select((F.col("id") + 10**9).alias("doc_id"), F.lit(0).cast(labels.schema["quality"].dataType))
+    want = R.fitted_rules(documents, labels)
+    assert want.usual and R.fitted_rules(documents, labels.union(many)) == want
+    rows = R.fitted_quality(documents, labels.union(many)).select("doc_id", "kept").collect()
+    assert sorted(rows) == sorted(R.quality(documents, want).select("doc_id", "kept").collect())
+    good = {r.doc_id for r in labels.where("quality = 1").collect() if brute.part(r.doc_id, 5) != 0}
+    own = R.quality(documents, R.Rules(usual=want.usual)).where("not base_failed and script = 'latin'").collect()
+    shares = [r.usual_share for r in own if r.doc_id in good]
+    edge, middle = np.quantile(shares, [0.001, 0.5])
+    limit = edge - (R.MARGIN + R.SMALL_SAMPLE / math.sqrt(len(shares))) * (middle - edge)
+    assert want.bands["latin"].usual_least == pytest.approx(limit, rel=1e-12)
