@@ -258,3 +258,24 @@ def test_rules_come_from_all_good_texts(spark, documents):
     edge, middle = np.quantile(shares, [0.001, 0.5])
     limit = edge - (R.MARGIN + R.SMALL_SAMPLE / math.sqrt(len(shares))) * (middle - edge)
     assert want.bands["latin"].usual_least == pytest.approx(limit, rel=1e-12)
+
+
+@pytest.mark.parametrize("tasks", [1, 5])
+def test_a_model_of_all_rows_and_all_pairs(spark, monkeypatch, tasks):
+    """The model by bins of strength is that of all pairs one by one; no row is left out."""
+    folder = SF_DIR.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = Q.measured(docs.repartition(tasks)).cache()
+    few = Q.learned(rows, labels, Q.Scratch(spark))
+    monkeypatch.setattr(Q, "PAIRS", 0)
+    many = Q.learned(rows, labels, Q.Scratch(spark))
+    assert many.mean == pytest.approx(few.mean, rel=1e-12) and many.scale == pytest.approx(few.scale, rel=1e-9)
+    assert np.abs(many.weights - few.weights).max() < 0.02 * np.abs(few.weights).max()
+    cells = np.array([r.measures for r in rows.collect()])
+    assert np.abs(many.score(cells) - few.score(cells)).max() < 0.01
+    rows.unpersist()
+
+
+def test_all_labelled_rows_are_taken(spark):
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    assert Q.training_ids(labels).count() == sum(brute.part(i, 5) != 0 for i in range(60_000))
