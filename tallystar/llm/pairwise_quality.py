@@ -52,6 +52,8 @@ from tallystar.llm.text import (
 PAIRS = 200_000
 #: Width of a bin of strength, bins on each side of 0 (farther ones count as the last), steps at most.
 STEP, MOST_BINS, STEPS = 1 / 16, 1024, 50
+#: Parts of a whole in which moments are added up.
+UNITS = 1 << 20
 RIDGE = 1e-3
 THRESHOLD_SCORE = 0.3
 FOLDS, HELD_OUT = 5, 0
@@ -212,41 +214,41 @@ def _sums(train: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarra
     return np.sum([r["total"] for r in sorted(parts)], 0)
 
 
-def _strengths(train: DataFrame, model: Ranking, each: Callable) -> DataFrame:
-    """Rows of `good, bin, task, stats` of each task: what `each` gives for its rows of a class and bin.
+def _by_strength(train: DataFrame, model: Ranking) -> DataFrame:
+    """`good, bin, place, total`: the moments of all rows, added up by class and bin of strength.
 
-    Rows whose strengths differ by less than STEP share a bin.
+    Rows whose strengths differ by less than STEP share a bin. Each task adds its rows up, in whole
+    numbers of 1 / UNITS, so that the order in which tasks are added is no matter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[bool, int], np.ndarray] = {}
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            rows = _matrix(batch.column("measures"))
-            z = np.clip((rows - model.mean) / model.scale, -8.0, 8.0)
+            z = np.clip((_matrix(batch.column("measures")) - model.mean) / model.scale, -8.0, 8.0)
             good = batch.column("good").to_numpy(zero_copy_only=False).astype(bool)
             bins = np.clip(np.floor(z @ model.weights / STEP), -MOST_BINS, MOST_BINS).astype(np.int64)
             key, which = np.unique(bins * 2 + good, return_inverse=True)
             order = np.argsort(which, kind="stable")
-            stats = np.add.reduceat(each(z)[order], np.searchsorted(which[order], np.arange(len(key))))
+            stats = np.add.reduceat(_moments(z)[order], np.searchsorted(which[order], np.arange(len(key))))
             for k, own in zip(key.tolist(), stats):
                 total[k] = total[k] + own if k in total else own
         if total:
             keys = np.array(list(total))
+            units = np.rint(np.stack(list(total.values())) * UNITS).astype(np.int64)
+            ends = pa.array(np.arange(len(units) + 1) * units.shape[1], pa.int32())
             yield pa.record_batch(
                 {
-                    "good": pa.array(keys % 2 == 1), "bin": pa.array(keys // 2, pa.int32()),
-                    "task": pa.array(np.full(len(keys), TaskContext.get().partitionId()), pa.int32()),
-                    "stats": _lists(np.stack(list(total.values()))),
+                    "good": pa.array(keys % 2 == 1),
+                    "bin": pa.array(keys // 2, pa.int32()),
+                    "totals": pa.ListArray.from_arrays(ends, pa.array(units.ravel(), pa.int64())),
                 }
             )
 
-    return train.mapInArrow(run, "good boolean, bin int, task int, stats array<double>")
-
-
-def _added(group: pa.Table) -> pa.Table:
-    group = group.sort_by("task").combine_chunks()
-    total = _matrix(group["stats"].chunk(0)).sum(0)
-    return pa.table({"good": group["good"][:1], "bin": group["bin"][:1], "stats": _lists(total[None])})
+    return (
+        train.mapInArrow(run, "good boolean, bin int, totals array<long>")
+        .select("good", "bin", F.posexplode("totals").alias("place", "total"))
+        .groupBy("good", "bin", "place").agg(F.sum("total").alias("total"))
+    )
 
 
 _UPPER = np.triu_indices(len(MEASURES))
@@ -261,18 +263,15 @@ def _all_pairs(train: DataFrame, model: Ranking, ridge: float) -> tuple[float, n
     """Loss, gradient and Hessian over every pair of a row of label 1 and one of label 0.
 
     Both depend on a row by its strength and its measures alone, so rows are added up by class and
-    bin of strength, and pairs of bins stand for all pairs of their rows. The driver gets at most
-    2 * (2 * MOST_BINS + 1) short rows.
+    bin of strength, and pairs of bins stand for all pairs of their rows. The driver gets the moments
+    of at most 2 * (2 * MOST_BINS + 1) bins.
     """
     width = len(MEASURES)
-    added = (
-        _strengths(train, model, _moments)
-        .groupBy("good", "bin").applyInArrow(_added, "good boolean, bin int, stats array<double>")
-    )
-    rows = sorted((r["good"], r["bin"], r["stats"]) for r in added.collect())
+    table = _by_strength(train, model).toArrow().sort_by([("bin", "ascending"), ("place", "ascending")])
+    totals, side = table["total"].to_numpy() / UNITS, table["good"].to_numpy()
     sides = []
-    for side in (True, False):
-        stats = np.array([r[2] for r in rows if r[0] == side])
+    for own in (True, False):
+        stats = totals[side == own].reshape(-1, 1 + width + len(_UPPER[0]))
         n, means = stats[:, 0], stats[:, 1 : 1 + width] / stats[:, :1]
         products = np.zeros((len(n), width, width))
         products[:, _UPPER[0], _UPPER[1]] = products[:, _UPPER[1], _UPPER[0]] = stats[:, 1 + width :] / n[:, None]
